@@ -177,3 +177,249 @@ for _name, _fn in [("cases_by_municipality", V.cases_by_municipality),
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
+
+
+# ============================================================ second wave
+
+from .. import labels  # noqa: E402
+from ..operators import audit as A  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..session import fresh_dir  # noqa: E402
+from ..sources import csv as S  # noqa: E402
+from ..sources.row_ids import with_file_row_id  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+from ..sources.warehouse import append_table, read_table, view_scan  # noqa: E402
+from ..streaming.audit_stream import audit_stream  # noqa: E402
+
+
+def _staged_csv(spark, sf) -> str:
+    """The derived notification input written as day-first CSV files in id
+    order, in a fresh folder below the shared checkpoint location."""
+    path = fresh_dir(spark, "raw-csv")
+    S.write_csv(_raw(spark, sf), path, order_by="id_notificacao")
+    return path
+
+
+# ------------------------------------------------------------ S: sources
+
+@query("csv_scan")
+def _csv_scan(spark, sf):
+    return S.read_notifications(spark, _staged_csv(spark, sf))
+
+
+@query("null_tokens")
+def _null_tokens(spark, sf):
+    raw = _raw(spark, sf)
+    text = [f.name for f in raw.schema.fields if f.dataType.simpleString() == "string"]
+    return S.null_tokens(raw.select("id_notificacao", *text))
+
+
+@query("drop_columns")
+def _drop_columns(spark, sf):
+    return P.drop_columns(_raw(spark, sf))
+
+
+@query("parse_dates")
+def _parse_dates(spark, sf):
+    raw = _raw(spark, sf)
+    dates = S.date_columns(raw)
+    # day-first text as the source files hold it (no zero padding on odd ids)
+    as_text = raw.select("id_notificacao", *[F.date_format(c, "dd/MM/yyyy").alias(c) for c in dates])
+    as_text = as_text.select("id_notificacao", *[
+        F.when(F.col("id_notificacao") % 2 == 0, F.col(c))
+         .otherwise(F.regexp_replace(F.regexp_replace(F.col(c), r"^0", ""), r"/0", "/")).alias(c)
+        for c in dates])
+    return S.parse_dates(as_text)
+
+
+@query("dense_row_id")
+def _dense_row_id(spark, sf):
+    df = S.read_csv(spark, _staged_csv(spark, sf))
+    return with_file_row_id(df, "row_id").select(F.col("id_notificacao").cast("bigint").alias("id_notificacao"),
+                                                 "row_id")
+
+
+@query("sink_roundtrip")
+def _sink_roundtrip(spark, sf):
+    path = fresh_dir(spark, "sink")
+    append_table(_wh(spark, sf)["fato_notificacoes"], path)
+    return read_table(spark, path)
+
+
+@query("view_scan")
+def _view_scan(spark, sf):
+    t = _wh(spark, sf)
+    V.register_views(t)
+    return view_scan(spark, "vw_perfil_epidemiologico")
+
+
+# ------------------------------------------------------- P: projections
+
+@query("project_existing")
+def _project_existing(spark, sf):
+    wanted = ["id_notificacao", "sexo", "idade", "cbo", "fk_localidade_notificacao", "classificacaoFinal",
+              "codigoDosesVacina", "campoInexistente"]
+    return P.project_existing(_wh(spark, sf)["clean"], wanted)
+
+
+@query("rename_columns")
+def _rename_columns(spark, sf):
+    renamed = P.rename_columns(_wh(spark, sf)["clean"], {**labels.FACT_RENAMES, "campoInexistente": "x"})
+    return renamed.select("id_notificacao", *labels.FACT_RENAMES.values())
+
+
+@query("optional_filter")
+def _optional_filter(spark, sf):
+    return P.optional_filter(V.epidemiological_profile(_wh(spark, sf)), estado_uf="AM", municipio_nome=labels.ALL)
+
+
+@query("in_list")
+def _in_list(spark, sf):
+    fn = _wh(spark, sf)["fato_notificacoes"]
+    return fn.filter(F.col("classificacao_final").isin(labels.CONFIRMED, labels.DISCARDED)).select(
+        "id_notificacao", "classificacao_final")
+
+
+@query("constant_column")
+def _constant_column(spark, sf):
+    return P.with_constant(V.frequent_symptoms(_wh(spark, sf)), "source_id", labels.LAB_SOURCE_ID)
+
+
+# ----------------------------------------------------------- R: reshape
+
+@query("unpivot")
+def _unpivot(spark, sf):
+    clean = _wh(spark, sf)["clean"]
+    return R.unpivot(clean, ["id_notificacao"], R.wide_columns(clean, labels.TEST_METRICS, labels.TEST_SLOTS))
+
+
+LINE_VALUES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
+
+
+@query("pivot_first")
+def _pivot_first(spark, sf):
+    li = table(spark, sf, "lineitem")
+    ids = ["l_orderkey", "l_linenumber", *LINE_ORDER]
+    long = li.select(*ids, *LINE_VALUES).unpivot(ids, LINE_VALUES, "metric", "value")
+    return R.pivot_first(long, ["l_orderkey", "l_linenumber"], "metric", "value", LINE_ORDER, LINE_VALUES)
+
+
+# ------------------------------------------------------- D: generic dims
+
+@query("keep_first")
+def _keep_first(spark, sf):
+    cust = table(spark, sf, "customer")
+    return D.keep_first(cust, "c_nationkey", ["c_custkey"], ["c_name", "c_mktsegment", "c_acctbal"])
+
+
+@query("surrogate_key")
+def _surrogate_key(spark, sf):
+    return D.surrogate_key(table(spark, sf, "orders"), "o_orderpriority", "o_orderkey", "id")
+
+
+@query("distinct_values")
+def _distinct_values(spark, sf):
+    return _wh(spark, sf)["clean"].select("sexo", "racaCor").distinct()
+
+
+# ------------------------------------------------------- Q: data quality
+
+@query("dq_not_null")
+def _dq_not_null(spark, sf):
+    t = _wh(spark, sf)
+    frames = [Q.not_null_violations(t[n], n, k, cols) for n, (k, cols) in Q.NOT_NULL.items()]
+    frames.append(Q.not_null_violations(_raw(spark, sf), "raw_notificacoes", ["id_notificacao"], ["dataNotificacao"]))
+    return Q._union(frames)
+
+
+@query("dq_unique")
+def _dq_unique(spark, sf):
+    t = _wh(spark, sf)
+    frames = [Q.unique_violations(t[n], n, k) for n, keys in Q.UNIQUE.items() for k in keys]
+    frames.append(Q.unique_violations(table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]))
+    return Q._union(frames)
+
+
+@query("dq_check")
+def _dq_check(spark, sf):
+    t = _wh(spark, sf)
+    raw = _raw(spark, sf)
+    return Q.check_violations(t["fato_notificacoes"], "fato_notificacoes", ["id_notificacao"], Q.fact_checks()).unionByName(
+        Q.check_violations(raw, "raw_notificacoes", ["id_notificacao"],
+                           {"dataInicioSintomas <= dataNotificacao": F.col("dataInicioSintomas") <= F.col("dataNotificacao"),
+                            "idade >= 0": F.col("idade") >= 0}))
+
+
+@query("dq_orphans")
+def _dq_orphans(spark, sf):
+    t = _wh(spark, sf)
+    frames = [Q.orphan_violations(t[c], c, k, fk, t[p], pk, p) for c, k, fk, p, pk in Q.FOREIGN]
+    # a parent that lost rows: customers with a negative balance removed
+    kept = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
+    frames.append(Q.orphan_violations(table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey",
+                                      kept, "c_custkey", "customer"))
+    return Q._union(frames)
+
+
+@query("dq_type_fit")
+def _dq_type_fit(spark, sf):
+    t = _wh(spark, sf)
+    return Q._union([Q.type_fit_violations(t[n], n, k, spec) for n, (k, spec) in Q.TYPE_FIT.items()])
+
+
+@query("cascade_delete")
+def _cascade_delete(spark, sf):
+    """Notifications flagged as excluded in the raw input are deleted from the
+    main fact; the bridges and the tests fact follow (ON DELETE CASCADE)."""
+    t = _wh(spark, sf)
+    deleted = _raw(spark, sf).filter(F.col("excluido")).select("id_notificacao")
+    children = {"fato_notificacao_sintoma": (t["fato_notificacao_sintoma"], "fk_notificacao"),
+                "fato_notificacao_condicao": (t["fato_notificacao_condicao"], "fk_notificacao"),
+                "fato_testes_realizados": (t["fato_testes_realizados"], "fk_notificacao")}
+    kept = Q.cascade_delete(children, deleted, "id_notificacao")
+    parent = Q.cascade_delete({"fato_notificacoes": (t["fato_notificacoes"], "id_notificacao")},
+                              deleted, "id_notificacao")
+    frames = []
+    for name, (before, _) in {**children, "fato_notificacoes": (t["fato_notificacoes"], None)}.items():
+        after = kept.get(name, parent.get(name))
+        both = (before.select(F.lit(1).alias("b"), F.lit(0).alias("a"))
+                .unionByName(after.select(F.lit(0).alias("b"), F.lit(1).alias("a"))))
+        frames.append(both.agg(F.sum("b").alias("rows_before"), F.sum("a").alias("rows_after")).select(
+            F.lit(name).alias("table_name"), "rows_before", "rows_after",
+            (F.col("rows_before") - F.col("rows_after")).alias("rows_deleted")))
+    return Q._union(frames)
+
+
+# ------------------------------------------------------- A: change audit
+
+def _order_snapshots(spark, sf):
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    old = o.filter(k % 10 != 3)
+    new = (o.filter(k % 10 != 4)
+           .withColumn("o_orderstatus", F.when(k % 10 == 5, F.lit("X")).otherwise(F.col("o_orderstatus"))))
+    return old, new
+
+
+@query("audit_snapshot_diff")
+def _audit_snapshot_diff(spark, sf):
+    old, new = _order_snapshots(spark, sf)
+    return A.snapshot_diff(old, new, "o_orderkey", "orders")
+
+
+@query("audit_change_log")
+def _audit_change_log(spark, sf):
+    ev = table(spark, sf, "events")
+    return A.change_log(ev, "user_id", ["ts", "event_id"], ["event_type", "props"],
+                        F.col("event_type") == "error", "events", keep=["event_id"])
+
+
+@query("audit_stream")
+def _audit_stream(spark, sf):
+    return audit_stream(spark, table(spark, sf, "events"))
+
+
+@query("kpi_text")
+def _kpi_text(spark, sf):
+    return K.kpi_summary(_wh(spark, sf), with_text=True)

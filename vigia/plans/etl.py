@@ -18,6 +18,7 @@ then the tests fact.  A failing step raises; tables are only published (the
 from __future__ import annotations
 
 import threading
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,7 @@ SEEDS = ["dim_tipos_testes", "dim_fabricantes"]
 class Warehouse:
     root: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -54,30 +56,44 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class _Steps:
+    """Write each table, read it back, and record the wall time per table."""
+
+    def __init__(self, wh: Warehouse):
+        self.wh = wh
+
+    def put(self, name: str, df: DataFrame, path: str) -> DataFrame:
+        t0 = time.perf_counter()
+        self.wh.tables[name] = _write(df, path)
+        self.wh.seconds[name] = time.perf_counter() - t0
+        return self.wh.tables[name]
+
+
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
                     gate: bool = True) -> Warehouse:
     root = root or fresh_dir(spark, "warehouse")
     wh = Warehouse(root)
+    st = _Steps(wh)
     t = wh.tables
-    clean = _write(C.clean_notifications(raw), f"{root}/stage/clean")
-    t["clean"] = clean
-    t["dim_localidades"] = _write(D.dim_localities(clean), f"{root}/dim_localidades")
-    t["dim_sintomas"] = _write(D.dim_symptoms(clean), f"{root}/dim_sintomas")
-    t["dim_condicoes"] = _write(D.dim_conditions(clean), f"{root}/dim_condicoes")
-    t["dim_raca_cor"] = _write(D.dim_race(clean), f"{root}/dim_raca_cor")
-    t["dim_evolucao_caso"] = _write(D.dim_outcome(clean), f"{root}/dim_evolucao_caso")
-    t["dim_tipos_testes"] = _write(D.seed_dimension(spark, D.TEST_TYPE_SCHEMA), f"{root}/dim_tipos_testes")
-    t["dim_fabricantes"] = _write(D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
-    t["fato_notificacoes"] = _write(
-        J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"]),
-        f"{root}/fato_notificacoes")
-    t["fato_notificacao_sintoma"] = _write(J.bridge_symptoms(clean, t["dim_sintomas"]),
-                                           f"{root}/fato_notificacao_sintoma")
-    t["fato_notificacao_condicao"] = _write(J.bridge_conditions(clean, t["dim_condicoes"]),
-                                            f"{root}/fato_notificacao_condicao")
-    t["fato_testes_realizados"] = _write(test_fact(clean), f"{root}/fato_testes_realizados")
+    clean = st.put("clean", C.clean_notifications(raw), f"{root}/stage/clean")
+    st.put("dim_localidades", D.dim_localities(clean), f"{root}/dim_localidades")
+    st.put("dim_sintomas", D.dim_symptoms(clean), f"{root}/dim_sintomas")
+    st.put("dim_condicoes", D.dim_conditions(clean), f"{root}/dim_condicoes")
+    st.put("dim_raca_cor", D.dim_race(clean), f"{root}/dim_raca_cor")
+    st.put("dim_evolucao_caso", D.dim_outcome(clean), f"{root}/dim_evolucao_caso")
+    st.put("dim_tipos_testes", D.seed_dimension(spark, D.TEST_TYPE_SCHEMA), f"{root}/dim_tipos_testes")
+    st.put("dim_fabricantes", D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
+    st.put("fato_notificacoes",
+           J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"]),
+           f"{root}/fato_notificacoes")
+    st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"]), f"{root}/fato_notificacao_sintoma")
+    st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"]),
+           f"{root}/fato_notificacao_condicao")
+    st.put("fato_testes_realizados", test_fact(clean), f"{root}/fato_testes_realizados")
     if gate:
+        t0 = time.perf_counter()
         Q.gate(Q.warehouse_violations(wh.tables, include_not_null=False), mode="fail")
+        wh.seconds["integrity_gate"] = time.perf_counter() - t0
     spark.createDataFrame([(root,)], "root string").write.mode("overwrite").json(f"{root}/_PUBLISHED")
     return wh
 

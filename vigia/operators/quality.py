@@ -162,6 +162,18 @@ def fact_checks() -> dict[str, Column]:
             "data_inicio_sintomas <= data_notificacao": F.col("data_inicio_sintomas") <= F.col("data_notificacao")}
 
 
+def load_gate_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """The checks run before a warehouse is published: those the ETL does not
+    guarantee by construction (input ids unique, CHECK rules, type fit).
+    Dimension keys are unique and foreign keys resolve by construction (group
+    by + left join); the full rule set is ``warehouse_violations``."""
+    fact = tables["fato_notificacoes"]
+    frames = [unique_violations(fact, "fato_notificacoes", ["id_notificacao"]),
+              check_violations(fact, "fato_notificacoes", ["id_notificacao"], fact_checks())]
+    frames += [type_fit_violations(tables[t], t, k, spec) for t, (k, spec) in TYPE_FIT.items() if t in tables]
+    return _union(frames)
+
+
 def warehouse_violations(tables: dict[str, DataFrame], include_not_null: bool = True,
                          include_types: bool = True) -> DataFrame:
     frames: list[DataFrame] = []

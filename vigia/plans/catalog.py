@@ -187,7 +187,7 @@ from ..operators import quality as Q  # noqa: E402
 from ..session import fresh_dir  # noqa: E402
 from ..sources import csv as S  # noqa: E402
 from ..sources.row_ids import with_file_row_id  # noqa: E402
-from ..sources.tables import table  # noqa: E402
+from ..sources.tables import fact_table, table  # noqa: E402
 from ..sources.warehouse import append_table, read_table, view_scan  # noqa: E402
 from ..streaming.audit_stream import audit_stream  # noqa: E402
 
@@ -299,7 +299,7 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 
 @query("pivot_first")
 def _pivot_first(spark, sf):
-    li = table(spark, sf, "lineitem")
+    li = fact_table(spark, sf, "lineitem")
     ids = ["l_orderkey", "l_linenumber", *LINE_ORDER]
     long = li.select(*ids, *LINE_VALUES).unpivot(ids, LINE_VALUES, "metric", "value")
     return R.pivot_first(long, ["l_orderkey", "l_linenumber"], "metric", "value", LINE_ORDER, LINE_VALUES)
@@ -315,7 +315,7 @@ def _keep_first(spark, sf):
 
 @query("surrogate_key")
 def _surrogate_key(spark, sf):
-    return D.surrogate_key(table(spark, sf, "orders"), "o_orderpriority", "o_orderkey", "id")
+    return D.surrogate_key(fact_table(spark, sf, "orders"), "o_orderpriority", "o_orderkey", "id")
 
 
 @query("distinct_values")
@@ -337,7 +337,7 @@ def _dq_not_null(spark, sf):
 def _dq_unique(spark, sf):
     t = _wh(spark, sf)
     frames = [Q.unique_violations(t[n], n, k) for n, keys in Q.UNIQUE.items() for k in keys]
-    frames.append(Q.unique_violations(table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]))
+    frames.append(Q.unique_violations(fact_table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]))
     return Q._union(frames)
 
 
@@ -357,7 +357,7 @@ def _dq_orphans(spark, sf):
     frames = [Q.orphan_violations(t[c], c, k, fk, t[p], pk, p) for c, k, fk, p, pk in Q.FOREIGN]
     # a parent that lost rows: customers with a negative balance removed
     kept = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
-    frames.append(Q.orphan_violations(table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey",
+    frames.append(Q.orphan_violations(fact_table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey",
                                       kept, "c_custkey", "customer"))
     return Q._union(frames)
 
@@ -394,7 +394,7 @@ def _cascade_delete(spark, sf):
 # ------------------------------------------------------- A: change audit
 
 def _order_snapshots(spark, sf):
-    o = table(spark, sf, "orders")
+    o = fact_table(spark, sf, "orders")
     k = F.col("o_orderkey")
     old = o.filter(k % 10 != 3)
     new = (o.filter(k % 10 != 4)
@@ -410,7 +410,7 @@ def _audit_snapshot_diff(spark, sf):
 
 @query("audit_change_log")
 def _audit_change_log(spark, sf):
-    ev = table(spark, sf, "events")
+    ev = fact_table(spark, sf, "events")
     return A.change_log(ev, "user_id", ["ts", "event_id"], ["event_type", "props"],
                         F.col("event_type") == "error", "events", keep=["event_id"])
 

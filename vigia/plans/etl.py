@@ -92,7 +92,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     st.put("fato_testes_realizados", test_fact(clean), f"{root}/fato_testes_realizados")
     if gate:
         t0 = time.perf_counter()
-        Q.gate(Q.warehouse_violations(wh.tables, include_not_null=False), mode="fail")
+        Q.gate(Q.load_gate_violations(wh.tables), mode="fail")
         wh.seconds["integrity_gate"] = time.perf_counter() - t0
     spark.createDataFrame([(root,)], "root string").write.mode("overwrite").json(f"{root}/_PUBLISHED")
     return wh

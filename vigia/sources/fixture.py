@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import fact_table, table
 
 
 def _null_if(cond: Column, value: Column) -> Column:
@@ -44,7 +44,7 @@ def _place(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
 def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide raw record, 50 columns, ``id_notificacao`` = order key + 1."""
     K, CK, D = F.col("o_orderkey"), F.col("o_custkey"), F.col("d")
-    o = table(spark, sf_dir, "orders").select(
+    o = fact_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     base = (o.join(c, o.o_custkey == c.c_custkey)

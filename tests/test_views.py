@@ -68,3 +68,20 @@ def test_top_laboratory_fallback(spark):
     empty = spark.createDataFrame([], "nome_laboratorio string, total_testes long")
     fallback = spark.createDataFrame([(labels.LAB_UNAVAILABLE, 0)], "nome_laboratorio string, total_testes long")
     assert tuple(K._top_or_default(empty, fallback).first()) == (labels.LAB_UNAVAILABLE, 0)
+
+
+def test_big_joins_are_co_located(spark, wh):
+    """With broadcasts off (as for large tables) the fact x bridge and
+    fact x tests joins read both sides as bucketed scans (no exchange)."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fn, child in [(V.frequent_symptoms, "fato_notificacao_sintoma"),
+                          (V.laboratory_analysis, "fato_testes_realizados"),
+                          (V.positivity_rate, "fato_testes_realizados")]:
+            plan = plan_text(fn(wh.tables), "simple")
+            scans = [ln for ln in plan.splitlines() if "FileScan" in ln and ("_fato_notificacoes[" in ln or
+                                                                              f"_{child}[" in ln)]
+            assert len(scans) == 2 and all("Bucketed: true" in ln for ln in scans), (fn.__name__, scans)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -10,6 +10,15 @@ checkpoint location and read back before the next step uses it:
 * read-back dimensions carry their real file size, so the planner broadcasts
   them only when they are small.
 
+Co-location: the cleaned stage, the main fact, both bridges and the tests
+fact are **bucketed by notification id with one bucket count**.  The stage
+pays one shuffle on id; every later table is derived from it by narrow steps
+(broadcast dimension joins, explode + a de-duplication whose key contains the
+id), so it inherits the bucket layout and is written one file per bucket
+without another shuffle.  At read time the big joins of the views (fact x
+bridge, fact x tests) are sort-merge joins with no exchange on either side.
+Dimensions are small plain parquet tables.
+
 Order of the source system: five dimensions, the main fact, the two bridges,
 then the tests fact.  A failing step raises; tables are only published (the
 ``_PUBLISHED`` marker) after all steps and the integrity gate succeed.
@@ -19,6 +28,7 @@ from __future__ import annotations
 
 import threading
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,12 +45,16 @@ DIMENSIONS = ["dim_localidades", "dim_sintomas", "dim_condicoes", "dim_raca_cor"
 FACTS = ["fato_notificacoes", "fato_notificacao_sintoma", "fato_notificacao_condicao", "fato_testes_realizados"]
 SEEDS = ["dim_tipos_testes", "dim_fabricantes"]
 
+# Session setting naming the bucket count of the id-bucketed tables.
+BUCKETS_CONF = "vigia.warehouse.buckets"
+
 
 @dataclass
 class Warehouse:
     root: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    buckets: int = 0
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -51,45 +65,67 @@ class Warehouse:
             df.createOrReplaceTempView(name)
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def default_buckets(spark: SparkSession) -> int:
+    conf = spark.conf.get(BUCKETS_CONF, None)
+    if conf:
+        return int(conf)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 class _Steps:
     """Write each table, read it back, and record the wall time per table."""
 
-    def __init__(self, wh: Warehouse):
-        self.wh = wh
+    def __init__(self, spark: SparkSession, wh: Warehouse):
+        self.spark, self.wh = spark, wh
+        self.prefix = "vigia_" + uuid.uuid4().hex[:10]
 
-    def put(self, name: str, df: DataFrame, path: str) -> DataFrame:
+    def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None) -> DataFrame:
         t0 = time.perf_counter()
-        self.wh.tables[name] = _write(df, path)
+        if bucket_by:
+            tname = f"{self.prefix}_{name}"
+            (df.write.mode("overwrite").option("path", path)
+             .bucketBy(self.wh.buckets, bucket_by).saveAsTable(tname))
+            out = self.spark.table(tname)
+        else:
+            df.write.mode("overwrite").parquet(path)
+            out = self.spark.read.parquet(path)
+        self.wh.tables[name] = out
         self.wh.seconds[name] = time.perf_counter() - t0
-        return self.wh.tables[name]
+        return out
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
-                    gate: bool = True) -> Warehouse:
+                    gate: bool = True, buckets: int | None = None) -> Warehouse:
     root = root or fresh_dir(spark, "warehouse")
-    wh = Warehouse(root)
-    st = _Steps(wh)
+    wh = Warehouse(root, buckets=buckets or default_buckets(spark))
+    st = _Steps(spark, wh)
     t = wh.tables
-    clean = st.put("clean", C.clean_notifications(raw), f"{root}/stage/clean")
-    st.put("dim_localidades", D.dim_localities(clean), f"{root}/dim_localidades")
-    st.put("dim_sintomas", D.dim_symptoms(clean), f"{root}/dim_sintomas")
-    st.put("dim_condicoes", D.dim_conditions(clean), f"{root}/dim_condicoes")
-    st.put("dim_raca_cor", D.dim_race(clean), f"{root}/dim_raca_cor")
-    st.put("dim_evolucao_caso", D.dim_outcome(clean), f"{root}/dim_evolucao_caso")
-    st.put("dim_tipos_testes", D.seed_dimension(spark, D.TEST_TYPE_SCHEMA), f"{root}/dim_tipos_testes")
-    st.put("dim_fabricantes", D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
-    st.put("fato_notificacoes",
-           J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"]),
-           f"{root}/fato_notificacoes")
-    st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"]), f"{root}/fato_notificacao_sintoma")
-    st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"]),
-           f"{root}/fato_notificacao_condicao")
-    st.put("fato_testes_realizados", test_fact(clean), f"{root}/fato_testes_realizados")
+    # Derived tables must see the stage's bucket layout even where no operator
+    # asks for it (a write does not), so bucketed scans are forced for the build.
+    auto_key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    auto_old = spark.conf.get(auto_key)
+    spark.conf.set(auto_key, "false")
+    try:
+        staged = C.clean_notifications(raw).repartition(wh.buckets, "id_notificacao")
+        clean = st.put("clean", staged, f"{root}/stage/clean", bucket_by="id_notificacao")
+        st.put("dim_localidades", D.dim_localities(clean), f"{root}/dim_localidades")
+        st.put("dim_sintomas", D.dim_symptoms(clean), f"{root}/dim_sintomas")
+        st.put("dim_condicoes", D.dim_conditions(clean), f"{root}/dim_condicoes")
+        st.put("dim_raca_cor", D.dim_race(clean), f"{root}/dim_raca_cor")
+        st.put("dim_evolucao_caso", D.dim_outcome(clean), f"{root}/dim_evolucao_caso")
+        st.put("dim_tipos_testes", D.seed_dimension(spark, D.TEST_TYPE_SCHEMA), f"{root}/dim_tipos_testes")
+        st.put("dim_fabricantes", D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
+        st.put("fato_notificacoes",
+               J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"]),
+               f"{root}/fato_notificacoes", bucket_by="id_notificacao")
+        st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"]),
+               f"{root}/fato_notificacao_sintoma", bucket_by="fk_notificacao")
+        st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"]),
+               f"{root}/fato_notificacao_condicao", bucket_by="fk_notificacao")
+        st.put("fato_testes_realizados", test_fact(clean), f"{root}/fato_testes_realizados",
+               bucket_by="fk_notificacao")
+    finally:
+        spark.conf.set(auto_key, auto_old)
     if gate:
         t0 = time.perf_counter()
         Q.gate(Q.load_gate_violations(wh.tables), mode="fail")

@@ -62,12 +62,18 @@ def vaccination_by_result(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def frequent_symptoms(t: dict[str, DataFrame]) -> DataFrame:
-    """V3: (state, municipality, symptom) -> occurrences among confirmed cases."""
-    j = _fact_place(t, ["id_notificacao", "classificacao_final"], ["estado_uf", "municipio_nome"])
-    j = j.filter(F.col("classificacao_final") == labels.CONFIRMED)
+    """V3: (state, municipality, symptom) -> occurrences among confirmed cases.
+
+    The two big tables are joined first, on the notification id both are
+    bucketed by (no exchange); the small dimensions come after."""
+    fn = (t["fato_notificacoes"].filter(F.col("classificacao_final") == labels.CONFIRMED)
+          .select("id_notificacao", "fk_localidade_residencia"))
     fns = t["fato_notificacao_sintoma"].select("fk_notificacao", "fk_sintoma")
+    dl = t["dim_localidades"].select("id_localidade", "estado_uf", "municipio_nome")
     ds = t["dim_sintomas"].select("id_sintoma", "nome_sintoma")
-    j = j.join(fns, j.id_notificacao == fns.fk_notificacao).join(ds, fns.fk_sintoma == ds.id_sintoma)
+    j = (fn.join(fns, fn.id_notificacao == fns.fk_notificacao)
+         .join(dl, fn.fk_localidade_residencia == dl.id_localidade)
+         .join(ds, fns.fk_sintoma == ds.id_sintoma))
     return (j.groupBy("estado_uf", "municipio_nome", "nome_sintoma")
             .agg(F.count("fk_notificacao").alias("total_ocorrencias")))
 

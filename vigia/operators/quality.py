@@ -6,7 +6,8 @@ rule becomes a *violations* frame ``(rule, table_name, key, detail)``:
 * NOT NULL and CHECK rules of one table are evaluated in one scan (an array of
   failing rule names per row, exploded),
 * UNIQUE is a ``groupBy(key)`` with a map-side partial count,
-* FOREIGN KEY is a ``left_anti`` join against the parent's key column only,
+* FOREIGN KEY is a ``left_anti`` join of the child's distinct keys against the
+  parent's key column, then a semi-join back to the child rows,
 * ON DELETE CASCADE is a ``left_anti`` of each child against deleted keys.
 """
 
@@ -17,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import sized_broadcast
+
 VIOLATION_COLUMNS = ["rule", "table_name", "key", "detail"]
 
 
@@ -59,10 +62,17 @@ def check_violations(df: DataFrame, table: str, key: list[str], checks: dict[str
 
 def orphan_violations(child: DataFrame, table: str, key: list[str], fk: str,
                       parent: DataFrame, pk: str, parent_name: str) -> DataFrame:
-    """Q4: non-NULL foreign keys with no parent row (NULL passes)."""
+    """Q4: non-NULL foreign keys with no parent row (NULL passes).
+
+    The child's *distinct* keys are anti-joined to the parent's keys (a
+    partial aggregate first, so a key held by a third of the rows is one row
+    per partition in the shuffle), then the child rows of the missing keys are
+    picked with a semi-join whose key set is broadcast only after a size
+    check."""
     parent_keys = parent.select(F.col(pk).alias("_pk")).distinct()
-    return (child.filter(F.col(fk).isNotNull())
-            .join(parent_keys, F.col(fk) == F.col("_pk"), "left_anti")
+    child_keys = child.select(F.col(fk).alias("_fk")).filter(F.col("_fk").isNotNull()).distinct()
+    missing = child_keys.join(parent_keys, F.col("_fk") == F.col("_pk"), "left_anti")
+    return (child.join(sized_broadcast(missing), F.col(fk) == F.col("_fk"), "left_semi")
             .select(F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"), _key(key).alias("key"),
                     F.lit(f"{fk}->{parent_name}.{pk}").alias("detail")))
 
@@ -90,8 +100,10 @@ def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[st
 
 
 def cascade_delete(children: dict[str, tuple[DataFrame, str]], deleted: DataFrame, key: str) -> dict[str, DataFrame]:
-    """Q5: rewrite every child without the rows whose ``fk`` is a deleted key."""
-    keys = deleted.select(F.col(key).alias("_del")).distinct()
+    """Q5: rewrite every child without the rows whose ``fk`` is a deleted key.
+    The deleted-key set is broadcast when a size check proves it small;
+    otherwise the anti-join shuffles (and AQE splits skewed child keys)."""
+    keys = sized_broadcast(deleted.select(F.col(key).alias("_del")).distinct())
     return {name: df.join(keys, F.col(fk) == F.col("_del"), "left_anti") for name, (df, fk) in children.items()}
 
 

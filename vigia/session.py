@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "vigia") -> SparkSession:
+                  app_name: str = "vigia", conf: dict[str, str] | None = None) -> SparkSession:
     """A session configured the way every job in this package expects.
 
     * UTC session time zone (dates compare the same everywhere),
@@ -18,6 +18,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     * ANSI left at Spark's default (on): malformed casts raise, so parsing
       code uses ``try_*`` functions explicitly,
     * no UI server.
+
+    ``VIGIA_EVENT_LOG_DIR`` turns on Spark's event log into that folder (stage
+    and task times without any server).
     """
     builder = (
         SparkSession.builder.master(master)
@@ -31,6 +34,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("VIGIA_DRIVER_MEMORY", "16g"))
     )
+    extra = dict(conf or {})
+    if os.environ.get("VIGIA_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["VIGIA_EVENT_LOG_DIR"]})
+    for k, v in extra.items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)

@@ -34,11 +34,14 @@ def test_first_appearance_numbering(spark):
 
 def test_dense_index_is_partition_independent(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"))
-    one = dense_index(df.repartition(1), ["k"], "rn", partitions=1)
-    many = dense_index(df.repartition(13), ["k"], "rn", partitions=8)
+    # distributed path (range partitions + offsets) and the proven-small path
+    one = dense_index(df.repartition(1), ["k"], "rn", partitions=1, small_rows=0)
+    many = dense_index(df.repartition(13), ["k"], "rn", partitions=8, small_rows=0)
+    small = dense_index(df.repartition(13), ["k"], "rn")
     a = sorted(tuple(r) for r in one.collect())
     b = sorted(tuple(r) for r in many.collect())
-    assert a == b
+    c = sorted(tuple(r) for r in small.collect())
+    assert a == b == c
     assert [r.rn for r in many.orderBy("k").collect()] == list(range(1, 5001))
 
 

@@ -15,7 +15,14 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = False) -> DataFrame:
     """``broadcast(df)`` when it is proven small, else ``df`` unchanged so the
-    planner (and AQE at run time) chooses a shuffle join."""
+    planner (and AQE at run time) chooses a shuffle join.
+
+    ``materialize`` checkpoints a *derived* frame first (to the shared
+    checkpoint folder), so the size check and the join read the same computed
+    rows instead of evaluating the frame twice.  Frames read from storage do
+    not need it."""
+    if materialize:
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if fits(df, max_rows) else df

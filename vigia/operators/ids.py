@@ -40,12 +40,16 @@ def dense_index(df: DataFrame, order: list[Column | str], name: str, partitions:
     """Append ``name`` = 1..n following ``order`` (which must be total)."""
     from ..functions.joins import fits
 
+    if checkpoint:
+        # computed once: the size check and the numbering read the same rows
+        df = df.checkpoint(eager=True)
     if small_rows and fits(df, small_rows):
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     spark = df.sparkSession
     n = partitions or max(1, spark.sparkContext.defaultParallelism)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumns({_PART: F.spark_partition_id(), _MONO: F.monotonically_increasing_id()})
+    # frozen tags: the counts and the final ids must see the same partitioning
     if checkpoint:
         tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy(_PART).agg(F.count(F.lit(1)).alias("_n"))

@@ -72,7 +72,7 @@ def orphan_violations(child: DataFrame, table: str, key: list[str], fk: str,
     parent_keys = parent.select(F.col(pk).alias("_pk")).distinct()
     child_keys = child.select(F.col(fk).alias("_fk")).filter(F.col("_fk").isNotNull()).distinct()
     missing = child_keys.join(parent_keys, F.col("_fk") == F.col("_pk"), "left_anti")
-    return (child.join(sized_broadcast(missing), F.col(fk) == F.col("_fk"), "left_semi")
+    return (child.join(sized_broadcast(missing, materialize=True), F.col(fk) == F.col("_fk"), "left_semi")
             .select(F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"), _key(key).alias("key"),
                     F.lit(f"{fk}->{parent_name}.{pk}").alias("detail")))
 
@@ -103,7 +103,7 @@ def cascade_delete(children: dict[str, tuple[DataFrame, str]], deleted: DataFram
     """Q5: rewrite every child without the rows whose ``fk`` is a deleted key.
     The deleted-key set is broadcast when a size check proves it small;
     otherwise the anti-join shuffles (and AQE splits skewed child keys)."""
-    keys = sized_broadcast(deleted.select(F.col(key).alias("_del")).distinct())
+    keys = sized_broadcast(deleted.select(F.col(key).alias("_del")).distinct(), materialize=True)
     return {name: df.join(keys, F.col(fk) == F.col("_del"), "left_anti") for name, (df, fk) in children.items()}
 
 

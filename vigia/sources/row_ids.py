@@ -35,6 +35,6 @@ def with_file_row_id(df: DataFrame, name: str = "row_id", max_splits_broadcast:
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_vg_mono").alias("_vg_first"))
               .withColumn("_vg_split", F.struct("_vg_file", "_vg_block")))
     offsets = partition_offsets(splits, "_vg_split").select("_vg_file", "_vg_block", "_vg_first", "_off")
-    return (tagged.join(sized_broadcast(offsets, max_splits_broadcast), ["_vg_file", "_vg_block"])
+    return (tagged.join(sized_broadcast(offsets, max_splits_broadcast, materialize=True), ["_vg_file", "_vg_block"])
             .withColumn(name, F.col("_off") + F.col("_vg_mono") - F.col("_vg_first") + 1)
             .drop("_vg_file", "_vg_block", "_vg_mono", "_vg_first", "_off"))

@@ -61,12 +61,16 @@ def pivot_first(long: DataFrame, index: list[str], column: str, value: str, orde
     """Long -> wide, one column per known ``column`` value holding the
     first non-NULL ``value`` in ``order`` (a total order makes "first" exact).
 
-    The known value list avoids the extra distinct job ``pivot`` would run, and
-    the aggregation is partial on the map side (one shuffle on ``index``)."""
+    Written as one aggregation with a conditional ``min_by`` per output column
+    (rows of other metrics, or with a NULL value, have a NULL ordering and are
+    skipped), so the plan has a single shuffle on ``index`` with a map-side
+    partial aggregate.  ``groupBy().pivot()`` would plan two (index + column,
+    then index)."""
     order_col = F.struct(*order) if isinstance(order, list) else order
-    return (long.filter(F.col(value).isNotNull())
-            .groupBy(*index).pivot(column, column_values)
-            .agg(F.min_by(F.col(value), order_col)))
+    hit = F.col(value).isNotNull()
+    return long.groupBy(*index).agg(*[
+        F.min_by(F.col(value), F.when((F.col(column) == F.lit(v)) & hit, order_col)).alias(v)
+        for v in column_values])
 
 
 def _slot_struct(df: DataFrame, slot: int, metrics: list[str], extra: list[str]) -> Column:

@@ -56,3 +56,13 @@ def test_dimension_ids_dense(wh):
 def test_no_notification_suffix_in_localities(wh):
     # every residence code is also a notification code: the residence name must win
     assert wh["dim_localidades"].filter(F.col("municipio_nome").endswith(" (N)")).count() == 0
+
+
+def test_extend_dimension_keeps_known_ids(spark):
+    prev = spark.createDataFrame([(1, "Febre"), (2, "Tosse")], "id_sintoma smallint, nome_sintoma string")
+    vals = spark.createDataFrame([(5, 0, "Tosse"), (6, 1, "Cefaleia"), (4, 0, "Anosmia"), (7, 0, "Febre")],
+                                 "id_notificacao long, pos int, nome_sintoma string")
+    out = D.extend_dimension(prev, vals, "nome_sintoma", "id_sintoma", ["id_notificacao", "pos"])
+    assert dict((r.nome_sintoma, r.id_sintoma) for r in out.collect()) == {
+        "Febre": 1, "Tosse": 2, "Anosmia": 3, "Cefaleia": 4}
+    assert out.schema["id_sintoma"].dataType.simpleString() == "smallint"

@@ -34,3 +34,11 @@ def test_gate_fails(spark):
 
 def test_warehouse_is_clean(wh):
     assert Q.warehouse_violations(wh.tables).count() == 0
+
+
+def test_quarantine_splits_rows(spark):
+    df = spark.createDataFrame([(1, -1), (2, 5), (3, None)], "id long, age int")
+    v = Q.check_violations(df, "t", ["id"], {"age >= 0": F.col("age") >= 0})
+    good, bad = Q.quarantine(df, v, ["id"], "t")
+    assert sorted(r.id for r in good.collect()) == [2, 3]
+    assert [r.id for r in bad.collect()] == [1]

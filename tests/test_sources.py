@@ -57,3 +57,13 @@ def test_dense_row_id_follows_file_order_across_splits(spark):
         assert back.rdd.getNumPartitions() > 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_active_only_filters_before_drop_and_after_ids(spark):
+    p = _write("excluido,dataNotificacao\nFalse,1/1/2022\nTrue,2/1/2022\n,3/1/2022\n")
+    every = S.read_notifications(spark, p)
+    active = S.read_notifications(spark, p, active_only=True)
+    assert "excluido" not in active.columns
+    assert every.count() == 3
+    # ids are file positions, assigned before the filter
+    assert sorted(r.id_notificacao for r in active.collect()) == [1, 3]

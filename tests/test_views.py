@@ -85,3 +85,13 @@ def test_big_joins_are_co_located(spark, wh):
             assert len(scans) == 2 and all("Bucketed: true" in ln for ln in scans), (fn.__name__, scans)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_dashboard_views_are_released(wh):
+    from vigia.plans.session_cache import dashboard_views
+    with dashboard_views(wh.tables) as frames:
+        assert set(frames) == set(V.VIEWS)
+        assert all(df.is_cached for df in frames.values())
+        total = frames["vw_perfil_epidemiologico"].agg(F.sum("total_casos")).first()[0]
+    assert not any(df.is_cached for df in frames.values())
+    assert total == K.kpi_summary(wh.tables).first().total_notificacoes

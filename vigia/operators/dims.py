@@ -29,6 +29,29 @@ def first_appearance_dim(df: DataFrame, value_col: str, order_cols: list[str], i
     return numbered.select(F.col(id_name).cast("smallint").alias(id_name), value_name)
 
 
+def extend_dimension(previous: DataFrame, values: DataFrame, value_name: str, id_name: str,
+                     order_cols: list[str]) -> DataFrame:
+    """D8, stable-key mode: values already in ``previous`` keep their ids;
+    new values get ``max(previous id) + 1 ..`` in first-appearance order.
+
+    ``values`` holds one row per occurrence with ``value_name`` and the
+    ``order_cols``.  The previous dimension is small (size-checked broadcast);
+    new values are numbered with ``dense_index``."""
+    from ..functions.joins import sized_broadcast
+
+    prev = previous.select(F.col(value_name).alias("_pv"), F.col(id_name).alias("_pid"))
+    top = previous.select(F.coalesce(F.max(id_name), F.lit(0)).cast("bigint")).scalar()
+    first = (values.filter(F.col(value_name).isNotNull()).groupBy(value_name)
+             .agg(F.min(F.struct(*order_cols)).alias("_first")))
+    new = first.join(sized_broadcast(prev), F.col(value_name) == F.col("_pv"), "left_anti")
+    ordered = new.select(value_name, *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    numbered = dense_index(ordered, [f"_o{i}" for i in range(len(order_cols))], "_rank")
+    added = numbered.select((top + F.col("_rank")).alias(id_name), value_name)
+    kept = previous.select(F.col(id_name).cast("bigint").alias(id_name), value_name)
+    dtype = previous.schema[id_name].dataType
+    return kept.unionByName(added).select(F.col(id_name).cast(dtype).alias(id_name), value_name)
+
+
 def surrogate_key(df: DataFrame, value_col: str, order_col: str, id_name: str = "id") -> DataFrame:
     """D8 on any table: distinct ``value_col`` numbered by the smallest
     ``order_col`` each value appears with (``order_col`` unique per row)."""

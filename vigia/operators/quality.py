@@ -115,6 +115,17 @@ def gate(violations: DataFrame, mode: str = "report") -> DataFrame:
     return violations
 
 
+def quarantine(df: DataFrame, violations: DataFrame, key: list[str], table: str) -> tuple[DataFrame, DataFrame]:
+    """``quarantine`` mode: split ``df`` into (clean rows, quarantined rows) by
+    the keys that have a violation for ``table``.  The bad-key set is
+    checkpointed and broadcast only when a size check proves it small."""
+    bad = (violations.filter(F.col("table_name") == table).select(F.col("key").alias("_bad")).distinct())
+    bad = sized_broadcast(bad, materialize=True)
+    k = _key(key)
+    return (df.join(bad, k == F.col("_bad"), "left_anti"),
+            df.join(bad, k == F.col("_bad"), "left_semi"))
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

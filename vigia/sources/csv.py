@@ -73,16 +73,35 @@ def type_columns(df: DataFrame, numeric: dict[str, str] = NUMERIC_COLUMNS) -> Da
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in numeric.items() if c in df.columns})
 
 
+# Spellings of a true "excluded" flag.
+TRUE_TOKENS = ["true", "1", "sim", "s", "yes"]
+
+
+def active_rows(df: DataFrame, flag: str = "excluido") -> DataFrame:
+    """Rows not flagged as excluded (NULL or any non-true spelling is active)."""
+    if flag not in df.columns:
+        return df
+    truthy = F.lower(F.trim(F.col(flag).cast("string"))).isin(TRUE_TOKENS)
+    return df.filter(~F.coalesce(truthy, F.lit(False)))
+
+
 def read_notifications(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None,
-                       multi_line: bool = False, with_row_id: bool = True) -> DataFrame:
-    """S1-S5 chained: read, null tokens, drop, dense file-order id, typing."""
+                       multi_line: bool = False, with_row_id: bool = True, active_only: bool = False) -> DataFrame:
+    """S1-S5 chained: read, null tokens, dense file-order id (assigned before
+    any filter), optional active-row filter, drop, typing.
+
+    ``active_only`` keeps only rows whose ``excluido`` flag is not true.  The
+    source system drops the flag column *without* filtering (the default
+    here); its documentation says only active rows were processed."""
     from .row_ids import with_file_row_id
 
     df = read_csv(spark, paths, columns, multi_line)
     df = null_tokens(df)
-    df = df.drop(*labels.DROPPED_COLUMNS)
     if with_row_id and "id_notificacao" not in df.columns:
         df = with_file_row_id(df, "id_notificacao")
+    if active_only:
+        df = active_rows(df)
+    df = df.drop(*labels.DROPPED_COLUMNS)
     return type_columns(parse_dates(df))
 
 

@@ -67,3 +67,15 @@ def test_active_only_filters_before_drop_and_after_ids(spark):
     assert every.count() == 3
     # ids are file positions, assigned before the filter
     assert sorted(r.id_notificacao for r in active.collect()) == [1, 3]
+
+
+def test_day_first_parsing_is_zone_free(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        # 18/10/1992: daylight saving started at local midnight that day
+        df = spark.createDataFrame([("18/10/1992",), ("4/3/2022 10:5",), ("4/3/2022 25:00",)], "s string")
+        got = [r[0] for r in df.select(parse_day_first(F.col("s"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(1992, 10, 18), dt.datetime(2022, 3, 4, 10, 5), None]

@@ -4,19 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampType
+from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
-# Day-first formats tried in order; the first that parses wins.  ``d/M/yyyy``
-# also accepts zero-padded days and months.
-DAY_FIRST_FORMATS = ["d/M/yyyy", "d/M/yyyy H:m", "d/M/yyyy H:m:s"]
+# Day-first date formats tried in order; the first that parses wins.
+# ``d/M/yyyy`` also accepts zero-padded days and months.
+DAY_FIRST_FORMATS = ["d/M/yyyy"]
+
+# date part, then an optional "H:m" or "H:m:s" time part
+_DATE_TIME = r"^\s*(\S+?)(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?\s*$"
 
 
 def parse_day_first(c: Column, formats: list[str] | None = None) -> Column:
-    """Text -> timestamp, day first; anything unparseable (31/02, ISO text,
-    plain numbers) becomes NULL.  Order independent: every row is parsed on its
-    own, never with a format guessed from the first row."""
+    """Text -> wall-clock timestamp (``TIMESTAMP_NTZ``), day first; anything
+    unparseable (31/02, ISO text, plain numbers) becomes NULL.
+
+    Order independent: every row is parsed on its own, never with a format
+    guessed from the first row.  Zone free: the date part goes through
+    ``try_to_date`` and the optional time through ``try_make_timestamp_ntz``, so
+    no session time zone (or its daylight-saving gaps) can move the value."""
     fmts = formats or DAY_FIRST_FORMATS
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in fmts])
+    date_txt = F.nullif(F.regexp_extract(c, _DATE_TIME, 1), F.lit(""))
+    day = F.coalesce(*[F.try_to_date(date_txt, f) for f in fmts])
+
+    def part(i: int) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract(c, _DATE_TIME, i), F.lit("")).cast("int"), F.lit(0))
+
+    return F.try_make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), part(2), part(3),
+                                    part(4).cast("decimal(16,6)"))
 
 
 def to_day_first_timestamp(c: Column, dtype: DataType, formats: list[str] | None = None) -> Column:
@@ -24,9 +38,9 @@ def to_day_first_timestamp(c: Column, dtype: DataType, formats: list[str] | None
     widened, timestamps pass through."""
     if isinstance(dtype, StringType):
         return parse_day_first(c, formats)
-    if isinstance(dtype, (DateType, TimestampType)):
-        return c.cast("timestamp")
-    return F.lit(None).cast("timestamp")
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return c.cast("timestamp_ntz")
+    return F.lit(None).cast("timestamp_ntz")
 
 
 def minus_one_day(c: Column) -> Column:

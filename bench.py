@@ -34,9 +34,8 @@ def _sf_label(path: str) -> str:
 
 
 def main() -> None:
-    from vigia.plans import etl as _etl
     from vigia.plans.catalog import queries
-    from vigia.plans.etl import build_warehouse, warehouse_for
+    from vigia.plans.etl import build_warehouse, use_warehouse, warehouse_for
     from vigia.session import build_session
     from vigia.sources.fixture import raw_notifications
 
@@ -60,7 +59,7 @@ def main() -> None:
         for step, sec in wh.seconds.items():
             _best(times, f"etl.{step}", sec)
         # later queries read this warehouse
-        _etl._CACHE[(spark.sparkContext.applicationId, SF_DIR)] = wh
+        use_warehouse(spark, SF_DIR, wh)
         for name, fn in qs.items():
             t1 = time.perf_counter()
             run(fn(spark, SF_DIR))

@@ -85,7 +85,8 @@ def change_log(events: DataFrame, key: str, order: list[str], image_cols: list[s
                table: str, keep: list[str] | None = None, bucket: Column | None = None) -> DataFrame:
     """A4: the audit log of an ordered change feed (see module doc)."""
     bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
-    feed = events.select(key, *order, *[c for c in image_cols if c not in order]).withColumn("_del", is_delete)
+    feed = (events.select(key, *order, *[c for c in image_cols if c not in order])
+            .withColumn("_del", F.coalesce(is_delete, F.lit(False))))
     with_prev = previous_in_key(feed, key, order, image_cols + ["_del"], bucket)
     with_prev = with_prev.withColumnRenamed("prev__del", "_prev_delete")
     logged = classify_changes(with_prev, image_cols, F.col("_del")).filter(F.col("operacao").isNotNull())

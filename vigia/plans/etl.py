@@ -134,14 +134,26 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     return wh
 
 
-_CACHE: dict[tuple[str, str], Warehouse] = {}
+_CACHE: dict[tuple[str, int, str], Warehouse] = {}
 _LOCK = threading.Lock()
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, int, str]:
+    # one build per application and session: frames of one session are never
+    # mixed with frames of another in a plan
+    return (spark.sparkContext.applicationId, id(spark), sf_dir)
+
+
+def use_warehouse(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
+    """Make later ``warehouse_for(spark, sf_dir)`` calls return ``wh``."""
+    with _LOCK:
+        _CACHE[_key(spark, sf_dir)] = wh
+
+
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse built from the benchmark tables under ``sf_dir``, built
     once per Spark application (later calls read the written tables)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _key(spark, sf_dir)
     with _LOCK:
         if key not in _CACHE:
             _CACHE[key] = build_warehouse(spark, raw_notifications(spark, sf_dir))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,44 +29,56 @@ CHANGE_SCHEMA = ("registro_id long, event_id long, operacao string, "
 STATE_SCHEMA = "last_event_type string, last_props string, last_delete boolean"
 
 
+def _same(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Null-safe equality of two object columns."""
+    return (a == b) | (a.isna() & b.isna())
+
+
 def _classify(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """One key's events of one micro-batch -> its log rows, seeded with the
+    key's state (last image and whether it was a delete).  The operation of
+    an event depends only on the event before it, so the batch is classified
+    with column shifts, no loop over rows."""
     pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
+    pdf = pdf.reset_index(drop=True)
+    is_del = pdf["event_type"].eq("error")
+    prev_type = pdf["event_type"].shift(1).astype(object)
+    prev_props = pdf["props"].shift(1).astype(object)
+    prev_del = is_del.shift(1).astype(object)
+    has_prev = pd.Series(True, index=pdf.index)
     if state.exists:
         ptype, pprops, pdel = state.get
+        prev_type.iloc[0], prev_props.iloc[0], prev_del.iloc[0] = ptype, pprops, bool(pdel)
     else:
-        ptype, pprops, pdel = None, None, None
-    out = []
-    for et, props, eid in zip(pdf["event_type"], pdf["props"], pdf["event_id"]):
-        is_del = et == "error"
-        present = ptype is not None and not pdel
-        if is_del:
-            op = "DELETE" if present else None
-        elif not present:
-            op = "INSERT"
-        else:
-            op = None if (et == ptype and props == pprops) else "UPDATE"
-        if op is not None:
-            out.append((key[0], eid, op,
-                        ptype if op != "INSERT" else None, pprops if op != "INSERT" else None,
-                        et if op != "DELETE" else None, props if op != "DELETE" else None))
-        ptype, pprops, pdel = et, props, is_del
-    state.update((ptype, pprops, bool(pdel)))
-    yield pd.DataFrame(out, columns=["registro_id", "event_id", "operacao", "old_event_type", "old_props",
-                                     "new_event_type", "new_props"])
+        has_prev.iloc[0] = False
+    present = has_prev & ~prev_del.fillna(False).astype(bool)
+    same = _same(pdf["event_type"], prev_type) & _same(pdf["props"], prev_props)
+    op = np.select([is_del & present, is_del, ~present, ~same], ["DELETE", "", "INSERT", "UPDATE"], default="")
+    out = pd.DataFrame({
+        "registro_id": key[0], "event_id": pdf["event_id"], "operacao": op,
+        "old_event_type": prev_type.where(op != "INSERT"), "old_props": prev_props.where(op != "INSERT"),
+        "new_event_type": pdf["event_type"].where(op != "DELETE"), "new_props": pdf["props"].where(op != "DELETE"),
+    })[op != ""]
+    last = pdf.iloc[-1]
+    state.update((last["event_type"], last["props"], bool(is_del.iloc[-1])))
+    yield out
 
 
 def stage_events(events: DataFrame, path: str, slices: int = 4) -> None:
-    """Write the feed as ``slices`` time-ordered files, one write each, so a
-    file stream replays them in time order (one file per micro-batch)."""
-    bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    step = (hi - lo) / slices
+    """Write the feed as ``slices`` time-ordered parts, one write each, so a
+    file stream replays them in time order (one part per micro-batch).  The
+    slice of a row comes from one monotone expression of its timestamp,
+    computed in Spark for the bounds and the rows alike."""
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(t), F.max(t)).first()
+    if lo is None:
+        events.write.mode("append").parquet(path)
+        return
+    width = max(1, hi - lo + 1)
+    idx = F.least(F.floor((t - F.lit(lo)) * F.lit(slices) / F.lit(width)).cast("int"), F.lit(slices - 1))
+    tagged = events.withColumn("_slice", idx)
     for i in range(slices):
-        a = lo + step * i
-        cond = F.col("ts") >= F.lit(a)
-        if i < slices - 1:
-            cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)))
-        events.filter(cond).write.mode("append").parquet(path)
+        tagged.filter(F.col("_slice") == i).drop("_slice").write.mode("append").parquet(path)
 
 
 def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4) -> DataFrame:

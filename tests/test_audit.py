@@ -48,3 +48,16 @@ def test_bucketed_lag_equals_plain_lag(spark):
     fine = A.change_log(*args, keep=["event_id"], bucket=F.date_trunc("minute", F.col("ts")))
     whole = A.change_log(*args, keep=["event_id"], bucket=F.lit(0))
     assert sorted(map(tuple, fine.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_stream_matches_batch_when_slices_split_over_micro_batches(spark):
+    from conftest import SMALL_SF
+    from vigia.sources.tables import table
+    from vigia.streaming.audit_stream import audit_stream
+
+    ev = table(spark, SMALL_SF, "events")
+    batch = A.change_log(ev, "user_id", ["ts", "event_id"], ["event_type", "props"],
+                         F.col("event_type") == "error", "events", keep=["event_id"])
+    # 3 slices x 4 key-disjoint files, 3 files per micro-batch: batches cut across slices
+    stream = audit_stream(spark, ev, slices=3, files_per_slice=4, max_files_per_trigger=3)
+    assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, batch.collect()))

@@ -8,7 +8,9 @@ file sink; sink + checkpoint make the output exactly-once across restarts.
 
 Per key and micro-batch the group is bounded by the micro-batch size
 (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``), so a hot key is split over
-micro-batches rather than held whole.
+micro-batches rather than held whole.  A live change feed must deliver each
+key's changes in order across micro-batches (e.g. a log partitioned by key);
+``stage_events`` produces such a feed from a table for the batch comparison.
 """
 
 from __future__ import annotations
@@ -64,30 +66,41 @@ def _classify(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame
     yield out
 
 
-def stage_events(events: DataFrame, path: str, slices: int = 4) -> None:
+def stage_events(events: DataFrame, path: str, slices: int = 4, key: str = "user_id",
+                 files_per_slice: int | None = None) -> int:
     """Write the feed as ``slices`` time-ordered parts, one write each, so a
-    file stream replays them in time order (one part per micro-batch).  The
-    slice of a row comes from one monotone expression of its timestamp,
-    computed in Spark for the bounds and the rows alike."""
+    file stream replays the parts in time order.
+
+    The slice of a row comes from one monotone expression of its timestamp,
+    computed in Spark for the bounds and the rows alike.  Inside a slice the
+    files are hash-partitioned by key, so two files of a slice never share a
+    key: however the stream groups files into micro-batches, every key sees
+    its events in time order (the state machine needs nothing more).
+    Returns the number of files per slice."""
+    n = files_per_slice or events.sparkSession.sparkContext.defaultParallelism
     t = F.unix_micros(F.col("ts").cast("timestamp"))
     lo, hi = events.agg(F.min(t), F.max(t)).first()
     if lo is None:
         events.write.mode("append").parquet(path)
-        return
+        return n
     width = max(1, hi - lo + 1)
     idx = F.least(F.floor((t - F.lit(lo)) * F.lit(slices) / F.lit(width)).cast("int"), F.lit(slices - 1))
     tagged = events.withColumn("_slice", idx)
     for i in range(slices):
-        tagged.filter(F.col("_slice") == i).drop("_slice").write.mode("append").parquet(path)
+        (tagged.filter(F.col("_slice") == i).drop("_slice")
+         .repartition(n, key).write.mode("append").parquet(path))
+    return n
 
 
-def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4) -> DataFrame:
+def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4,
+                 files_per_slice: int | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Drive the stream over a staged copy of ``events`` to completion
     (``availableNow``) and return the log it wrote."""
     src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
     feed = events.select("user_id", "ts", "event_id", "event_type", "props")
-    stage_events(feed, src, slices)
-    stream = (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    per_slice = stage_events(feed, src, slices, files_per_slice=files_per_slice)
+    stream = (spark.readStream.schema(feed.schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger or per_slice).parquet(src)
               .groupBy("user_id")
               .applyInPandasWithState(_classify, CHANGE_SCHEMA, STATE_SCHEMA, "append",
                                       GroupStateTimeout.NoTimeout))

@@ -82,3 +82,10 @@ def test_bool_flags(spark):
 def test_clean_invariant_onset_not_after_notification(wh):
     bad = wh["clean"].filter(F.col("dataInicioSintomas") > F.col("dataNotificacao")).count()
     assert bad == 0
+
+
+def test_warehouse_row_counts_observed(wh):
+    rows = wh.rows
+    assert rows["raw"] == 1500 and rows["dropped_without_date"] == 4
+    assert rows["clean"] == 1496 == wh["clean"].count()
+    assert rows["fato_testes_realizados"] == wh["fato_testes_realizados"].count()

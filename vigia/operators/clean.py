@@ -79,12 +79,18 @@ def bool_flags(df: DataFrame, columns=("profissionalSaude", "profissionalSeguran
     return df.withColumns({c: yes_flag(F.col(c)) for c in columns if c in df.columns})
 
 
-def clean_notifications(df: DataFrame) -> DataFrame:
-    """C1-C8 in the source system's order."""
+def clean_notifications(df: DataFrame, observation=None) -> DataFrame:
+    """C1-C8 in the source system's order.
+
+    With a ``pyspark.sql.Observation``, the rows read and the rows dropped by
+    C8 are counted while the result is being written (no extra job)."""
     out = impute_class(df)
     out = impute_onset(out)
     out = clamp_onset(out)
     out = null_bad_closure(out)
     out = impute_median(out)
     out = fill_defaults(out)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows_read"),
+                          F.sum(F.when(F.col(NOTIF).isNull(), 1).otherwise(0)).alias("rows_without_date"))
     return drop_missing_notification(out)

@@ -19,6 +19,9 @@ without another shuffle.  At read time the big joins of the views (fact x
 bridge, fact x tests) are sort-merge joins with no exchange on either side.
 Dimensions are small plain parquet tables.
 
+Row counts (rows read, rows dropped for a missing date, rows per table) are
+collected with ``observe`` while each table is written: no extra job.
+
 Order of the source system: five dimensions, the main fact, the two bridges,
 then the tests fact.  A failing step raises; tables are only published (the
 ``_PUBLISHED`` marker) after all steps and the integrity gate succeed.
@@ -31,7 +34,8 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import dims as D
@@ -54,6 +58,7 @@ class Warehouse:
     root: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
     buckets: int = 0
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -81,6 +86,8 @@ class _Steps:
 
     def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None) -> DataFrame:
         t0 = time.perf_counter()
+        obs = Observation(f"rows_{name}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if bucket_by:
             tname = f"{self.prefix}_{name}"
             (df.write.mode("overwrite").option("path", path)
@@ -91,6 +98,7 @@ class _Steps:
             out = self.spark.read.parquet(path)
         self.wh.tables[name] = out
         self.wh.seconds[name] = time.perf_counter() - t0
+        self.wh.rows[name] = int(obs.get.get("rows", 0))
         return out
 
 
@@ -106,8 +114,11 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     auto_old = spark.conf.get(auto_key)
     spark.conf.set(auto_key, "false")
     try:
-        staged = C.clean_notifications(raw).repartition(wh.buckets, "id_notificacao")
+        read = Observation("raw")
+        staged = C.clean_notifications(raw, read).repartition(wh.buckets, "id_notificacao")
         clean = st.put("clean", staged, f"{root}/stage/clean", bucket_by="id_notificacao")
+        wh.rows["raw"] = int(read.get.get("rows_read", 0))
+        wh.rows["dropped_without_date"] = int(read.get.get("rows_without_date") or 0)
         st.put("dim_localidades", D.dim_localities(clean), f"{root}/dim_localidades")
         st.put("dim_sintomas", D.dim_symptoms(clean), f"{root}/dim_sintomas")
         st.put("dim_condicoes", D.dim_conditions(clean), f"{root}/dim_condicoes")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import sized_broadcast
 from .tables import fact_table, table
 
 
@@ -31,14 +32,15 @@ def _items(*pairs: tuple[Column, str]) -> Column:
 
 
 def _place(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+    """nation x region (one row per nation), broadcast after a size check."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+    return sized_broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias(f"{prefix}_key"),
         F.col("n_name").alias(f"{prefix}_nation"),
         F.col("n_regionkey").alias(f"{prefix}_regionkey"),
         F.col("r_name").alias(f"{prefix}_region"),
-    )
+    ), 10_000)
 
 
 def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from vigia.operators import dims as D
-from vigia.operators.ids import dense_index
+from vigia.operators.ids import dense_index, packed_order
 
 
 def test_keep_first_keeps_null_names(spark):
@@ -66,3 +66,31 @@ def test_extend_dimension_keeps_known_ids(spark):
     assert dict((r.nome_sintoma, r.id_sintoma) for r in out.collect()) == {
         "Febre": 1, "Tosse": 2, "Anosmia": 3, "Cefaleia": 4}
     assert out.schema["id_sintoma"].dataType.simpleString() == "smallint"
+
+
+def test_keep_first_by_matches_struct_form(spark):
+    rows = spark.createDataFrame(
+        [(None, "A", 7, 0, 5), ("S", "B", 7, 0, 9), ("T", "C", 7, 1, 1), ("U", "D", 8, 1, 2), ("V", "E", 8, 1, 3)],
+        "estado_nome string, municipio_nome string, code int, _src int, _row long")
+    a = D.keep_first(rows, "code", ["_src", "_row"], ["estado_nome", "municipio_nome"])
+    b = D.keep_first_by(rows, "code", packed_order(F.col("_src"), F.col("_row"), 62), ["estado_nome", "municipio_nome"])
+    assert sorted((r.code, r.estado_nome, r.municipio_nome) for r in a.collect()) == \
+        sorted((r.code, r.estado_nome, r.municipio_nome) for r in b.collect()) == [(7, None, "A"), (8, "U", "D")]
+
+
+def test_packed_order_is_exact_or_fails(spark):
+    import pytest
+    ok = spark.createDataFrame([(1, 3), (1, 2), (0, 99)], "a long, b long")
+    got = [r[0] for r in ok.orderBy(packed_order(F.col("a"), F.col("b"), 20)).select("b").collect()]
+    assert got == [99, 2, 3]
+    bad = spark.createDataFrame([(1, 1 << 21)], "a long, b long")
+    with pytest.raises(Exception):
+        bad.select(packed_order(F.col("a"), F.col("b"), 20)).collect()
+
+
+def test_first_appearance_is_hash_aggregated(wh):
+    from planutil import plan_text
+    from vigia.operators.reshape import explode_multivalue
+    ex = explode_multivalue(wh["clean"], "sintomas", "v", keep_position=True)
+    plan = plan_text(ex.groupBy("v").agg(F.min(D.first_key(["id_notificacao", "pos"]))))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

@@ -17,7 +17,9 @@ where the images are JSON objects of the whole row, NULL fields kept.
 ``lag`` over ``partitionBy(key)`` would put a hot key (say a third of all
 events) into one task, so the feed is split into (key, time bucket) groups:
 ``lag`` inside each group, and the first row of a group takes the last image
-of the key's previous non-empty bucket from a per-(key, bucket) summary.
+of the key's previous non-empty bucket.  Those last rows come from the same
+window pass (a ``lead`` flag), one row per (key, bucket); only that small
+summary is windowed by key.
 """
 
 from __future__ import annotations
@@ -57,15 +59,17 @@ def previous_in_key(df: DataFrame, key: str, order: list[str], carry: list[str],
     ``bucket`` must be monotone in ``order``."""
     b = df.withColumn("_b", bucket)
     w = Window.partitionBy(key, "_b").orderBy(*order)
-    inner = b.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in carry}).withColumn("_rn", F.row_number().over(w))
-    last = (b.groupBy(key, "_b")
-            .agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_last")))
+    inner = (b.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in carry})
+             .withColumn("_rn", F.row_number().over(w))
+             .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
+    # the last row of every (key, bucket) group comes from the same window pass
+    last = inner.filter(F.col("_is_last")).select(key, "_b", F.struct(*carry).alias("_last"))
     prev_bucket = (last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")))
                    .select(key, "_b", "_prev"))
     j = inner.join(prev_bucket, [key, "_b"], "left")
     return j.withColumns({
         f"prev_{c}": F.when(F.col("_rn") == 1, F.col(f"_prev.{c}")).otherwise(F.col(f"_lag_{c}")) for c in carry
-    }).drop("_b", "_rn", "_prev", *[f"_lag_{c}" for c in carry])
+    }).drop("_b", "_rn", "_is_last", "_prev", *[f"_lag_{c}" for c in carry])
 
 
 def classify_changes(df: DataFrame, image_cols: list[str], is_delete: Column) -> DataFrame:

@@ -7,25 +7,38 @@ values are.  Numbering uses ``dense_index`` (no one-partition window).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ShortType, StringType, StructField, StructType
 
 from .. import labels
-from .ids import dense_index
+from .ids import dense_index, packed_order
 from .reshape import explode_multivalue
 
 
+# Bits for the position of an item inside one multi-valued cell.
+POS_BITS = 20
+
+
+def first_key(order_cols: list[str]) -> Column:
+    """One bigint ordering rows like ``order_cols``: the id alone, or
+    (id, position in cell) packed."""
+    if len(order_cols) == 1:
+        return F.col(order_cols[0]).cast("bigint")
+    if len(order_cols) == 2:
+        return packed_order(F.col(order_cols[0]), F.col(order_cols[1]), POS_BITS)
+    raise ValueError("first appearance is ordered by (id) or (id, position)")
+
+
 def first_appearance_dim(df: DataFrame, value_col: str, order_cols: list[str], id_name: str,
                          value_name: str) -> DataFrame:
     """Distinct non-NULL values numbered 1..n by first appearance in
-    ``order_cols`` (which must identify a row)."""
+    ``order_cols`` (which must identify a row).  The first appearance is a
+    ``min`` over one bigint: hash aggregation with a map-side partial."""
     first = (df.filter(F.col(value_col).isNotNull())
              .groupBy(value_col)
-             .agg(F.min(F.struct(*order_cols)).alias("_first")))
-    ordered = first.select(F.col(value_col).alias(value_name),
-                           *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(order_cols)])
-    numbered = dense_index(ordered, [f"_o{i}" for i in range(len(order_cols))], id_name)
+             .agg(F.min(first_key(order_cols)).alias("_first")))
+    numbered = dense_index(first.select(F.col(value_col).alias(value_name), "_first"), ["_first"], id_name)
     return numbered.select(F.col(id_name).cast("smallint").alias(id_name), value_name)
 
 
@@ -42,10 +55,9 @@ def extend_dimension(previous: DataFrame, values: DataFrame, value_name: str, id
     prev = previous.select(F.col(value_name).alias("_pv"), F.col(id_name).alias("_pid"))
     top = previous.select(F.coalesce(F.max(id_name), F.lit(0)).cast("bigint")).scalar()
     first = (values.filter(F.col(value_name).isNotNull()).groupBy(value_name)
-             .agg(F.min(F.struct(*order_cols)).alias("_first")))
+             .agg(F.min(first_key(order_cols)).alias("_first")))
     new = first.join(sized_broadcast(prev), F.col(value_name) == F.col("_pv"), "left_anti")
-    ordered = new.select(value_name, *[F.col(f"_first.{c}").alias(f"_o{i}") for i, c in enumerate(order_cols)])
-    numbered = dense_index(ordered, [f"_o{i}" for i in range(len(order_cols))], "_rank")
+    numbered = dense_index(new.select(value_name, "_first"), ["_first"], "_rank")
     added = numbered.select((top + F.col("_rank")).alias(id_name), value_name)
     kept = previous.select(F.col(id_name).cast("bigint").alias(id_name), value_name)
     dtype = previous.schema[id_name].dataType
@@ -95,7 +107,9 @@ def locality_rows(clean: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, key: str | list[str], order: list[str], keep: list[str]) -> DataFrame:
     """One row per key, the first in ``order``, keeping that row's values
     even when they are NULL (``min_by`` over a struct; ``first(ignorenulls)``
-    or ``dropDuplicates`` would not)."""
+    or ``dropDuplicates`` would not).  Any order columns; sort-based
+    aggregation.  ``keep_first_by`` is the hash-aggregated form for a single
+    bigint order."""
     keys = [key] if isinstance(key, str) else list(key)
     return (df.groupBy(*keys)
             .agg(F.min_by(F.struct(*keep), F.struct(*order)).alias("_v"),
@@ -104,6 +118,21 @@ def keep_first(df: DataFrame, key: str | list[str], order: list[str], keep: list
                     *[F.col(f"_first.{c}").alias(c) for c in order]))
 
 
+def keep_first_by(df: DataFrame, key: str, order: Column, keep: list[str]) -> DataFrame:
+    """D2 for a single bigint ``order`` unique per row: (1) ``min(order)`` per
+    key, a hash aggregate with a map-side partial; (2) the rows holding those
+    minima, picked with a join on (key, order) against the one-row-per-key
+    table (broadcast after a size check).  Two linear passes and no sort of the
+    input, where a struct-valued ``min_by`` would sort it."""
+    from ..functions.joins import sized_broadcast
+
+    ordered = df.withColumn("_ord", order)
+    firsts = ordered.groupBy(key).agg(F.min("_ord").alias("_min")).withColumnRenamed(key, "_k")
+    picked = ordered.join(sized_broadcast(firsts, materialize=True),
+                          (F.col(key) == F.col("_k")) & (F.col("_ord") == F.col("_min")), "left_semi")
+    return picked.select(key, *keep, "_ord")
+
+
 def state_code(code_col) -> F.Column:
     """D3: first two digits of the municipality code, as an integer."""
     return F.substring(code_col.cast("string"), 1, 2).try_cast("int")
@@ -114,8 +143,10 @@ def dim_localities(clean: DataFrame) -> DataFrame:
     rows = locality_rows(clean).withColumn(
         "codigo_ibge_municipio", F.col("codigo_ibge_municipio").try_cast("int"))
     rows = rows.filter(F.col("codigo_ibge_municipio").isNotNull())
-    first = keep_first(rows, "codigo_ibge_municipio", ["_src", "_row"], ["estado_nome", "estado_uf", "municipio_nome"])
-    numbered = dense_index(first, ["_src", "_row"], "id_localidade")
+    # residence rows (0) before notification rows (1), then by row id
+    first = keep_first_by(rows, "codigo_ibge_municipio", packed_order(F.col("_src"), F.col("_row"), 62),
+                          ["estado_nome", "estado_uf", "municipio_nome"])
+    numbered = dense_index(first, ["_ord"], "id_localidade")
     return numbered.select(
         F.col("id_localidade").cast("int").alias("id_localidade"), "estado_uf", "estado_nome",
         state_code(F.col("codigo_ibge_municipio")).alias("codigo_ibge_estado"),

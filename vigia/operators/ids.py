@@ -20,6 +20,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+def packed_order(major: Column, minor: Column, minor_bits: int) -> Column:
+    """``(major, minor)`` as one bigint that sorts the same way:
+    ``major * 2^minor_bits + minor``.  A plain bigint keeps ``min``/``max``
+    in hash aggregation (a struct key would force a sort-based aggregate that
+    sorts the whole input).  Exact by construction: a value outside the
+    packable range raises instead of wrapping."""
+    ok = (major >= 0) & (major < 2 ** (63 - minor_bits)) & (minor >= 0) & (minor < 2 ** minor_bits)
+    packed = F.shiftleft(major.cast("bigint"), minor_bits) + minor.cast("bigint")
+    return F.when(ok, packed).otherwise(F.raise_error(F.lit("order key outside the packable range")))
+
+
 _PART = "_vg_part"
 _MONO = "_vg_mono"
 

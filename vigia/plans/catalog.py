@@ -310,7 +310,8 @@ def _pivot_first(spark, sf):
 @query("keep_first")
 def _keep_first(spark, sf):
     cust = table(spark, sf, "customer")
-    return D.keep_first(cust, "c_nationkey", ["c_custkey"], ["c_name", "c_mktsegment", "c_acctbal"])
+    first = D.keep_first_by(cust, "c_nationkey", F.col("c_custkey"), ["c_name", "c_mktsegment", "c_acctbal"])
+    return first.withColumnRenamed("_ord", "c_custkey")
 
 
 @query("surrogate_key")

@@ -61,3 +61,14 @@ def test_stream_matches_batch_when_slices_split_over_micro_batches(spark):
     # 3 slices x 4 key-disjoint files, 3 files per micro-batch: batches cut across slices
     stream = audit_stream(spark, ev, slices=3, files_per_slice=4, max_files_per_trigger=3)
     assert sorted(map(tuple, stream.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_replay_old_plus_log_is_new(spark):
+    from conftest import SMALL_SF
+    from vigia.sources.tables import table
+    o = table(spark, SMALL_SF, "orders")
+    k = F.col("o_orderkey")
+    old = o.filter(k % 10 != 3)
+    new = o.filter(k % 10 != 4).withColumn("o_orderstatus", F.when(k % 10 == 5, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    log = A.snapshot_diff(old, new, "o_orderkey", "orders")
+    assert sorted(map(tuple, A.replay(old, log, "o_orderkey").collect())) == sorted(map(tuple, new.collect()))

@@ -104,3 +104,15 @@ def change_log(events: DataFrame, key: str, order: list[str], image_cols: list[s
 def with_log_defaults(log: DataFrame) -> DataFrame:
     """A5: change time and database user columns, filled at the sink."""
     return log.withColumns({"data_alteracao": F.current_timestamp(), "usuario_bd": F.current_user()})
+
+
+def replay(old: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """Apply a snapshot-diff log to the old snapshot: the rows of the new one.
+    Deleted and updated keys leave, inserted and updated images (parsed back
+    from their JSON with the snapshot's schema) come in.  One anti-join and
+    one union; the images keep every column, NULLs included."""
+    changed = log.select(F.col("registro_id").alias("_k")).distinct()
+    kept = old.join(changed, F.col(key) == F.col("_k"), "left_anti")
+    images = (log.filter(F.col("dados_novos").isNotNull())
+              .select(F.from_json("dados_novos", old.schema, JSON_OPTIONS).alias("_r")).select("_r.*"))
+    return kept.unionByName(images)

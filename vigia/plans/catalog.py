@@ -13,11 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import labels
+from ..operators import audit as A
 from ..operators import clean as C
 from ..operators import dims as D
 from ..operators import project as P
+from ..operators import quality as Q
 from ..operators import reshape as R
+from ..session import fresh_dir
+from ..sources import csv as S
 from ..sources.fixture import raw_notifications
+from ..sources.row_ids import with_file_row_id
+from ..sources.tables import fact_table, table
+from ..sources.warehouse import append_table, read_table, view_scan
+from ..streaming.audit_stream import audit_stream
 from . import dashboard as K
 from . import views as V
 from .etl import warehouse_for
@@ -179,24 +188,17 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-# ============================================================ second wave
-
-from .. import labels  # noqa: E402
-from ..operators import audit as A  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..session import fresh_dir  # noqa: E402
-from ..sources import csv as S  # noqa: E402
-from ..sources.row_ids import with_file_row_id  # noqa: E402
-from ..sources.tables import fact_table, table  # noqa: E402
-from ..sources.warehouse import append_table, read_table, view_scan  # noqa: E402
-from ..streaming.audit_stream import audit_stream  # noqa: E402
-
-
-def _staged_csv(spark, sf) -> str:
+def _staged_csv(spark, sf, with_id: bool = True) -> str:
     """The derived notification input written as day-first CSV files in id
-    order, in a fresh folder below the shared checkpoint location."""
+    order, in a fresh folder below the shared checkpoint location.  Without
+    the id column it is what a source file looks like: the id is then the
+    file position (S5)."""
     path = fresh_dir(spark, "raw-csv")
-    S.write_csv(_raw(spark, sf), path, order_by="id_notificacao")
+    raw = _raw(spark, sf)
+    ordered = raw.withColumn("_pos", F.col("id_notificacao"))
+    if not with_id:
+        ordered = ordered.drop("id_notificacao")
+    S.write_csv(ordered, path, order_by="_pos", drop_order_column=True)
     return path
 
 
@@ -204,7 +206,7 @@ def _staged_csv(spark, sf) -> str:
 
 @query("csv_scan")
 def _csv_scan(spark, sf):
-    return S.read_notifications(spark, _staged_csv(spark, sf))
+    return S.read_notifications(spark, _staged_csv(spark, sf, with_id=False))
 
 
 @query("null_tokens")

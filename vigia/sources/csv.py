@@ -106,13 +106,16 @@ def read_notifications(spark: SparkSession, paths: str | list[str], columns: lis
 
 
 def write_csv(df: DataFrame, path: str, order_by: str | None = None, date_format: str = "d/M/yyyy",
-              files: int | None = None) -> None:
+              files: int | None = None, drop_order_column: bool = False) -> None:
     """Write a frame as header CSV, day-first dates, values kept byte for byte
-    (no white-space trimming), in ``order_by`` order across files when given."""
+    (no white-space trimming), in ``order_by`` order across files when given
+    (range-partitioned: file i holds the i-th key range, sorted)."""
     out = df
     if order_by:
         n = files or max(1, df.sparkSession.sparkContext.defaultParallelism)
         out = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by)
+        if drop_order_column:
+            out = out.drop(order_by)
     (out.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
      .option("dateFormat", date_format).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))

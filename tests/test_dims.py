@@ -94,3 +94,20 @@ def test_first_appearance_is_hash_aggregated(wh):
     ex = explode_multivalue(wh["clean"], "sintomas", "v", keep_position=True)
     plan = plan_text(ex.groupBy("v").agg(F.min(D.first_key(["id_notificacao", "pos"]))))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_dimension_ids_do_not_depend_on_partitioning(wh):
+    clean = wh["clean"]
+    layouts = [clean.repartition(1), clean.repartition(5, "sexo"), clean.repartition(11)]
+    for build in (D.dim_localities, D.dim_symptoms, D.dim_conditions, D.dim_race, D.dim_outcome):
+        results = [sorted(map(tuple, build(c).collect())) for c in layouts]
+        assert results[0] == results[1] == results[2], build.__name__
+
+
+def test_fact_with_notification_place(wh):
+    from vigia.operators.facts import fact_notifications
+    t = wh.tables
+    fact = fact_notifications(t["clean"], t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"],
+                              with_notification_place=True)
+    assert fact.filter(F.col("fk_localidade_notificacao").isNull()).count() == 0
+    assert fact.count() == t["fato_notificacoes"].count()

@@ -24,5 +24,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, mater
     rows instead of evaluating the frame twice.  Frames read from storage do
     not need it."""
     if materialize:
+        from ..session import shared_dir
+        shared_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -50,8 +50,10 @@ def dense_index(df: DataFrame, order: list[Column | str], name: str, partitions:
                 checkpoint: bool = True, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Append ``name`` = 1..n following ``order`` (which must be total)."""
     from ..functions.joins import fits
+    from ..session import shared_dir
 
     if checkpoint:
+        shared_dir(df.sparkSession)
         # computed once: the size check and the numbering read the same rows
         df = df.checkpoint(eager=True)
     if small_rows and fits(df, small_rows):

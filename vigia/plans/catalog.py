@@ -20,7 +20,7 @@ from ..operators import dims as D
 from ..operators import project as P
 from ..operators import quality as Q
 from ..operators import reshape as R
-from ..session import fresh_dir
+from ..session import fresh_dir, shared_dir
 from ..sources import csv as S
 from ..sources.fixture import raw_notifications
 from ..sources.row_ids import with_file_row_id
@@ -37,7 +37,12 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            shared_dir(spark)  # checkpoint / scratch folder: read from the session, set only if unset
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -181,7 +186,7 @@ for _name, _fn in [("cases_by_municipality", V.cases_by_municipality),
                    ("top_laboratory", K.top_laboratory),
                    ("top_municipalities", K.top_municipalities),
                    ("top_laboratories", K.top_laboratories)]:
-    QUERIES[_name] = (lambda fn: (lambda spark, sf: fn(_wh(spark, sf))))(_fn)
+    query(_name)((lambda fn: (lambda spark, sf: fn(_wh(spark, sf))))(_fn))
 
 
 def queries() -> dict[str, Query]:

@@ -92,8 +92,13 @@ def stage_events(events: DataFrame, path: str, slices: int = 4, key: str = "user
     return n
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
 def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4,
-                 files_per_slice: int | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                 files_per_slice: int | None = None, max_files_per_trigger: int | None = None,
+                 state_store: str | None = ROCKSDB) -> DataFrame:
     """Drive the stream over a staged copy of ``events`` to completion
     (``availableNow``) and return the log it wrote."""
     src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
@@ -104,8 +109,21 @@ def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events",
               .groupBy("user_id")
               .applyInPandasWithState(_classify, CHANGE_SCHEMA, STATE_SCHEMA, "append",
                                       GroupStateTimeout.NoTimeout))
-    q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    # The state store is fixed when a query first starts (and recorded in its
+    # checkpoint); RocksDB keeps per-key state off the JVM heap, so millions of
+    # keys do not press on executor memory.
+    old = spark.conf.get(STATE_STORE_CONF, None)
+    if state_store:
+        spark.conf.set(STATE_STORE_CONF, state_store)
+    try:
+        q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+             .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        if state_store:
+            if old is None:
+                spark.conf.unset(STATE_STORE_CONF)
+            else:
+                spark.conf.set(STATE_STORE_CONF, old)
     q.awaitTermination()
     log = spark.read.schema(CHANGE_SCHEMA).parquet(sink)
     old = F.when(F.col("operacao") != "INSERT", row_image(["event_type", "props"], "old_"))

@@ -71,10 +71,12 @@ class Warehouse:
 
 
 def default_buckets(spark: SparkSession) -> int:
+    """``vigia.warehouse.buckets`` when set, else the cluster's core count:
+    one bucket per core, so a co-located join runs on every core at once."""
     conf = spark.conf.get(BUCKETS_CONF, None)
     if conf:
         return int(conf)
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
 class _Steps:

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from planutil import plan_text
 from vigia.operators import reshape as R

@@ -126,7 +126,7 @@ def quarantine(df: DataFrame, violations: DataFrame, key: list[str], table: str)
             df.join(bad, k == F.col("_bad"), "left_semi"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -194,7 +194,7 @@ def load_gate_violations(tables: dict[str, DataFrame]) -> DataFrame:
     frames = [unique_violations(fact, "fato_notificacoes", ["id_notificacao"]),
               check_violations(fact, "fato_notificacoes", ["id_notificacao"], fact_checks())]
     frames += [type_fit_violations(tables[t], t, k, spec) for t, (k, spec) in TYPE_FIT.items() if t in tables]
-    return _union(frames)
+    return union_all(frames)
 
 
 def warehouse_violations(tables: dict[str, DataFrame], include_not_null: bool = True,
@@ -211,4 +211,4 @@ def warehouse_violations(tables: dict[str, DataFrame], include_not_null: bool =
                if c in tables and p in tables]
     if include_types:
         frames += [type_fit_violations(tables[t], t, k, spec) for t, (k, spec) in TYPE_FIT.items() if t in tables]
-    return _union(frames)
+    return union_all(frames)

@@ -338,7 +338,7 @@ def _dq_not_null(spark, sf):
     t = _wh(spark, sf)
     frames = [Q.not_null_violations(t[n], n, k, cols) for n, (k, cols) in Q.NOT_NULL.items()]
     frames.append(Q.not_null_violations(_raw(spark, sf), "raw_notificacoes", ["id_notificacao"], ["dataNotificacao"]))
-    return Q._union(frames)
+    return Q.union_all(frames)
 
 
 @query("dq_unique")
@@ -346,7 +346,7 @@ def _dq_unique(spark, sf):
     t = _wh(spark, sf)
     frames = [Q.unique_violations(t[n], n, k) for n, keys in Q.UNIQUE.items() for k in keys]
     frames.append(Q.unique_violations(fact_table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]))
-    return Q._union(frames)
+    return Q.union_all(frames)
 
 
 @query("dq_check")
@@ -367,13 +367,13 @@ def _dq_orphans(spark, sf):
     kept = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
     frames.append(Q.orphan_violations(fact_table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey",
                                       kept, "c_custkey", "customer"))
-    return Q._union(frames)
+    return Q.union_all(frames)
 
 
 @query("dq_type_fit")
 def _dq_type_fit(spark, sf):
     t = _wh(spark, sf)
-    return Q._union([Q.type_fit_violations(t[n], n, k, spec) for n, (k, spec) in Q.TYPE_FIT.items()])
+    return Q.union_all([Q.type_fit_violations(t[n], n, k, spec) for n, (k, spec) in Q.TYPE_FIT.items()])
 
 
 @query("cascade_delete")
@@ -396,7 +396,7 @@ def _cascade_delete(spark, sf):
         frames.append(both.agg(F.sum("b").alias("rows_before"), F.sum("a").alias("rows_after")).select(
             F.lit(name).alias("table_name"), "rows_before", "rows_after",
             (F.col("rows_before") - F.col("rows_after")).alias("rows_deleted")))
-    return Q._union(frames)
+    return Q.union_all(frames)
 
 
 # ------------------------------------------------------- A: change audit

@@ -31,16 +31,21 @@ def _items(*pairs: tuple[Column, str]) -> Column:
     return F.when(joined != "", joined)
 
 
-def _place(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation x region (one row per nation), broadcast after a size check."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return sized_broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select(
+    return sized_broadcast(n.join(r, n.n_regionkey == r.r_regionkey)
+                           .select("n_nationkey", "n_name", "n_regionkey", "r_name"), 10_000)
+
+
+def _as(places: DataFrame, prefix: str) -> DataFrame:
+    return places.select(
         F.col("n_nationkey").alias(f"{prefix}_key"),
         F.col("n_name").alias(f"{prefix}_nation"),
         F.col("n_regionkey").alias(f"{prefix}_regionkey"),
         F.col("r_name").alias(f"{prefix}_region"),
-    ), 10_000)
+    )
 
 
 def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +57,9 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (o.join(c, o.o_custkey == c.c_custkey)
             .withColumn("d", F.to_date("o_orderdate"))
             .withColumn("n2_key", ((K + 5) % 25).cast("int")))
-    base = base.join(_place(spark, sf_dir, "n1"), F.col("c_nationkey") == F.col("n1_key"))
-    base = base.join(_place(spark, sf_dir, "n2"), "n2_key")
+    places = _places(spark, sf_dir)
+    base = base.join(_as(places, "n1"), F.col("c_nationkey") == F.col("n1_key"))
+    base = base.join(_as(places, "n2"), "n2_key")
 
     def code(prefix: str) -> Column:
         return (F.lit(11) + F.col(f"{prefix}_regionkey")).cast("bigint") * 100000 + F.col(f"{prefix}_key")

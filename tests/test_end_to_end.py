@@ -23,3 +23,32 @@ def test_csv_path_equals_table_path(spark, wh):
         b = sorted(map(tuple, fn(wh.tables).collect()))
         assert a == b, fn.__name__
     assert from_csv.rows["raw"] == wh.rows["raw"]
+
+
+def test_cli_etl_then_report(spark, capsys):
+    import json as _json
+
+    from vigia import cli
+    from vigia.plans.etl import load_warehouse
+
+    raw = raw_notifications(spark, SMALL_SF)
+    src = fresh_dir(spark, "cli-csv")
+    S.write_csv(raw.withColumn("_pos", F.col("id_notificacao")).drop("id_notificacao"), src, order_by="_pos",
+                drop_order_column=True)
+    out = fresh_dir(spark, "cli-wh")
+    cli.main(["etl", "--csv", src, "--out", out])
+    etl = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert etl["rows"]["raw"] == 1500
+    cli.main(["report", "--warehouse", out, "--state", "AM"])
+    rep = _json.loads(capsys.readouterr().out)
+    assert rep["kpi"]["total_notificacoes"] > 0 and all(r["estado_uf"] == "AM" for r in rep["confirmed_by_state"])
+    # the reopened warehouse keeps its bucket layout
+    from planutil import plan_text
+    wh = load_warehouse(spark, out)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(V.laboratory_analysis(wh.tables), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Bucketed: true") == 2

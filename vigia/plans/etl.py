@@ -143,7 +143,34 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         t0 = time.perf_counter()
         Q.gate(Q.load_gate_violations(wh.tables), mode="fail")
         wh.seconds["integrity_gate"] = time.perf_counter() - t0
-    spark.createDataFrame([(root,)], "root string").write.mode("overwrite").json(f"{root}/_PUBLISHED")
+    spark.createDataFrame([(root, wh.buckets)], "root string, buckets int").write.mode("overwrite").json(
+        f"{root}/_PUBLISHED")
+    return wh
+
+
+BUCKETED = {"clean": ("stage/clean", "id_notificacao"), "fato_notificacoes": ("fato_notificacoes", "id_notificacao"),
+            "fato_notificacao_sintoma": ("fato_notificacao_sintoma", "fk_notificacao"),
+            "fato_notificacao_condicao": ("fato_notificacao_condicao", "fk_notificacao"),
+            "fato_testes_realizados": ("fato_testes_realizados", "fk_notificacao")}
+
+
+def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """Open a published warehouse (in this or another application).  The
+    id-bucketed tables are registered again with their bucket spec, so the
+    co-located joins of the views keep working without a shuffle."""
+    meta = spark.read.json(f"{root.rstrip('/')}/_PUBLISHED").first()
+    wh = Warehouse(root, buckets=int(meta["buckets"]))
+    prefix = "vigia_" + uuid.uuid4().hex[:10]
+    for name in DIMENSIONS + SEEDS:
+        wh.tables[name] = spark.read.parquet(f"{root}/{name}")
+    for name, (sub, col) in BUCKETED.items():
+        path = f"{root}/{sub}"
+        schema = spark.read.parquet(path).schema
+        tname = f"{prefix}_{name}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY (`{col}`) INTO {wh.buckets} BUCKETS "
+                  f"LOCATION '{path}'")
+        wh.tables[name] = spark.table(tname)
     return wh
 
 

@@ -42,3 +42,8 @@ def test_quarantine_splits_rows(spark):
     good, bad = Q.quarantine(df, v, ["id"], "t")
     assert sorted(r.id for r in good.collect()) == [2, 3]
     assert [r.id for r in bad.collect()] == [1]
+
+
+def test_hidden_rows_reported(wh):
+    hidden = Q.hidden_from_views(wh["fato_notificacoes"]).count()
+    assert hidden == wh.rows["fact_without_residence"] == 30

@@ -370,6 +370,12 @@ def _dq_orphans(spark, sf):
     return Q.union_all(frames)
 
 
+@query("dq_hidden_rows")
+def _dq_hidden_rows(spark, sf):
+    """Fact rows no view shows (unknown residence), reported rather than fixed."""
+    return Q.hidden_from_views(_wh(spark, sf)["fato_notificacoes"])
+
+
 @query("dq_type_fit")
 def _dq_type_fit(spark, sf):
     t = _wh(spark, sf)

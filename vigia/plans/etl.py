@@ -86,10 +86,12 @@ class _Steps:
         self.spark, self.wh = spark, wh
         self.prefix = "vigia_" + uuid.uuid4().hex[:10]
 
-    def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None) -> DataFrame:
+    def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None,
+            extra: dict[str, F.Column] | None = None) -> DataFrame:
         t0 = time.perf_counter()
         obs = Observation(f"rows_{name}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                        *[c.alias(k) for k, c in (extra or {}).items()])
         if bucket_by:
             tname = f"{self.prefix}_{name}"
             (df.write.mode("overwrite").option("path", path)
@@ -100,7 +102,10 @@ class _Steps:
             out = self.spark.read.parquet(path)
         self.wh.tables[name] = out
         self.wh.seconds[name] = time.perf_counter() - t0
-        self.wh.rows[name] = int(obs.get.get("rows", 0))
+        got = obs.get
+        self.wh.rows[name] = int(got.get("rows", 0))
+        for k in extra or {}:
+            self.wh.rows[k] = int(got.get(k) or 0)
         return out
 
 
@@ -130,7 +135,10 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         st.put("dim_fabricantes", D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
         st.put("fato_notificacoes",
                J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"]),
-               f"{root}/fato_notificacoes", bucket_by="id_notificacao")
+               f"{root}/fato_notificacoes", bucket_by="id_notificacao",
+               # rows no view shows: their residence is unknown (the views join it as inner)
+               extra={"fact_without_residence": F.sum(F.when(F.col("fk_localidade_residencia").isNull(), 1)
+                                                      .otherwise(0))})
         st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"]),
                f"{root}/fato_notificacao_sintoma", bucket_by="fk_notificacao")
         st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"]),

@@ -89,3 +89,14 @@ def test_warehouse_row_counts_observed(wh):
     assert rows["raw"] == 1500 and rows["dropped_without_date"] == 4
     assert rows["clean"] == 1496 == wh["clean"].count()
     assert rows["fato_testes_realizados"] == wh["fato_testes_realizados"].count()
+
+
+def test_one_pass_median_equals_scalar_median(spark, wh):
+    from conftest import SMALL_SF
+    from vigia.sources.fixture import raw_notifications
+    raw = raw_notifications(spark, SMALL_SF)
+    direct = raw.select(F.median(F.col("idade"))).first()[0]
+    assert wh.median_age == direct
+    a = sorted(map(tuple, C.clean_notifications(raw).select("id_notificacao", "idade").collect()))
+    b = sorted(map(tuple, wh["clean"].select("id_notificacao", "idade").collect()))
+    assert a == b

@@ -79,6 +79,29 @@ def bool_flags(df: DataFrame, columns=("profissionalSaude", "profissionalSeguran
     return df.withColumns({c: yes_flag(F.col(c)) for c in columns if c in df.columns})
 
 
+def impute_age_with(df: DataFrame, median, column: str = AGE) -> DataFrame:
+    """C6 with a known median (``None`` when every age is missing)."""
+    fill = F.lit(median).cast("double")
+    return df.withColumn(column, F.coalesce(F.col(column).cast("double"), fill).cast("int"))
+
+
+def clean_deferring_median(df: DataFrame, observation) -> DataFrame:
+    """C1-C5, C7, C8 in one pass, with C6's exact median *observed* in the
+    same pass (over every row, before C8 drops any) instead of computed by a
+    second scan of the input.  Ages stay as read; apply C6 afterwards with
+    ``impute_age_with(df, observation.get["median_age"])`` once the result has
+    been written.  Also observes the rows read and the rows without date."""
+    out = impute_class(df)
+    out = impute_onset(out)
+    out = clamp_onset(out)
+    out = null_bad_closure(out)
+    out = fill_defaults(out).withColumn(AGE, F.col(AGE).cast("double"))
+    out = out.observe(observation, F.count(F.lit(1)).alias("rows_read"),
+                      F.sum(F.when(F.col(NOTIF).isNull(), 1).otherwise(0)).alias("rows_without_date"),
+                      F.median(F.col(AGE)).alias("median_age"))
+    return drop_missing_notification(out)
+
+
 def clean_notifications(df: DataFrame, observation=None) -> DataFrame:
     """C1-C8 in the source system's order.
 

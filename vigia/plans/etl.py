@@ -20,7 +20,10 @@ bridge, fact x tests) are sort-merge joins with no exchange on either side.
 Dimensions are small plain parquet tables.
 
 Row counts (rows read, rows dropped for a missing date, rows per table) are
-collected with ``observe`` while each table is written: no extra job.
+collected with ``observe`` while each table is written: no extra job.  So is
+the exact median age of C6: the stage is written in one pass over the input
+with ages as read, and the imputation is a projection over the stage read
+(the median is kept in the publish marker for later readers).
 
 Order of the source system: five dimensions, the main fact, the two bridges,
 then the tests fact.  A failing step raises; tables are only published (the
@@ -60,6 +63,7 @@ class Warehouse:
     seconds: dict[str, float] = field(default_factory=dict)
     rows: dict[str, int] = field(default_factory=dict)
     buckets: int = 0
+    median_age: float | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -121,11 +125,16 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     auto_old = spark.conf.get(auto_key)
     spark.conf.set(auto_key, "false")
     try:
+        # one pass over the input: C6's median is observed while the stage is
+        # written, and applied as a projection on the stage read
         read = Observation("raw")
-        staged = C.clean_notifications(raw, read).repartition(wh.buckets, "id_notificacao")
-        clean = st.put("clean", staged, f"{root}/stage/clean", bucket_by="id_notificacao")
-        wh.rows["raw"] = int(read.get.get("rows_read", 0))
-        wh.rows["dropped_without_date"] = int(read.get.get("rows_without_date") or 0)
+        staged = C.clean_deferring_median(raw, read).repartition(wh.buckets, "id_notificacao")
+        stage = st.put("clean", staged, f"{root}/stage/clean", bucket_by="id_notificacao")
+        got = read.get
+        wh.rows["raw"] = int(got.get("rows_read", 0))
+        wh.rows["dropped_without_date"] = int(got.get("rows_without_date") or 0)
+        wh.median_age = got.get("median_age")
+        clean = t["clean"] = C.impute_age_with(stage, wh.median_age)
         st.put("dim_localidades", D.dim_localities(clean), f"{root}/dim_localidades")
         st.put("dim_sintomas", D.dim_symptoms(clean), f"{root}/dim_sintomas")
         st.put("dim_condicoes", D.dim_conditions(clean), f"{root}/dim_condicoes")
@@ -151,8 +160,8 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         t0 = time.perf_counter()
         Q.gate(Q.load_gate_violations(wh.tables), mode="fail")
         wh.seconds["integrity_gate"] = time.perf_counter() - t0
-    spark.createDataFrame([(root, wh.buckets)], "root string, buckets int").write.mode("overwrite").json(
-        f"{root}/_PUBLISHED")
+    spark.createDataFrame([(root, wh.buckets, wh.median_age)], "root string, buckets int, median_age double").write.mode(
+        "overwrite").json(f"{root}/_PUBLISHED")
     return wh
 
 
@@ -166,8 +175,9 @@ def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """Open a published warehouse (in this or another application).  The
     id-bucketed tables are registered again with their bucket spec, so the
     co-located joins of the views keep working without a shuffle."""
-    meta = spark.read.json(f"{root.rstrip('/')}/_PUBLISHED").first()
-    wh = Warehouse(root, buckets=int(meta["buckets"]))
+    meta = spark.read.schema("root string, buckets int, median_age double").json(
+        f"{root.rstrip('/')}/_PUBLISHED").first()
+    wh = Warehouse(root, buckets=int(meta["buckets"]), median_age=meta["median_age"])
     prefix = "vigia_" + uuid.uuid4().hex[:10]
     for name in DIMENSIONS + SEEDS:
         wh.tables[name] = spark.read.parquet(f"{root}/{name}")
@@ -179,6 +189,7 @@ def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
         spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY (`{col}`) INTO {wh.buckets} BUCKETS "
                   f"LOCATION '{path}'")
         wh.tables[name] = spark.table(tname)
+    wh.tables["clean"] = C.impute_age_with(wh.tables["clean"], wh.median_age)
     return wh
 
 

@@ -96,16 +96,18 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
-def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4,
-                 files_per_slice: int | None = None, max_files_per_trigger: int | None = None,
-                 state_store: str | None = ROCKSDB) -> DataFrame:
-    """Drive the stream over a staged copy of ``events`` to completion
-    (``availableNow``) and return the log it wrote."""
-    src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
-    feed = events.select("user_id", "ts", "event_id", "event_type", "props")
-    per_slice = stage_events(feed, src, slices, files_per_slice=files_per_slice)
-    stream = (spark.readStream.schema(feed.schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger or per_slice).parquet(src)
+FEED_SCHEMA = "user_id long, ts timestamp_ntz, event_id long, event_type string, props string"
+
+
+def run_audit_stream(spark: SparkSession, src: str, sink: str, checkpoint: str, max_files_per_trigger: int = 1,
+                     state_store: str | None = ROCKSDB, schema: str = FEED_SCHEMA) -> None:
+    """Process every file under ``src`` not yet processed by the query whose
+    checkpoint is ``checkpoint`` (``availableNow``), appending log rows to the
+    parquet sink ``sink``.  Restarting with the same checkpoint continues where
+    the last run stopped: no row lost, none written twice (file sink commit log
+    + state store versions in the checkpoint)."""
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
               .groupBy("user_id")
               .applyInPandasWithState(_classify, CHANGE_SCHEMA, STATE_SCHEMA, "append",
                                       GroupStateTimeout.NoTimeout))
@@ -116,7 +118,7 @@ def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events",
     if state_store:
         spark.conf.set(STATE_STORE_CONF, state_store)
     try:
-        q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
+        q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
              .outputMode("append").trigger(availableNow=True).start())
     finally:
         if state_store:
@@ -125,8 +127,24 @@ def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events",
             else:
                 spark.conf.set(STATE_STORE_CONF, old)
     q.awaitTermination()
+
+
+def read_log(spark: SparkSession, sink: str, table: str = "events") -> DataFrame:
+    """The log rows of a sink, images as JSON (built JVM-side)."""
     log = spark.read.schema(CHANGE_SCHEMA).parquet(sink)
     old = F.when(F.col("operacao") != "INSERT", row_image(["event_type", "props"], "old_"))
     new = F.when(F.col("operacao") != "DELETE", row_image(["event_type", "props"], "new_"))
     return log.select(F.lit(table).alias("tabela_afetada"), "operacao", "registro_id", "event_id",
                       old.alias("dados_antigos"), new.alias("dados_novos"))
+
+
+def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4,
+                 files_per_slice: int | None = None, max_files_per_trigger: int | None = None,
+                 state_store: str | None = ROCKSDB) -> DataFrame:
+    """Drive the stream over a staged copy of ``events`` to completion
+    (``availableNow``) and return the log it wrote."""
+    src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
+    feed = events.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type", "props")
+    per_slice = stage_events(feed, src, slices, files_per_slice=files_per_slice)
+    run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger or per_slice, state_store)
+    return read_log(spark, sink, table)

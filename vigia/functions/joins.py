@@ -15,14 +15,18 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = False) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = False,
+                    known_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when it is proven small, else ``df`` unchanged so the
     planner (and AQE at run time) chooses a shuffle join.
 
     ``materialize`` checkpoints a *derived* frame first (to the shared
     checkpoint folder), so the size check and the join read the same computed
     rows instead of evaluating the frame twice.  Frames read from storage do
-    not need it."""
+    not need it.  ``known_rows`` (e.g. observed while the frame was written)
+    replaces the check."""
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
     if materialize:
         from ..session import shared_dir
         shared_dir(df.sparkSession)

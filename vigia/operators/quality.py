@@ -62,19 +62,35 @@ def check_violations(df: DataFrame, table: str, key: list[str], checks: dict[str
 
 def orphan_violations(child: DataFrame, table: str, key: list[str], fk: str,
                       parent: DataFrame, pk: str, parent_name: str) -> DataFrame:
-    """Q4: non-NULL foreign keys with no parent row (NULL passes).
-
-    The child's *distinct* keys are anti-joined to the parent's keys (a
-    partial aggregate first, so a key held by a third of the rows is one row
-    per partition in the shuffle), then the child rows of the missing keys are
-    picked with a semi-join whose key set is broadcast only after a size
-    check."""
-    parent_keys = parent.select(F.col(pk).alias("_pk")).distinct()
-    child_keys = child.select(F.col(fk).alias("_fk")).filter(F.col("_fk").isNotNull()).distinct()
-    missing = child_keys.join(parent_keys, F.col("_fk") == F.col("_pk"), "left_anti")
-    return (child.join(sized_broadcast(missing, materialize=True), F.col(fk) == F.col("_fk"), "left_semi")
-            .select(F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"), _key(key).alias("key"),
-                    F.lit(f"{fk}->{parent_name}.{pk}").alias("detail")))
+    """Q4: non-NULL foreign keys with no parent row (NULL passes).  See
+    ``orphan_violations_many``."""
+    return orphan_violations_many([(child, table, key, fk, parent, pk, parent_name)])
+
+
+def orphan_violations_many(checks: list[tuple]) -> DataFrame:
+    """Q4 for several foreign keys in one pass.
+
+    ``checks``: ``(child, table, key, fk, parent, pk, parent_name)`` tuples.
+    The *distinct* child keys of every check (a partial aggregate first, so a
+    key held by a third of the rows is one row per partition in the shuffle)
+    are anti-joined in a single join to the parent keys, both sides tagged by
+    check.  The missing keys are materialised once; each check then picks its
+    child rows with a semi-join whose key set is broadcast after a size check."""
+    def tagged(i: int, df: DataFrame, col: str) -> DataFrame:
+        return df.select(F.lit(i).alias("_check"), F.col(col).cast("bigint").alias("_key"))
+
+    child_keys = union_all([tagged(i, c[0], c[3]) for i, c in enumerate(checks)])
+    parent_keys = union_all([tagged(i, c[4], c[5]) for i, c in enumerate(checks)]).distinct()
+    missing = (child_keys.filter(F.col("_key").isNotNull()).distinct()
+               .join(parent_keys, ["_check", "_key"], "left_anti"))
+    missing = sized_broadcast(missing, materialize=True)
+    frames = []
+    for i, (child, table, key, fk, _parent, pk, parent_name) in enumerate(checks):
+        mine = missing.filter(F.col("_check") == i).select(F.col("_key").alias("_fk"))
+        frames.append(child.join(mine, F.col(fk).cast("bigint") == F.col("_fk"), "left_semi")
+                      .select(F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"),
+                              _key(key).alias("key"), F.lit(f"{fk}->{parent_name}.{pk}").alias("detail")))
+    return union_all(frames)
 
 
 def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[str, tuple]) -> DataFrame:
@@ -216,8 +232,9 @@ def warehouse_violations(tables: dict[str, DataFrame], include_not_null: bool =
     if "fato_notificacoes" in tables:
         frames.append(check_violations(tables["fato_notificacoes"], "fato_notificacoes", ["id_notificacao"],
                                        fact_checks()))
-    frames += [orphan_violations(tables[c], c, k, fk, tables[p], pk, p) for c, k, fk, p, pk in FOREIGN
-               if c in tables and p in tables]
+    fks = [(tables[c], c, k, fk, tables[p], pk, p) for c, k, fk, p, pk in FOREIGN if c in tables and p in tables]
+    if fks:
+        frames.append(orphan_violations_many(fks))
     if include_types:
         frames += [type_fit_violations(tables[t], t, k, spec) for t, (k, spec) in TYPE_FIT.items() if t in tables]
     return union_all(frames)

@@ -378,12 +378,12 @@ def _dq_check(spark, sf):
 @query("dq_orphans")
 def _dq_orphans(spark, sf):
     t = _wh(spark, sf)
-    frames = [Q.orphan_violations(t[c], c, k, fk, t[p], pk, p) for c, k, fk, p, pk in Q.FOREIGN]
+    checks = [(t[c], c, k, fk, t[p], pk, p) for c, k, fk, p, pk in Q.FOREIGN]
     # a parent that lost rows: customers with a negative balance removed
     kept = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
-    frames.append(Q.orphan_violations(fact_table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey",
-                                      kept, "c_custkey", "customer"))
-    return Q.union_all(frames)
+    checks.append((fact_table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey", kept, "c_custkey",
+                   "customer"))
+    return Q.orphan_violations_many(checks)
 
 
 @query("dq_hidden_rows")

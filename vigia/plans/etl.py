@@ -142,15 +142,19 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         st.put("dim_evolucao_caso", D.dim_outcome(clean), f"{root}/dim_evolucao_caso")
         st.put("dim_tipos_testes", D.seed_dimension(spark, D.TEST_TYPE_SCHEMA), f"{root}/dim_tipos_testes")
         st.put("dim_fabricantes", D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
+        # dimension sizes were observed while they were written: no size-check jobs
+        r = wh.rows
         st.put("fato_notificacoes",
-               J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"]),
+               J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"],
+                                    dim_rows={"loc": r["dim_localidades"], "race": r["dim_raca_cor"],
+                                              "outcome": r["dim_evolucao_caso"]}),
                f"{root}/fato_notificacoes", bucket_by="id_notificacao",
                # rows no view shows: their residence is unknown (the views join it as inner)
                extra={"fact_without_residence": F.sum(F.when(F.col("fk_localidade_residencia").isNull(), 1)
                                                       .otherwise(0))})
-        st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"]),
+        st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"], r["dim_sintomas"]),
                f"{root}/fato_notificacao_sintoma", bucket_by="fk_notificacao")
-        st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"]),
+        st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"], r["dim_condicoes"]),
                f"{root}/fato_notificacao_condicao", bucket_by="fk_notificacao")
         st.put("fato_testes_realizados", test_fact(clean), f"{root}/fato_testes_realizados",
                bucket_by="fk_notificacao")

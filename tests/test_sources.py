@@ -51,9 +51,10 @@ def test_dense_row_id_follows_file_order_across_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
         back = S.read_csv(spark, d)
-        out = with_file_row_id(back, "row_id")
-        bad = out.filter(F.col("row_id") != F.col("expected").cast("long")).count()
-        assert out.count() == n and bad == 0
+        for hashed in (True, False):   # hashed split key, and the exact path-keyed fallback
+            out = with_file_row_id(back, "row_id", hash_key=hashed)
+            bad = out.filter(F.col("row_id") != F.col("expected").cast("long")).count()
+            assert out.count() == n and bad == 0
         assert back.rdd.getNumPartitions() > 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -12,8 +12,9 @@ into partitions largest first).  Instead:
 Rows of one split are contiguous inside a partition, in file order, so the
 tag difference is the row's position in its split.  Scans of the same files
 with the same settings split and pack identically, so the two passes agree.
-The per-split table is broadcast only after a size check (it has one row per
-split, i.e. input bytes / split size).
+The per-split table (one row per split, i.e. input bytes / split size, keyed
+by a 64-bit path hash and the block start) is checkpointed once and broadcast
+only after a size check.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import sized_broadcast
+from ..session import shared_dir
 from ..operators.ids import partition_offsets
 
 
-def with_file_row_id(df: DataFrame, name: str = "row_id", max_splits_broadcast: int = 2_000_000) -> DataFrame:
+def with_file_row_id(df: DataFrame, name: str = "row_id", max_splits_broadcast: int = 1_000_000,
+                     hash_key: bool = True) -> DataFrame:
+    shared_dir(df.sparkSession)  # the checkpoint folder: read from the session, set only if unset
     tagged = df.withColumns({
         "_vg_file": F.col("_metadata.file_path"),
         "_vg_block": F.col("_metadata.file_block_start"),
@@ -34,7 +38,19 @@ def with_file_row_id(df: DataFrame, name: str = "row_id", max_splits_broadcast:
     splits = (tagged.groupBy("_vg_file", "_vg_block")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_vg_mono").alias("_vg_first"))
               .withColumn("_vg_split", F.struct("_vg_file", "_vg_block")))
-    offsets = partition_offsets(splits, "_vg_split").select("_vg_file", "_vg_block", "_vg_first", "_off")
-    return (tagged.join(sized_broadcast(offsets, max_splits_broadcast, materialize=True), ["_vg_file", "_vg_block"])
+    offsets = (partition_offsets(splits, "_vg_split")
+               .select(F.xxhash64("_vg_file").alias("_vg_fh"), "_vg_file", "_vg_block", "_vg_first", "_off")
+               .checkpoint(eager=True))
+    # The broadcast side is keyed by (64-bit hash of the path, block start):
+    # about 32 bytes per split instead of the path text.  Exact or nothing: if
+    # two paths share a hash, join on the path itself.
+    collide = (not hash_key or
+               offsets.groupBy("_vg_fh", "_vg_block").count().filter(F.col("count") > 1).limit(1).count() > 0)
+    if collide:
+        keys, side = ["_vg_file", "_vg_block"], offsets.select("_vg_file", "_vg_block", "_vg_first", "_off")
+    else:
+        keys, side = ["_vg_fh", "_vg_block"], offsets.select("_vg_fh", "_vg_block", "_vg_first", "_off")
+        tagged = tagged.withColumn("_vg_fh", F.xxhash64("_vg_file"))
+    return (tagged.join(sized_broadcast(side, max_splits_broadcast), keys)
             .withColumn(name, F.col("_off") + F.col("_vg_mono") - F.col("_vg_first") + 1)
-            .drop("_vg_file", "_vg_block", "_vg_mono", "_vg_first", "_off"))
+            .drop("_vg_file", "_vg_block", "_vg_fh", "_vg_mono", "_vg_first", "_off"))

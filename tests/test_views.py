@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from planutil import plan_text
 from vigia import labels
-from vigia.plans import dashboard as K
+from vigia.plans import indicators as K
 from vigia.plans import views as V
 
 

@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
         wh = build_warehouse(spark, raw, root=args.out)
         print(json.dumps({"warehouse": wh.root, "rows": wh.rows, "seconds": {k: round(v, 2) for k, v in wh.seconds.items()}}))
     else:
-        from .plans import dashboard as K
+        from .plans import indicators as K
         from .plans.etl import load_warehouse
 
         t = load_warehouse(spark, args.warehouse).tables

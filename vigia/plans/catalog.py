@@ -27,7 +27,7 @@ from ..sources.row_ids import with_file_row_id
 from ..sources.tables import fact_table, table
 from ..sources.warehouse import append_table, read_table, view_scan
 from ..streaming.audit_stream import read_log, run_audit_stream, stage_events
-from . import dashboard as K
+from . import indicators as K
 from . import views as V
 from .etl import warehouse_for
 

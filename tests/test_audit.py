@@ -99,3 +99,25 @@ def test_stream_restart_neither_loses_nor_repeats(spark):
     got = sorted(map(tuple, S.read_log(spark, sink).collect()))
     assert 0 < first < len(got)
     assert got == sorted(map(tuple, batch.collect()))
+
+
+def test_fact_audit_between_loads_is_co_located(spark, wh):
+    from planutil import plan_text
+    from vigia.plans.etl import audit_fact_changes, build_warehouse
+
+    # a second load where some notifications changed class and some are gone
+    changed = wh["clean"].filter(F.col("id_notificacao") % 7 != 0).withColumn(
+        "classificacaoFinal", F.when(F.col("id_notificacao") % 5 == 0, F.lit("Suspeito"))
+        .otherwise(F.col("classificacaoFinal")))
+    second = build_warehouse(spark, changed, buckets=wh.buckets, gate=False)
+    log = audit_fact_changes(wh, second)
+    ops = {r.operacao: r["count"] for r in log.groupBy("operacao").count().collect()}
+    assert ops["DELETE"] == wh["fato_notificacoes"].filter(F.col("id_notificacao") % 7 == 0).count()
+    assert "INSERT" not in ops and ops["UPDATE"] > 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(log, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning(id_notificacao" not in plan and plan.count("Bucketed: true") == 2

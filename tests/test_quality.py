@@ -47,3 +47,17 @@ def test_quarantine_splits_rows(spark):
 def test_hidden_rows_reported(wh):
     hidden = Q.hidden_from_views(wh["fato_notificacoes"]).count()
     assert hidden == wh.rows["fact_without_residence"] == 30
+
+
+def test_gate_modes(spark, wh):
+    import pytest
+    from vigia.plans.etl import build_warehouse
+    # a negative age breaks the CHECK rule of the fact
+    bad = wh["clean"].withColumn("idade", F.when(F.col("id_notificacao") == 1, F.lit(-5)).otherwise(F.col("idade")))
+    with pytest.raises(Q.IntegrityError):
+        build_warehouse(spark, bad, gate="fail")
+    rep = build_warehouse(spark, bad, gate="report")
+    got = [(r.rule, r.key, r.detail) for r in rep["_violations"].collect()]
+    assert got == [("check", "1", "idade >= 0")] and rep.rows["_violations"] == 1
+    with pytest.raises(ValueError):
+        build_warehouse(spark, bad, gate="sometimes")

@@ -114,7 +114,15 @@ class _Steps:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
-                    gate: bool = True, buckets: int | None = None) -> Warehouse:
+                    gate: bool | str = True, buckets: int | None = None) -> Warehouse:
+    """Build and publish the warehouse from raw notification records.
+
+    ``gate``: ``True`` / ``"fail"`` raises on an integrity violation before
+    publishing; ``"report"`` writes the violations as the ``_violations``
+    table of the warehouse and publishes; ``False`` / ``"off"`` skips it."""
+    mode = {True: "fail", False: "off"}.get(gate, gate)
+    if mode not in ("fail", "report", "off"):
+        raise ValueError(f"gate must be fail, report or off, not {gate!r}")
     root = root or fresh_dir(spark, "warehouse")
     wh = Warehouse(root, buckets=buckets or default_buckets(spark))
     st = _Steps(spark, wh)
@@ -160,9 +168,13 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
                bucket_by="fk_notificacao")
     finally:
         spark.conf.set(auto_key, auto_old)
-    if gate:
+    if mode != "off":
         t0 = time.perf_counter()
-        Q.gate(Q.load_gate_violations(wh.tables), mode="fail")
+        violations = Q.load_gate_violations(wh.tables)
+        if mode == "fail":
+            Q.gate(violations, mode="fail")
+        else:
+            wh.tables["_violations"] = st.put("_violations", violations, f"{root}/_violations")
         wh.seconds["integrity_gate"] = time.perf_counter() - t0
     spark.createDataFrame([(root, wh.buckets, wh.median_age)], "root string, buckets int, median_age double").write.mode(
         "overwrite").json(f"{root}/_PUBLISHED")

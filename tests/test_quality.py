@@ -61,3 +61,9 @@ def test_gate_modes(spark, wh):
     assert got == [("check", "1", "idade >= 0")] and rep.rows["_violations"] == 1
     with pytest.raises(ValueError):
         build_warehouse(spark, bad, gate="sometimes")
+
+
+def test_rules_on_absent_columns_give_no_rows(spark):
+    df = spark.createDataFrame([(1,)], "id long")
+    assert Q.not_null_violations(df, "t", ["id"], ["missing"]).count() == 0
+    assert Q.type_fit_violations(df, "t", ["id"], {"missing": ("varchar", 2)}).count() == 0

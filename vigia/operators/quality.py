@@ -7,8 +7,10 @@ rule becomes a *violations* frame ``(rule, table_name, key, detail)``:
   failing rule names per row, exploded),
 * UNIQUE is a ``groupBy(key)`` with a map-side partial count,
 * FOREIGN KEY is a ``left_anti`` join of the child's distinct keys against the
-  parent's key column, then a semi-join back to the child rows,
-* ON DELETE CASCADE is a ``left_anti`` of each child against deleted keys.
+  parent's key column (all checks batched into one join), then a semi-join
+  back to the child rows,
+* ON DELETE CASCADE is a ``left_anti`` of each child against deleted keys,
+* fact rows no view shows (unknown residence) are reported, not fixed.
 """
 
 from __future__ import annotations
@@ -31,8 +33,14 @@ def _key(cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
 
+def _empty(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "rule string, table_name string, key string, detail string")
+
+
 def _flagged(df: DataFrame, table: str, key: list[str], rule: str, conds: dict[str, Column]) -> DataFrame:
     """Rows where a named condition is TRUE, one output row per (row, name)."""
+    if not conds:
+        return _empty(df)
     names = F.array(*[F.when(c, F.lit(n)) for n, c in conds.items()])
     hit = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conds.values()])
     return (df.filter(hit)
@@ -110,8 +118,6 @@ def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[st
         elif t[0] == "numeric":
             bound = 10 ** (t[1] - t[2])
             conds[f"{col}:numeric({t[1]},{t[2]})"] = F.abs(c.cast("double")) >= bound
-    if not conds:
-        return df.sparkSession.createDataFrame([], "rule string, table_name string, key string, detail string")
     return _flagged(df, table, key, "type_fit", conds)
 
 

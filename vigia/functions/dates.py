@@ -21,16 +21,22 @@ def parse_day_first(c: Column, formats: list[str] | None = None) -> Column:
     Order independent: every row is parsed on its own, never with a format
     guessed from the first row.  Zone free: the date part goes through
     ``try_to_date`` and the optional time through ``try_make_timestamp_ntz``, so
-    no session time zone (or its daylight-saving gaps) can move the value."""
+    no session time zone (or its daylight-saving gaps) can move the value.
+    Cells without a time part (no ``:``) take a direct ``try_to_date``; only
+    cells with one are split by the regular expression."""
     fmts = formats or DAY_FIRST_FORMATS
+    text = F.trim(c)
+    date_only = F.coalesce(*[F.try_to_date(text, f) for f in fmts]).cast("timestamp_ntz")
+
     date_txt = F.nullif(F.regexp_extract(c, _DATE_TIME, 1), F.lit(""))
     day = F.coalesce(*[F.try_to_date(date_txt, f) for f in fmts])
 
     def part(i: int) -> Column:
         return F.coalesce(F.nullif(F.regexp_extract(c, _DATE_TIME, i), F.lit("")).cast("int"), F.lit(0))
 
-    return F.try_make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), part(2), part(3),
-                                    part(4).cast("decimal(16,6)"))
+    with_time = F.try_make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), part(2), part(3),
+                                         part(4).cast("decimal(16,6)"))
+    return F.when(F.instr(text, ":") > 0, with_time).otherwise(date_only)
 
 
 def to_day_first_timestamp(c: Column, dtype: DataType, formats: list[str] | None = None) -> Column:

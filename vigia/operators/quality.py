@@ -101,12 +101,13 @@ def orphan_violations_many(checks: list[tuple]) -> DataFrame:
     return union_all(frames)
 
 
-def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[str, tuple]) -> DataFrame:
-    """Q6: values that would not fit the declared column type.
-    ``spec`` maps column -> ("varchar", n) | ("smallint",) | ("int",) | ("numeric", p, s)."""
+def type_fit_conditions(columns: list[str], spec: dict[str, tuple]) -> dict[str, Column]:
+    """Named conditions that are TRUE when a value would not fit its declared
+    type.  ``spec`` maps column -> ("varchar", n) | ("smallint",) | ("int",) |
+    ("numeric", p, s); columns not in ``columns`` are skipped."""
     conds: dict[str, Column] = {}
     for col, t in spec.items():
-        if col not in df.columns:
+        if col not in columns:
             continue
         c = F.col(col)
         if t[0] == "varchar":
@@ -118,7 +119,24 @@ def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[st
         elif t[0] == "numeric":
             bound = 10 ** (t[1] - t[2])
             conds[f"{col}:numeric({t[1]},{t[2]})"] = F.abs(c.cast("double")) >= bound
-    return _flagged(df, table, key, "type_fit", conds)
+    return conds
+
+
+def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[str, tuple]) -> DataFrame:
+    """Q6: values that would not fit the declared column type."""
+    return _flagged(df, table, key, "type_fit", type_fit_conditions(df.columns, spec))
+
+
+def rule_counters(table: str, columns: list[str]) -> dict[str, Column]:
+    """Aggregate expressions counting, per CHECK / type-fit rule of ``table``,
+    the rows that break it: meant for ``observe`` while the table is written,
+    so a clean load needs no extra scan to prove it clean."""
+    conds: dict[str, Column] = {}
+    if table == "fato_notificacoes":
+        conds.update({n: ~c for n, c in fact_checks().items()})
+    if table in TYPE_FIT:
+        conds.update(type_fit_conditions(columns, TYPE_FIT[table][1]))
+    return {f"broken|{table}|{n}": F.sum(F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0)) for n, c in conds.items()}
 
 
 def cascade_delete(children: dict[str, tuple[DataFrame, str]], deleted: DataFrame, key: str) -> dict[str, DataFrame]:
@@ -207,15 +225,30 @@ def fact_checks() -> dict[str, Column]:
             "data_inicio_sintomas <= data_notificacao": F.col("data_inicio_sintomas") <= F.col("data_notificacao")}
 
 
-def load_gate_violations(tables: dict[str, DataFrame]) -> DataFrame:
+def load_gate_violations(tables: dict[str, DataFrame], observed: dict[str, int] | None = None) -> DataFrame:
     """The checks run before a warehouse is published: those the ETL does not
     guarantee by construction (input ids unique, CHECK rules, type fit).
     Dimension keys are unique and foreign keys resolve by construction (group
-    by + left join); the full rule set is ``warehouse_violations``."""
+    by + left join); the full rule set is ``warehouse_violations``.
+
+    ``observed``: per-rule counts collected while the facts were written
+    (``rule_counters``).  A fact whose counts are all zero is not scanned
+    again; one with a broken rule is scanned to list the offending rows."""
+    observed = observed or {}
     fact = tables["fato_notificacoes"]
-    frames = [unique_violations(fact, "fato_notificacoes", ["id_notificacao"]),
-              check_violations(fact, "fato_notificacoes", ["id_notificacao"], fact_checks())]
-    frames += [type_fit_violations(tables[t], t, k, spec) for t, (k, spec) in TYPE_FIT.items() if t in tables]
+    frames = [unique_violations(fact, "fato_notificacoes", ["id_notificacao"])]
+
+    def counted(table: str) -> bool:
+        return any(k.startswith(f"broken|{table}|") for k in observed)
+
+    def broken(table: str) -> bool:
+        return any(v > 0 for k, v in observed.items() if k.startswith(f"broken|{table}|"))
+
+    if not counted("fato_notificacoes") or broken("fato_notificacoes"):
+        frames.append(check_violations(fact, "fato_notificacoes", ["id_notificacao"], fact_checks()))
+    for t, (k, spec) in TYPE_FIT.items():
+        if t in tables and (not counted(t) or broken(t)):
+            frames.append(type_fit_violations(tables[t], t, k, spec))
     return union_all(frames)
 
 

@@ -37,3 +37,11 @@ def test_projection_helpers(spark):
     assert optional_filter(df, estado_uf=None, cidade="x").count() == 3
     assert with_constant(df, "source_id", 1).columns[-1] == "source_id"
     assert with_constant(with_constant(df, "source_id", 1), "source_id", 2).first().source_id == 1
+
+
+def test_strip_matches_python_strip(spark):
+    samples = ["  a ", "\ta\u00a0", "\x1cFebre\x1f", "\u3000Tosse\u2003", "a  b", "", " ", "\n\r x \x0b"]
+    assert any(ch != " " and ch.isspace() for ch in "".join(samples))   # real white space, not escapes
+    df = spark.createDataFrame([(x,) for x in samples], "s string")
+    got = [r[0] for r in df.select(strip(F.col("s"))).collect()]
+    assert got == [x.strip() for x in samples]

@@ -95,3 +95,10 @@ def test_dashboard_views_are_released(wh):
         total = frames["vw_perfil_epidemiologico"].agg(F.sum("total_casos")).first()[0]
     assert not any(df.is_cached for df in frames.values())
     assert total == K.kpi_summary(wh.tables).first().total_notificacoes
+
+
+def test_dimensions_are_broadcast_in_views(wh):
+    """Dimension joins of the views are broadcast hash joins (no shuffle of the fact for them)."""
+    for fn in (V.cases_by_municipality, V.vaccination_by_result, V.epidemiological_profile):
+        plan = plan_text(fn(wh.tables), "simple")
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, fn.__name__

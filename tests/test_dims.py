@@ -111,3 +111,16 @@ def test_fact_with_notification_place(wh):
                               with_notification_place=True)
     assert fact.filter(F.col("fk_localidade_notificacao").isNull()).count() == 0
     assert fact.count() == t["fato_notificacoes"].count()
+
+
+def test_narrow_id_raises_instead_of_wrapping(spark):
+    import pytest
+    ok = spark.createDataFrame([(5,)], "i long").select(D.narrow_id(F.col("i"), "smallint").alias("i"))
+    assert ok.schema["i"].dataType.simpleString() == "smallint" and ok.first().i == 5
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            spark.createDataFrame([(40000,)], "i long").select(D.narrow_id(F.col("i"), "smallint")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

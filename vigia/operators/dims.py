@@ -20,6 +20,14 @@ from .reshape import explode_multivalue
 POS_BITS = 20
 
 
+def narrow_id(c: Column, dtype: str) -> Column:
+    """Cast a dense id to the declared narrow type, or raise when it does not
+    fit (never a silent wrap, whatever the session's ANSI setting)."""
+    limit = {"smallint": 32767, "int": 2147483647}[dtype]
+    return F.when(c <= limit, c.cast(dtype)).otherwise(
+        F.raise_error(F.lit(f"dimension id does not fit {dtype}")).cast(dtype))
+
+
 def first_key(order_cols: list[str]) -> Column:
     """One bigint ordering rows like ``order_cols``: the id alone, or
     (id, position in cell) packed."""
@@ -39,7 +47,7 @@ def first_appearance_dim(df: DataFrame, value_col: str, order_cols: list[str], i
              .groupBy(value_col)
              .agg(F.min(first_key(order_cols)).alias("_first")))
     numbered = dense_index(first.select(F.col(value_col).alias(value_name), "_first"), ["_first"], id_name)
-    return numbered.select(F.col(id_name).cast("smallint").alias(id_name), value_name)
+    return numbered.select(narrow_id(F.col(id_name), "smallint").alias(id_name), value_name)
 
 
 def extend_dimension(previous: DataFrame, values: DataFrame, value_name: str, id_name: str,
@@ -148,7 +156,7 @@ def dim_localities(clean: DataFrame) -> DataFrame:
                           ["estado_nome", "estado_uf", "municipio_nome"])
     numbered = dense_index(first, ["_ord"], "id_localidade")
     return numbered.select(
-        F.col("id_localidade").cast("int").alias("id_localidade"), "estado_uf", "estado_nome",
+        narrow_id(F.col("id_localidade"), "int").alias("id_localidade"), "estado_uf", "estado_nome",
         state_code(F.col("codigo_ibge_municipio")).alias("codigo_ibge_estado"),
         "municipio_nome", "codigo_ibge_municipio")
 

@@ -424,6 +424,9 @@ def _cascade_delete(spark, sf):
 # ------------------------------------------------------- A: change audit
 
 def _order_snapshots(spark, sf):
+    """Two versions of the whole ``orders`` table (FIXTURES.md D): the key
+    rules only decide which rows differ between them (a tenth deleted, a tenth
+    inserted, a tenth updated); every order row is read and compared."""
     # the diff's work is after the shuffle on the key: no spreading of the scan
     o = table(spark, sf, "orders")
     k = F.col("o_orderkey")

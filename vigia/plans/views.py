@@ -22,7 +22,8 @@ def _count_if(cond) -> F.Column:
 
 def _fact_place(t: dict[str, DataFrame], fact_cols: list[str], place_cols: list[str]) -> DataFrame:
     """Facts with a known residence locality (inner join: unknown places drop out)."""
-    fn = t["fato_notificacoes"].select(*set(fact_cols) | {"fk_localidade_residencia"})
+    cols = list(dict.fromkeys([*fact_cols, "fk_localidade_residencia"]))   # ordered, no repeats
+    fn = t["fato_notificacoes"].select(*cols)
     dl = t["dim_localidades"].select("id_localidade", *place_cols)
     return fn.join(dl, fn.fk_localidade_residencia == dl.id_localidade)
 

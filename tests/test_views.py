@@ -102,3 +102,11 @@ def test_dimensions_are_broadcast_in_views(wh):
     for fn in (V.cases_by_municipality, V.vaccination_by_result, V.epidemiological_profile):
         plan = plan_text(fn(wh.tables), "simple")
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, fn.__name__
+
+
+def test_top_k_ties_at_rank_k_break_by_name(spark):
+    df = spark.createDataFrame([("d", 5), ("b", 3), ("a", 3), ("c", 3), ("e", 1)], "nome_sintoma string, n long")
+    got = [tuple(r) for r in K._top(df, "nome_sintoma", "n", 3).collect()]
+    assert got == [("d", 5), ("a", 3), ("b", 3)]
+    again = [tuple(r) for r in K._top(df.repartition(3), "nome_sintoma", "n", 3).collect()]
+    assert again == got

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, langid, packing
 from .rows import table
 
 
@@ -25,8 +25,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        tokenizer_pattern())
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe}
+    return {"op1_bpe": op1_bpe, "op9_packing": op9_packing, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:

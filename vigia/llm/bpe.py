@@ -23,17 +23,17 @@ from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import free_name, row_function, text_or_empty
+from .rows import attach
 
 #: Bytes up to which a piece is merged directly.
 LEAF = 5
 #: Entries that the worker's memos hold before they start anew (speed only).
-CHUNKS, PIECES = 300_000, 700_000
+CHUNKS, PIECES = 200_000, 300_000
 #: Longer strings are never memoised.
 MEMO_CHARS = 64
 #: Where cutting at single spaces could change a match of the pattern.
@@ -87,7 +87,7 @@ class Merger:
         got = self.stable_pairs.get((a, b))
         if got is None:
             got = self.merge(a + b) == [a, b]
-            if len(self.stable_pairs) > PIECES // 2:
+            if len(self.stable_pairs) > PIECES // 4:
                 self.stable_pairs.clear()
             if len(a) + len(b) <= 2 * MEMO_CHARS:
                 self.stable_pairs[a, b] = got
@@ -181,36 +181,30 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",
     ordinary text.  Every row is encoded by itself, so repeated rows, ties and
     empty tables need nothing special; other columns pass through, and a
     clashing ``ids_col`` raises."""
-    if free_name(df, ids_col) != ids_col:
-        raise ValueError(f"column {ids_col} exists already")
-
     def make():
         merger = Merger(load_ranks(rank_path), leaf)
         encoder = TextEncoder(pattern, lambda piece: merger.ids(piece.encode("utf-8")))
-        return lambda texts: pd.Series([np.array(encoder.ids(t), dtype=np.int32) for t in texts], dtype=object)
+        return lambda texts: pa.array([np.array(encoder.ids(t or ""), dtype=np.int32) for t in texts],
+                                      type=pa.list_(pa.int32()))
 
-    return df.withColumn(ids_col, row_function(make, "array<int>")(text_or_empty(text_col)))
+    return attach(df, text_col, ids_col, "array<int>", make)
 
 
 def decode(df: DataFrame, rank_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """``df`` with ``bytes_col`` binary: the bytes of the ids.  Null ids: no
     bytes.  An id that is not in the vocabulary raises (KeyError)."""
-    if free_name(df, bytes_col) != bytes_col:
-        raise ValueError(f"column {bytes_col} exists already")
-
     def make():
         token = {rank: piece for piece, rank in load_ranks(rank_path).items()}.__getitem__
-        return lambda rows: pd.Series(
-            [concat_tree(list(map(token, () if ids is None else ids.tolist()))) for ids in rows], dtype=object)
+        return lambda rows: [concat_tree(list(map(token, ids or ()))) for ids in rows]
 
-    return df.withColumn(bytes_col, row_function(make, "binary")(F.col(f"`{ids_col}`")))
+    return attach(df, ids_col, bytes_col, "binary", make)
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """One row per input row: id, number of ids, SHA-256 of the decimal ids
     joined by commas, SHA-256 of the decoded bytes."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = encode(rows, rank_path, pattern).drop("text")
     rows = decode(rows, rank_path)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),

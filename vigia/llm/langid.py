@@ -17,11 +17,10 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import free_name, row_function
+from .rows import attach
 
 #: The sample: rows of a language, characters of a row (documented bounds of the fit).
 SAMPLE_ROWS, SAMPLE_CHARS = 64, 512
@@ -215,27 +214,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", out_col: str
     """``docs`` with ``out_col`` struct(lang string, score double).  Each row
     by itself: repeated rows and empty tables need nothing special, other
     columns pass through, a clashing ``out_col`` raises."""
-    if free_name(docs, out_col) != out_col:
-        raise ValueError(f"column {out_col} exists already")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def make():
-        def predict(texts: pd.Series) -> pd.DataFrame:
-            names, scores = [], []
-            for at in range(0, len(texts), 512):
-                got = shared.value.predict(list(texts.iloc[at:at + 512]))
-                names += got[0]
-                scores += got[1]
-            return pd.DataFrame({"lang": pd.Series(names, dtype=object), "score": pd.Series(scores, dtype=float)})
+        def predict(texts: list) -> list:
+            return [{"lang": n, "score": s} for n, s in zip(*shared.value.predict(texts), strict=True)]
         return predict
 
-    returns = row_function(make, "struct<lang:string,score:double>")
-    return docs.withColumn(out_col, returns(F.col(f"`{text_col}`").cast("string")))
+    return attach(docs, text_col, out_col, "struct<lang:string,score:double>", make, rows=1024)
 
 
 def predictions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     model = fit(docs, id_col, text_col, lang_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return (identify(rows, model)
             .select("doc_id", held_out("doc_id").alias("held_out"), F.col("language.lang").alias("lang_pred"),
                     F.col("language.score").alias("score")))

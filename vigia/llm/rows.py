@@ -1,13 +1,15 @@
 """Small shared helpers of the operators: null-safe text, fresh column names,
-row-wise models as Arrow-batched functions, staged tables."""
+functions of a row in Arrow batches, staged tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from ..session import fresh_dir
 
@@ -28,24 +30,29 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
-def row_function(make: Callable[[], Callable[[pd.Series], pd.Series | pd.DataFrame]], returns: str):
-    """A vectorised function of one text column.  ``make`` runs once per
-    Python task (it loads tables or reads a broadcast model) and gives the
-    function of a batch.  Marked non-deterministic so that the optimizer
-    evaluates it once per row even if several of its fields are used."""
-    struct = returns.startswith("struct<")
-
-    if struct:
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            fn = make()
-            for batch in batches:
-                yield fn(batch)
-    else:
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            fn = make()
-            for batch in batches:
-                yield fn(batch)
-    return F.pandas_udf(run, returns).asNondeterministic()
+def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
+           make: Callable[[], Callable[[list], list | pa.Array]], rows: int = 256) -> DataFrame:
+    """``df`` with ``out_col``, a function of ``in_col``, added in Arrow
+    batches of at most ``rows`` rows.  ``make`` runs once per Python task (it
+    loads tables or reads a broadcast model) and gives the function of a list
+    of values.  Each row by itself; all other columns pass through, and a
+    clashing ``out_col`` raises."""
+    if free_name(df, out_col) != out_col:
+        raise ValueError(f"column {out_col} exists already")
+    at = [c.lower() for c in df.columns].index(in_col.lower())
+    added = StructType.fromDDL(f"`{out_col}` {out_type}")
+    schema = StructType([*df.schema.fields, *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn, kind = make(), to_arrow_type(added.fields[0].dataType)
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
+                out = fn(part.column(at).to_pylist())
+                out = out if isinstance(out, pa.Array) else pa.array(out, type=kind)
+                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
+
+    return df.mapInArrow(run, schema)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, quality
+from . import bpe, langid, packing, quality, simhash
 from .rows import table
 
 
@@ -25,6 +25,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        tokenizer_pattern())
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,7 +42,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op7_quality": op7_quality, "op9_packing": op9_packing, "op10_langid": op10_langid}
+    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op7_quality": op7_quality, "op9_packing": op9_packing, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,5 +79,37 @@ def drop_stage(df: DataFrame) -> None:
                         else spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Groups of rows that agree in the first ``keys`` columns (integers), from
+    batches that are sorted by them: for each group its columns.  A group may
+    span batches; one group at a time is held."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, dtype=bool)
+        for c in columns[:keys]:
+            new[1:] |= c[1:] != c[:-1]
+        starts = [*np.flatnonzero(new).tolist(), n]
+        if held and any(h[0] != c[0] for h, c in zip(held[-1], columns[:keys], strict=False)):
+            yield [np.concatenate(c) for c in zip(*held, strict=True)]
+            held = []
+        start = 0
+        for end in starts:
+            part = [c[start:end] for c in columns]
+            if end < n:
+                if held:
+                    part = [np.concatenate(c) for c in zip(*held, part, strict=True)]
+                    held = []
+                yield part
+            else:
+                held.append(part)
+            start = end
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

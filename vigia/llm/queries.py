@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, packing, quality, simhash, substring
+from . import bpe, langid, licenses, packing, quality, simhash, substring
 from .rows import table
 
 
@@ -29,6 +29,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(table(spark, sf_dir, "documents"))
+
+
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.passages(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op5_passages": op5_passages, "op7_quality": op7_quality, "op9_packing": op9_packing, "op10_langid": op10_langid}
+    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op5_passages": op5_passages, "op7_quality": op7_quality, "op9_packing": op9_packing, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -89,6 +89,10 @@ class Model:
     def raw(self, rows: np.ndarray, ridge: np.ndarray | None = None) -> np.ndarray:
         return self.features(rows) @ (self.ridge if ridge is None else ridge)
 
+    def scores(self, rows: list[list[float]]) -> pa.Array:
+        x = np.array(rows, dtype=np.float64).reshape(len(rows), N_STATISTICS)
+        return pa.array(np.clip(self.calibrated(self.raw(x)), 0, 1), type=pa.float64())
+
     def calibrated(self, raw: np.ndarray) -> np.ndarray:
         if not len(self.edges):
             return np.full(len(raw), 0.5)
@@ -118,20 +122,25 @@ def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return np.array(batch.column(name).to_pylist(), dtype=np.float64).reshape(batch.num_rows, -1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_id: str = "doc_id", label_col: str = "quality", features: int = FEATURES, gamma: float = GAMMA,
-        ridge: float = RIDGE, seed: int = 42) -> Model:
-    """Fit on all labelled documents outside the held-out share (crc32 of the
-    id mod 5 is 0).  Repeated labels of a document count once each, null labels
-    and labels of absent documents not at all.  Without any label 1 or any
-    label 0 the model is constant (that label's share; 0.5 without labels)."""
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, x): the statistics of every row's text, computed once and
+    staged; texts are never shuffled."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return stage(attach(rows, "text", "x", "array<double>", lambda: lambda ts: [statistics(t) for t in ts])
+                 .drop("text"), "statistics")
+
+
+def fit(measured: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col: str = "quality",
+        features: int = FEATURES, gamma: float = GAMMA, ridge: float = RIDGE, seed: int = 42) -> Model:
+    """Fit on all labelled documents (rows of :func:`measure`) outside the
+    held-out share (crc32 of the id mod 5 is 0).  Repeated labels of a document
+    count once each, null labels and labels of absent documents not at all.
+    Without any label 1 or any label 0 the model is constant (that label's
+    share; 0.5 without labels)."""
     known = (labels.where(F.col(f"`{label_col}`").isNotNull() & ~held_out(label_id))
              .select(F.col(f"`{label_id}`").alias("id"), F.col(f"`{label_col}`").cast("double").alias("y")))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    # only ids and labels meet the texts: the join keeps a text where it is if labels are few
-    wanted = rows.join(known, "id").select("text", "y", (F.crc32(F.col("id").cast("string")) % 5 - 1).alias("fold"))
-    seen = attach(wanted, "text", "x", "array<double>", lambda: lambda ts: [statistics(t) for t in ts]).drop("text")
-    train = stage(seen, "quality_train")
+    train = stage(measured.join(known, F.col("doc_id") == F.col("id"))
+                  .select("x", "y", (F.crc32(F.col("id").cast("string")) % 5 - 1).alias("fold")), "quality_train")
     try:
         return _fit(train, features, gamma, ridge, seed)
     finally:
@@ -220,21 +229,15 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     ones.  Each row by itself: repeated rows, ties and empty tables need
     nothing special; other columns pass through, a clashing name raises."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
-
-    def make():
-        def predict(texts: list) -> pa.Array:
-            m = shared.value
-            rows = np.array([statistics(t) for t in texts]).reshape(len(texts), N_STATISTICS)
-            return pa.array(np.clip(m.calibrated(m.raw(rows)), 0, 1), type=pa.float64())
-        return predict
-
-    return attach(docs, text_col, out_col, "double", make, rows=1024)
+    return attach(docs, text_col, out_col, "double",
+                  lambda: lambda ts: shared.value.scores([statistics(t) for t in ts]), rows=1024)
 
 
 def predictions(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 label_id: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    model = fit(docs, labels, id_col, text_col, label_id, label_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return (score(rows, model, out_col="score")
-            .select("doc_id", held_out("doc_id").alias("held_out"), "score",
-                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))
+    """One row per input row: doc_id, held_out, score, predicted."""
+    measured = measure(docs, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(measured, labels, label_id, label_col))
+    scored = attach(measured, "x", "score", "double", lambda: lambda xs: shared.value.scores(xs), rows=1024)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

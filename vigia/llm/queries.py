@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, licenses, packing, quality, simhash, substring
+from . import bpe, langid, licenses, order_minhash, packing, quality, simhash, substring
 from .rows import table
 
 
@@ -41,6 +41,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -50,7 +54,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op5_passages": op5_passages, "op7_quality": op7_quality, "op9_packing": op9_packing, "op10_langid": op10_langid}
+    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op5_passages": op5_passages, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:

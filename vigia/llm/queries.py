@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, langid, licenses, order_minhash, packing, quality, simhash, substring
+from . import bpe, embeddings, html_text, langid, licenses, order_minhash, packing, quality, simhash, substring
 from .rows import table
 
 
@@ -41,6 +41,10 @@ def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.passages(table(spark, sf_dir, "documents"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,7 +62,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op4_html": op4_html, "op5_passages": op5_passages, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid}
+    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op4_html": op4_html, "op5_passages": op5_passages, "op6_embeddings": op6_embeddings, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid}
 
 
 def oracle_sql() -> dict[str, str]:

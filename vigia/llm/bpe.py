@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -33,7 +34,7 @@ from .rows import attach
 #: Bytes up to which a piece is merged directly.
 LEAF = 5
 #: Entries that the worker's memos hold before they start anew (speed only).
-CHUNKS, PIECES = 200_000, 300_000
+CHUNKS, PIECES = 300_000, 600_000
 #: Longer strings are never memoised.
 MEMO_CHARS = 64
 #: Where cutting at single spaces could change a match of the pattern.
@@ -173,6 +174,18 @@ def concat_tree(parts: list[bytes]) -> bytes:
     return parts[0] if parts else b""
 
 
+@lru_cache(maxsize=2)
+def shared_encoder(rank_path: str, pattern: str, leaf: int) -> TextEncoder:
+    """The encoder of a Python worker: its memos last from task to task."""
+    merger = Merger(load_ranks(rank_path), leaf)
+    return TextEncoder(pattern, lambda piece: merger.ids(piece.encode("utf-8")))
+
+
+@lru_cache(maxsize=2)
+def shared_tokens(rank_path: str) -> dict[int, bytes]:
+    return {rank: piece for piece, rank in load_ranks(rank_path).items()}
+
+
 def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",
            ids_col: str = "ids", leaf: int = LEAF) -> DataFrame:
     """``df`` with ``ids_col`` array<int>: the ids of the whole text.
@@ -182,8 +195,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",
     empty tables need nothing special; other columns pass through, and a
     clashing ``ids_col`` raises."""
     def make():
-        merger = Merger(load_ranks(rank_path), leaf)
-        encoder = TextEncoder(pattern, lambda piece: merger.ids(piece.encode("utf-8")))
+        encoder = shared_encoder(rank_path, pattern, leaf)
         return lambda texts: pa.array([np.array(encoder.ids(t or ""), dtype=np.int32) for t in texts],
                                       type=pa.list_(pa.int32()))
 
@@ -194,10 +206,15 @@ def decode(df: DataFrame, rank_path: str, ids_col: str = "ids", bytes_col: str =
     """``df`` with ``bytes_col`` binary: the bytes of the ids.  Null ids: no
     bytes.  An id that is not in the vocabulary raises (KeyError)."""
     def make():
-        token = {rank: piece for piece, rank in load_ranks(rank_path).items()}.__getitem__
-        return lambda rows: [concat_tree(list(map(token, ids or ()))) for ids in rows]
+        token = shared_tokens(rank_path).__getitem__
+
+        def run(rows: pa.ListArray) -> list:
+            ids = rows.values.to_numpy(zero_copy_only=False)  # not sliced as the rows are: offsets are places in it
+            ends = rows.offsets.to_pylist()
+            return [concat_tree(list(map(token, ids[a:b].tolist()))) for a, b in zip(ends, ends[1:], strict=False)]
+        return run
 
-    return attach(df, ids_col, bytes_col, "binary", make)
+    return attach(df, ids_col, bytes_col, "binary", make, arrow=True)
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",

@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -155,6 +156,7 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=2)
 def vocabulary_encoder(path: str):
     """text -> ids as ``Tokenizer.from_file(path).encode(text,
     add_special_tokens=False)``.

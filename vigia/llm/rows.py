@@ -32,11 +32,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
-           make: Callable[[], Callable[[list], list | pa.Array]], rows: int = 256) -> DataFrame:
+           make: Callable[[], Callable[[list], list | pa.Array]], rows: int = 256, arrow: bool = False) -> DataFrame:
     """``df`` with ``out_col``, a function of ``in_col``, added in Arrow
     batches of at most ``rows`` rows.  ``make`` runs once per Python task (it
     loads tables or reads a broadcast model) and gives the function of a list
-    of values.  Each row by itself; all other columns pass through, and a
+    of values (``arrow``: of an Arrow array).  Each row by itself; all other columns pass through, and a
     clashing ``out_col`` raises."""
     if free_name(df, out_col) != out_col:
         raise ValueError(f"column {out_col} exists already")
@@ -49,7 +49,7 @@ def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
-                out = fn(part.column(at).to_pylist())
+                out = fn(part.column(at) if arrow else part.column(at).to_pylist())
                 out = out if isinstance(out, pa.Array) else pa.array(out, type=kind)
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
 

@@ -31,7 +31,8 @@ _LANES = 2048
 
 
 def code_points(text: str) -> np.ndarray:
-    """Lower-cased code points, each run of non-letters as one space."""
+    """Lower-cased code points, each run of non-letters as one space (none at
+    the start)."""
     text = text.lower()
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if not len(points):
@@ -123,17 +124,17 @@ class Model:
             running = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # lanes longer than step
             roots = self.roots[:, None]
             state = np.repeat(roots, len(lanes), axis=1)
-            count = np.ones(state.shape, dtype=np.int64)
+            count = np.zeros(state.shape, dtype=np.int64)
             for step in range(lengths[0]):
                 m = running[step]
                 symbol = grid[step, :m]
                 to = flat.take(state[:, :m] * width + symbol)
                 miss = to < 0
+                # a phrase starts after a miss, and where none is open (at the root)
+                count[:, :m] += miss | (state[:, :m] == roots)
                 if miss.any():
-                    fresh = flat.take(roots * width + symbol)  # a new phrase starts with this symbol
-                    unseen = miss & (fresh < 0)
-                    # a symbol that the sample lacks is a phrase of its own, unless one starts here anyway
-                    count[:, :m] += miss & ((state[:, :m] != roots) | unseen)
+                    fresh = flat.take(roots * width + symbol)
+                    # a symbol that the sample lacks is a phrase of its own and leaves none open
                     to = np.where(miss, np.where(fresh < 0, roots, fresh), to)
                 state[:, :m] = to
             np.add.at(found, np.array([owner[i] for i in lanes]), count.T)

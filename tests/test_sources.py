@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from vigia.functions.dates import parse_day_first
@@ -22,7 +23,7 @@ def test_day_first_parsing(spark):
                                 (None,)], "s string")
     got = [r[0] for r in df.select(parse_day_first(F.col("s"))).collect()]
     ts = dt.datetime(2022, 3, 4)
-    assert got == [ts, ts, None, None, None, None]
+    assert got == [ts, ts, None, ts, None, None]
 
 
 def test_csv_quoted_comma_and_newline(spark):
@@ -80,3 +81,58 @@ def test_day_first_parsing_is_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [dt.datetime(1992, 10, 18), dt.datetime(2022, 3, 4, 10, 5), None]
+
+
+def test_iso_dates_and_times(spark):
+    df = spark.createDataFrame([("2022-03-04T10:05:06.500Z",), ("2022-03-04 10:05",), ("2022-13-04",),
+                                ("4/3/2022 1:2:3",)], "s string")
+    got = [r[0] for r in df.select(parse_day_first(F.col("s"))).collect()]
+    assert got == [dt.datetime(2022, 3, 4, 10, 5, 6, 500000), dt.datetime(2022, 3, 4, 10, 5), None,
+                   dt.datetime(2022, 3, 4, 1, 2, 3)]
+    own = [r[0] for r in df.select(parse_day_first(F.col("s"), ["yyyy-M-d"])).collect()]
+    assert own[3] is None
+
+
+def test_integral_decimals_are_read_and_failures_counted(spark):
+    p = _write("dataNotificacao,municipioIBGE,codigoResultadoTeste1,idade\n4/3/2022,1501402.0,2.0,34\n"
+               "2022-03-05,1501402,1.5,x\n6/3/2022,NA,1e0,\n")
+    rows = [tuple(r) for r in S.read_notifications(spark, p, check=True).orderBy("id_notificacao").select(
+        "municipioIBGE", "codigoResultadoTeste1", "idade").collect()]
+    assert rows == [(1501402, 2, 34.0), (1501402, None, None), (None, 1, None)]
+    failed = S.check_typing(S.null_tokens(S.read_csv(spark, p)))
+    assert sorted(failed) == [("codigoResultadoTeste1", 3, 1), ("idade", 2, 1)]
+
+
+def test_a_required_column_that_cant_be_typed_raises(spark):
+    p = _write("dataNotificacao,municipioIBGE\nMarch 4th,1501402\n")
+    with pytest.raises(S.TypingError):
+        S.read_notifications(spark, p, check=True)
+
+
+def test_the_file_position_can_replace_an_id_column(spark):
+    p = _write("id_notificacao,dataNotificacao\n77,4/3/2022\n78,5/3/2022\n")
+    assert [r[0] for r in S.read_notifications(spark, p).select("id_notificacao").collect()] == [77, 78]
+    own = S.read_notifications(spark, p, keep_file_id=False)
+    assert sorted(r[0] for r in own.select("id_notificacao").collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("before,after", [("65536", "262144"), ("262144", "65536")])
+def test_changed_splits_give_right_ids_or_an_error(spark, before, after):
+    d = tempfile.mkdtemp(prefix="vigia-ids-")
+    n, key = 20000, "spark.sql.files.maxPartitionBytes"
+    S.write_csv(spark.range(n).select((F.col("id") + 1).alias("expected"), F.repeat(F.lit("x"), 50).alias("pad")), d,
+                order_by="expected", files=3)
+    old = spark.conf.get(key)
+    try:
+        for freeze in (False, True):
+            spark.conf.set(key, before)
+            out = with_file_row_id(S.read_csv(spark, d), "row_id", freeze=freeze)
+            spark.conf.set(key, after)
+            try:
+                rows = out.select("expected", "row_id").collect()
+            except Exception as e:  # noqa: BLE001
+                assert not freeze and "input splits changed" in str(e)
+                continue
+            assert len(rows) == n and all(int(r.expected) == r.row_id for r in rows)
+    finally:
+        spark.conf.set(key, old)

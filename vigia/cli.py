@@ -22,6 +22,11 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--out", required=True, help="warehouse folder (shared storage on a cluster)")
     e.add_argument("--active-only", action="store_true", help="drop rows flagged as excluded")
     e.add_argument("--multi-line", action="store_true", help="quoted fields may hold newlines")
+    e.add_argument("--date-format", action="append", default=None, metavar="PATTERN",
+                   help="date pattern to try, in order (default: day-first and ISO)")
+    e.add_argument("--allow-bad-cells", action="store_true",
+                   help="load even if cells of required columns can't be typed")
+    e.add_argument("--gate", choices=["fail", "report", "quarantine", "off"], default="fail")
     r = sub.add_parser("report", help="indicators and top lists of a published warehouse")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--state", default=None)
@@ -39,8 +44,9 @@ def main(argv: list[str] | None = None) -> None:
         from .plans.etl import build_warehouse
         from .sources.csv import read_notifications
 
-        raw = read_notifications(spark, args.csv, multi_line=args.multi_line, active_only=args.active_only)
-        wh = build_warehouse(spark, raw, root=args.out)
+        raw = read_notifications(spark, args.csv, multi_line=args.multi_line, active_only=args.active_only,
+                                 date_formats=args.date_format, check=not args.allow_bad_cells)
+        wh = build_warehouse(spark, raw, root=args.out, gate=args.gate)
         print(json.dumps({"warehouse": wh.root, "rows": wh.rows, "seconds": {k: round(v, 2) for k, v in wh.seconds.items()}}))
     else:
         from .plans import indicators as K

@@ -6,37 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
-# Day-first date formats tried in order; the first that parses wins.
-# ``d/M/yyyy`` also accepts zero-padded days and months.
-DAY_FIRST_FORMATS = ["d/M/yyyy"]
+# Date formats tried in order; the first that parses wins.  ``d/M/yyyy`` also
+# accepts zero-padded days and months; no text fits both.
+DAY_FIRST_FORMATS = ["d/M/yyyy", "yyyy-M-d"]
 
-# date part, then an optional "H:m" or "H:m:s" time part
-_DATE_TIME = r"^\s*(\S+?)(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?\s*$"
+# date part, then a valid "H:m", "H:m:s" or "H:m:s.f" time; a zone is read over, the wall clock counts
+_DATE_TIME = (r"^\s*(\S+?)[ T]([01]?\d|2[0-3]):([0-5]?\d)(?::([0-5]?\d(?:\.\d{1,6})?)\d*)?"
+              r"\s*(?:Z|[+-]\d{2}:?\d{2})?\s*$")
 
 
 def parse_day_first(c: Column, formats: list[str] | None = None) -> Column:
     """Text -> wall-clock timestamp (``TIMESTAMP_NTZ``), day first; anything
-    unparseable (31/02, ISO text, plain numbers) becomes NULL.
+    unparseable (31/02, plain numbers) becomes NULL.  ISO dates and date-times
+are read too.
 
     Order independent: every row is parsed on its own, never with a format
     guessed from the first row.  Zone free: the date part goes through
-    ``try_to_date`` and the optional time through ``try_make_timestamp_ntz``, so
-    no session time zone (or its daylight-saving gaps) can move the value.
-    Cells without a time part (no ``:``) take a direct ``try_to_date``; only
-    cells with one are split by the regular expression."""
-    fmts = formats or DAY_FIRST_FORMATS
-    text = F.trim(c)
-    date_only = F.coalesce(*[F.try_to_date(text, f) for f in fmts]).cast("timestamp_ntz")
-
-    date_txt = F.nullif(F.regexp_extract(c, _DATE_TIME, 1), F.lit(""))
-    day = F.coalesce(*[F.try_to_date(date_txt, f) for f in fmts])
-
-    def part(i: int) -> Column:
-        return F.coalesce(F.nullif(F.regexp_extract(c, _DATE_TIME, i), F.lit("")).cast("int"), F.lit(0))
-
-    with_time = F.try_make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day), part(2), part(3),
-                                         part(4).cast("decimal(16,6)"))
-    return F.when(F.instr(text, ":") > 0, with_time).otherwise(date_only)
+    ``try_to_date``, and the time of cells that have one (a ``:``) is added to
+    it as an interval, so no session time zone (or its daylight-saving gaps)
+    can move the value."""
+    timed = F.instr(c, ":") > 0
+
+    def part(i: int, kind: str = "int") -> Column:
+        return F.coalesce(F.regexp_extract(c, _DATE_TIME, i).try_cast(kind), F.lit(0).cast(kind))
+
+    date_txt = F.when(timed, F.regexp_extract(c, _DATE_TIME, 1)).otherwise(F.trim(c))
+    day = F.coalesce(*[F.try_to_date(date_txt, f) for f in formats or DAY_FIRST_FORMATS])
+    zero = F.lit(0)
+    time = F.when(timed, F.make_dt_interval(zero, part(2), part(3), part(4, "decimal(18,6)"))).otherwise(
+        F.make_dt_interval(zero, zero, zero, zero.cast("decimal(18,6)")))
+    return day.cast("timestamp_ntz") + time
 
 
 def to_day_first_timestamp(c: Column, dtype: DataType, formats: list[str] | None = None) -> Column:

@@ -230,6 +230,34 @@ def _csv_scan(spark, sf):
     return S.read_notifications(spark, _staged_csv(spark, sf, with_id=False))
 
 
+def _csv_variant(spark, sf, kind: str, change):
+    """The staged notification files with some cells written another way."""
+    def write(path):
+        raw = change(_raw(spark, sf)).withColumn("_pos", F.col("id_notificacao")).drop("id_notificacao")
+        S.write_csv(raw, path, order_by="_pos", drop_order_column=True)
+    return _staged(spark, sf, f"csv-{kind}", write)
+
+
+@query("csv_scan_iso")
+def _csv_scan_iso(spark, sf):
+    """S4 over files whose dates are ISO dates and date-times."""
+    def change(raw):
+        return raw.withColumns({c: F.when(F.col("id_notificacao") % 2 == 0, F.date_format(c, "yyyy-MM-dd"))
+                                .otherwise(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")) for c in S.date_columns(raw)})
+    out = S.read_notifications(spark, _csv_variant(spark, sf, "iso", change))
+    return out.select("id_notificacao", *S.date_columns(out))
+
+
+@query("csv_scan_decimal_codes")
+def _csv_scan_decimal_codes(spark, sf):
+    """Whole-number codes written with a decimal part ("1501402.0")."""
+    def change(raw):
+        codes = [c for c, t in S.NUMERIC_COLUMNS.items() if t == "bigint" and c in raw.columns and c != "id_notificacao"]
+        return raw.withColumns({c: F.col(c).cast("decimal(20,1)").cast("string") for c in codes})
+    out = S.read_notifications(spark, _csv_variant(spark, sf, "decimal", change))
+    return out.select("id_notificacao", *[c for c in S.NUMERIC_COLUMNS if c in out.columns and c != "id_notificacao"])
+
+
 @query("null_tokens")
 def _null_tokens(spark, sf):
     raw = _raw(spark, sf)

@@ -6,8 +6,10 @@
 * S2: the null tokens a pandas read treats as missing become NULL.
 * S3: six listed columns are dropped (absent ones ignored).
 * S4: every column whose lower-cased name contains ``data`` becomes a
-  day-first timestamp; other columns get their declared logical type with
-  ``try_cast`` (a malformed value becomes NULL, never an error).
+  timestamp (day-first or ISO, or the formats given); other columns get their
+  declared logical type, whole numbers also when written with a decimal part
+  ("1501402.0").  A malformed value becomes NULL, never an error, and is
+  counted by ``typing_failures``.
 """
 
 from __future__ import annotations
@@ -68,9 +70,59 @@ def parse_dates(df: DataFrame, formats: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: to_day_first_timestamp(F.col(c), types[c], formats) for c in date_columns(df)})
 
 
+def typed_number(c, kind: str):
+    """Text as a declared numeric type.  Whole-number types also take an
+    integral decimal ("1501402.0", "2.", "1e3"); "1.5" becomes NULL."""
+    if kind == "double":
+        return c.try_cast(kind)
+    exact = c.try_cast("decimal(38,10)")
+    return F.when(exact % 1 == 0, exact.try_cast(kind))
+
+
 def type_columns(df: DataFrame, numeric: dict[str, str] = NUMERIC_COLUMNS) -> DataFrame:
-    """Declared numeric types via ``try_cast`` (bad text -> NULL)."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in numeric.items() if c in df.columns})
+    """Declared numeric types (bad text -> NULL)."""
+    types = dict(df.dtypes)
+    return df.withColumns({c: typed_number(F.col(c), t) if types[c] == "string" else F.col(c).try_cast(t)
+                           for c, t in numeric.items() if c in df.columns})
+
+
+def typing_failures(text: DataFrame, formats: list[str] | None = None,
+                    numeric: dict[str, str] = NUMERIC_COLUMNS) -> DataFrame:
+    """(column, cells, failed) of every typed column of an all-text frame (S1,
+    S2): non-empty cells, and those of them that typing turns into NULL.  One
+    scan and one row per column."""
+    checks = {c: F.col(c).isNotNull() & to_day_first_timestamp(F.col(c), StringType(), formats).isNull()
+              for c in date_columns(text)}
+    checks |= {c: F.col(c).isNotNull() & typed_number(F.col(c), t).isNull()
+               for c, t in numeric.items() if c in text.columns}
+    if not checks:
+        return text.sparkSession.createDataFrame([], "column string, cells long, failed long")
+    names = list(checks)
+    sums = text.agg(*[F.count(c).alias(f"cells_{i}") for i, c in enumerate(names)],
+                    *[F.count_if(checks[c]).alias(f"failed_{i}") for i, c in enumerate(names)])
+    return sums.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"cells_{i}").alias("cells"), F.col(f"failed_{i}").alias("failed"))
+        for i, c in enumerate(names)])))
+
+
+# Columns without which a notification is lost from the warehouse.
+REQUIRED_COLUMNS = ["dataNotificacao", "municipioIBGE"]
+
+
+class TypingError(ValueError):
+    pass
+
+
+def check_typing(text: DataFrame, formats: list[str] | None = None,
+                 required: list[str] = REQUIRED_COLUMNS) -> list[tuple[str, int, int]]:
+    """(column, cells, failed) where cells failed; raises if a required column
+    is among them."""
+    failed = [(r["column"], r["cells"], r["failed"]) for r in
+              typing_failures(text, formats).where("failed > 0").collect()]  # one row per column
+    lost = [f for f in failed if f[0] in required]
+    if lost:
+        raise TypingError("cells of required columns can't be typed (column, cells, failed): " + str(lost))
+    return failed
 
 
 # Spellings of a true "excluded" flag.
@@ -86,7 +138,9 @@ def active_rows(df: DataFrame, flag: str = "excluido") -> DataFrame:
 
 
 def read_notifications(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None,
-                       multi_line: bool = False, with_row_id: bool = True, active_only: bool = False) -> DataFrame:
+                       multi_line: bool = False, with_row_id: bool = True, active_only: bool = False,
+                       date_formats: list[str] | None = None, keep_file_id: bool = True,
+                       check: bool = False) -> DataFrame:
     """S1-S5 chained: read, null tokens, dense file-order id (assigned before
     any filter), optional active-row filter, drop, typing.
 
@@ -97,12 +151,14 @@ def read_notifications(spark: SparkSession, paths: str | list[str], columns: lis
 
     df = read_csv(spark, paths, columns, multi_line)
     df = null_tokens(df)
-    if with_row_id and "id_notificacao" not in df.columns:
+    if check:
+        check_typing(df, date_formats)
+    if with_row_id and not (keep_file_id and "id_notificacao" in df.columns):
         df = with_file_row_id(df, "id_notificacao")
     if active_only:
         df = active_rows(df)
     df = df.drop(*labels.DROPPED_COLUMNS)
-    return type_columns(parse_dates(df))
+    return type_columns(parse_dates(df, date_formats))
 
 
 def write_csv(df: DataFrame, path: str, order_by: str | None = None, date_format: str = "d/M/yyyy",

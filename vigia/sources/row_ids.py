@@ -10,11 +10,18 @@ into partitions largest first).  Instead:
 4. id = offset + (tag - smallest tag of the split) + 1.
 
 Rows of one split are contiguous inside a partition, in file order, so the
-tag difference is the row's position in its split.  Scans of the same files
-with the same settings split and pack identically, so the two passes agree.
+tag difference is the row's position in its split, if both passes cut and deal
+the files alike.  They need not: split sizes follow settings and the number of
+cores, which can change between the passes.  So every row is checked.  Its
+split must be known, and its position must lie within the split's row count.
+A split dealt to another place shifts all its positions by the same number, and
+then its first or its last row lies outside: either every id is right, or the
+read raises.  ``freeze`` writes the tagged rows to the shared folder first and
+reads both passes from there: it never raises, for one more write of the rows.
+
 The per-split table (one row per split, i.e. input bytes / split size, keyed
 by a 64-bit path hash and the block start) is checkpointed once and broadcast
-only after a size check.
+only after a size check (the plan changes with it, the ids don't).
 """
 
 from __future__ import annotations
@@ -28,18 +35,20 @@ from ..operators.ids import partition_offsets
 
 
 def with_file_row_id(df: DataFrame, name: str = "row_id", max_splits_broadcast: int = 1_000_000,
-                     hash_key: bool = True) -> DataFrame:
+                     hash_key: bool = True, freeze: bool = False) -> DataFrame:
     shared_dir(df.sparkSession)  # the checkpoint folder: read from the session, set only if unset
     tagged = df.withColumns({
         "_vg_file": F.col("_metadata.file_path"),
         "_vg_block": F.col("_metadata.file_block_start"),
         "_vg_mono": F.monotonically_increasing_id(),
     })
+    if freeze:
+        tagged = tagged.checkpoint(eager=True)
     splits = (tagged.groupBy("_vg_file", "_vg_block")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_vg_mono").alias("_vg_first"))
               .withColumn("_vg_split", F.struct("_vg_file", "_vg_block")))
     offsets = (partition_offsets(splits, "_vg_split")
-               .select(F.xxhash64("_vg_file").alias("_vg_fh"), "_vg_file", "_vg_block", "_vg_first", "_off")
+               .select(F.xxhash64("_vg_file").alias("_vg_fh"), "_vg_file", "_vg_block", "_vg_first", "_n", "_off")
                .checkpoint(eager=True))
     # The broadcast side is keyed by (64-bit hash of the path, block start):
     # about 32 bytes per split instead of the path text.  Exact or nothing: if
@@ -47,10 +56,14 @@ def with_file_row_id(df: DataFrame, name: str = "row_id", max_splits_broadcast:
     collide = (not hash_key or
                offsets.groupBy("_vg_fh", "_vg_block").count().filter(F.col("count") > 1).limit(1).count() > 0)
     if collide:
-        keys, side = ["_vg_file", "_vg_block"], offsets.select("_vg_file", "_vg_block", "_vg_first", "_off")
+        keys, side = ["_vg_file", "_vg_block"], offsets.select("_vg_file", "_vg_block", "_vg_first", "_n", "_off")
     else:
-        keys, side = ["_vg_fh", "_vg_block"], offsets.select("_vg_fh", "_vg_block", "_vg_first", "_off")
+        keys, side = ["_vg_fh", "_vg_block"], offsets.select("_vg_fh", "_vg_block", "_vg_first", "_n", "_off")
         tagged = tagged.withColumn("_vg_fh", F.xxhash64("_vg_file"))
-    return (tagged.join(sized_broadcast(side, max_splits_broadcast), keys)
-            .withColumn(name, F.col("_off") + F.col("_vg_mono") - F.col("_vg_first") + 1)
-            .drop("_vg_file", "_vg_block", "_vg_fh", "_vg_mono", "_vg_first", "_off"))
+    place = F.col("_vg_mono") - F.col("_vg_first")
+    # no comparison with a null (unknown split) is true
+    sure = F.when((place >= 0) & (place < F.col("_n")), F.col("_off") + place + 1).otherwise(F.raise_error(F.lit(
+        "input splits changed between the two passes over the files: row ids would be wrong; read again, or freeze")))
+    return (tagged.join(sized_broadcast(side, max_splits_broadcast), keys, "left")
+            .withColumn(name, sure)
+            .drop("_vg_file", "_vg_block", "_vg_fh", "_vg_mono", "_vg_first", "_n", "_off"))

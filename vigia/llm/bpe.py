@@ -21,7 +21,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from .rows import attach
 #: Bytes up to which a piece is merged directly.
 LEAF = 5
 #: Entries that the worker's memos hold before they start anew (speed only).
-CHUNKS, PIECES = 300_000, 600_000
+CHUNKS, PIECES = 500_000, 600_000
 #: Longer strings are never memoised.
 MEMO_CHARS = 64
 #: Where cutting at single spaces could change a match of the pattern.
@@ -132,39 +131,37 @@ class TextEncoder:
         encoder, self.pattern = self, regex.compile(pattern)
 
         class Pieces(dict):
-            def __missing__(self, piece: str) -> tuple[int, ...]:
-                got = piece_ids(piece)
+            def __missing__(self, piece: str) -> bytes:
+                got = np.array(piece_ids(piece), dtype="<i4").tobytes()
                 if len(piece) <= MEMO_CHARS:
                     self[piece] = got
                 return got
 
         class Words(dict):
-            def __missing__(self, word: str) -> tuple[int, ...]:
+            def __missing__(self, word: str) -> bytes:
                 got = encoder.by_pattern(" " + word)
                 if len(word) <= MEMO_CHARS:
-                    self[word] = got = tuple(got)
+                    self[word] = got
                 return got
 
         self.pieces, self.words = Pieces(), Words()
 
-    def by_pattern(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text))))
+    def by_pattern(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
-    def ids(self, text: str) -> list[int]:
+    def ids(self, text: str) -> np.ndarray:
+        """The ids (int32); words are held as packed ids, so a text is one
+        concatenation of them."""
         if _SPACES.search(text):
             out = self.by_pattern(text)
         else:
             first, *words = text.split(" ")
-            if text.startswith(" ") and words:
-                out = []
-            else:
-                out = self.by_pattern(first)
-            out.extend(chain.from_iterable(map(self.words.__getitem__, words)))
+            out = self.by_pattern(first) + b"".join(map(self.words.__getitem__, words))
         if len(self.pieces) > PIECES:
             self.pieces.clear()
         if len(self.words) > CHUNKS:
             self.words.clear()
-        return out
+        return np.frombuffer(out, dtype="<i4")
 
 
 def concat_tree(parts: list[bytes]) -> bytes:
@@ -196,8 +193,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",
     clashing ``ids_col`` raises."""
     def make():
         encoder = shared_encoder(rank_path, pattern, leaf)
-        return lambda texts: pa.array([np.array(encoder.ids(t or ""), dtype=np.int32) for t in texts],
-                                      type=pa.list_(pa.int32()))
+        return lambda texts: pa.array([encoder.ids(t or "") for t in texts], type=pa.list_(pa.int32()))
 
     return attach(df, text_col, ids_col, "array<int>", make)
 

@@ -176,16 +176,16 @@ def vocabulary_encoder(path: str):
     whole = Tokenizer.from_file(path)
     if (said["normalizer"] or said["model"]["type"] != "BPE" or pre["type"] != "ByteLevel"
             or pre["add_prefix_space"] or not pre["use_regex"]):
-        return lambda text: whole.encode(text, add_special_tokens=False).ids
+        return lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<i4")
     added = [t["content"] for t in said["added_tokens"]]
     code = byte_of()
     ranks = {bytes(map(code.__getitem__, t)): i for t, i in said["model"]["vocab"].items() if t not in added}
     merges = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
     encoder = TextEncoder(BYTE_LEVEL_PATTERN, lambda piece: tuple(merges.encode_ordinary(piece)))
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> np.ndarray:
         if any(t in text for t in added):
-            return whole.encode(text, add_special_tokens=False).ids
+            return np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<i4")
         return encoder.ids(text)
     return encode
 
@@ -215,7 +215,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CA
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode(text.as_py()), end_id], dtype="<u4")
+                ids = np.append(encode(text.as_py()), end_id).astype("<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
                     part = ids[start:start + length]
                     row = (doc_id, k, start, length, zlib.crc32(part.tobytes()), task, seen[length])

@@ -39,7 +39,7 @@ def test_warehouse_is_clean(wh):
 def test_quarantine_splits_rows(spark):
     df = spark.createDataFrame([(1, -1), (2, 5), (3, None)], "id long, age int")
     v = Q.check_violations(df, "t", ["id"], {"age >= 0": F.col("age") >= 0})
-    good, bad = Q.quarantine(df, v, ["id"], "t")
+    good, bad = Q.quarantine(df, v, "t")
     assert sorted(r.id for r in good.collect()) == [2, 3]
     assert [r.id for r in bad.collect()] == [1]
 
@@ -67,3 +67,50 @@ def test_rules_on_absent_columns_give_no_rows(spark):
     df = spark.createDataFrame([(1,)], "id long")
     assert Q.not_null_violations(df, "t", ["id"], ["missing"]).count() == 0
     assert Q.type_fit_violations(df, "t", ["id"], {"missing": ("varchar", 2)}).count() == 0
+
+
+def test_quarantine_matches_the_columns_a_rule_names(spark):
+    df = spark.createDataFrame([(1, 5, "x"), (2, 5, "y"), (5, 7, "z"), (6, None, "NULL"), (7, None, None)],
+                               "id long, code long, name string")
+    v = Q.unique_violations(df, "t", ["code"]).unionByName(Q.not_null_violations(df, "t", ["name"], ["name"]))
+    good, bad = Q.quarantine(df, v, "t")
+    assert sorted(r.id for r in good.collect()) == [5, 6] and sorted(r.id for r in bad.collect()) == [1, 2, 7]
+
+
+def test_quarantine_keys_with_separators_stay_apart(spark):
+    df = spark.createDataFrame([("a|b", "c", -1), ("a", "b|c", 1)], "k string, l string, n int")
+    good, bad = Q.quarantine(df, Q.check_violations(df, "t", ["k", "l"], {"n >= 0": F.col("n") >= 0}), "t")
+    assert [r.k for r in good.collect()] == ["a"] and [r.k for r in bad.collect()] == ["a|b"]
+
+
+def test_rules_of_the_seed_indicator_and_log_tables(spark):
+    types = spark.createDataFrame([(1, "a"), (1, "a"), (40000, None)], "id_tipo_teste int, descricao_tipo_teste string")
+    rate = spark.createDataFrame([(1, 99, None, 1000.0), (2, 99, None, 10.0)],
+                                 "id_indicador int, fk_localidade int, data_referencia date, taxa_positividade double")
+    log = spark.createDataFrame([(1, None, "TRUNCATE ALL")], "id_log long, tabela_afetada string, operacao string")
+    places = spark.createDataFrame([(1, 1501402)], "id_localidade int, codigo_ibge_municipio int")
+    found = Q.warehouse_violations({"dim_tipos_testes": types, "indicadores_municipais": rate, "log_alteracoes": log,
+                                    "dim_localidades": places}).collect()
+    got = {(r.rule, r.table_name, r.detail) for r in found}
+    assert {("unique", "dim_tipos_testes", "rows=2"), ("type_fit", "dim_tipos_testes", "id_tipo_teste:smallint"),
+            ("not_null", "dim_tipos_testes", "descricao_tipo_teste"),
+            ("not_null", "indicadores_municipais", "data_referencia"),
+            ("type_fit", "indicadores_municipais", "taxa_positividade:numeric(5,2)"),
+            ("foreign_key", "indicadores_municipais", "fk_localidade->dim_localidades.id_localidade"),
+            ("not_null", "log_alteracoes", "tabela_afetada"),
+            ("type_fit", "log_alteracoes", "operacao:varchar(10)")} <= got
+
+
+def test_gate_quarantine_moves_rows_and_what_hangs_on_them(spark, wh):
+    from vigia.plans.etl import build_warehouse, load_warehouse
+    from vigia.session import fresh_dir
+    bad = wh["clean"].withColumn("idade", F.when(F.col("id_notificacao") == 3, F.lit(-5)).otherwise(F.col("idade")))
+    root = fresh_dir(spark, "quarantine")
+    built = build_warehouse(spark, bad, root=root, gate="quarantine")
+    for got in (built, load_warehouse(spark, root)):
+        assert [r.id_notificacao for r in got["_quarantine_fato_notificacoes"].collect()] == [3]
+        assert got["fato_notificacoes"].filter("id_notificacao = 3").count() == 0
+        for name in ("fato_notificacao_sintoma", "fato_notificacao_condicao", "fato_testes_realizados"):
+            assert got[name].filter("fk_notificacao = 3").count() == 0
+            assert (got[name].count() + got[f"_quarantine_{name}"].count() == wh[name].count())
+        assert got["fato_notificacoes"].count() == wh["fato_notificacoes"].count() - 1

@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows (cheap on a materialised dimension)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Bytes of them at most (text counts in full, every other column as 8 bytes).
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
+    bytes.  One aggregate with a partial sum per partition: a single row per
+    partition is shuffled, however many rows there are."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{n}`")), F.lit(0)) if t == "string" else F.lit(8)
+                 for n, t in df.dtypes), F.lit(0))
+    got = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width.cast("long")).alias("bytes")).first()
+    return got["rows"] <= max_rows and (got["bytes"] or 0) <= max_bytes
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, materialize: bool = False,

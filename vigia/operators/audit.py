@@ -38,9 +38,16 @@ def row_image(cols: list[str], prefix: str = "") -> Column:
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, table: str) -> DataFrame:
-    cols = old.columns
-    o = old.select(F.col(key).alias("_k"), F.struct(*cols).alias("_old"))
-    n = new.select(F.col(key).alias("_k"), F.struct(*cols).alias("_new"))
+    """A1-A3.  Columns of either snapshot count; one that a snapshot lacks is
+    read as null there."""
+    cols = old.columns + [c for c in new.columns if c not in old.columns]
+
+    def whole(df: DataFrame, other: DataFrame) -> Column:
+        types = dict(other.dtypes)
+        return F.struct(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in cols])
+
+    o = old.select(F.col(key).alias("_k"), whole(old, new).alias("_old"))
+    n = new.select(F.col(key).alias("_k"), whole(new, old).alias("_new"))
     j = o.join(n, "_k", "full_outer")
     op = (F.when(F.col("_old").isNull(), F.lit("INSERT"))
           .when(F.col("_new").isNull(), F.lit("DELETE"))
@@ -106,6 +113,23 @@ def with_log_defaults(log: DataFrame) -> DataFrame:
     return log.withColumns({"data_alteracao": F.current_timestamp(), "usuario_bd": F.current_user()})
 
 
+def write_log(changes: DataFrame, path: str) -> DataFrame:
+    """A5: append changes to the stored audit log and return the whole log.
+    ``id_log`` goes on from the stored rows, in the order of table, record and
+    operation; change time and database user are filled here."""
+    from ..session import list_names
+    from .ids import dense_index
+
+    spark = changes.sparkSession
+    seen = 0
+    if list_names(spark, path):
+        seen = spark.read.parquet(path).agg(F.max("id_log")).first()[0] or 0
+    numbered = dense_index(changes.select(*LOG_COLUMNS), ["tabela_afetada", "registro_id", "operacao"], "id_log")
+    rows = numbered.withColumn("id_log", F.col("id_log") + F.lit(seen)).select("id_log", *LOG_COLUMNS)
+    with_log_defaults(rows).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def replay(old: DataFrame, log: DataFrame, key: str) -> DataFrame:
     """Apply a snapshot-diff log to the old snapshot: the rows of the new one.
     Deleted and updated keys leave, inserted and updated images (parsed back

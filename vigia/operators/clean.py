@@ -85,20 +85,63 @@ def impute_age_with(df: DataFrame, median, column: str = AGE) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column).cast("double"), fill).cast("int"))
 
 
+# Distinct values of a column that may be sorted on the driver.
+MEDIAN_VALUES = 100_000
+
+
+def exact_median(df: DataFrame, column: str, max_values: int = MEDIAN_VALUES) -> float | None:
+    """Exact median of a column (mean of the middle two; None without values).
+
+    The values are counted in one pruned scan (a partial count per value), and
+    the counts are stored.  While more than ``max_values`` distinct values are
+    left, the range around the median is narrowed by approximate percentiles,
+    whose ranks are then counted exactly; the rest is picked on the driver."""
+    from ..session import shared_dir
+
+    shared_dir(df.sparkSession)
+    counts = (df.select(F.col(column).cast("double").alias("v")).where("v is not null and not isnan(v)")
+              .groupBy("v").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True))
+    total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values")).first()
+    if not total["n"]:
+        return None
+    low, high = (total["n"] - 1) // 2, total["n"] // 2
+    below, left, values = 0, counts, total["values"]
+    while values > max_values:
+        a, b = left.agg(F.percentile_approx("v", [0.45, 0.55], 1000).alias("p")).first()["p"]
+        cut = left.agg(F.sum(F.when(F.col("v") < a, F.col("n")).otherwise(0)).alias("under"),
+                       F.sum(F.when(F.col("v") <= b, F.col("n")).otherwise(0)).alias("upto")).first()
+        if below + cut["under"] > low:
+            left = left.where(F.col("v") < a)
+        elif below + cut["upto"] <= low:
+            left, below = left.where(F.col("v") > b), below + cut["upto"]
+        elif below + cut["upto"] <= high:
+            break  # the middle two lie on both sides of b: settled by the sorted rest
+        else:
+            left, below = left.where(F.col("v").between(a, b)), below + cut["under"]
+        values = left.count()
+    if values > max_values:  # the value of rank low is the largest up to b, that of rank high the next one
+        first = left.where(F.col("v") <= b).agg(F.max("v")).first()[0]
+        second = first if low == high else left.where(F.col("v") > b).agg(F.min("v")).first()[0]
+        return (first + second) / 2
+    found, rank = [], below
+    for r in left.orderBy("v").collect():  # at most max_values rows
+        found += [r["v"]] * sum(rank <= k < rank + r["n"] for k in {low, high})
+        rank += r["n"]
+    return sum(found) / len(found)
+
+
 def clean_deferring_median(df: DataFrame, observation) -> DataFrame:
-    """C1-C5, C7, C8 in one pass, with C6's exact median *observed* in the
-    same pass (over every row, before C8 drops any) instead of computed by a
-    second scan of the input.  Ages stay as read; apply C6 afterwards with
-    ``impute_age_with(df, observation.get["median_age"])`` once the result has
-    been written.  Also observes the rows read and the rows without date."""
+    """C1-C5, C7, C8 in one pass, ages as read: apply C6 afterwards with
+    ``impute_age_with(df, exact_median(input, AGE))``.  The median is that of
+    *every* input row, also of those C8 drops.  Observes, for the log only, the
+    rows read and the rows without a date."""
     out = impute_class(df)
     out = impute_onset(out)
     out = clamp_onset(out)
     out = null_bad_closure(out)
     out = fill_defaults(out).withColumn(AGE, F.col(AGE).cast("double"))
     out = out.observe(observation, F.count(F.lit(1)).alias("rows_read"),
-                      F.sum(F.when(F.col(NOTIF).isNull(), 1).otherwise(0)).alias("rows_without_date"),
-                      F.median(F.col(AGE)).alias("median_age"))
+                      F.sum(F.when(F.col(NOTIF).isNull(), 1).otherwise(0)).alias("rows_without_date"))
     return drop_missing_notification(out)
 
 

@@ -167,11 +167,12 @@ MAKER_SCHEMA = StructType([StructField("id_fabricante", ShortType(), False),
                            StructField("nome_fabricante", StringType(), False)])
 
 
-def seed_dimension(spark: SparkSession, schema: StructType, path: str | None = None) -> DataFrame:
+def seed_dimension(spark: SparkSession, schema: StructType, seed: DataFrame | str | None = None) -> DataFrame:
     """Test-type / manufacturer dimensions are declared but never loaded by
-    the ETL.  Read a seed table when one is given, else an empty frame of the
-    declared schema (so views fall back to their default labels)."""
-    if path:
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
+    the source system's ETL.  A seed (frame or Parquet path) fills one, with the
+    declared types; without it the dimension is empty and views fall back to
+    their default labels."""
+    if seed is None:
+        return spark.createDataFrame([], schema)
+    df = spark.read.parquet(seed) if isinstance(seed, str) else seed
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import sized_broadcast
 
+# What a report shows; violations also name the key columns and hold the typed
+# key (``key_columns``, ``key_json``), by which rows are found again.
 VIOLATION_COLUMNS = ["rule", "table_name", "key", "detail"]
 
 
@@ -33,8 +35,19 @@ def _key(cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
 
+def _typed_key(cols: list[str]) -> Column:
+    """The key columns as JSON: values are quoted by type and NULL is written
+    out, so two keys have the same text only if they are the same key."""
+    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+
+
+def _ids(cols: list[str]) -> list[Column]:
+    return [F.lit(",".join(cols)).alias("key_columns"), _typed_key(cols).alias("key_json")]
+
+
 def _empty(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], "rule string, table_name string, key string, detail string")
+    return df.sparkSession.createDataFrame(
+        [], "rule string, table_name string, key string, detail string, key_columns string, key_json string")
 
 
 def _flagged(df: DataFrame, table: str, key: list[str], rule: str, conds: dict[str, Column]) -> DataFrame:
@@ -44,8 +57,9 @@ def _flagged(df: DataFrame, table: str, key: list[str], rule: str, conds: dict[s
     names = F.array(*[F.when(c, F.lit(n)) for n, c in conds.items()])
     hit = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conds.values()])
     return (df.filter(hit)
-            .select(_key(key).alias("key"), F.explode(F.filter(names, lambda x: x.isNotNull())).alias("detail"))
-            .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "key", "detail"))
+            .select(_key(key).alias("key"), F.explode(F.filter(names, lambda x: x.isNotNull())).alias("detail"), *_ids(key))
+            .select(F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), "key", "detail", "key_columns",
+                    "key_json"))
 
 
 def not_null_violations(df: DataFrame, table: str, key: list[str], columns: list[str]) -> DataFrame:
@@ -60,7 +74,7 @@ def unique_violations(df: DataFrame, table: str, key: list[str]) -> DataFrame:
     return (df.filter(nonnull).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
             .filter(F.col("_n") > 1)
             .select(F.lit("unique").alias("rule"), F.lit(table).alias("table_name"), _key(key).alias("key"),
-                    F.concat(F.lit("rows="), F.col("_n").cast("string")).alias("detail")))
+                    F.concat(F.lit("rows="), F.col("_n").cast("string")).alias("detail"), *_ids(key)))
 
 
 def check_violations(df: DataFrame, table: str, key: list[str], checks: dict[str, Column]) -> DataFrame:
@@ -97,7 +111,7 @@ def orphan_violations_many(checks: list[tuple]) -> DataFrame:
         mine = missing.filter(F.col("_check") == i).select(F.col("_key").alias("_fk"))
         frames.append(child.join(mine, F.col(fk).cast("bigint") == F.col("_fk"), "left_semi")
                       .select(F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"),
-                              _key(key).alias("key"), F.lit(f"{fk}->{parent_name}.{pk}").alias("detail")))
+                              _key(key).alias("key"), F.lit(f"{fk}->{parent_name}.{pk}").alias("detail"), *_ids(key)))
     return union_all(frames)
 
 
@@ -155,15 +169,25 @@ def gate(violations: DataFrame, mode: str = "report") -> DataFrame:
     return violations
 
 
-def quarantine(df: DataFrame, violations: DataFrame, key: list[str], table: str) -> tuple[DataFrame, DataFrame]:
-    """``quarantine`` mode: split ``df`` into (clean rows, quarantined rows) by
-    the keys that have a violation for ``table``.  The bad-key set is
-    checkpointed and broadcast only when a size check proves it small."""
-    bad = (violations.filter(F.col("table_name") == table).select(F.col("key").alias("_bad")).distinct())
-    bad = sized_broadcast(bad, materialize=True)
-    k = _key(key)
-    return (df.join(bad, k == F.col("_bad"), "left_anti"),
-            df.join(bad, k == F.col("_bad"), "left_semi"))
+def quarantine(df: DataFrame, violations: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """``quarantine`` mode: split ``df`` into (clean rows, rows that break a
+    rule of ``table``).  Each violation is matched on the columns it names, by
+    typed values and with NULL equal to NULL only: a duplicate ``code = 5``
+    takes the rows with that code, not the row whose id is 5.  One join per
+    set of key columns (as many as the table has rules at most); the keys are
+    broadcast only after a size check."""
+    mine = violations.filter(F.col("table_name") == table)
+    out, flags = df, []
+    for (named,) in sorted(tuple(r) for r in mine.select("key_columns").distinct().collect()):
+        flag = f"_broken_{len(flags)}"
+        bad = sized_broadcast(mine.filter(F.col("key_columns") == named).select(F.col("key_json").alias(flag)).distinct(),
+                              materialize=True)
+        out = out.join(bad, _typed_key(named.split(",")) == F.col(flag), "left")
+        flags.append(flag)
+    if not flags:
+        return df, df.limit(0)
+    broken = F.coalesce(*flags).isNotNull()
+    return out.filter(~broken).drop(*flags), out.filter(broken).drop(*flags)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -177,6 +201,13 @@ NOT_NULL = {
     "dim_evolucao_caso": (["id_evolucao"], ["id_evolucao", "descricao_evolucao"]),
     "dim_raca_cor": (["id_raca_cor"], ["id_raca_cor", "descricao_raca_cor"]),
     "dim_sintomas": (["id_sintoma"], ["id_sintoma", "nome_sintoma"]),
+    "dim_tipos_testes": (["id_tipo_teste"], ["id_tipo_teste", "descricao_tipo_teste"]),
+    "dim_fabricantes": (["id_fabricante"], ["id_fabricante", "nome_fabricante"]),
+    "fato_notificacao_sintoma": (["fk_notificacao", "fk_sintoma"], ["fk_notificacao", "fk_sintoma"]),
+    "fato_notificacao_condicao": (["fk_notificacao", "fk_condicao"], ["fk_notificacao", "fk_condicao"]),
+    "indicadores_municipais": (["id_indicador"], ["id_indicador", "data_referencia", "taxa_positividade", "total_testes",
+                                                  "total_positivos"]),
+    "log_alteracoes": (["id_log"], ["id_log", "tabela_afetada", "operacao"]),
     "fato_notificacoes": (["id_notificacao"], ["id_notificacao", "profissional_saude", "profissional_seguranca",
                                                "data_notificacao", "data_inicio_sintomas", "classificacao_final"]),
 }
@@ -186,6 +217,10 @@ UNIQUE = {
     "dim_evolucao_caso": [["id_evolucao"], ["descricao_evolucao"]],
     "dim_raca_cor": [["id_raca_cor"], ["descricao_raca_cor"]],
     "dim_sintomas": [["id_sintoma"], ["nome_sintoma"]],
+    "dim_tipos_testes": [["id_tipo_teste"], ["descricao_tipo_teste"]],
+    "dim_fabricantes": [["id_fabricante"], ["nome_fabricante"]],
+    "indicadores_municipais": [["id_indicador"], ["fk_localidade", "data_referencia"]],
+    "log_alteracoes": [["id_log"]],
     "fato_notificacoes": [["id_notificacao"]],
     "fato_notificacao_sintoma": [["fk_notificacao", "fk_sintoma"]],
     "fato_notificacao_condicao": [["fk_notificacao", "fk_condicao"]],
@@ -201,6 +236,7 @@ FOREIGN = [
     ("fato_notificacao_condicao", ["fk_notificacao", "fk_condicao"], "fk_notificacao", "fato_notificacoes", "id_notificacao"),
     ("fato_notificacao_condicao", ["fk_notificacao", "fk_condicao"], "fk_condicao", "dim_condicoes", "id_condicao"),
     ("fato_testes_realizados", ["fk_notificacao", "test_number"], "fk_notificacao", "fato_notificacoes", "id_notificacao"),
+    ("indicadores_municipais", ["id_indicador"], "fk_localidade", "dim_localidades", "id_localidade"),
 ]
 TYPE_FIT = {
     "dim_localidades": (["id_localidade"], {"estado_uf": ("varchar", 2), "estado_nome": ("varchar", 50),
@@ -209,6 +245,12 @@ TYPE_FIT = {
     "dim_evolucao_caso": (["id_evolucao"], {"id_evolucao": ("smallint",), "descricao_evolucao": ("varchar", 50)}),
     "dim_raca_cor": (["id_raca_cor"], {"id_raca_cor": ("smallint",), "descricao_raca_cor": ("varchar", 50)}),
     "dim_sintomas": (["id_sintoma"], {"id_sintoma": ("smallint",), "nome_sintoma": ("varchar", 100)}),
+    "dim_tipos_testes": (["id_tipo_teste"], {"id_tipo_teste": ("smallint",), "descricao_tipo_teste": ("varchar", 100)}),
+    "dim_fabricantes": (["id_fabricante"], {"id_fabricante": ("smallint",), "nome_fabricante": ("varchar", 100)}),
+    "indicadores_municipais": (["id_indicador"], {"taxa_positividade": ("numeric", 5, 2), "total_testes": ("int",),
+                                                  "total_positivos": ("int",)}),
+    "log_alteracoes": (["id_log"], {"tabela_afetada": ("varchar", 50), "operacao": ("varchar", 10),
+                                      "usuario_bd": ("varchar", 100)}),
     "fato_notificacoes": (["id_notificacao"], {
         "sexo": ("varchar", 20), "codigo_cbo": ("varchar", 255), "classificacao_final": ("varchar", 50),
         "codigo_recebeu_vacina": ("smallint",), "codigo_doses_vacina": ("varchar", 100),
@@ -258,7 +300,8 @@ def hidden_from_views(fact: DataFrame) -> DataFrame:
     between the fact and the views is visible."""
     return (fact.filter(F.col("fk_localidade_residencia").isNull())
             .select(F.lit("hidden_from_views").alias("rule"), F.lit("fato_notificacoes").alias("table_name"),
-                    _key(["id_notificacao"]).alias("key"), F.lit("fk_localidade_residencia").alias("detail")))
+                    _key(["id_notificacao"]).alias("key"), F.lit("fk_localidade_residencia").alias("detail"),
+                    *_ids(["id_notificacao"])))
 
 
 def warehouse_violations(tables: dict[str, DataFrame], include_not_null: bool = True,

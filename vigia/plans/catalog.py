@@ -380,17 +380,17 @@ def _distinct_values(spark, sf):
 @query("dq_not_null")
 def _dq_not_null(spark, sf):
     t = _wh(spark, sf)
-    frames = [Q.not_null_violations(t[n], n, k, cols) for n, (k, cols) in Q.NOT_NULL.items()]
+    frames = [Q.not_null_violations(t[n], n, k, cols) for n, (k, cols) in Q.NOT_NULL.items() if n in t]
     frames.append(Q.not_null_violations(_raw(spark, sf), "raw_notificacoes", ["id_notificacao"], ["dataNotificacao"]))
-    return Q.union_all(frames)
+    return Q.union_all(frames).select(*Q.VIOLATION_COLUMNS)
 
 
 @query("dq_unique")
 def _dq_unique(spark, sf):
     t = _wh(spark, sf)
-    frames = [Q.unique_violations(t[n], n, k) for n, keys in Q.UNIQUE.items() for k in keys]
+    frames = [Q.unique_violations(t[n], n, k) for n, keys in Q.UNIQUE.items() if n in t for k in keys]
     frames.append(Q.unique_violations(fact_table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]))
-    return Q.union_all(frames)
+    return Q.union_all(frames).select(*Q.VIOLATION_COLUMNS)
 
 
 @query("dq_check")
@@ -400,7 +400,7 @@ def _dq_check(spark, sf):
     return Q.check_violations(t["fato_notificacoes"], "fato_notificacoes", ["id_notificacao"], Q.fact_checks()).unionByName(
         Q.check_violations(raw, "raw_notificacoes", ["id_notificacao"],
                            {"dataInicioSintomas <= dataNotificacao": F.col("dataInicioSintomas") <= F.col("dataNotificacao"),
-                            "idade >= 0": F.col("idade") >= 0}))
+                            "idade >= 0": F.col("idade") >= 0})).select(*Q.VIOLATION_COLUMNS)
 
 
 @query("dq_orphans")
@@ -411,19 +411,64 @@ def _dq_orphans(spark, sf):
     kept = table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
     checks.append((fact_table(spark, sf, "orders"), "orders", ["o_orderkey"], "o_custkey", kept, "c_custkey",
                    "customer"))
-    return Q.orphan_violations_many(checks)
+    return Q.orphan_violations_many(checks).select(*Q.VIOLATION_COLUMNS)
 
 
 @query("dq_hidden_rows")
 def _dq_hidden_rows(spark, sf):
     """Fact rows no view shows (unknown residence), reported rather than fixed."""
-    return Q.hidden_from_views(_wh(spark, sf)["fato_notificacoes"])
+    return Q.hidden_from_views(_wh(spark, sf)["fato_notificacoes"]).select(*Q.VIOLATION_COLUMNS)
 
 
 @query("dq_type_fit")
 def _dq_type_fit(spark, sf):
     t = _wh(spark, sf)
-    return Q.union_all([Q.type_fit_violations(t[n], n, k, spec) for n, (k, spec) in Q.TYPE_FIT.items()])
+    frames = [Q.type_fit_violations(t[n], n, k, spec) for n, (k, spec) in Q.TYPE_FIT.items() if n in t]
+    # values that don't fit: every rule kind but int on the order and part tables
+    frames.append(Q.type_fit_violations(fact_table(spark, sf, "orders"), "orders", ["o_orderkey"], {
+        "o_totalprice": ("numeric", 7, 2), "o_orderkey": ("smallint",), "o_orderpriority": ("varchar", 10)}))
+    return Q.union_all(frames).select(*Q.VIOLATION_COLUMNS)
+
+
+@query("dq_quarantine")
+def _dq_quarantine(spark, sf):
+    """Order lines that break a CHECK or a UNIQUE rule (by two different keys)
+    are moved; every line is returned with where it went."""
+    lines = fact_table(spark, sf, "lineitem")
+    broken = Q.check_violations(lines, "lineitem", ["l_orderkey", "l_linenumber"],
+                                {"l_quantity <= 45": F.col("l_quantity") <= 45}).unionByName(
+        Q.unique_violations(lines, "lineitem", ["l_partkey", "l_shipdate"]))
+    good, bad = Q.quarantine(lines, broken, "lineitem")
+    return (good.select("l_orderkey", "l_linenumber", "l_quantity", F.lit(False).alias("moved"))
+            .unionByName(bad.select("l_orderkey", "l_linenumber", "l_quantity", F.lit(True).alias("moved"))))
+
+
+@query("cascade_survivors")
+def _cascade_survivors(spark, sf):
+    """The rows themselves that ON DELETE CASCADE leaves in the symptom bridge."""
+    deleted = _raw(spark, sf).filter(F.col("excluido")).select("id_notificacao")
+    bridge = _wh(spark, sf)["fato_notificacao_sintoma"]
+    return Q.cascade_delete({"b": (bridge, "fk_notificacao")}, deleted, "id_notificacao")["b"]
+
+
+@query("indicator_table")
+def _indicator_table(spark, sf):
+    return _wh(spark, sf)["indicadores_municipais"]
+
+
+@query("laboratory_analysis_seeded")
+def _laboratory_analysis_seeded(spark, sf):
+    """V5 with seeded test types and makers: some codes match, others fall
+    back.  The seeds are distinct part brands and supplier names, by code."""
+    types = table(spark, sf, "part").select("p_brand").distinct().withColumn(
+        "id_tipo_teste", F.substring("p_brand", 7, 1).cast("int")).groupBy("id_tipo_teste").agg(
+        F.min("p_brand").alias("descricao_tipo_teste")).filter("id_tipo_teste <= 2")
+    makers = table(spark, sf, "supplier").filter("s_suppkey <= 4").select(
+        F.col("s_suppkey").alias("id_fabricante"), F.col("s_name").alias("nome_fabricante"))
+    t = dict(_wh(spark, sf))
+    t["dim_tipos_testes"] = D.seed_dimension(spark, D.TEST_TYPE_SCHEMA, types)
+    t["dim_fabricantes"] = D.seed_dimension(spark, D.MAKER_SCHEMA, makers)
+    return V.laboratory_analysis(t)
 
 
 @query("cascade_delete")
@@ -470,6 +515,14 @@ def _audit_snapshot_diff(spark, sf):
     return A.snapshot_diff(old, new, "o_orderkey", "orders")
 
 
+@query("audit_log_table")
+def _audit_log_table(spark, sf):
+    """The stored log of the order snapshots, without time and user."""
+    old, new = _order_snapshots(spark, sf)
+    log = A.write_log(A.snapshot_diff(old, new, "o_orderkey", "orders"), fresh_dir(spark, "audit-log"))
+    return log.drop("data_alteracao", "usuario_bd")
+
+
 @query("audit_change_log")
 def _audit_change_log(spark, sf):
     ev = table(spark, sf, "events")

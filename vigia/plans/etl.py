@@ -20,18 +20,21 @@ bridge, fact x tests) are sort-merge joins with no exchange on either side.
 Dimensions are small plain parquet tables.
 
 Row counts (rows read, rows dropped for a missing date, rows per table) are
-collected with ``observe`` while each table is written: no extra job.  So is
-the exact median age of C6: the stage is written in one pass over the input
-with ages as read, and the imputation is a projection over the stage read
-(the median is kept in the publish marker for later readers).
+collected with ``observe`` while each table is written, for the log.  C6's
+exact median is counted beforehand in a scan of the age column alone; the stage
+holds ages as read, and the imputation is a projection over the stage read (the
+median is kept in the publish pointer for later readers).
 
 Order of the source system: five dimensions, the main fact, the two bridges,
-then the tests fact.  A failing step raises; tables are only published (the
-``_PUBLISHED`` marker) after all steps and the integrity gate succeed.
+then the tests fact.  A build writes into a run folder of its own and is
+published, after all steps and the integrity gate, by one small pointer file
+that appears whole or not at all.  A failing step or gate raises and removes
+the run; readers keep the version they had.
 """
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 import uuid
@@ -45,12 +48,13 @@ from ..operators import dims as D
 from ..operators import facts as J
 from ..operators import quality as Q
 from ..operators.reshape import test_fact
-from ..session import fresh_dir
+from ..session import delete_path, fresh_dir, list_names, write_once
 from ..sources.fixture import raw_notifications
 
 DIMENSIONS = ["dim_localidades", "dim_sintomas", "dim_condicoes", "dim_raca_cor", "dim_evolucao_caso"]
 FACTS = ["fato_notificacoes", "fato_notificacao_sintoma", "fato_notificacao_condicao", "fato_testes_realizados"]
 SEEDS = ["dim_tipos_testes", "dim_fabricantes"]
+INDICATORS = ["indicadores_municipais"]
 
 # Session setting naming the bucket count of the id-bucketed tables.
 BUCKETS_CONF = "vigia.warehouse.buckets"
@@ -64,6 +68,8 @@ class Warehouse:
     rows: dict[str, int] = field(default_factory=dict)
     buckets: int = 0
     median_age: float | None = None
+    run: str = ""  # the run folder that holds the tables
+    catalog: list[str] = field(default_factory=list)  # names registered for the bucketed tables
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -74,13 +80,32 @@ class Warehouse:
             df.createOrReplaceTempView(name)
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """``vigia.warehouse.buckets`` when set, else the cluster's core count:
-    one bucket per core, so a co-located join runs on every core at once."""
+    def close(self, spark: SparkSession) -> None:
+        """Drop the catalog entries of the bucketed tables (not their files)."""
+        for name in self.catalog:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.catalog = []
+
+
+# Input bytes a bucket of the id-bucketed tables should stand for.
+BUCKET_BYTES = 256 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame reads, as the planner knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def default_buckets(spark: SparkSession, raw: DataFrame | None = None) -> int:
+    """``vigia.warehouse.buckets`` when set, else one bucket for every
+    ``BUCKET_BYTES`` of input, and at least one for each core.  The number is
+    frozen into the tables, so it follows the data rather than the executors
+    that happen to be there."""
     conf = spark.conf.get(BUCKETS_CONF, None)
     if conf:
         return int(conf)
-    return max(1, spark.sparkContext.defaultParallelism)
+    return max(1, spark.sparkContext.defaultParallelism, -(-input_bytes(raw) // BUCKET_BYTES) if raw is not None else 1)
 
 
 class _Steps:
@@ -91,13 +116,14 @@ class _Steps:
         self.prefix = "vigia_" + uuid.uuid4().hex[:10]
 
     def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None,
-            extra: dict[str, F.Column] | None = None) -> DataFrame:
+            extra: dict[str, F.Column] | None = None, register_as: str | None = None) -> DataFrame:
         t0 = time.perf_counter()
         obs = Observation(f"rows_{name}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                         *[c.alias(k) for k, c in (extra or {}).items()])
         if bucket_by:
-            tname = f"{self.prefix}_{name}"
+            tname = f"{self.prefix}_{register_as or name}"
+            self.wh.catalog.append(tname)
             (df.write.mode("overwrite").option("path", path)
              .bucketBy(self.wh.buckets, bucket_by).saveAsTable(tname))
             out = self.spark.table(tname)
@@ -114,17 +140,50 @@ class _Steps:
 
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
-                    gate: bool | str = True, buckets: int | None = None) -> Warehouse:
+                    gate: bool | str = True, buckets: int | None = None,
+                    seeds: dict[str, DataFrame] | None = None) -> Warehouse:
     """Build and publish the warehouse from raw notification records.
 
-    ``gate``: ``True`` / ``"fail"`` raises on an integrity violation before
-    publishing; ``"report"`` writes the violations as the ``_violations``
-    table of the warehouse and publishes; ``False`` / ``"off"`` skips it."""
+    ``gate``: ``True`` / ``"fail"`` raises on an integrity violation and leaves
+    the published version as it was; ``"report"`` writes the violations as the
+    ``_violations`` table and publishes; ``"quarantine"`` also moves the rows
+    that break a rule, and what hangs on them, to ``_quarantine_<table>``;
+    ``False`` / ``"off"`` skips the gate.  An input whose rows all lack a date
+    raises, whatever the gate."""
     mode = {True: "fail", False: "off"}.get(gate, gate)
-    if mode not in ("fail", "report", "off"):
-        raise ValueError(f"gate must be fail, report or off, not {gate!r}")
-    root = root or fresh_dir(spark, "warehouse")
-    wh = Warehouse(root, buckets=buckets or default_buckets(spark))
+    if mode not in ("fail", "report", "quarantine", "off"):
+        raise ValueError(f"gate must be fail, report, quarantine or off, not {gate!r}")
+    published = root = (root or fresh_dir(spark, "warehouse")).rstrip("/")
+    wh = Warehouse(published, buckets=buckets or default_buckets(spark, raw))
+    root = wh.run = f"{published}/runs/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    try:
+        _build(spark, raw, root, wh, mode, seeds or {})
+    except BaseException:
+        wh.close(spark)
+        delete_path(spark, root)
+        raise
+    pointer = {"run": root, "buckets": wh.buckets, "median_age": wh.median_age}
+    # run names grow with time: the last pointer is the newest version
+    write_once(spark, f"{published}/published/{root.rsplit('/', 1)[1]}.json", json.dumps(pointer))
+    return wh
+
+
+def published_runs(spark: SparkSession, root: str) -> list[str]:
+    """Names of the published runs, oldest first."""
+    return [n[:-5] for n in list_names(spark, f"{root.rstrip('/')}/published") if n.endswith(".json")]
+
+
+def remove_old_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the last ``keep`` published versions and return their
+    names.  Readers of a removed version fail; call it when none is left."""
+    gone = published_runs(spark, root)[:-keep] if keep else published_runs(spark, root)
+    for name in gone:
+        delete_path(spark, f"{root.rstrip('/')}/published/{name}.json")
+        delete_path(spark, f"{root.rstrip('/')}/runs/{name}")
+    return gone
+
+
+def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode: str, seeds: dict[str, DataFrame]) -> None:
     st = _Steps(spark, wh)
     t = wh.tables
     # Derived tables must see the stage's bucket layout even where no operator
@@ -133,23 +192,25 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     auto_old = spark.conf.get(auto_key)
     spark.conf.set(auto_key, "false")
     try:
-        # one pass over the input: C6's median is observed while the stage is
-        # written, and applied as a projection on the stage read
+        t0 = time.perf_counter()
+        wh.median_age = C.exact_median(raw, C.AGE)
+        wh.seconds["median_age"] = time.perf_counter() - t0
         read = Observation("raw")
         staged = C.clean_deferring_median(raw, read).repartition(wh.buckets, "id_notificacao")
         stage = st.put("clean", staged, f"{root}/stage/clean", bucket_by="id_notificacao")
         got = read.get
         wh.rows["raw"] = int(got.get("rows_read", 0))
         wh.rows["dropped_without_date"] = int(got.get("rows_without_date") or 0)
-        wh.median_age = got.get("median_age")
+        if wh.rows["raw"] and stage.limit(1).count() == 0:
+            raise Q.IntegrityError("no input row has a notification date: the warehouse would be empty")
         clean = t["clean"] = C.impute_age_with(stage, wh.median_age)
         st.put("dim_localidades", D.dim_localities(clean), f"{root}/dim_localidades")
         st.put("dim_sintomas", D.dim_symptoms(clean), f"{root}/dim_sintomas")
         st.put("dim_condicoes", D.dim_conditions(clean), f"{root}/dim_condicoes")
         st.put("dim_raca_cor", D.dim_race(clean), f"{root}/dim_raca_cor")
         st.put("dim_evolucao_caso", D.dim_outcome(clean), f"{root}/dim_evolucao_caso")
-        st.put("dim_tipos_testes", D.seed_dimension(spark, D.TEST_TYPE_SCHEMA), f"{root}/dim_tipos_testes")
-        st.put("dim_fabricantes", D.seed_dimension(spark, D.MAKER_SCHEMA), f"{root}/dim_fabricantes")
+        for name, schema in (("dim_tipos_testes", D.TEST_TYPE_SCHEMA), ("dim_fabricantes", D.MAKER_SCHEMA)):
+            st.put(name, D.seed_dimension(spark, schema, seeds.get(name)), f"{root}/{name}")
         # dimension sizes were observed while they were written: no size-check jobs
         r = wh.rows
         fact = J.fact_notifications(clean, t["dim_localidades"], t["dim_raca_cor"], t["dim_evolucao_caso"],
@@ -168,19 +229,44 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         tests = test_fact(clean)
         st.put("fato_testes_realizados", tests, f"{root}/fato_testes_realizados", bucket_by="fk_notificacao",
                extra=Q.rule_counters("fato_testes_realizados", tests.columns))
+        from .views import indicator_table
+
+        st.put("indicadores_municipais", indicator_table(t), f"{root}/indicadores_municipais")
+        if mode != "off":
+            t0 = time.perf_counter()
+            violations = Q.load_gate_violations(t, {k: v for k, v in wh.rows.items() if k.startswith("broken|")})
+            if mode == "fail":
+                Q.gate(violations, mode="fail")
+            else:
+                violations = st.put("_violations", violations, f"{root}/_violations")
+            if mode == "quarantine":
+                _quarantine(st, violations, root)
+            wh.seconds["integrity_gate"] = time.perf_counter() - t0
     finally:
         spark.conf.set(auto_key, auto_old)
-    if mode != "off":
-        t0 = time.perf_counter()
-        violations = Q.load_gate_violations(wh.tables, {k: v for k, v in wh.rows.items() if k.startswith("broken|")})
-        if mode == "fail":
-            Q.gate(violations, mode="fail")
-        else:
-            wh.tables["_violations"] = st.put("_violations", violations, f"{root}/_violations")
-        wh.seconds["integrity_gate"] = time.perf_counter() - t0
-    spark.createDataFrame([(root, wh.buckets, wh.median_age)], "root string, buckets int, median_age double").write.mode(
-        "overwrite").json(f"{root}/_PUBLISHED")
-    return wh
+
+
+def _quarantine(st: _Steps, violations: DataFrame, root: str) -> None:
+    """Rewrite the facts without the rows that break a rule.  Rows of other
+    facts that belong to a moved notification move with it."""
+    t = st.wh.tables
+    hit = {r[0] for r in violations.select("table_name").distinct().collect()}  # table names
+    if not hit & set(FACTS):
+        return
+    moved = None
+    for name in FACTS:
+        _, key = BUCKETED[name]
+        good, bad = Q.quarantine(t[name], violations, name)
+        if moved is not None:
+            bad = bad.unionByName(good.join(moved, F.col(key) == F.col("_moved"), "left_semi"))
+            good = good.join(moved, F.col(key) == F.col("_moved"), "left_anti")
+        kept = st.put(f"_quarantine_{name}", bad, f"{root}/_quarantine_{name}")
+        st.put(name, good, f"{root}/kept/{name}", bucket_by=key, register_as=f"{name}_kept")
+        if name == FACTS[0]:
+            moved = kept.select(F.col("id_notificacao").alias("_moved")).distinct()
+    from .views import indicator_table
+
+    st.put("indicadores_municipais", indicator_table(t), f"{root}/kept/indicadores_municipais")
 
 
 BUCKETED = {"clean": ("stage/clean", "id_notificacao"), "fato_notificacoes": ("fato_notificacoes", "id_notificacao"),
@@ -193,16 +279,22 @@ def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """Open a published warehouse (in this or another application).  The
     id-bucketed tables are registered again with their bucket spec, so the
     co-located joins of the views keep working without a shuffle."""
-    meta = spark.read.schema("root string, buckets int, median_age double").json(
-        f"{root.rstrip('/')}/_PUBLISHED").first()
-    wh = Warehouse(root, buckets=int(meta["buckets"]), median_age=meta["median_age"])
+    names = published_runs(spark, root)
+    if not names:
+        raise FileNotFoundError(f"no published warehouse in {root}")
+    text = spark.read.text(f"{root.rstrip('/')}/published/{names[-1]}.json", wholetext=True).first()[0]
+    meta = json.loads(text)
+    wh = Warehouse(root, buckets=int(meta["buckets"]), median_age=meta["median_age"], run=meta["run"])
     prefix = "vigia_" + uuid.uuid4().hex[:10]
-    for name in DIMENSIONS + SEEDS:
-        wh.tables[name] = spark.read.parquet(f"{root}/{name}")
+    extra = [n for n in list_names(spark, wh.run) if n.startswith("_")]
+    rewritten = set(list_names(spark, f"{wh.run}/kept"))
+    for name in DIMENSIONS + SEEDS + INDICATORS + extra:
+        wh.tables[name] = spark.read.parquet(f"{wh.run}/kept/{name}" if name in rewritten else f"{wh.run}/{name}")
     for name, (sub, col) in BUCKETED.items():
-        path = f"{root}/{sub}"
+        path = f"{wh.run}/kept/{name}" if name in rewritten else f"{wh.run}/{sub}"
         schema = spark.read.parquet(path).schema
         tname = f"{prefix}_{name}"
+        wh.catalog.append(tname)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY (`{col}`) INTO {wh.buckets} BUCKETS "
                   f"LOCATION '{path}'")
@@ -222,8 +314,12 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, int, str]:
 
 
 def use_warehouse(spark: SparkSession, sf_dir: str, wh: Warehouse) -> None:
-    """Make later ``warehouse_for(spark, sf_dir)`` calls return ``wh``."""
+    """Make later ``warehouse_for(spark, sf_dir)`` calls return ``wh``.  The one
+    it replaces leaves the catalog."""
     with _LOCK:
+        old = _CACHE.get(_key(spark, sf_dir))
+        if old is not None and old is not wh:
+            old.close(spark)
         _CACHE[_key(spark, sf_dir)] = wh
 
 

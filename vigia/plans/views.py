@@ -148,6 +148,16 @@ def positivity_rate(t: dict[str, DataFrame]) -> DataFrame:
                       F.col("total_positivos").cast("int").alias("total_positivos"))
 
 
+def indicator_table(t: dict[str, DataFrame]) -> DataFrame:
+    """V6 as the stored table: ``id_indicador`` numbers localities and days in
+    order."""
+    from ..operators.ids import dense_index
+
+    rate = positivity_rate(t)
+    numbered = dense_index(rate, ["fk_localidade", "data_referencia"], "id_indicador")
+    return numbered.select(F.col("id_indicador").cast("int").alias("id_indicador"), *rate.columns)
+
+
 VIEWS = {
     "vw_casos_por_municipio": cases_by_municipality,
     "vw_vacinacao_por_resultado": vaccination_by_result,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,14 +49,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    On a cluster the operator sets ``spark.checkpoint.dir`` to shared storage
-    and we only read it.  Only when it is unset (local runs, tests) do we pick
-    a fresh local folder and register it.
+    On a cluster ``spark.checkpoint.dir`` must be set to shared storage, and we
+    only read it; without it this raises.  Only in local mode (one process
+    reads and writes everything) is a fresh local folder picked and registered.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="vigia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -66,3 +69,32 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, unique folder below the shared location (never reused)."""
     return shared_dir(spark, *parts, uuid.uuid4().hex)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark reaches."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under a temporary name and rename it: readers see it
+    whole or not at all.  Raises if ``path`` exists."""
+    jvm = spark.sparkContext._jvm
+    whole, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    fs = whole.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(whole) or not fs.rename(part, whole):
+        fs.delete(part, False)
+        raise FileExistsError(path)

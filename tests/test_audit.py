@@ -121,3 +121,65 @@ def test_fact_audit_between_loads_is_co_located(spark, wh):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange hashpartitioning(id_notificacao" not in plan and plan.count("Bucketed: true") == 2
+
+
+def test_a_hot_key_within_one_hour_is_split(spark):
+    """A key with a third of all rows, in one hour: same log, several parts."""
+    n = 3000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("user_id"),
+        F.timestamp_micros(F.col("id") * 1000).cast("timestamp_ntz").alias("ts"), F.col("id").alias("event_id"),
+        F.when(F.col("id") % 15 == 0, "error").when(F.col("id") % 2 == 0, "click").otherwise("view").alias("event_type"),
+        (F.col("id") % 4).cast("string").alias("props"))
+    args = (ev, "user_id", ["ts", "event_id"], ["event_type", "props"], F.col("event_type") == "error", "events")
+    cuts = A.split_points(ev, "user_id", "ts", 100).collect()
+    assert len(cuts) == 1 and len(cuts[0]["_cuts"]) == 10
+    split = A.change_log(*args, keep=["event_id"], split_rows=100)
+    whole = A.change_log(*args, keep=["event_id"])
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
+    assert A.split_points(ev, "user_id", "ts", n) is None
+
+
+def test_change_log_without_a_hot_key_reads_and_windows_the_feed_once(spark, tmp_path):
+    from planutil import plan_text
+    path = str(tmp_path / "feed")
+    spark.range(100).selectExpr("id % 9 user_id", "timestamp_micros(id) ts", "id event_id", "'a' event_type",
+                                "'b' props").write.parquet(path)
+    plan = plan_text(A.change_log(spark.read.parquet(path), "user_id", ["ts", "event_id"], ["event_type", "props"],
+                                  F.col("event_type") == "error", "events"), "simple")
+    assert plan.count("FileScan") == 1 and plan.count("Window") == 1 and plan.count("Exchange") == 1
+
+
+def test_a_repeated_batch_writes_the_same_rows_and_parts_are_merged(spark):
+    from vigia.session import fresh_dir, list_names
+    from vigia.streaming import audit_stream as S
+    sink, state = fresh_dir(spark, "t-sink"), fresh_dir(spark, "t-state")
+    ev = spark.range(60).selectExpr("id % 5 user_id", "cast(timestamp_micros(id) as timestamp_ntz) ts", "id event_id",
+                                    "if(id % 7 = 0, 'error', 'click') event_type", "cast(id % 3 as string) props")
+    for i in range(6):
+        part = ev.filter(f"event_id div 10 = {i}")
+        for _ in range(2):  # as after a failure
+            S.process_batch(part, i, S.EVENTS, sink, state, compact=3)
+    batch = A.change_log(ev, "user_id", ["ts", "event_id"], ["event_type", "props"],
+                         F.col("event_type") == "error", "events", keep=["event_id"])
+    assert sorted(map(tuple, S.read_log(spark, sink).collect())) == sorted(map(tuple, batch.collect()))
+    assert {n for n in list_names(spark, state) if n.startswith("base")} == {"base-0000000002", "base-0000000005"}
+    assert len(list_names(spark, state)) < 8
+
+
+def test_columns_new_to_the_second_snapshot_are_logged(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
+    new = spark.createDataFrame([(1, "a", None), (2, "b", 5)], "id long, x string, y int")
+    got = A.snapshot_diff(old, new, "id", "t").collect()
+    assert [(r.operacao, r.registro_id, r.dados_novos) for r in got] == [("UPDATE", 2, '{"id":2,"x":"b","y":5}')]
+
+
+def test_stored_log_goes_on_numbering(spark):
+    from vigia.session import fresh_dir
+    path = fresh_dir(spark, "log")
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
+    new = spark.createDataFrame([(2, "c"), (3, "d")], "id long, x string")
+    A.write_log(A.snapshot_diff(old, new, "id", "t"), path)
+    log = A.write_log(A.snapshot_diff(new, old, "id", "t"), path).orderBy("id_log").collect()
+    assert [r.id_log for r in log] == [1, 2, 3, 4, 5, 6] and [r.registro_id for r in log] == [1, 2, 3, 1, 2, 3]
+    assert all(r.data_alteracao is not None and r.usuario_bd for r in log)

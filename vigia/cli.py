@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from datetime import datetime
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -55,6 +56,7 @@ def main(argv: list[str] | None = None) -> None:
         t = load_warehouse(spark, args.warehouse).tables
         f = {"state": args.state, "municipality": args.municipality}
         out = {
+            "updated_at": datetime.now().strftime("%d/%m/%Y %H:%M"),
             "kpi": K.kpi_summary(t, with_text=True, **f).first().asDict(),
             "confirmed_by_state": [r.asDict() for r in K.confirmed_by_state(t, **f).orderBy("estado_uf").collect()],
             "top_symptoms": [r.asDict() for r in K.top_symptoms(t, n=args.top, **f).collect()],

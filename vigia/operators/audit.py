@@ -13,13 +13,13 @@ where the images are JSON objects of the whole row, NULL fields kept.
   an absent key changes nothing (no log row), an update is logged only when
   the image differs from the previous one.
 
-``change_log`` needs each event's previous image in its key.  A plain
-``lag`` over ``partitionBy(key)`` would put a hot key (say a third of all
-events) into one task, so the feed is split into (key, time bucket) groups:
-``lag`` inside each group, and the first row of a group takes the last image
-of the key's previous non-empty bucket.  Those last rows come from the same
-window pass (a ``lead`` flag), one row per (key, bucket); only that small
-summary is windowed by key.
+``change_log`` needs each event's previous image in its key, a ``lag`` over
+``partitionBy(key)``.  A hot key (say a third of all events) would be one task,
+so keys beyond a row count are split into parts of about equal size: ``lag``
+inside each part, and the first row of a part takes the last image of the key's
+part before.  Those last rows are a partial aggregate, one row per (key, part),
+and only that small summary is windowed by key.  Without a hot key the feed is
+shuffled once and windowed once.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.joins import sized_broadcast
+
 JSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss",
                 "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
 LOG_COLUMNS = ["tabela_afetada", "operacao", "registro_id", "dados_antigos", "dados_novos"]
@@ -67,16 +69,15 @@ def previous_in_key(df: DataFrame, key: str, order: list[str], carry: list[str],
     b = df.withColumn("_b", bucket)
     w = Window.partitionBy(key, "_b").orderBy(*order)
     inner = (b.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in carry})
-             .withColumn("_rn", F.row_number().over(w))
-             .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
-    # the last row of every (key, bucket) group comes from the same window pass
-    last = inner.filter(F.col("_is_last")).select(key, "_b", F.struct(*carry).alias("_last"))
+             .withColumn("_rn", F.row_number().over(w)))
+    # the last row of every (key, bucket): a partial aggregate, one row per group and task in its shuffle
+    last = b.groupBy(key, "_b").agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_last"))
     prev_bucket = (last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")))
                    .select(key, "_b", "_prev"))
     j = inner.join(prev_bucket, [key, "_b"], "left")
     return j.withColumns({
         f"prev_{c}": F.when(F.col("_rn") == 1, F.col(f"_prev.{c}")).otherwise(F.col(f"_lag_{c}")) for c in carry
-    }).drop("_b", "_rn", "_is_last", "_prev", *[f"_lag_{c}" for c in carry])
+    }).drop("_b", "_rn", "_prev", *[f"_lag_{c}" for c in carry])
 
 
 def classify_changes(df: DataFrame, image_cols: list[str], is_delete: Column) -> DataFrame:
@@ -92,13 +93,54 @@ def classify_changes(df: DataFrame, image_cols: list[str], is_delete: Column) ->
     return df.withColumn("operacao", op)
 
 
+# Rows of a key beyond which its history is split.
+SPLIT_ROWS = 100_000
+
+
+def split_points(events: DataFrame, key: str, time: str, rows: int = SPLIT_ROWS) -> DataFrame | None:
+    """For every key with more than ``rows`` rows, the times that cut its
+    history into about equal parts of ``rows`` or fewer (approximate
+    percentiles, whatever the hours it was busy in); ``None`` if no key is that
+    large.  At most one key per ``rows`` rows has a row here.  Rows of one
+    instant stay together."""
+    from ..session import shared_dir
+
+    shared_dir(events.sparkSession)
+    hot = (events.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
+           .checkpoint(eager=True))
+    most = hot.agg(F.max("_n")).first()[0]
+    if not most:
+        return None
+    parts = -(-most // rows)
+    t = F.unix_micros(F.col(time).cast("timestamp"))
+    return (events.join(sized_broadcast(hot.select(key)), key)
+            .groupBy(key).agg(F.percentile_approx(t, [i / parts for i in range(1, parts)]).alias("_cuts")))
+
+
 def change_log(events: DataFrame, key: str, order: list[str], image_cols: list[str], is_delete: Column,
-               table: str, keep: list[str] | None = None, bucket: Column | None = None) -> DataFrame:
-    """A4: the audit log of an ordered change feed (see module doc)."""
-    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
+               table: str, keep: list[str] | None = None, bucket: Column | None = None,
+               split_rows: int = SPLIT_ROWS, time: str | None = None) -> DataFrame:
+    """A4: the audit log of an ordered change feed (see module doc).  ``time``
+    is the column that splits large keys, the first of ``order`` if not given;
+    it must not fall where ``order`` rises.
+
+    Keys of up to ``split_rows`` rows are one window group each, in a single
+    pass.  The history of larger keys is split into parts of about equal size
+    first, and the first row of a part is seeded from the last row of the
+    key's part before.  ``bucket`` splits every key by a column of your own."""
     feed = (events.select(key, *order, *[c for c in image_cols if c not in order])
             .withColumn("_del", F.coalesce(is_delete, F.lit(False))))
-    with_prev = previous_in_key(feed, key, order, image_cols + ["_del"], bucket)
+    carry = image_cols + ["_del"]
+    cuts = None if bucket is not None else split_points(events, key, time or order[0], split_rows)
+    if bucket is None and cuts is None:
+        w = Window.partitionBy(key).orderBy(*order)
+        with_prev = feed.withColumns({f"prev_{c}": F.lag(c).over(w) for c in carry})
+    else:
+        if bucket is None:
+            feed = feed.join(sized_broadcast(cuts, materialize=True), key, "left")
+            t = F.unix_micros(F.col(time or order[0]).cast("timestamp"))
+            bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < t)), F.lit(0))
+        with_prev = previous_in_key(feed, key, order, carry, bucket).drop("_cuts")
     with_prev = with_prev.withColumnRenamed("prev__del", "_prev_delete")
     logged = classify_changes(with_prev, image_cols, F.col("_del")).filter(F.col("operacao").isNotNull())
     return logged.select(

@@ -32,11 +32,21 @@ def _sum_by(df: DataFrame, key: str | list[str], measure: str, alias: str | None
     return nonnull.groupBy(*keys).agg(F.sum(measure).alias(alias or measure))
 
 
+def _chart(df: DataFrame, key: str | list[str], measure: str) -> DataFrame:
+    """A chart frame: sums by key, in key order (a handful of rows)."""
+    return _sum_by(df, key, measure).orderBy(*([key] if isinstance(key, str) else key))
+
+
 def _top(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
     """Top ``n`` by measure, ties broken by key (a fixed, documented choice)."""
     return df.orderBy(F.col(measure).desc(), F.col(key).asc()).limit(n)
 
 
+def _top_list(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
+    """The top ``n`` as bar charts take them: smallest first."""
+    return _top(df, key, measure, n).orderBy(F.col(measure).asc(), F.col(key).desc())
+
+
 def lab_frame(t, state=None, municipality=None) -> DataFrame:
     """K1: the laboratory view with the laboratory name (source id 1 assumed
     when the column is missing)."""
@@ -79,36 +89,36 @@ def kpi_summary(t, state=None, municipality=None, with_text: bool = False) -> Da
 
 def confirmed_by_state(t, state=None, municipality=None) -> DataFrame:
     """K6."""
-    return _sum_by(_filtered(V.epidemiological_profile(t), state, municipality), "estado_uf", "casos_confirmados")
+    return _chart(_filtered(V.epidemiological_profile(t), state, municipality), "estado_uf", "casos_confirmados")
 
 
 def epidemic_curve(t, state=None, municipality=None) -> DataFrame:
     """K7: confirmed and deaths by notification day (no gap filling)."""
     df = _filtered(V.cases_by_municipality(t), state, municipality).filter(F.col("data_notificacao").isNotNull())
     return df.groupBy("data_notificacao").agg(F.sum("casos_confirmados").alias("casos_confirmados"),
-                                              F.sum("obitos").alias("obitos"))
+                                              F.sum("obitos").alias("obitos")).orderBy("data_notificacao")
 
 
 def cases_by_sex(t, state=None, municipality=None) -> DataFrame:
     """K8."""
-    return _sum_by(_filtered(V.epidemiological_profile(t), state, municipality), "sexo", "total_casos")
+    return _chart(_filtered(V.epidemiological_profile(t), state, municipality), "sexo", "total_casos")
 
 
 def confirmed_by_age(t, state=None, municipality=None) -> DataFrame:
     """K9."""
-    return _sum_by(_filtered(V.epidemiological_profile(t), state, municipality), "faixa_etaria", "casos_confirmados")
+    return _chart(_filtered(V.epidemiological_profile(t), state, municipality), "faixa_etaria", "casos_confirmados")
 
 
 def vaccine_outcome(t, state=None, municipality=None) -> DataFrame:
     """Cases by (vaccination status, class)."""
-    return _sum_by(_filtered(V.vaccination_by_result(t), state, municipality),
-                   ["status_vacinal", "classificacao_final"], "total_casos")
+    return _chart(_filtered(V.vaccination_by_result(t), state, municipality),
+                  ["status_vacinal", "classificacao_final"], "total_casos")
 
 
 def top_symptoms(t, n: int = 10, state=None, municipality=None) -> DataFrame:
     """The n most frequent symptoms."""
     s = _sum_by(_filtered(V.frequent_symptoms(t), state, municipality), "nome_sintoma", "total_ocorrencias")
-    return _top(s, "nome_sintoma", "total_ocorrencias", n)
+    return _top_list(s, "nome_sintoma", "total_ocorrencias", n)
 
 
 def top_laboratory(t, state=None, municipality=None) -> DataFrame:
@@ -129,10 +139,10 @@ def _top_or_default(top: DataFrame, fallback: DataFrame) -> DataFrame:
 def top_municipalities(t, n: int = 10, state=None, municipality=None) -> DataFrame:
     """Municipalities requesting most tests (grouped by name only)."""
     m = _sum_by(lab_frame(t, state, municipality), "municipio_nome", "total_testes")
-    return _top(m, "municipio_nome", "total_testes", n)
+    return _top_list(m, "municipio_nome", "total_testes", n)
 
 
 def top_laboratories(t, n: int = 15, state=None, municipality=None) -> DataFrame:
     """Laboratories by test volume."""
     labs = _sum_by(lab_frame(t, state, municipality), "nome_laboratorio", "total_testes")
-    return _top(labs, "nome_laboratorio", "total_testes", n)
+    return _top_list(labs, "nome_laboratorio", "total_testes", n)

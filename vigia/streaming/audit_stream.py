@@ -1,73 +1,56 @@
-"""The change audit as a Structured Streaming job.
-
-A stream of change events -> ``groupBy(key).applyInPandasWithState``: the
-state of a key is its last image and whether that was a delete, so each
-micro-batch classifies its events exactly as the batch ``change_log`` does,
-seeded with the state left by earlier batches.  The log goes to a parquet
-file sink; sink + checkpoint make the output exactly-once across restarts.
-
-Per key and micro-batch the group is bounded by the micro-batch size
-(``maxFilesPerTrigger`` / ``maxBytesPerTrigger``), so a hot key is split over
-micro-batches rather than held whole.  A live change feed must deliver each
-key's changes in order across micro-batches (e.g. a log partitioned by key);
-``stage_events`` produces such a feed from a table for the batch comparison.
+"""The change audit as a Structured Streaming job, for any keyed feed.
+
+Every micro-batch (``foreachBatch``) runs the batch operator ``change_log``
+over its events and the latest stored image of the keys it touches, all on the
+JVM.  Which columns make the image, the key, the order and what counts as a
+delete are parameters (:class:`Feed`).
+
+* Log: one folder per batch id, overwritten if the batch is run again.
+* Latest images: one part per batch id with the keys it touched; a batch reads
+  only parts of earlier batches, so a repeated batch sees what it saw before.
+  Every ``COMPACT`` batches the parts are merged into a base.
+
+A batch that is repeated after a failure therefore writes the same rows to the
+same place: no row is lost, none is written twice.  A live feed must deliver
+each key's changes in order across micro-batches (e.g. a log partitioned by
+key); ``stage_events`` produces such a feed from a table.  A key's burst within
+a batch is split as in ``change_log``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass, field
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from ..operators.audit import row_image
-from ..session import fresh_dir
-
-CHANGE_SCHEMA = ("registro_id long, event_id long, operacao string, "
-                 "old_event_type string, old_props string, new_event_type string, new_props string")
-STATE_SCHEMA = "last_event_type string, last_props string, last_delete boolean"
-
-
-def _same(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Null-safe equality of two object columns."""
-    return (a == b) | (a.isna() & b.isna())
-
-
-def _classify(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """One key's events of one micro-batch -> its log rows, seeded with the
-    key's state (last image and whether it was a delete).  The operation of
-    an event depends only on the event before it, so the batch is classified
-    with column shifts, no loop over rows."""
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-    pdf = pdf.reset_index(drop=True)
-    is_del = pdf["event_type"].eq("error")
-    prev_type = pdf["event_type"].shift(1).astype(object)
-    prev_props = pdf["props"].shift(1).astype(object)
-    prev_del = is_del.shift(1).astype(object)
-    has_prev = pd.Series(True, index=pdf.index)
-    if state.exists:
-        ptype, pprops, pdel = state.get
-        prev_type.iloc[0], prev_props.iloc[0], prev_del.iloc[0] = ptype, pprops, bool(pdel)
-    else:
-        has_prev.iloc[0] = False
-    present = has_prev & ~prev_del.fillna(False).astype(bool)
-    same = _same(pdf["event_type"], prev_type) & _same(pdf["props"], prev_props)
-    op = np.select([is_del & present, is_del, ~present, ~same], ["DELETE", "", "INSERT", "UPDATE"], default="")
-    out = pd.DataFrame({
-        "registro_id": key[0], "event_id": pdf["event_id"], "operacao": op,
-        "old_event_type": prev_type.where(op != "INSERT"), "old_props": prev_props.where(op != "INSERT"),
-        "new_event_type": pdf["event_type"].where(op != "DELETE"), "new_props": pdf["props"].where(op != "DELETE"),
-    })[op != ""]
-    last = pdf.iloc[-1]
-    state.update((last["event_type"], last["props"], bool(is_del.iloc[-1])))
-    yield out
+
+from ..operators.audit import SPLIT_ROWS, change_log
+from ..session import delete_path, fresh_dir, list_names
+
+# Micro-batches after which the parts of the latest-image table are merged.
+COMPACT = 20
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A change feed: DDL of its columns, the key, the order within a key (its
+    first column a timestamp), the image columns and a SQL delete rule."""
+
+    schema: str
+    key: str
+    order: list[str]
+    image: list[str]
+    delete: str
+    table: str
+    keep: list[str] = field(default_factory=list)
+
+
+EVENTS = Feed("user_id long, ts timestamp_ntz, event_id long, event_type string, props string", "user_id",
+              ["ts", "event_id"], ["event_type", "props"], "event_type = 'error'", "events", ["event_id"])
 
 
 def stage_events(events: DataFrame, path: str, slices: int = 4, key: str = "user_id",
-                 files_per_slice: int | None = None) -> int:
+                 files_per_slice: int | None = None, time: str = "ts") -> int:
     """Write the feed as ``slices`` time-ordered parts, one write each, so a
     file stream replays the parts in time order.
 
@@ -78,7 +61,7 @@ def stage_events(events: DataFrame, path: str, slices: int = 4, key: str = "user
     its events in time order (the state machine needs nothing more).
     Returns the number of files per slice."""
     n = files_per_slice or events.sparkSession.sparkContext.defaultParallelism
-    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    t = F.unix_micros(F.col(time).cast("timestamp"))
     lo, hi = events.agg(F.min(t), F.max(t)).first()
     if lo is None:
         events.write.mode("append").parquet(path)
@@ -92,62 +75,90 @@ def stage_events(events: DataFrame, path: str, slices: int = 4, key: str = "user
     return n
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
-# Commit a changelog per micro-batch instead of a full state snapshot.
-CHANGELOG_CONF = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
+    return [int(n[len(kind) + 1:]) for n in list_names(spark, path) if n.startswith(kind + "-")]
 
 
-FEED_SCHEMA = "user_id long, ts timestamp_ntz, event_id long, event_type string, props string"
+def _latest(rows: DataFrame, feed: Feed, order: list[str]) -> DataFrame:
+    """The last row of every key."""
+    columns = [*feed.order, *[c for c in feed.image if c not in feed.order]]
+    return (rows.groupBy(feed.key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
+            .select(feed.key, "_last.*"))
 
 
-def run_audit_stream(spark: SparkSession, src: str, sink: str, checkpoint: str, max_files_per_trigger: int = 1,
-                     state_store: str | None = ROCKSDB, schema: str = FEED_SCHEMA) -> None:
-    """Process every file under ``src`` not yet processed by the query whose
-    checkpoint is ``checkpoint`` (``availableNow``), appending log rows to the
-    parquet sink ``sink``.  Restarting with the same checkpoint continues where
-    the last run stopped: no row lost, none written twice (file sink commit log
-    + state store versions in the checkpoint)."""
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
-              .groupBy("user_id")
-              .applyInPandasWithState(_classify, CHANGE_SCHEMA, STATE_SCHEMA, "append",
-                                      GroupStateTimeout.NoTimeout))
-    # The state store is fixed when a query first starts (and recorded in its
-    # checkpoint); RocksDB keeps per-key state off the JVM heap, so millions of
-    # keys do not press on executor memory.
-    settings = {STATE_STORE_CONF: state_store, CHANGELOG_CONF: "true"} if state_store else {}
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
+def _images(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
+    """Stored images of the batches before ``batch_id``, with the batch that
+    wrote them: the last base and the parts after it."""
+    base = max([n for n in _numbers(spark, state, "base") if n < batch_id], default=-1)
+    parts = [n for n in _numbers(spark, state, "part") if base < n < batch_id]
+    paths = [f"{state}/base-{base:010d}"] * (base >= 0) + [f"{state}/part-{n:010d}" for n in parts]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def process_batch(batch: DataFrame, batch_id: int, feed: Feed, sink: str, state: str,
+                  split_rows: int = SPLIT_ROWS, compact: int = COMPACT) -> None:
+    """One micro-batch: log rows to ``sink``, latest images to ``state``."""
+    spark = batch.sparkSession
+    columns = [feed.key, *feed.order, *[c for c in feed.image if c not in feed.order]]
+    batch = batch.select(*columns).persist()  # read by the log and by the latest images
     try:
-        q = (stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
+        live = batch.withColumn("_live", F.lit(1))
+        stored = _images(spark, state, batch_id)
+        if stored is not None:
+            touched = stored.join(batch.select(feed.key).distinct(), feed.key, "left_semi")
+            seeds = _latest(touched, feed, ["_batch", *feed.order]).select(*columns, F.lit(0).alias("_live"))
+            live = live.unionByName(seeds)
+        log = change_log(live, feed.key, ["_live", *feed.order], feed.image, F.expr(feed.delete), feed.table,
+                         keep=["_live", *feed.keep], split_rows=split_rows, time=feed.order[0])
+        # a seed is there to be the row before; what it was itself is logged already
+        log.filter("_live = 1").drop("_live").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        (_latest(batch, feed, feed.order).select(*columns, F.lit(batch_id).alias("_batch"))
+         .write.mode("overwrite").parquet(f"{state}/part-{batch_id:010d}"))
     finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    q.awaitTermination()
-
-
-def read_log(spark: SparkSession, sink: str, table: str = "events") -> DataFrame:
-    """The log rows of a sink, images as JSON (built JVM-side)."""
-    log = spark.read.schema(CHANGE_SCHEMA).parquet(sink)
-    old = F.when(F.col("operacao") != "INSERT", row_image(["event_type", "props"], "old_"))
-    new = F.when(F.col("operacao") != "DELETE", row_image(["event_type", "props"], "new_"))
-    return log.select(F.lit(table).alias("tabela_afetada"), "operacao", "registro_id", "event_id",
-                      old.alias("dados_antigos"), new.alias("dados_novos"))
-
-
-def audit_stream(spark: SparkSession, events: DataFrame, table: str = "events", slices: int = 4,
-                 files_per_slice: int | None = None, max_files_per_trigger: int | None = None,
-                 state_store: str | None = ROCKSDB) -> DataFrame:
+        batch.unpersist()
+    if batch_id % compact == compact - 1:
+        whole = _images(spark, state, batch_id + 1)
+        base = _latest(whole, feed, ["_batch", *feed.order]).select(*columns, F.lit(batch_id).alias("_batch"))
+        base.write.mode("overwrite").parquet(f"{state}/base-{batch_id:010d}")
+        # the base before this one stays for a repeat of this batch; older parts go
+        before = max([n for n in _numbers(spark, state, "base") if n < batch_id], default=-1)
+        for kind in ("base", "part"):
+            for n in _numbers(spark, state, kind):
+                if n < before or (kind == "part" and n <= before):
+                    delete_path(spark, f"{state}/{kind}-{n:010d}")
+
+
+def run_audit_stream(spark: SparkSession, src: str, sink: str, checkpoint: str, max_files_per_trigger: int = 1,
+                     feed: Feed = EVENTS, split_rows: int = SPLIT_ROWS, compact: int = COMPACT) -> None:
+    """Process every file under ``src`` not yet processed by the query whose
+    checkpoint is ``checkpoint`` (``availableNow``).  Restarting with the same
+    checkpoint continues where the last run stopped."""
+    state = f"{checkpoint.rstrip('/')}-images"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, batch_id, feed, sink, state, split_rows, compact)
+
+    (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
+     .writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def read_log(spark: SparkSession, sink: str, feed: Feed = EVENTS) -> DataFrame:
+    """The log rows of a sink."""
+    kinds = dict(spark.createDataFrame([], feed.schema).dtypes)
+    ddl = ", ".join(["tabela_afetada string", "operacao string", f"registro_id {kinds[feed.key]}",
+                     *[f"{c} {kinds[c]}" for c in feed.keep], "dados_antigos string", "dados_novos string"])
+    log = spark.read.schema(ddl).parquet(sink)
+    return log.select("tabela_afetada", "operacao", "registro_id", *feed.keep, "dados_antigos", "dados_novos")
+
+
+def audit_stream(spark: SparkSession, events: DataFrame, slices: int = 4, files_per_slice: int | None = None,
+                 max_files_per_trigger: int | None = None, feed: Feed = EVENTS, compact: int = COMPACT) -> DataFrame:
     """Drive the stream over a staged copy of ``events`` to completion
     (``availableNow``) and return the log it wrote."""
     src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
-    feed = events.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type", "props")
-    per_slice = stage_events(feed, src, slices, files_per_slice=files_per_slice)
-    run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger or per_slice, state_store)
-    return read_log(spark, sink, table)
+    columns = spark.createDataFrame([], feed.schema).schema.fields
+    rows = events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
+    per_slice = stage_events(rows, src, slices, feed.key, files_per_slice, feed.order[0])
+    run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger or per_slice, feed, compact=compact)
+    return read_log(spark, sink, feed)

@@ -128,8 +128,8 @@ def change_log(events: DataFrame, key: str, order: list[str], image_cols: list[s
     pass.  The history of larger keys is split into parts of about equal size
     first, and the first row of a part is seeded from the last row of the
     key's part before.  ``bucket`` splits every key by a column of your own."""
-    feed = (events.select(key, *order, *[c for c in image_cols if c not in order])
-            .withColumn("_del", F.coalesce(is_delete, F.lit(False))))
+    feed = events.select(key, *order, *[c for c in image_cols if c not in order],
+                         F.coalesce(is_delete, F.lit(False)).alias("_del"))
     carry = image_cols + ["_del"]
     cuts = None if bucket is not None else split_points(events, key, time or order[0], split_rows)
     if bucket is None and cuts is None:

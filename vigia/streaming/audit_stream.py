@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.audit import SPLIT_ROWS, change_log
 from ..session import delete_path, fresh_dir, list_names
@@ -44,6 +45,9 @@ class Feed:
     table: str
     keep: list[str] = field(default_factory=list)
 
+    def columns(self) -> list[str]:
+        return StructType.fromDDL(self.schema).names
+
 
 EVENTS = Feed("user_id long, ts timestamp_ntz, event_id long, event_type string, props string", "user_id",
               ["ts", "event_id"], ["event_type", "props"], "event_type = 'error'", "events", ["event_id"])
@@ -81,7 +85,7 @@ def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
 
 def _latest(rows: DataFrame, feed: Feed, order: list[str]) -> DataFrame:
     """The last row of every key."""
-    columns = [*feed.order, *[c for c in feed.image if c not in feed.order]]
+    columns = [c for c in feed.columns() if c != feed.key]
     return (rows.groupBy(feed.key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_last"))
             .select(feed.key, "_last.*"))
 
@@ -99,7 +103,7 @@ def process_batch(batch: DataFrame, batch_id: int, feed: Feed, sink: str, state:
                   split_rows: int = SPLIT_ROWS, compact: int = COMPACT) -> None:
     """One micro-batch: log rows to ``sink``, latest images to ``state``."""
     spark = batch.sparkSession
-    columns = [feed.key, *feed.order, *[c for c in feed.image if c not in feed.order]]
+    columns = feed.columns()
     batch = batch.select(*columns).persist()  # read by the log and by the latest images
     try:
         live = batch.withColumn("_live", F.lit(1))
@@ -145,7 +149,7 @@ def run_audit_stream(spark: SparkSession, src: str, sink: str, checkpoint: str,
 
 def read_log(spark: SparkSession, sink: str, feed: Feed = EVENTS) -> DataFrame:
     """The log rows of a sink."""
-    kinds = dict(spark.createDataFrame([], feed.schema).dtypes)
+    kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(feed.schema)}
     ddl = ", ".join(["tabela_afetada string", "operacao string", f"registro_id {kinds[feed.key]}",
                      *[f"{c} {kinds[c]}" for c in feed.keep], "dados_antigos string", "dados_novos string"])
     log = spark.read.schema(ddl).parquet(sink)
@@ -157,8 +161,7 @@ def audit_stream(spark: SparkSession, events: DataFrame, slices: int = 4, files_
     """Drive the stream over a staged copy of ``events`` to completion
     (``availableNow``) and return the log it wrote."""
     src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
-    columns = spark.createDataFrame([], feed.schema).schema.fields
-    rows = events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
+    rows = events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(feed.schema)])
     per_slice = stage_events(rows, src, slices, feed.key, files_per_slice, feed.order[0])
     run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger or per_slice, feed, compact=compact)
     return read_log(spark, sink, feed)

@@ -114,3 +114,19 @@ def test_gate_quarantine_moves_rows_and_what_hangs_on_them(spark, wh):
             assert got[name].filter("fk_notificacao = 3").count() == 0
             assert (got[name].count() + got[f"_quarantine_{name}"].count() == wh[name].count())
         assert got["fato_notificacoes"].count() == wh["fato_notificacoes"].count() - 1
+
+
+def test_id_keys_are_checked_bucket_by_bucket(spark, wh):
+    from planutil import plan_text
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        child, parent = wh["fato_notificacao_sintoma"], wh["fato_notificacoes"]
+        with_plan = Q.sized_broadcast
+        Q.sized_broadcast = lambda df, *a, **k: df  # as for a parent beyond the bound
+        plan = plan_text(Q.orphan_violations(child, "c", ["fk_notificacao"], "fk_notificacao", parent,
+                                             "id_notificacao", "p"), "simple")
+    finally:
+        Q.sized_broadcast = with_plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2

@@ -24,8 +24,9 @@ def narrow_id(c: Column, dtype: str) -> Column:
     """Cast a dense id to the declared narrow type, or raise when it does not
     fit (never a silent wrap, whatever the session's ANSI setting)."""
     limit = {"smallint": 32767, "int": 2147483647}[dtype]
-    return F.when(c <= limit, c.cast(dtype)).otherwise(
-        F.raise_error(F.lit(f"dimension id does not fit {dtype}")).cast(dtype))
+    return (F.when(c <= limit, c.cast(dtype))
+            .when(c.isNull(), F.raise_error(F.lit("dimension id is NULL")).cast(dtype))
+            .otherwise(F.raise_error(F.lit(f"dimension id does not fit {dtype}")).cast(dtype)))
 
 
 def first_key(order_cols: list[str]) -> Column:
@@ -68,8 +69,9 @@ def extend_dimension(previous: DataFrame, values: DataFrame, value_name: str, id
     numbered = dense_index(new.select(value_name, "_first"), ["_first"], "_rank")
     added = numbered.select((top + F.col("_rank")).alias(id_name), value_name)
     kept = previous.select(F.col(id_name).cast("bigint").alias(id_name), value_name)
-    dtype = previous.schema[id_name].dataType
-    return kept.unionByName(added).select(F.col(id_name).cast(dtype).alias(id_name), value_name)
+    dtype = previous.schema[id_name].dataType.simpleString()
+    fitted = F.col(id_name) if dtype == "bigint" else narrow_id(F.col(id_name), dtype)
+    return kept.unionByName(added).select(fitted.alias(id_name), value_name)
 
 
 def surrogate_key(df: DataFrame, value_col: str, order_col: str, id_name: str = "id") -> DataFrame:
@@ -131,13 +133,14 @@ def keep_first_by(df: DataFrame, key: str, order: Column, keep: list[str]) -> Da
     key, a hash aggregate with a map-side partial; (2) the rows holding those
     minima, picked with a join on (key, order) against the one-row-per-key
     table (broadcast after a size check).  Two linear passes and no sort of the
-    input, where a struct-valued ``min_by`` would sort it."""
+    input, where a struct-valued ``min_by`` would sort it.  Rows without a key
+    are a group of their own, as in ``keep_first``."""
     from ..functions.joins import sized_broadcast
 
     ordered = df.withColumn("_ord", order)
     firsts = ordered.groupBy(key).agg(F.min("_ord").alias("_min")).withColumnRenamed(key, "_k")
     picked = ordered.join(sized_broadcast(firsts, materialize=True),
-                          (F.col(key) == F.col("_k")) & (F.col("_ord") == F.col("_min")), "left_semi")
+                          F.col(key).eqNullSafe(F.col("_k")) & (F.col("_ord") == F.col("_min")), "left_semi")
     return picked.select(key, *keep, "_ord")
 
 

@@ -6,9 +6,8 @@ rule becomes a *violations* frame ``(rule, table_name, key, detail)``:
 * NOT NULL and CHECK rules of one table are evaluated in one scan (an array of
   failing rule names per row, exploded),
 * UNIQUE is a ``groupBy(key)`` with a map-side partial count,
-* FOREIGN KEY is a ``left_anti`` join of the child's distinct keys against the
-  parent's key column (all checks batched into one join), then a semi-join
-  back to the child rows,
+* FOREIGN KEY is a ``left_anti`` join of the child against the parent's key
+  column: broadcast for small parents, bucket by bucket between the facts,
 * ON DELETE CASCADE is a ``left_anti`` of each child against deleted keys,
 * fact rows no view shows (unknown residence) are reported, not fixed.
 """
@@ -93,23 +92,21 @@ def orphan_violations_many(checks: list[tuple]) -> DataFrame:
     """Q4 for several foreign keys in one pass.
 
     ``checks``: ``(child, table, key, fk, parent, pk, parent_name)`` tuples.
-    The *distinct* child keys of every check (a partial aggregate first, so a
-    key held by a third of the rows is one row per partition in the shuffle)
-    are anti-joined in a single join to the parent keys, both sides tagged by
-    check.  The missing keys are materialised once; each check then picks its
-    child rows with a semi-join whose key set is broadcast after a size check."""
-    def tagged(i: int, df: DataFrame, col: str) -> DataFrame:
-        return df.select(F.lit(i).alias("_check"), F.col(col).cast("bigint").alias("_key"))
-
-    child_keys = union_all([tagged(i, c[0], c[3]) for i, c in enumerate(checks)])
-    parent_keys = union_all([tagged(i, c[4], c[5]) for i, c in enumerate(checks)]).distinct()
-    missing = (child_keys.filter(F.col("_key").isNotNull()).distinct()
-               .join(parent_keys, ["_check", "_key"], "left_anti"))
-    missing = sized_broadcast(missing, materialize=True)
+    Each child is anti-joined to its parent's keys as it is stored: a small
+    parent is broadcast after a size check (one per parent), so the child is
+    scanned once without a shuffle; a child and parent bucketed by the same id
+    (the facts) join bucket by bucket; anything else is a shuffle join whose
+    hot keys AQE splits."""
+    sized: dict[tuple[str, str, int], DataFrame] = {}
     frames = []
-    for i, (child, table, key, fk, _parent, pk, parent_name) in enumerate(checks):
-        mine = missing.filter(F.col("_check") == i).select(F.col("_key").alias("_fk"))
-        frames.append(child.join(mine, F.col(fk).cast("bigint") == F.col("_fk"), "left_semi")
+    for child, table, key, fk, parent, pk, parent_name in checks:
+        slot = (parent_name, pk, id(parent))
+        if slot not in sized:
+            sized[slot] = sized_broadcast(parent.select(F.col(pk).alias("_parent_key")))
+        child_key, parent_key = F.col(fk), F.col("_parent_key")
+        if dict(child.dtypes)[fk] != dict(parent.dtypes)[pk]:  # a cast would hide the buckets
+            child_key, parent_key = child_key.cast("bigint"), parent_key.cast("bigint")
+        frames.append(child.filter(F.col(fk).isNotNull()).join(sized[slot], child_key == parent_key, "left_anti")
                       .select(F.lit("foreign_key").alias("rule"), F.lit(table).alias("table_name"),
                               _key(key).alias("key"), F.lit(f"{fk}->{parent_name}.{pk}").alias("detail"), *_ids(key)))
     return union_all(frames)

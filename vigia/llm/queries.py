@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, html_text, langid, licenses, order_minhash, packing, quality, simhash, substring
+from . import bpe, embeddings, html_text, langid, licenses, oracle, order_minhash, packing, quality, simhash, substring
 from .rows import table
 
 
@@ -66,4 +66,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_licenses": oracle.licenses_sql(), "op6_embeddings": oracle.EMBEDDINGS}

@@ -11,6 +11,8 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SMALL_SF
+from oracle_sql import oracle_sql
+from vigia.plans.catalog import queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -41,15 +43,19 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(queries()) - set(oracle_sql())
     assert missing == set(), missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_the_entry_holds_them_all():
+    assert set(queries()) <= set(E.queries()) and set(oracle_sql()) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SMALL_SF)
+    df = queries()[name](spark, SMALL_SF)
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

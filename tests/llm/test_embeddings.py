@@ -65,3 +65,22 @@ def test_odd_vectors(spark):
 def test_tables_grow_with_the_bits():
     assert embeddings.meeting_tables(0, 0.9, 0.99) == 1
     assert embeddings.meeting_tables(8, 0.9, 0.99) > embeddings.meeting_tables(5, 0.9, 0.99) > 1
+
+
+def frame(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_saturated_groups_are_joined(spark):
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=32)
+    a /= np.linalg.norm(a)
+    b = rng.normal(size=32)
+    b -= (a @ b) * a
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b)
+    x = np.vstack([c + rng.normal(size=(100, 32)) * 0.015 for c in (a, b)])
+    want = plain(range(len(x)), x)
+    assert {n for n, _ in want.values()} == {199} and {c for _, c in want.values()} == {0}
+    for bucket in (4096, 64):  # one bucket; some
+        got = embeddings.near_duplicates(frame(spark, x), bucket=bucket, block=64).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want

@@ -6,15 +6,19 @@
    needs to meet with probability ``MEET``; the best ``NEIGHBOURS`` of a bucket
    enter a node's list.  Buckets with more than twice as many nodes are dealt
    to random parts.
-3. Descent: the neighbours of a node's neighbours are compared with it, until a
-   round finds no new link.  Lists hold neighbours within twice the
+3. Descent: the neighbours of a node's neighbours are compared with it, until
+   the lists stop changing, for ``ROUNDS`` rounds at most.  Lists hold neighbours within twice the
    threshold's angle, the farthest that two nodes linked to a third can be.
-4. Audit: a bounded sample of nodes is compared with all nodes; as long as the
-   lists hold less than ``RECALL`` of its links, more tables are added.
-5. Saturated lists (all ``NEIGHBOURS`` are links) are enlarged to the node's
-   whole component: components with such a node are compared block by block,
+4. Saturated lists (all ``NEIGHBOURS`` are links) may lack links, but only to
+   nodes whose lists are saturated too: saturated nodes of different components
+   are compared block by block, wherever the blocks' centres and radii allow a
+   link, and a link joins the components.
+5. A component with a saturated node is compared with itself block by block,
    which returns counts, not pairs.
-6. Links of cosine >= the threshold (double precision) make the components.
+6. Audit: a bounded sample of nodes is compared with all nodes; as long as
+   counts and components hold less than ``RECALL`` of its links, more tables are
+   added, and after ``ATTEMPTS`` all nodes are compared block by block.
+7. Links of cosine >= the threshold (double precision) make the components.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from .components import connected_components
 from .rows import attach, sorted_groups, stage
 
 THRESHOLD, NEIGHBOURS, BUCKET, MEET, RECALL = 0.9, 12, 256, 0.998, 0.98
-AUDIT, ROUNDS, BLOCK = 128, 6, 512
+AUDIT, ATTEMPTS, ROUNDS, BLOCK = 128, 3, 6, 512
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -107,9 +111,13 @@ def bucket_pairs(nodes: DataFrame, n: int, floor: float, threshold: float, first
     return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(best, "v long, u long, cosine double")
 
 
-def nearest(pairs: DataFrame, neighbours: int) -> DataFrame:
-    """The best neighbours of each node, from pairs of either direction."""
-    both = pairs.union(pairs.select("u", "v", "cosine")).groupBy("v", "u").agg(F.max("cosine").alias("cosine"))
+def nearest(lists: DataFrame | None, pairs: DataFrame, neighbours: int) -> DataFrame:
+    """(v, u, cosine, fresh): the best neighbours of each node, from its list
+    so far and pairs of either direction; fresh: not in the list so far."""
+    both = pairs.select("v", "u", "cosine").union(pairs.select("u", "v", "cosine")).withColumn("fresh", F.lit(True))
+    if lists is not None:
+        both = lists.withColumn("fresh", F.lit(False)).select(both.columns).union(both)
+    both = both.groupBy("v", "u").agg(F.max("cosine").alias("cosine"), F.min("fresh").alias("fresh"))
     place = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("cosine"), "u"))
     return both.withColumn("place", place).where(F.col("place") <= neighbours).drop("place")
 
@@ -136,16 +144,15 @@ def pair_cosines(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
     return joined.mapInArrow(run, "v long, u long, cosine double")
 
 
-def audited_recall(nodes: DataFrame, lists: DataFrame, n: int, threshold: float, sample: int, neighbours: int) -> float:
+def audited_recall(nodes: DataFrame, classes: DataFrame, n: int, threshold: float, sample: int) -> float:
     """Share of the links of at most ``sample`` nodes, found by comparing them
-    with all nodes, that are in their lists; a saturated list counts as whole,
-    it will be enlarged."""
+    with all nodes, that ``classes`` (v, root, n) holds: within the node's
+    component, and as many as it counts."""
     every = max(1, n // sample)
     picked = [(r["v"], np.array(r["vec"], dtype=np.float64)) for r in
               nodes.where(F.pmod(F.xxhash64("v", F.lit(3)), F.lit(every)) == 0).limit(sample).collect()]  # bounded
     if not picked:
         return 1.0
-    ids = [v for v, _ in picked]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,11 +170,14 @@ def audited_recall(nodes: DataFrame, lists: DataFrame, n: int, threshold: float,
             yield _pairs(out)
 
     links = nodes.select("v", "vec").mapInArrow(run, "v long, u long, cosine double").select("v", "u")
-    held = lists.where((F.col("cosine") >= threshold) & F.col("v").isin(ids)).select("v", "u", F.lit(1).alias("held"))
-    per = (links.join(held, ["v", "u"], "left").groupBy("v")
-           .agg(F.count(F.lit(1)).alias("links"), F.count("held").alias("held")).collect())  # bounded by the sample
+    per = (links.join(classes, "v")
+           .join(classes.select(F.col("v").alias("u"), F.col("root").alias("u_root")), "u")
+           .join(nodes.select(F.col("v").alias("u"), "weight"), "u").groupBy("v")
+           .agg(F.sum("weight").alias("links"), F.first("n").alias("n"),
+                F.sum(F.when(F.col("root") == F.col("u_root"), F.col("weight")).otherwise(0)).alias("joined"))
+           .collect())  # bounded by the sample
     total = sum(r["links"] for r in per)
-    return sum(r["links"] if r["held"] >= neighbours else r["held"] for r in per) / total if total else 1.0
+    return sum(min(r["n"], r["joined"]) for r in per) / total if total else 1.0
 
 
 def block_counts(members: DataFrame, threshold: float, block: int) -> DataFrame:
@@ -203,6 +213,107 @@ def block_counts(members: DataFrame, threshold: float, block: int) -> DataFrame:
     return counted.groupBy("v").agg(F.sum("n").alias("n"))
 
 
+def cells(members: DataFrame) -> DataFrame:
+    """(root, part, radius, center): the parts of ``members`` (root, part, v,
+    vec), with the direction of their mean and the widest angle to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for root, part, _, vec in sorted_groups(batches, 2):
+            x = np.stack(vec).astype(np.float64)  # of one length: links join no others
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            center = x.mean(axis=0)
+            center = center / np.linalg.norm(center) if np.linalg.norm(center) > 1e-9 else x[0]
+            radius = float(np.arccos(np.clip(x @ center, -1, 1)).max())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(root[:1]), pa.array(part[:1]), pa.array([radius]), pa.array([center.tolist()])],
+                names=["root", "part", "radius", "center"])
+
+    by = ["root", "part"]
+    return (members.select("root", "part", "v", "vec").repartition(*by).sortWithinPartitions(*by)
+            .mapInArrow(run, "root long, part int, radius double, center array<double>"))
+
+
+def cell_pairs(found: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a_root, a_part, b_root, b_part): cells of different roots that centres
+    and radii allow a link between."""
+    chunks = max(1, math.ceil(found.count() / block))
+    dealt = (found.withColumn("own", F.pmod(F.xxhash64("root", "part", F.lit(7)), F.lit(chunks)).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+             .select(F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"),
+                     "own", "root", "part", "radius", "center"))
+    by, far = ["first", "second"], math.acos(threshold) + 1e-6
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, second, own, root, part, radius, center in sorted_groups(batches, 2):
+            out = [(np.zeros(0, np.int64), np.zeros(0, np.int32)) * 2]
+            sizes = np.array([len(x) for x in center])
+            for d in np.unique(sizes):
+                a = np.flatnonzero((own == first[0]) & (sizes == d))
+                b = np.flatnonzero((own == second[0]) & (sizes == d))
+                if len(a) and len(b):
+                    angle = np.arccos(np.clip(cosines(np.stack(center[a]), np.stack(center[b])), -1, 1))
+                    near = (angle <= radius[a][:, None] + radius[b] + far) & (root[a][:, None] != root[b])
+                    if first[0] == second[0]:
+                        near &= root[a][:, None] < root[b]
+                    i, j = np.nonzero(near)
+                    out.append((root[a[i]], part[a[i]], root[b[j]], part[b[j]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
+                                             names=["a_root", "a_part", "b_root", "b_part"])
+
+    return (dealt.repartition(*by).sortWithinPartitions(*by)
+            .mapInArrow(run, "a_root long, a_part int, b_root long, b_part int"))
+
+
+def joining_roots(members: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(a, b): roots of ``members`` (root, v, vec) that a link of two members
+    joins, by comparing the parts of different roots block by block."""
+    sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    dealt = stage(members.join(sizes, "root")
+                  .withColumn("part", F.pmod(F.xxhash64("v", F.lit(5)), F.col("parts")).cast("int"))
+                  .select("root", "part", "v", "vec"), "saturated")
+    pairs = stage(cell_pairs(stage(cells(dealt), "cells"), threshold, block), "cell_pairs")
+    by = ["a_root", "a_part", "b_root", "b_part"]
+    sides = [pairs.join(dealt.toDF(f"{s}_root", f"{s}_part", "v", "vec"), [f"{s}_root", f"{s}_part"])
+             .select(*by, F.lit(s == "b").cast("int").alias("side"), "vec") for s in "ab"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, _, b, _, side, vec in sorted_groups(batches, 4):
+            x, y = (np.stack(vec[side == k]).astype(np.float64) for k in (0, 1))
+            if any((cosines(x[at:at + block], y) >= threshold).any() for at in range(0, len(x), block)):
+                yield pa.RecordBatch.from_arrays([pa.array(a[:1]), pa.array(b[:1])], names=["a", "b"])
+
+    return (sides[0].union(sides[1]).repartition(*by).sortWithinPartitions(*by)
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def by_lists(nodes: DataFrame, lists: DataFrame, threshold: float, neighbours: int, block: int) -> DataFrame:
+    """(v, root, n): components, and the weight of the nodes linked to each
+    node: by lists, and by blocks in components that hold a saturated node."""
+    links = lists.where(F.col("cosine") >= threshold)
+    roots = connected_components(links.select(F.col("v").alias("a"), F.col("u").alias("b")))
+    roots = roots.select(F.col("node").alias("v"), "root")
+    per = (links.join(nodes.select(F.col("v").alias("u"), "weight"), "u").groupBy("v")
+           .agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("held")))
+    counted = stage(roots.join(per, "v", "left").select("v", "root", "n", F.coalesce("held", F.lit(0)).alias("held")),
+                    "counts")
+    saturated = counted.where(F.col("held") >= neighbours)
+    if saturated.select("root").distinct().limit(2).count() == 2:
+        joined = connected_components(joining_roots(saturated.join(nodes, "v").select("root", "v", "vec"),
+                                                    threshold, block))
+        joined = joined.select(F.col("node").alias("root"), F.col("root").alias("to"))
+        counted = stage(counted.join(joined, "root", "left")
+                        .select("v", F.coalesce("to", "root").alias("root"), "n", "held"), "counts")
+    dense = (counted.groupBy("root").agg(F.max("held").alias("held"), F.count(F.lit(1)).alias("size"))
+             .where(F.col("held") >= neighbours)
+             .select("root", F.ceil(F.col("size") / block).cast("int").alias("parts")))
+    members = counted.join(dense, "root").join(nodes, "v").select("root", "parts", "v", "weight", "vec")
+    blocks = block_counts(members, threshold, block).withColumnRenamed("n", "dense_n")
+    # a dense component's nodes count by blocks, the others by their lists
+    return stage(nodes.select("v").join(counted, "v", "left").join(blocks, "v", "left")
+                 .select("v", F.coalesce("root", "v").alias("root"), F.coalesce("dense_n", "n", F.lit(0)).alias("n")),
+                 "classes")
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS, bucket: int = BUCKET,
                     meet: float = MEET, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
@@ -229,31 +340,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     floor = 2 * threshold * threshold - 1
     bits = max(0, math.ceil(math.log2(max(1, n) / bucket)))
     tables = meeting_tables(bits, threshold, meet)
-    found = bucket_pairs(nodes, n, floor, threshold, 0, tables, bits, neighbours, bucket)
-    lists = stage(nearest(found, neighbours), "lists")
-    for attempt in range(1, 4):
-        lists = descend(nodes, lists, threshold, floor, neighbours)
-        if audited_recall(nodes, lists, n, threshold, AUDIT, neighbours) >= recall:
+    lists, held = None, 0.0
+    for attempt in range(ATTEMPTS):
+        found = bucket_pairs(nodes, n, floor, threshold, attempt * tables, tables, bits, neighbours, bucket)
+        lists = descend(nodes, stage(nearest(lists, found, neighbours), "lists"), threshold, floor, neighbours)
+        classes = by_lists(nodes, lists, threshold, neighbours, block)
+        held = audited_recall(nodes, classes, n, threshold, AUDIT)
+        if held >= recall:
             break
-        more = bucket_pairs(nodes, n, floor, threshold, attempt * tables, tables, bits, neighbours, bucket)
-        lists = stage(nearest(lists.union(more), neighbours), "lists")
-
-    links = lists.where(F.col("cosine") >= threshold)
-    roots = connected_components(links.select(F.col("v").alias("a"), F.col("u").alias("b")))
-    roots = stage(roots.select(F.col("node").alias("v"), "root"), "roots")
-    per = (links.join(nodes.select(F.col("v").alias("u"), "weight"), "u").groupBy("v")
-           .agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("held")))
-    counted = stage(roots.join(per, "v", "left").select("v", "root", "n", F.coalesce("held", F.lit(0)).alias("held")),
-                    "counts")
-    dense = (counted.groupBy("root").agg(F.max("held").alias("held"), F.count(F.lit(1)).alias("size"))
-             .where(F.col("held") >= neighbours)
-             .select("root", F.ceil(F.col("size") / block).cast("int").alias("parts")))
-    members = counted.join(dense, "root").join(nodes, "v").select("root", "parts", "v", "weight", "vec")
-    blocks = block_counts(members, threshold, block).withColumnRenamed("n", "dense_n")
-    # a dense component's nodes count by blocks, the others by their lists
-    named = (nodes.join(counted, "v", "left").join(blocks, "v", "left")
-             .select("v", "first_id", "weight", F.coalesce("root", "v").alias("root"),
-                     F.coalesce("dense_n", "n", F.lit(0)).alias("n")))
+    named = nodes.join(classes, "v").select("v", "first_id", "weight", "root", "n")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = stage(named.join(least, "root")
                     .select("v", (F.col("n") + F.col("weight") - 1).alias("n_links"), "component_id"), "classes")
@@ -265,17 +360,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
 
 def descend(nodes: DataFrame, lists: DataFrame, threshold: float, floor: float, neighbours: int) -> DataFrame:
-    """Rounds of comparing nodes with their neighbours' neighbours.  Saturated
-    nodes don't ask: their lists will be enlarged anyway."""
+    """Rounds of comparing nodes with their neighbours' neighbours, until no
+    list changes, ``ROUNDS`` at most; what two entries of earlier rounds lead to was compared then.
+    Saturated nodes don't ask: links between them are found block by block."""
     for _ in range(ROUNDS):
+        if not lists.where("fresh").limit(1).count():
+            return lists
         asking = (lists.groupBy("v").agg(F.sum(F.when(F.col("cosine") >= threshold, 1).otherwise(0)).alias("links"))
                   .where(F.col("links") < neighbours).select("v"))
-        to = lists.select(F.col("v").alias("via"), F.col("u"))
-        ask = lists.join(asking, "v", "left_semi").select("v", F.col("u").alias("via"))
-        candidates = (ask.join(to, "via").where("v <> u").select("v", "u").distinct()
+        to = lists.select(F.col("v").alias("via"), F.col("u"), F.col("fresh").alias("also"))
+        ask = lists.join(asking, "v", "left_semi").select("v", F.col("u").alias("via"), "fresh")
+        candidates = (ask.join(to, "via").where("v <> u and (fresh or also)").select("v", "u").distinct()
                       .join(lists.select("v", "u"), ["v", "u"], "left_anti"))
-        better = stage(pair_cosines(candidates, nodes, floor), "better")
-        if not better.where(F.col("cosine") >= threshold).limit(1).count():
-            return lists
-        lists = stage(nearest(lists.union(better), neighbours), "lists")
+        lists = stage(nearest(lists, pair_cosines(candidates, nodes, floor), neighbours), "lists")
     return lists

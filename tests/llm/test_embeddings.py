@@ -84,3 +84,27 @@ def test_saturated_groups_are_joined(spark):
     for bucket in (4096, 64):  # one bucket; some
         got = embeddings.near_duplicates(frame(spark, x), bucket=bucket, block=64).collect()
         assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
+def cone():
+    """One narrow cone whose vectors mostly don't link, and pairs that do."""
+    rng = np.random.default_rng(3)
+    axis = np.zeros(32)
+    axis[0] = 1.0
+    x = axis * 1.5 + rng.normal(size=(1500, 32)) * 0.2
+    return np.vstack([x, x[:150] + rng.normal(size=(150, 32)) * 0.06])
+
+
+def test_hot_buckets_keep_their_links(spark):
+    x = cone()
+    want = plain(range(len(x)), x)
+    got = embeddings.near_duplicates(frame(spark, x), bucket=16).collect()
+    assert sum(r.n_links for r in got) >= 0.98 * sum(n for n, _ in want.values())
+    assert all(r.n_links <= want[r.vec_id][0] for r in got)
+
+
+def test_what_the_audit_rejects_is_finished_by_blocks(spark):
+    x = cone()[1200:]
+    want = plain(range(len(x)), x)
+    got = embeddings.near_duplicates(frame(spark, x), bucket=8, neighbours=2, meet=0.05, recall=1.01, block=64).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want

@@ -4,10 +4,11 @@
 2. First neighbour lists: signs of random projections deal the nodes to
    buckets of about ``BUCKET`` in as many tables as a pair at the threshold
    needs to meet with probability ``MEET``; the best ``NEIGHBOURS`` of a bucket
-   enter a node's list.  Buckets with more than twice as many nodes are dealt
-   to random parts.
+   enter a node's list.  Buckets with more than twice as many nodes are split
+   by the signs of further projections around the bucket's own mean; only what
+   these leave together is dealt to random parts.
 3. Descent: the neighbours of a node's neighbours are compared with it, until
-   the lists stop changing, for ``ROUNDS`` rounds at most.  Lists hold neighbours within twice the
+   the lists stop changing.  Lists hold neighbours within twice the
    threshold's angle, the farthest that two nodes linked to a third can be.
 4. Saturated lists (all ``NEIGHBOURS`` are links) may lack links, but only to
    nodes whose lists are saturated too: saturated nodes of different components
@@ -35,7 +36,7 @@ from .components import connected_components
 from .rows import attach, sorted_groups, stage
 
 THRESHOLD, NEIGHBOURS, BUCKET, MEET, RECALL = 0.9, 12, 256, 0.998, 0.98
-AUDIT, ATTEMPTS, ROUNDS, BLOCK = 128, 3, 6, 512
+AUDIT, ATTEMPTS, BLOCK = 128, 3, 512
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -65,6 +66,8 @@ def bucket_pairs(nodes: DataFrame, n: int, floor: float, threshold: float, first
                  bits: int, neighbours: int, bucket: int) -> DataFrame:
     """(v, u, cosine): each node's best neighbours in each of its buckets."""
 
+    extra = max(1, bits)
+
     def make():
         planes: dict[int, np.ndarray] = {}
 
@@ -73,26 +76,40 @@ def bucket_pairs(nodes: DataFrame, n: int, floor: float, threshold: float, first
             for x in vectors:
                 d = len(x)
                 if d not in planes:
-                    planes[d] = np.random.default_rng([d, first_table]).normal(size=(d, tables * max(1, bits)))
-                signs = (np.array(x, dtype=np.float64) @ planes[d] > 0).reshape(tables, -1)
-                code = signs @ (1 << np.arange(max(1, bits), dtype=np.int64)) if bits else np.zeros(tables, np.int64)
-                out.append(code * 65_536 + d % 65_536)  # vectors of other lengths meet nowhere
+                    planes[d] = np.random.default_rng([d, first_table]).normal(size=(d, 2 * tables * extra))
+                x = np.array(x, dtype=np.float64)
+                at = (x @ planes[d] / np.linalg.norm(x)).reshape(2, tables, extra)
+                code = (at[0] > 0) @ (1 << np.arange(extra, dtype=np.int64)) if bits else np.zeros(tables, np.int64)
+                # vectors of other lengths meet nowhere
+                out.append([{"code": c, "more": m} for c, m in zip((code * 65_536 + d % 65_536).tolist(), at[1].tolist(),
+                                                                   strict=True)])
             return out
         return codes
 
-    coded = (attach(nodes.select("v", "vec"), "vec", "codes", "array<long>", make, rows=2048)
-             .select("v", "vec", F.posexplode("codes").alias("table", "code")))
-    keys = coded.select("v", "table", "code")
-    full = (keys.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n"))
-            .where("n > 1").withColumn("parts", F.when(F.col("n") > 2 * bucket, F.ceil(F.col("n") / bucket)).otherwise(1)))
-    dealt = (coded.join(full, ["table", "code"])
-             .withColumn("part", F.pmod(F.xxhash64("v", "table"), F.col("parts")).cast("int"))
-             .select("table", "code", "part", "v", "vec"))
-    by = ["table", "code", "part"]
+    coded = (attach(nodes.select("v", "vec"), "vec", "codes", "array<struct<code:bigint,more:array<double>>>", make,
+                    rows=2048)
+             .select("v", "vec", F.posexplode("codes").alias("table", "c")).select("v", "vec", "table", "c.code", "c.more"))
+    full = (coded.groupBy("table", "code")
+            .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("more")[i]) for i in range(extra)]).alias("mean"))
+            .where("n > 1"))
+    # a hot bucket is split by as many signs around its mean as it needs
+    signs = F.aggregate(F.zip_with("more", "mean", lambda a, m: (a > m).cast("long")), F.lit(0).cast("long"),
+                        lambda code, sign: code * 2 + sign)
+    halvings = F.least(F.ceil(F.log2(F.col("n") / bucket)), F.lit(extra)).cast("int")
+    split = stage(coded.join(full, ["table", "code"])
+                  .withColumn("sub", F.when(F.col("n") > 2 * bucket, signs % F.pow(F.lit(2), halvings).cast("long")).otherwise(F.lit(0)).cast("long"))
+                  .select("table", "code", "sub", "n", "v", "vec"), "buckets")
+    parts = (split.where(F.col("n") > 2 * bucket).groupBy("table", "code", "sub").agg(F.count(F.lit(1)).alias("left"))
+             .where(F.col("left") > 2 * bucket)
+             .select("table", "code", "sub", F.ceil(F.col("left") / bucket).alias("parts")))
+    dealt = (split.join(parts, ["table", "code", "sub"], "left")
+             .withColumn("part", F.pmod(F.xxhash64("v", "table"), F.coalesce("parts", F.lit(1))).cast("int"))
+             .select("table", "code", "sub", "part", "v", "vec"))
+    by = ["table", "code", "sub", "part"]
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for _, _, _, v, vec in sorted_groups(batches, 3):
+        for _, _, _, _, v, vec in sorted_groups(batches, 4):
             x = np.stack(vec).astype(np.float64)
             for at in range(0, len(v), BLOCK):
                 c = cosines(x[at:at + BLOCK], x)
@@ -286,6 +303,61 @@ def joining_roots(members: DataFrame, threshold: float, block: int) -> DataFrame
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Rows and columns of a link matrix that join what all its links join."""
+    left, out = np.ones(near.shape[1], dtype=bool), []
+    todo_rows = np.ones(near.shape[0], dtype=bool)
+    for start in np.flatnonzero(near.any(axis=1)):
+        if not todo_rows[start]:
+            continue
+        todo_rows[start] = False
+        rows = [start]
+        while rows:
+            i = rows.pop()
+            for j in np.flatnonzero(near[i] & left):
+                left[j] = False
+                out.append((i, j))
+                more = np.flatnonzero(near[:, j] & todo_rows)
+                todo_rows[more] = False
+                out += [(k, j) for k in more]
+                rows += more.tolist()
+    return out
+
+
+def block_links(nodes: DataFrame, n: int, threshold: float, block: int) -> DataFrame:
+    """(a, b): links that join what all links of ``nodes`` join, from comparing
+    every two of their parts."""
+    parts = max(1, math.ceil(n / block))
+    dealt = (nodes.withColumn("own", F.pmod(F.xxhash64("v", F.lit(5)), F.lit(parts)).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+             .select(F.least("own", "other").alias("first"), F.greatest("own", "other").alias("second"), "own", "v", "vec"))
+    by = ["first", "second"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, second, own, v, vec in sorted_groups(batches, 2):
+            a_out, b_out = [], []
+            sizes = np.array([len(x) for x in vec])
+            for d in np.unique(sizes):
+                a = np.flatnonzero((own == first[0]) & (sizes == d))
+                b = np.flatnonzero((own == second[0]) & (sizes == d))
+                if len(a) and len(b):
+                    near = cosines(np.stack(vec[a]).astype(np.float64), np.stack(vec[b]).astype(np.float64)) >= threshold
+                    for i, j in forest(near):
+                        a_out.append(v[a[i]])
+                        b_out.append(v[b[j]])
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+
+    return dealt.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").where("a <> b")
+
+
+def by_blocks(nodes: DataFrame, n: int, threshold: float, block: int) -> DataFrame:
+    """(v, root, n): all nodes compared with all, without lists."""
+    roots = connected_components(block_links(nodes, n, threshold, block)).withColumnRenamed("node", "v")
+    whole = nodes.select(F.lit(0).alias("root"), F.lit(max(1, math.ceil(n / block))).alias("parts"), "v", "weight", "vec")
+    return stage(nodes.select("v").join(roots, "v", "left").join(block_counts(whole, threshold, block), "v", "left")
+                 .select("v", F.coalesce("root", "v").alias("root"), F.coalesce("n", F.lit(0)).alias("n")), "classes")
+
+
 def by_lists(nodes: DataFrame, lists: DataFrame, threshold: float, neighbours: int, block: int) -> DataFrame:
     """(v, root, n): components, and the weight of the nodes linked to each
     node: by lists, and by blocks in components that hold a saturated node."""
@@ -348,6 +420,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         held = audited_recall(nodes, classes, n, threshold, AUDIT)
         if held >= recall:
             break
+    if held < recall:
+        classes = by_blocks(nodes, n, threshold, block)
     named = nodes.join(classes, "v").select("v", "first_id", "weight", "root", "n")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = stage(named.join(least, "root")
@@ -361,11 +435,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
 
 def descend(nodes: DataFrame, lists: DataFrame, threshold: float, floor: float, neighbours: int) -> DataFrame:
     """Rounds of comparing nodes with their neighbours' neighbours, until no
-    list changes, ``ROUNDS`` at most; what two entries of earlier rounds lead to was compared then.
+    list changes; what two entries of earlier rounds lead to was compared then.
     Saturated nodes don't ask: links between them are found block by block."""
-    for _ in range(ROUNDS):
-        if not lists.where("fresh").limit(1).count():
-            return lists
+    while lists.where("fresh").limit(1).count():
         asking = (lists.groupBy("v").agg(F.sum(F.when(F.col("cosine") >= threshold, 1).otherwise(0)).alias("links"))
                   .where(F.col("links") < neighbours).select("v"))
         to = lists.select(F.col("v").alias("via"), F.col("u"), F.col("fresh").alias("also"))

@@ -64,3 +64,15 @@ def test_odd_rows(spark, odd):
 def test_code_points():
     assert "".join(map(chr, langid.code_points("  Ab12c,, É😀x "))) == "ab c é x "
     assert len(langid.code_points("")) == len(langid.code_points("!!")) == 0
+
+
+def test_languages_of_many_letters():
+    random.seed(4)
+    letters = {"han": range(0x4E00, 0x4E00 + 400), "hangul": range(0xAC00, 0xAC00 + 400), "greek": range(0x3B1, 0x3C9)}
+    words = {k: ["".join(chr(random.choice(v)) for _ in range(3)) for _ in range(150)] for k, v in letters.items()}
+    text = lambda k, n: " ".join(random.choice(words[k]) for _ in range(n))
+    model = langid.build({k: [text(k, 100) for _ in range(30 if k != "hangul" else 10)] for k in letters})
+    assert len(model.alphabet) > langid.SYMBOLS and model.table.shape[1] == langid.SYMBOLS + 1
+    for k in letters:
+        names, scores = model.predict([text(k, 30) for _ in range(5)])
+        assert set(names) == {k} and min(scores) > 0.2

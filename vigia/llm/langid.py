@@ -24,7 +24,7 @@ from .rows import attach
 
 #: The sample: rows of a language, characters of a row (documented bounds of the fit).
 SAMPLE_ROWS, SAMPLE_CHARS = 64, 512
-#: Distinct symbols of the automata; rarer ones occur in no phrase.
+#: Symbols with a column of the transition table; steps by rarer ones are a sorted list.
 SYMBOLS = 48
 BLOCK = 1024
 _LANES = 2048
@@ -54,9 +54,9 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transition table (states x width, -1: none) of the automaton whose
-    paths from state 0 spell exactly the substrings of ``symbols``."""
+def automaton_edges(symbols: list[int]) -> list[dict[int, int]]:
+    """Steps of each state of the automaton whose paths from state 0 spell
+    exactly the substrings of ``symbols``."""
     links, lengths, edges = [-1], [0], [{}]
     last = 0
     for c in symbols:
@@ -82,6 +82,12 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     p = links[p]
                 links[q] = links[new] = copy
         last = new
+    return edges
+
+
+def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
+    """The automaton's steps as a table (states x width, -1: none)."""
+    edges = automaton_edges(symbols)
     table = np.full((len(edges), width), -1, dtype=np.int32)
     for state, out in enumerate(edges):
         for c, to in out.items():
@@ -94,14 +100,29 @@ class Model:
     """Automata of all languages in one table; ``roots`` are their first states."""
 
     languages: list[str]
-    alphabet: np.ndarray  # sorted code points; symbol = place, len(alphabet): any other
-    table: np.ndarray
+    alphabet: np.ndarray  # sorted code points
+    number: np.ndarray  # their symbols, commonest first; len(alphabet): any other
+    table: np.ndarray  # steps by the commonest symbols; the last column has none
     roots: np.ndarray
     bits: np.ndarray  # log2 of the sample's length
+    rare: np.ndarray  # sorted: state * len(alphabet) + symbol of the steps by other symbols
+    rare_to: np.ndarray
 
     def symbols(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
-        return np.where(self.alphabet[at] == points, at, len(self.alphabet))
+        return np.where(self.alphabet[at] == points, self.number[at], len(self.alphabet))
+
+    def follow(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The states (languages x lanes) that a symbol of each lane leads to, -1: none."""
+        width = self.table.shape[1]
+        to = self.table.ravel().take(state * width + np.minimum(symbol, width - 1))
+        if len(self.rare):
+            at = np.flatnonzero((symbol >= width - 1) & (symbol < len(self.alphabet)))
+            if len(at):
+                key = np.broadcast_to(state, to.shape)[:, at] * len(self.alphabet) + symbol[at]
+                i = np.minimum(np.searchsorted(self.rare, key), len(self.rare) - 1)
+                to[:, at] = np.where(self.rare[i] == key, self.rare_to[i], -1)
+        return to
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (rows) in each language."""
@@ -113,8 +134,6 @@ class Model:
                 owner.append(i)
                 blocks.append(symbols[at:at + BLOCK])
         order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
-        width = self.table.shape[1]
-        flat = self.table.ravel()
         for at in range(0, len(order), _LANES):
             lanes = order[at:at + _LANES]
             lengths = np.array([len(blocks[i]) for i in lanes])
@@ -128,12 +147,12 @@ class Model:
             for step in range(lengths[0]):
                 m = running[step]
                 symbol = grid[step, :m]
-                to = flat.take(state[:, :m] * width + symbol)
+                to = self.follow(state[:, :m], symbol)
                 miss = to < 0
                 # a phrase starts after a miss, and where none is open (at the root)
                 count[:, :m] += miss | (state[:, :m] == roots)
                 if miss.any():
-                    fresh = flat.take(roots * width + symbol)
+                    fresh = self.follow(roots, symbol)
                     # a symbol that the sample lacks is a phrase of its own and leaves none open
                     to = np.where(miss, np.where(fresh < 0, roots, fresh), to)
                 state[:, :m] = to
@@ -160,26 +179,35 @@ class Model:
 def build(samples: dict[str, list[str]]) -> Model:
     languages = sorted(samples)
     points = {name: [code_points(t) for t in samples[name]] for name in languages}
-    seen = Counter()
+    seen = Counter({32: 1})
     for texts in points.values():
         for t in texts:
             seen.update(t.tolist())
-    alphabet = np.array(sorted(p for p, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:SYMBOLS]) or [32],
-                        dtype=np.uint32)
-    width = len(alphabet) + 1
-    model = Model(languages, alphabet, np.zeros((1, width), dtype=np.int32), np.zeros(0, np.int64), np.zeros(0))
-    tables, roots, bits, states = [], [], [], 0
+    common = np.array([p for p, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))], dtype=np.uint32)
+    number = np.argsort(common)
+    width = min(len(common), SYMBOLS) + 1
+    model = Model(languages, common[number], number, np.zeros((1, width), dtype=np.int32), np.zeros(0, np.int64),
+                  np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    tables, roots, bits, states, rare = [], [], [], 0, []
     for name in languages:
         symbols = np.concatenate([np.append(model.symbols(t), model.symbols(np.array([32], np.uint32)))
                                   for t in points[name]] or [np.zeros(0, np.int64)])
-        symbols = symbols[symbols < len(alphabet)]
-        table = suffix_automaton(symbols.tolist(), width)
-        tables.append(np.where(table >= 0, table + states, -1))
+        edges = automaton_edges(symbols.tolist())
+        table = np.full((len(edges), width), -1, dtype=np.int32)
+        for state, out in enumerate(edges):
+            for c, to in out.items():
+                if c < width - 1:
+                    table[state, c] = to + states
+                else:
+                    rare.append(((state + states) * len(common) + c, to + states))
+        tables.append(table)
         roots.append(states)
         bits.append(np.log2(max(2, len(symbols))))
         states += len(table)
     if tables:
-        model.table = np.concatenate(tables).astype(np.int32)
+        model.table = np.concatenate(tables)
+        pairs = np.array(sorted(rare), dtype=np.int64).reshape(-1, 2)
+        model.rare, model.rare_to = pairs[:, 0].copy(), pairs[:, 1].copy()
         model.roots, model.bits = np.array(roots, dtype=np.int64), np.array(bits)
     return model
 

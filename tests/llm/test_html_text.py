@@ -65,3 +65,12 @@ def test_rows_pass_through(spark):
     assert sorted((r.page_id, r.n_chars) for r in html_text.main_texts(rows).collect()) == [(1, 0), (1, 0), (2, 28)]
     assert html_text.main_texts(rows.limit(0)).count() == 0
     assert html_text.extract(rows).columns == ["page_id", "url", "html", "tag", "text"]
+
+
+def test_end_tags_may_be_left_out():
+    assert html_text.main_text("<html><head><title>x</title><script>a='<p>b'</script><body><article><p>The article."
+                               "</article>") == "The article."
+    for tag in ("button", "select", "svg", "object"):
+        page = f"<article><div><{tag}>Go <b>there</b></div><p>The article.</p></article>"
+        assert html_text.main_text(page) == "The article.", tag
+    assert html_text.main_text("<article><svg><g><text>a</text></g><svg></svg>b</svg><p>It is.</p></article>") == "It is."

@@ -32,7 +32,7 @@ _ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Elements whose content is no text of the page.
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas select textarea button title head "
+SKIPPED = frozenset("script style noscript template svg math iframe object canvas select textarea button title "
                     "audio video datalist".split())
 #: Of these, ones whose content is not parsed for tags.
 RAW = frozenset("script style textarea title iframe noscript".split())
@@ -91,6 +91,7 @@ class Blocks:
         self.link = self.linked = 0  # open links; characters in links of this block
         self.containers = 0
         at, skip = 0, None
+        inner: list[str] = []  # open within the skipped element
         lower = None
         for m in iter(lambda: _TAG.search(page, at), None):
             if m.start() > at and not skip:
@@ -102,9 +103,21 @@ class Blocks:
                     self.text.append(m.group()[9:-3])
                 continue
             tag = tag.lower()
-            if skip:
-                if tag == skip and m.group(1):
+            if tag == "head":  # what may stand in it has no text; its end tag may be left out
+                continue
+            if skip and m.group(1):
+                if tag in inner:
+                    del inner[len(inner) - 1 - inner[::-1].index(tag):]
+                    continue
+                if tag == skip:
                     skip = None
+                    continue
+                if all(s[0] != tag for s in self.stack):
+                    continue
+                skip = None  # left open, it ends with its parent
+            if skip and tag not in RAW:
+                if tag not in VOID and not m.group(3).rstrip().endswith("/"):
+                    inner.append(tag)
                 continue
             if not m.group(1) and tag in SKIPPED:
                 if tag in RAW:
@@ -116,7 +129,7 @@ class Blocks:
                         continue
                     at = close + 1 if close >= 0 else len(page)
                 elif not m.group(3).rstrip().endswith("/"):
-                    skip = tag
+                    skip, inner = tag, []
                 continue
             self.tag(tag, bool(m.group(1)), m.group(3))
         if not skip:

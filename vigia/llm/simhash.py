@@ -187,3 +187,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage(grouped.join(named, "root").select("fp", "component_id"), "classes")
     return (prints.join(classes, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """(doc_id, text_hash): of every component the row of smallest id, then of
+    smallest xxhash64 of the text.  Components are of texts, whatever ids
+    repeat; rows with a null id stand for none."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.col(f"`{text_col}`").cast("string").alias("text"))
+    prints = stage(attach(rows, "text", "fp", "long", lambda: lambda ts: [fingerprint(t, shingle) for t in ts])
+                   .select("doc_id", "fp", F.xxhash64("text").alias("text_hash")), "fingerprints")
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash")))
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), least.alias("least")), "nodes")
+    roots = connected_components(link_forest(nodes.select("fp", "first_id"), radius, shard))
+    return (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+            .where("least is not null").select("least.doc_id", "least.text_hash"))

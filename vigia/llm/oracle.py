@@ -66,3 +66,39 @@ reach(v, u) AS (
 SELECT e.vec_id, (SELECT count(*) FROM link l WHERE l.v = e.vec_id) AS n_links, c.component_id,
        e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN (SELECT v, min(u) AS component_id FROM reach GROUP BY v) c ON c.v = e.vec_id"""
+
+
+def _ascii_words(table: str, name: str, id_col: str) -> str:
+    return rf"""{name} AS (
+  SELECT {id_col}, list_filter(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM {table}
+)"""
+
+
+#: Windows of items joined to windows of documents; every word of a hit once.
+DECONTAMINATION = "WITH " + _ascii_words("documents", "doc", "doc_id") + ", " + _ascii_words(
+    "benchmark", "item", "item_id") + """,
+phrase AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i
+        FROM (SELECT *, least(10, len(w)) AS size FROM item WHERE len(w) > 0))
+),
+place AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM doc, (SELECT DISTINCT size FROM phrase))
+),
+hit AS (SELECT doc_id, i, size, item_id FROM place JOIN phrase USING (size, phrase)),
+covered AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) FROM hit) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""

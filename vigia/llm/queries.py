@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embeddings, html_text, langid, licenses, oracle, order_minhash, packing, quality, simhash, substring
+from . import bpe, decontaminate, embeddings, html_text, langid, licenses, oracle, order_minhash, packing, quality, simhash, substring
 from .rows import table
 
 
@@ -61,9 +61,13 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op4_html": op4_html, "op5_passages": op5_passages, "op6_embeddings": op6_embeddings, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid}
+    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op4_html": op4_html, "op5_passages": op5_passages, "op6_embeddings": op6_embeddings, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid, "op13_decontaminate": op13_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_licenses": oracle.licenses_sql(), "op6_embeddings": oracle.EMBEDDINGS}
+    return {"op3_licenses": oracle.licenses_sql(), "op6_embeddings": oracle.EMBEDDINGS, "op13_decontaminate": oracle.DECONTAMINATION}

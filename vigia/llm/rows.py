@@ -32,17 +32,19 @@ def free_name(df: DataFrame, wanted: str) -> str:
 
 
 def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
-           make: Callable[[], Callable[[list], list | pa.Array]], rows: int = 256, arrow: bool = False) -> DataFrame:
+           make: Callable[[], Callable[[list], list | pa.Array]], rows: int = 256, arrow: bool = False,
+           keep: bool = True) -> DataFrame:
     """``df`` with ``out_col``, a function of ``in_col``, added in Arrow
     batches of at most ``rows`` rows.  ``make`` runs once per Python task (it
     loads tables or reads a broadcast model) and gives the function of a list
-    of values (``arrow``: of an Arrow array).  Each row by itself; all other columns pass through, and a
-    clashing ``out_col`` raises."""
+    of values (``arrow``: of an Arrow array).  Each row by itself; all other columns pass through (``in_col``
+    only if ``keep``), and a clashing ``out_col`` raises."""
     if free_name(df, out_col) != out_col:
         raise ValueError(f"column {out_col} exists already")
     at = [c.lower() for c in df.columns].index(in_col.lower())
     added = StructType.fromDDL(f"`{out_col}` {out_type}")
-    schema = StructType([*df.schema.fields, *added.fields])
+    passed = [i for i in range(len(df.columns)) if keep or i != at]
+    schema = StructType([*(df.schema.fields[i] for i in passed), *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn, kind = make(), to_arrow_type(added.fields[0].dataType)
@@ -51,7 +53,8 @@ def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
                 part = batch.slice(start, rows)
                 out = fn(part.column(at) if arrow else part.column(at).to_pylist())
                 out = out if isinstance(out, pa.Array) else pa.array(out, type=kind)
-                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in passed), out],
+                                                 names=[*(part.schema.names[i] for i in passed), out_col])
 
     return df.mapInArrow(run, schema)
 

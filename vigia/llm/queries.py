@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, embeddings, html_text, langid, licenses, oracle, order_minhash, packing, quality, simhash, substring
+from . import (bpe, decontaminate, embeddings, hard_negatives, html_text, langid, licenses, oracle, order_minhash, packing,
+               periodic, quality, simhash, substring)
 from .rows import table
 
 
@@ -61,13 +62,21 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.report(table(spark, sf_dir, "embeddings"))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op4_html": op4_html, "op5_passages": op5_passages, "op6_embeddings": op6_embeddings, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid, "op13_decontaminate": op13_decontaminate}
+    return {"op1_bpe": op1_bpe, "op2_simhash": op2_simhash, "op3_licenses": op3_licenses, "op4_html": op4_html, "op5_passages": op5_passages, "op6_embeddings": op6_embeddings, "op7_quality": op7_quality, "op8_order_minhash": op8_order_minhash, "op9_packing": op9_packing, "op10_langid": op10_langid, "op11_periodic": op11_periodic, "op12_hard_negatives": op12_hard_negatives, "op13_decontaminate": op13_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_licenses": oracle.licenses_sql(), "op6_embeddings": oracle.EMBEDDINGS, "op13_decontaminate": oracle.DECONTAMINATION}
+    return {"op3_licenses": oracle.licenses_sql(), "op6_embeddings": oracle.EMBEDDINGS, "op12_hard_negatives": oracle.HARD_NEGATIVES, "op13_decontaminate": oracle.DECONTAMINATION}

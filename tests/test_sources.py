@@ -136,3 +136,45 @@ def test_changed_splits_give_right_ids_or_an_error(spark, before, after):
             assert len(rows) == n and all(int(r.expected) == r.row_id for r in rows)
     finally:
         spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("before,after", [("65536", "262144"), ("262144", "65536"), ("6500", "5000"), ("5000", "6500")])
+def test_changed_splits_behind_a_filter_or_a_limit(spark, before, after):
+    """What a query shows of the ids is right, or it raises, however few rows it asks for."""
+    d = tempfile.mkdtemp(prefix="vigia-ids-")
+    n, key = 6000, "spark.sql.files.maxPartitionBytes"
+    S.write_csv(spark.range(n).select((F.col("id") + 1).alias("expected"), F.repeat(F.lit("x"), 50).alias("pad"),
+                                      (F.col("id") % 7 != 3).alias("excluido")), d, order_by="expected", files=3)
+    wanted = [lambda o: o.where("expected = '126'"), lambda o: o.where("expected > '599' and pad is not null"),
+              lambda o: o.limit(1), lambda o: o.limit(40), lambda o: o.where("expected like '%77'").limit(2),
+              lambda o: S.active_rows(o).where("expected like '%9'")]
+    old, raised = spark.conf.get(key), 0
+    try:
+        for ask in wanted:
+            spark.conf.set(key, before)
+            out = with_file_row_id(S.read_csv(spark, d), "row_id")
+            same = ask(out).select("expected", "row_id").collect()
+            assert same and all(int(r.expected) == r.row_id for r in same)
+            spark.conf.set(key, after)
+            try:
+                rows = ask(out).select("expected", "row_id").collect()
+            except Exception as e:  # noqa: BLE001
+                assert "input splits changed" in str(e)
+                raised += 1
+                continue
+            assert all(int(r.expected) == r.row_id for r in rows)
+    finally:
+        spark.conf.set(key, old)
+    assert raised
+
+
+def test_filters_stay_above_the_id_check(spark):
+    from planutil import plan_text
+    p = _write("excluido,dataNotificacao\nFalse,1/1/2022\nTrue,2/1/2022\n")
+    plan = plan_text(S.read_notifications(spark, p, active_only=True).where("dataNotificacao is not null"), "simple")
+    nodes = [line.strip(" +-:*()0123456789") for line in plan.splitlines()]
+    check = next(i for i, line in enumerate(nodes) if "input splits changed" in line)
+    assert any(line.startswith("Filter") for line in nodes[:check])
+    assert not any(line.startswith("Filter") and "excluido" in line for line in nodes[check:])
+    counted = plan_text(S.read_notifications(spark, p).groupBy("id_notificacao").count(), "simple")
+    assert "Sort [_vg_mono" not in counted  # an aggregate takes all rows anyway

@@ -132,12 +132,32 @@ def test_a_hot_key_within_one_hour_is_split(spark):
         F.when(F.col("id") % 15 == 0, "error").when(F.col("id") % 2 == 0, "click").otherwise("view").alias("event_type"),
         (F.col("id") % 4).cast("string").alias("props"))
     args = (ev, "user_id", ["ts", "event_id"], ["event_type", "props"], F.col("event_type") == "error", "events")
-    cuts = A.split_points(ev, "user_id", "ts", 100).collect()
-    assert len(cuts) == 1 and len(cuts[0]["_cuts"]) == 10
+    hot, rows = A.hot_keys(ev, "user_id", 100)
+    assert [tuple(r) for r in hot.collect()] == [(7, 1001)] and rows == 1001
     split = A.change_log(*args, keep=["event_id"], split_rows=100)
     whole = A.change_log(*args, keep=["event_id"])
     assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))
-    assert A.split_points(ev, "user_id", "ts", n) is None
+    assert A.hot_keys(ev, "user_id", n)[1] == 0
+
+
+def test_a_hot_key_gives_equal_parts_and_no_cut_lists(spark):
+    """One key holds a third of a million rows, its first half within one instant of the clock."""
+    from planutil import plan_text
+    n = 1_000_000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 10).alias("user_id"),
+        F.timestamp_micros(F.greatest(F.col("id"), F.lit(n // 2))).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 15 == 0, "error").when(F.col("id") % 2 == 0, "click").otherwise("view").alias("event_type"),
+        (F.col("id") % 4).cast("string").alias("props"))
+    hot = ev.where("user_id = 7")
+    sizes = [r["count"] for r in A.ranged_parts(hot, ["user_id", "ts", "event_id"], 34).groupBy("_part").count().collect()]
+    assert len(sizes) == 34 and max(sizes) < 2 * n / 3 / 34
+    args = (ev, "user_id", ["ts", "event_id"], ["event_type", "props"], F.col("event_type") == "error", "events")
+    split = A.change_log(*args, keep=["event_id"], split_rows=10_000)
+    assert "array" not in plan_text(split).lower().replace("arrayattribute", "") and "filter(" not in plan_text(split, "simple")
+    digest = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38)"))).first())
+    assert digest(split) == digest(A.change_log(*args, keep=["event_id"], split_rows=n))
 
 
 def test_change_log_without_a_hot_key_reads_and_windows_the_feed_once(spark, tmp_path):
@@ -150,21 +170,58 @@ def test_change_log_without_a_hot_key_reads_and_windows_the_feed_once(spark, tmp
     assert plan.count("FileScan") == 1 and plan.count("Window") == 1 and plan.count("Exchange") == 1
 
 
-def test_a_repeated_batch_writes_the_same_rows_and_parts_are_merged(spark):
+def _keyed_events(spark, rows, keys):
+    return spark.range(rows).selectExpr(f"id % {keys} user_id", "cast(timestamp_micros(id) as timestamp_ntz) ts", "id event_id",
+                                        "if(id % 7 = 0, 'error', 'click') event_type", "cast(id % 3 as string) props")
+
+
+def test_a_repeated_batch_writes_the_same_rows_and_old_images_go(spark):
     from vigia.session import fresh_dir, list_names
     from vigia.streaming import audit_stream as S
     sink, state = fresh_dir(spark, "t-sink"), fresh_dir(spark, "t-state")
-    ev = spark.range(60).selectExpr("id % 5 user_id", "cast(timestamp_micros(id) as timestamp_ntz) ts", "id event_id",
-                                    "if(id % 7 = 0, 'error', 'click') event_type", "cast(id % 3 as string) props")
+    ev = _keyed_events(spark, 60, 5)
     for i in range(6):
         part = ev.filter(f"event_id div 10 = {i}")
         for _ in range(2):  # as after a failure
-            S.process_batch(part, i, S.EVENTS, sink, state, compact=3)
+            S.process_batch(part, i, S.EVENTS, sink, state, buckets=4)
     batch = A.change_log(ev, "user_id", ["ts", "event_id"], ["event_type", "props"],
                          F.col("event_type") == "error", "events", keep=["event_id"])
     assert sorted(map(tuple, S.read_log(spark, sink).collect())) == sorted(map(tuple, batch.collect()))
-    assert {n for n in list_names(spark, state) if n.startswith("base")} == {"base-0000000002", "base-0000000005"}
-    assert len(list_names(spark, state)) < 8
+    assert list_names(spark, f"{state}/manifests") == ["0000000004.json", "0000000005.json"]
+    now = S.images_before(spark, state, 6)
+    images = spark.read.parquet(*now.paths(state, list(now.wrote)))
+    last = ev.groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+    assert images.count() == 5 and images.join(last, ["user_id", "event_id"]).count() == 5
+    # folders of replaced images are gone, but for those a repeat of the last batch reads
+    kept = [n for i in range(6) for n in list_names(spark, f"{state}/batch-{i:010d}") if n.startswith("_bucket")]
+    assert len(kept) <= 2 * len(now.wrote)
+
+
+def test_a_batch_reads_and_rewrites_the_buckets_of_its_keys_only(spark):
+    from vigia.session import fresh_dir, list_names
+    from vigia.streaming import audit_stream as S
+    sink, state = fresh_dir(spark, "t-sink"), fresh_dir(spark, "t-state")
+    first = _keyed_events(spark, 4000, 4000)
+    S.process_batch(first, 0, S.EVENTS, sink, state, buckets=16)
+    before = S.images_before(spark, state, 1)
+    assert sorted(before.wrote) == list(range(16))
+    one = _keyed_events(spark, 1, 1).selectExpr("5L user_id", "ts + interval 1 day ts", "9999L event_id", "'view' event_type", "props")
+    bucket = one.select(F.pmod(F.xxhash64("user_id"), F.lit(16))).first()[0]
+    # the images of all other buckets are out of reach: the batch can't have read them
+    away = fresh_dir(spark, "t-away")
+    import os
+    plain = lambda p: p.replace("file:", "")
+    os.makedirs(plain(away))
+    for b in range(16):
+        if b != bucket:
+            os.rename(plain(f"{state}/batch-0000000000/_bucket={b}"), plain(f"{away}/{b}"))
+    S.process_batch(one, 1, S.EVENTS, sink, state, buckets=99)  # the number of buckets is frozen
+    after = S.images_before(spark, state, 2)
+    assert after.buckets == 16 and {b for b, n in after.wrote.items() if n == 1} == {bucket}
+    assert [n for n in list_names(spark, f"{state}/batch-0000000001") if n.startswith("_b")] == [f"_bucket={bucket}"]
+    assert spark.read.parquet(*after.paths(state, [bucket])).where("user_id = 5").first().event_id == 9999
+    log = S.read_log(spark, sink).where("registro_id = 5").orderBy("event_id").collect()
+    assert [r.operacao for r in log] == ["INSERT", "UPDATE"]
 
 
 def test_columns_new_to_the_second_snapshot_are_logged(spark):
@@ -183,3 +240,25 @@ def test_stored_log_goes_on_numbering(spark):
     log = A.write_log(A.snapshot_diff(new, old, "id", "t"), path).orderBy("id_log").collect()
     assert [r.id_log for r in log] == [1, 2, 3, 4, 5, 6] and [r.registro_id for r in log] == [1, 2, 3, 1, 2, 3]
     assert all(r.data_alteracao is not None and r.usuario_bd for r in log)
+
+
+def test_the_first_join_of_a_diff_carries_digests_only(spark, tmp_path):
+    from planutil import plan_text
+    schema = "id long, a string, b double, c array<string>, d struct<x:int,y:string>, e map<string,int>"
+    old = spark.createDataFrame([
+        (1, None, 0.0, ["p", None], (1, None), {"k": 1}), (2, "x", 1.5, [], None, None), (3, "q", None, None, None, None),
+        (4, "same", 2.0, ["a"], (2, "b"), {}), (None, "n", None, None, None, None), (6, None, 3.0, None, None, None)], schema)
+    new = spark.createDataFrame([
+        (1, None, -0.0, ["p", None], (1, None), {"k": 2}), (2, "x", 1.5, [None], None, None), (4, "same", 2.0, ["a"], (2, "b"), {}),
+        (5, "in", None, None, None, None), (None, "m", None, None, None, None), (6, "3.0", None, None, None, None)], schema)
+    strip = lambda df: sorted(map(str, df.collect()))
+    for o, n in ((old.drop("e"), new.drop("e")), (old.drop("e"), old.drop("e")), (new.drop("e"), old.limit(0).drop("e"))):
+        assert strip(A.snapshot_diff(o, n, "id", "t")) == strip(A.snapshot_diff(o, n, "id", "t", digests=False))
+    got = {(r.registro_id, r.operacao) for r in A.snapshot_diff(old.drop("e"), new.drop("e"), "id", "t").collect()}
+    assert got == {(2, "UPDATE"), (3, "DELETE"), (5, "INSERT"), (6, "UPDATE"), (None, "DELETE"), (None, "INSERT")}
+    wide = spark.range(1000).selectExpr("id", "repeat('x', 500) pad", "id % 7 v")
+    wide.write.parquet(str(tmp_path / "w"))
+    old, new = spark.read.parquet(str(tmp_path / "w")), spark.read.parquet(str(tmp_path / "w")).where("id <> 3")
+    plan = plan_text(A.snapshot_diff(old, new, "id", "t"), "simple")
+    # the snapshots meet the few keys that differ where they are
+    assert plan.count("BroadcastHashJoin") == 2

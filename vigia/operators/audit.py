@@ -5,8 +5,9 @@ where the images are JSON objects of the whole row, NULL fields kept.
 
 * ``snapshot_diff`` (A1-A3): two snapshots of a table, full outer join on the
   key.  INSERT = only new, DELETE = only old, UPDATE = both and the row is
-  *distinct* (null-safe).  Rows are compared as structs; JSON images are only
-  built for rows that changed.
+  *distinct* (null-safe).  Keys meet with 128-bit digests of their rows first;
+  whole rows are fetched, compared as structs and written as JSON images only
+  for keys whose digests differ.
 * ``change_log`` (A4): an ordered feed of row images per key (``seq``), where
   some events are deletes.  A key is present after any non-delete event and
   absent after a delete; an event on an absent key is an INSERT, a delete of
@@ -15,11 +16,11 @@ where the images are JSON objects of the whole row, NULL fields kept.
 
 ``change_log`` needs each event's previous image in its key, a ``lag`` over
 ``partitionBy(key)``.  A hot key (say a third of all events) would be one task,
-so keys beyond a row count are split into parts of about equal size: ``lag``
-inside each part, and the first row of a part takes the last image of the key's
-part before.  Those last rows are a partial aggregate, one row per (key, part),
-and only that small summary is windowed by key.  Without a hot key the feed is
-shuffled once and windowed once.
+so the events of keys beyond a row count are dealt by ranges of (key, order)
+instead: equal parts, whatever the key.  ``lag`` inside each part, and the first
+row of a key in a part takes the key's last image of the part before, a prefix
+scan over one row per (key, part).  Without a hot key the feed is shuffled once
+and windowed once.
 """
 
 from __future__ import annotations
@@ -39,22 +40,58 @@ def row_image(cols: list[str], prefix: str = "") -> Column:
     return F.to_json(F.struct(*[F.col(prefix + c).alias(c) for c in cols]), JSON_OPTIONS)
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, key: str, table: str) -> DataFrame:
+def row_digest(columns: dict[str, Column], types: dict[str, str]) -> Column:
+    """128 bits of a row: two 64-bit hashes of different seeds over its values
+    and over which of them are null (a hash skips nulls).  Nested values count
+    as their JSON text."""
+    nested = ("array", "map", "struct", "variant")
+    values = [F.to_json(F.struct(c.alias("v")), JSON_OPTIONS) if types[n].startswith(nested) else c
+              for n, c in columns.items()]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns.values()])
+    return F.struct(*[F.xxhash64(F.lit(seed), *values, nulls).alias(f"h{seed}") for seed in (1, 2)])
+
+
+def snapshot_diff(old: DataFrame, new: DataFrame, key: str, table: str, digests: bool = True) -> DataFrame:
     """A1-A3.  Columns of either snapshot count; one that a snapshot lacks is
-    read as null there."""
-    cols = old.columns + [c for c in new.columns if c not in old.columns]
+    read as null there.
 
-    def whole(df: DataFrame, other: DataFrame) -> Column:
-        types = dict(other.dtypes)
-        return F.struct(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c) for c in cols])
-
-    o = old.select(F.col(key).alias("_k"), whole(old, new).alias("_old"))
-    n = new.select(F.col(key).alias("_k"), whole(new, old).alias("_new"))
-    j = o.join(n, "_k", "full_outer")
-    op = (F.when(F.col("_old").isNull(), F.lit("INSERT"))
-          .when(F.col("_new").isNull(), F.lit("DELETE"))
-          .when(~F.col("_old").eqNullSafe(F.col("_new")), F.lit("UPDATE")))
-    changed = j.withColumn("operacao", op).filter(F.col("operacao").isNotNull())
+    The first join carries keys and digests only; the keys that differ are
+    written once, and their rows fetched from both snapshots (without a shuffle
+    of the snapshots where the keys are few enough to be sent to them).
+    ``digests=False`` joins whole rows at once: for snapshots that are bucketed
+    by the key, which meet without a shuffle."""
+    from ..session import shared_dir
+
+    cols = old.columns + [c for c in new.columns if c not in old.columns]
+    types = dict(new.dtypes) | dict(old.dtypes)
+
+    def values(df: DataFrame) -> dict[str, Column]:
+        return {c: F.col(c) if c in df.columns else F.lit(None).cast(types[c]) for c in cols}
+
+    def keyed(df: DataFrame, name: str, made) -> DataFrame:
+        return df.select(F.col(key).alias("_k"), made(values(df)).alias(name))
+
+    def compared(o: DataFrame, n: DataFrame, on: list[str]) -> DataFrame:
+        j = o.join(n, on, "full_outer")
+        op = (F.when(F.col("_old").isNull(), F.lit("INSERT")).when(F.col("_new").isNull(), F.lit("DELETE"))
+              .when(~F.col("_old").eqNullSafe(F.col("_new")), F.lit("UPDATE")))
+        return j.withColumn("operacao", op).filter(F.col("operacao").isNotNull())
+
+    def whole(v: dict[str, Column]) -> Column:
+        return F.struct(*[c.alias(n) for n, c in v.items()])
+
+    o, n = keyed(old, "_old", whole), keyed(new, "_new", whole)
+    if digests:
+        shared_dir(old.sparkSession)
+        hashed = lambda v: row_digest(v, types)
+        differ = compared(keyed(old, "_old", hashed), keyed(new, "_new", hashed), ["_k"])
+        differ = differ.select(F.col("_k").alias("_dk"), F.col("operacao").alias("_op")).distinct().checkpoint(eager=True)
+        asked = sized_broadcast(differ)
+        fetch = lambda rows, without: rows.join(
+            asked.filter(F.col("_op") != without), F.col("_k").eqNullSafe(F.col("_dk"))).drop("_dk")
+        changed = compared(fetch(o, "INSERT"), fetch(n, "DELETE"), ["_k", "_op"])
+    else:
+        changed = compared(o, n, ["_k"])
     return changed.select(
         F.lit(table).alias("tabela_afetada"), "operacao", F.col("_k").alias("registro_id"),
         F.when(F.col("operacao") != "INSERT", F.to_json("_old", JSON_OPTIONS)).alias("dados_antigos"),
@@ -73,11 +110,11 @@ def previous_in_key(df: DataFrame, key: str, order: list[str], carry: list[str],
     # the last row of every (key, bucket): a partial aggregate, one row per group and task in its shuffle
     last = b.groupBy(key, "_b").agg(F.max_by(F.struct(*carry), F.struct(*order)).alias("_last"))
     prev_bucket = (last.withColumn("_prev", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")))
-                   .select(key, "_b", "_prev"))
-    j = inner.join(prev_bucket, [key, "_b"], "left")
+                   .select(F.col(key).alias("_pk"), F.col("_b").alias("_pb"), "_prev"))
+    j = inner.join(prev_bucket, F.col(key).eqNullSafe(F.col("_pk")) & (F.col("_b") == F.col("_pb")), "left")
     return j.withColumns({
         f"prev_{c}": F.when(F.col("_rn") == 1, F.col(f"_prev.{c}")).otherwise(F.col(f"_lag_{c}")) for c in carry
-    }).drop("_b", "_rn", "_prev", *[f"_lag_{c}" for c in carry])
+    }).drop("_b", "_rn", "_prev", "_pk", "_pb", *[f"_lag_{c}" for c in carry])
 
 
 def classify_changes(df: DataFrame, image_cols: list[str], is_delete: Column) -> DataFrame:
@@ -97,50 +134,57 @@ def classify_changes(df: DataFrame, image_cols: list[str], is_delete: Column) ->
 SPLIT_ROWS = 100_000
 
 
-def split_points(events: DataFrame, key: str, time: str, rows: int = SPLIT_ROWS) -> DataFrame | None:
-    """For every key with more than ``rows`` rows, the times that cut its
-    history into about equal parts of ``rows`` or fewer (approximate
-    percentiles, whatever the hours it was busy in); ``None`` if no key is that
-    large.  At most one key per ``rows`` rows has a row here.  Rows of one
-    instant stay together."""
+def hot_keys(events: DataFrame, key: str, rows: int = SPLIT_ROWS) -> tuple[DataFrame, int]:
+    """(key, rows) of the keys with more than ``rows`` rows, and the rows they
+    hold together.  At most one key per ``rows`` rows is here."""
     from ..session import shared_dir
 
     shared_dir(events.sparkSession)
     hot = (events.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
            .checkpoint(eager=True))
-    most = hot.agg(F.max("_n")).first()[0]
-    if not most:
-        return None
-    parts = -(-most // rows)
-    t = F.unix_micros(F.col(time).cast("timestamp"))
-    return (events.join(sized_broadcast(hot.select(key)), key)
-            .groupBy(key).agg(F.percentile_approx(t, [i / parts for i in range(1, parts)]).alias("_cuts")))
+    return hot, int(hot.agg(F.sum("_n")).first()[0] or 0)
+
+
+def ranged_parts(rows: DataFrame, order: list[str], parts: int, name: str = "_part") -> DataFrame:
+    """``rows`` dealt by ranges of ``order`` to about equal ``parts``, with the
+    number of the part, which rises with ``order``.  Written once (checkpoint):
+    the numbers are those of this deal, however often they are read."""
+    from ..session import shared_dir
+
+    shared_dir(rows.sparkSession)
+    return rows.repartitionByRange(parts, *order).withColumn(name, F.spark_partition_id()).checkpoint(eager=True)
 
 
 def change_log(events: DataFrame, key: str, order: list[str], image_cols: list[str], is_delete: Column,
                table: str, keep: list[str] | None = None, bucket: Column | None = None,
-               split_rows: int = SPLIT_ROWS, time: str | None = None) -> DataFrame:
-    """A4: the audit log of an ordered change feed (see module doc).  ``time``
-    is the column that splits large keys, the first of ``order`` if not given;
-    it must not fall where ``order`` rises.
+               split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """A4: the audit log of an ordered change feed (see module doc).
 
     Keys of up to ``split_rows`` rows are one window group each, in a single
-    pass.  The history of larger keys is split into parts of about equal size
-    first, and the first row of a part is seeded from the last row of the
-    key's part before.  ``bucket`` splits every key by a column of your own."""
+    pass.  The history of larger keys is dealt by ranges to parts of about
+    ``split_rows`` rows, and the first row of a part is seeded from the last row
+    of the key's part before.  ``bucket`` splits every key by a column of your
+    own instead; it must not fall where ``order`` rises."""
     feed = events.select(key, *order, *[c for c in image_cols if c not in order],
                          F.coalesce(is_delete, F.lit(False)).alias("_del"))
     carry = image_cols + ["_del"]
-    cuts = None if bucket is not None else split_points(events, key, time or order[0], split_rows)
-    if bucket is None and cuts is None:
+
+    def in_one_window(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(key).orderBy(*order)
-        with_prev = feed.withColumns({f"prev_{c}": F.lag(c).over(w) for c in carry})
+        return rows.withColumns({f"prev_{c}": F.lag(c).over(w) for c in carry})
+
+    if bucket is not None:
+        with_prev = previous_in_key(feed, key, order, carry, bucket)
     else:
-        if bucket is None:
-            feed = feed.join(sized_broadcast(cuts, materialize=True), key, "left")
-            t = F.unix_micros(F.col(time or order[0]).cast("timestamp"))
-            bucket = F.coalesce(F.size(F.filter("_cuts", lambda c: c < t)), F.lit(0))
-        with_prev = previous_in_key(feed, key, order, carry, bucket).drop("_cuts")
+        hot, hot_rows = hot_keys(feed, key, split_rows)
+        if not hot_rows:
+            with_prev = in_one_window(feed)
+        else:
+            named = sized_broadcast(hot.select(F.col(key).alias("_hot")))
+            is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+            dealt = ranged_parts(feed.join(named, is_hot, "left_semi"), [key, *order], -(-hot_rows // split_rows))
+            split = previous_in_key(dealt, key, order, carry, F.col("_part")).drop("_part")
+            with_prev = in_one_window(feed.join(named, is_hot, "left_anti")).unionByName(split)
     with_prev = with_prev.withColumnRenamed("prev__del", "_prev_delete")
     logged = classify_changes(with_prev, image_cols, F.col("_del")).filter(F.col("operacao").isNotNull())
     return logged.select(

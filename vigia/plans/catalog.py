@@ -26,7 +26,7 @@ from ..sources.fixture import raw_notifications
 from ..sources.row_ids import with_file_row_id
 from ..sources.tables import fact_table, table
 from ..sources.warehouse import append_table, read_table, view_scan
-from ..streaming.audit_stream import Feed, audit_stream, read_log, run_audit_stream, stage_events
+from ..streaming.audit_stream import Feed, read_log, run_audit_stream, stage_events
 from . import indicators as K
 from . import views as V
 from .etl import warehouse_for
@@ -556,16 +556,24 @@ def _audit_stream_fact(spark, sf):
     """The audit stream over the main fact: a notification is recorded as
     suspected, gets its class on the notification day, and is removed two days
     later where the raw input flags it as excluded."""
-    fact = _wh(spark, sf)["fato_notificacoes"].select("id_notificacao", "data_notificacao", "classificacao_final")
-    gone = _raw(spark, sf).filter(F.col("excluido")).select("id_notificacao")
-    day = F.col("data_notificacao").cast("timestamp_ntz")
-    step = lambda df, days, seq, image, removed: df.select(
-        "id_notificacao", (day + F.make_dt_interval(F.lit(days))).alias("ts"), F.lit(seq).alias("seq"),
-        image.alias("classificacao_final"), F.lit(removed).alias("removed"))
-    feed = (step(fact, -1, 1, F.lit(labels.SUSPECTED), False)
-            .unionByName(step(fact, 0, 2, F.col("classificacao_final"), False))
-            .unionByName(step(fact.join(gone, "id_notificacao", "left_semi"), 2, 3, F.col("classificacao_final"), True)))
-    return audit_stream(spark, feed, slices=3, feed=FACT_FEED)
+    def stage(path):
+        fact = _wh(spark, sf)["fato_notificacoes"].select("id_notificacao", "data_notificacao", "classificacao_final")
+        gone = _raw(spark, sf).filter(F.col("excluido")).select(F.col("id_notificacao").alias("gone"))
+        day = F.col("data_notificacao").cast("timestamp_ntz")
+        step = lambda days, seq, image, removed: F.struct(
+            (day + F.make_dt_interval(F.lit(days))).alias("ts"), F.lit(seq).alias("seq"),
+            image.alias("classificacao_final"), F.lit(removed).alias("removed"))
+        steps = F.array_compact(F.array(
+            step(-1, 1, F.lit(labels.SUSPECTED), False), step(0, 2, F.col("classificacao_final"), False),
+            F.when(F.col("gone").isNotNull(), step(2, 3, F.col("classificacao_final"), True))))
+        feed = (fact.join(gone, F.col("id_notificacao") == F.col("gone"), "left")
+                .select("id_notificacao", F.inline(steps)))
+        _FEED_FILES[path] = stage_events(feed, path, 3, FACT_FEED.key, time=FACT_FEED.order[0])
+
+    src = _staged(spark, sf, "fact-feed", stage)
+    sink, ckpt = fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
+    run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger=_FEED_FILES[src], feed=FACT_FEED)
+    return read_log(spark, sink, FACT_FEED)
 
 
 @query("kpi_text")

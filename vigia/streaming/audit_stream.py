@@ -6,9 +6,12 @@ JVM.  Which columns make the image, the key, the order and what counts as a
 delete are parameters (:class:`Feed`).
 
 * Log: one folder per batch id, overwritten if the batch is run again.
-* Latest images: one part per batch id with the keys it touched; a batch reads
-  only parts of earlier batches, so a repeated batch sees what it saw before.
-  Every ``COMPACT`` batches the parts are merged into a base.
+* Latest images: in hash buckets by key.  A batch reads only the buckets its
+  keys fall into and writes new versions of them into a folder of its own; a
+  manifest per batch id then names the version of every bucket.  A batch starts
+  from the newest manifest before its own, so a repeated batch sees what it saw
+  before.  Versions that neither the last manifest nor the one before names are
+  deleted.
 
 A batch that is repeated after a failure therefore writes the same rows to the
 same place: no row is lost, none is written twice.  A live feed must deliver
@@ -19,17 +22,19 @@ a batch is split as in ``change_log``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.audit import SPLIT_ROWS, change_log
-from ..session import delete_path, fresh_dir, list_names
+from ..session import delete_path, fresh_dir, list_names, write_once
 
-# Micro-batches after which the parts of the latest-image table are merged.
-COMPACT = 20
+# Buckets of the latest-image table, frozen when its first batch is written:
+# enough that one bucket's images fit into a task.
+BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -72,15 +77,61 @@ def stage_events(events: DataFrame, path: str, slices: int = 4, key: str = "user
         return n
     width = max(1, hi - lo + 1)
     idx = F.least(F.floor((t - F.lit(lo)) * F.lit(slices) / F.lit(width)).cast("int"), F.lit(slices - 1))
-    tagged = events.withColumn("_slice", idx)
-    for i in range(slices):
-        (tagged.filter(F.col("_slice") == i).drop("_slice")
-         .repartition(n, key).write.mode("append").parquet(path))
+    tagged = events.withColumn("_slice", idx).persist()  # one pass over the source, whatever the slices
+    try:
+        for i in range(slices):
+            (tagged.filter(F.col("_slice") == i).drop("_slice")
+             .repartition(n, key).write.mode("append").parquet(path))
+    finally:
+        tagged.unpersist()
     return n
 
 
-def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
-    return [int(n[len(kind) + 1:]) for n in list_names(spark, path) if n.startswith(kind + "-")]
+@dataclass(frozen=True)
+class Images:
+    """A version of the latest images: the batch that left it, the number of
+    buckets, the batch that wrote the current rows of each bucket, and the
+    version before: its batch and what this one replaced of it."""
+
+    batch: int
+    buckets: int
+    wrote: dict[int, int] = field(default_factory=dict)
+    before: int = -1
+    replaced: dict[int, int] = field(default_factory=dict)
+
+    def paths(self, state: str, touched: list[int]) -> list[str]:
+        return [f"{state}/batch-{self.wrote[b]:010d}/_bucket={b}" for b in touched if b in self.wrote]
+
+    def after(self, batch: int, touched: list[int]) -> Images:
+        return Images(batch, self.buckets, self.wrote | dict.fromkeys(touched, batch), self.batch,
+                      {b: self.wrote[b] for b in touched if b in self.wrote})
+
+
+def _manifest(state: str, batch_id: int) -> str:
+    return f"{state}/manifests/{batch_id:010d}.json"
+
+
+def images_before(spark: SparkSession, state: str, batch_id: int, buckets: int = BUCKETS) -> Images:
+    """The newest version that a batch before ``batch_id`` left."""
+    known = [int(n[:-5]) for n in list_names(spark, f"{state}/manifests") if n.endswith(".json")]
+    known = [n for n in known if n < batch_id]
+    if not known:
+        return Images(-1, buckets)
+    meta = json.loads(spark.read.text(_manifest(state, max(known)), wholetext=True).first()[0])
+    of = lambda name: {int(k): v for k, v in meta[name].items()}
+    return Images(meta["batch"], meta["buckets"], of("wrote"), meta["before"], of("replaced"))
+
+
+def publish(spark: SparkSession, state: str, images: Images, before: Images) -> None:
+    """Make ``images`` the version of its batch.  The one before stays for a
+    repeat of this batch; what that one had replaced goes (as many folders as
+    its batch touched)."""
+    delete_path(spark, _manifest(state, images.batch))  # of a run that failed after this point
+    write_once(spark, _manifest(state, images.batch), json.dumps(asdict(images)))
+    for bucket, batch in before.replaced.items():
+        delete_path(spark, f"{state}/batch-{batch:010d}/_bucket={bucket}")
+    if before.before >= 0:
+        delete_path(spark, _manifest(state, before.before))
 
 
 def _latest(rows: DataFrame, feed: Feed, order: list[str]) -> DataFrame:
@@ -90,57 +141,48 @@ def _latest(rows: DataFrame, feed: Feed, order: list[str]) -> DataFrame:
             .select(feed.key, "_last.*"))
 
 
-def _images(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
-    """Stored images of the batches before ``batch_id``, with the batch that
-    wrote them: the last base and the parts after it."""
-    base = max([n for n in _numbers(spark, state, "base") if n < batch_id], default=-1)
-    parts = [n for n in _numbers(spark, state, "part") if base < n < batch_id]
-    paths = [f"{state}/base-{base:010d}"] * (base >= 0) + [f"{state}/part-{n:010d}" for n in parts]
-    return spark.read.parquet(*paths) if paths else None
-
-
 def process_batch(batch: DataFrame, batch_id: int, feed: Feed, sink: str, state: str,
-                  split_rows: int = SPLIT_ROWS, compact: int = COMPACT) -> None:
+                  split_rows: int = SPLIT_ROWS, buckets: int = BUCKETS) -> None:
     """One micro-batch: log rows to ``sink``, latest images to ``state``."""
     spark = batch.sparkSession
     columns = feed.columns()
+    before = images_before(spark, state, batch_id, buckets)
+    bucket = F.pmod(F.xxhash64(feed.key), F.lit(before.buckets)).cast("int")
     batch = batch.select(*columns).persist()  # read by the log and by the latest images
     try:
+        touched = sorted(r[0] for r in batch.select(bucket.alias("b")).distinct().collect())  # bucket numbers
         live = batch.withColumn("_live", F.lit(1))
-        stored = _images(spark, state, batch_id)
-        if stored is not None:
-            touched = stored.join(batch.select(feed.key).distinct(), feed.key, "left_semi")
-            seeds = _latest(touched, feed, ["_batch", *feed.order]).select(*columns, F.lit(0).alias("_live"))
-            live = live.unionByName(seeds)
+        paths = before.paths(state, touched)
+        stored = None
+        if paths:
+            stored = spark.read.schema(feed.schema).parquet(*paths).select(*columns)
+            seeds = stored.join(batch.select(feed.key).distinct(), feed.key, "left_semi")
+            live = live.unionByName(seeds.select(*columns, F.lit(0).alias("_live")))
         log = change_log(live, feed.key, ["_live", *feed.order], feed.image, F.expr(feed.delete), feed.table,
-                         keep=["_live", *feed.keep], split_rows=split_rows, time=feed.order[0])
+                         keep=["_live", *feed.keep], split_rows=split_rows)
         # a seed is there to be the row before; what it was itself is logged already
         log.filter("_live = 1").drop("_live").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        (_latest(batch, feed, feed.order).select(*columns, F.lit(batch_id).alias("_batch"))
-         .write.mode("overwrite").parquet(f"{state}/part-{batch_id:010d}"))
+        if touched:
+            rows = batch.withColumn("_live", F.lit(1))
+            if stored is not None:
+                rows = rows.unionByName(stored.withColumn("_live", F.lit(0)))
+            (_latest(rows, feed, ["_live", *feed.order]).withColumn("_bucket", bucket)
+             .repartition(len(touched), "_bucket").write.mode("overwrite").partitionBy("_bucket")
+             .parquet(f"{state}/batch-{batch_id:010d}"))
     finally:
         batch.unpersist()
-    if batch_id % compact == compact - 1:
-        whole = _images(spark, state, batch_id + 1)
-        base = _latest(whole, feed, ["_batch", *feed.order]).select(*columns, F.lit(batch_id).alias("_batch"))
-        base.write.mode("overwrite").parquet(f"{state}/base-{batch_id:010d}")
-        # the base before this one stays for a repeat of this batch; older parts go
-        before = max([n for n in _numbers(spark, state, "base") if n < batch_id], default=-1)
-        for kind in ("base", "part"):
-            for n in _numbers(spark, state, kind):
-                if n < before or (kind == "part" and n <= before):
-                    delete_path(spark, f"{state}/{kind}-{n:010d}")
+    publish(spark, state, before.after(batch_id, touched), before)
 
 
 def run_audit_stream(spark: SparkSession, src: str, sink: str, checkpoint: str, max_files_per_trigger: int = 1,
-                     feed: Feed = EVENTS, split_rows: int = SPLIT_ROWS, compact: int = COMPACT) -> None:
+                     feed: Feed = EVENTS, split_rows: int = SPLIT_ROWS, buckets: int = BUCKETS) -> None:
     """Process every file under ``src`` not yet processed by the query whose
     checkpoint is ``checkpoint`` (``availableNow``).  Restarting with the same
     checkpoint continues where the last run stopped."""
     state = f"{checkpoint.rstrip('/')}-images"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, feed, sink, state, split_rows, compact)
+        process_batch(batch, batch_id, feed, sink, state, split_rows, buckets)
 
     (spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
      .writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -157,11 +199,11 @@ def read_log(spark: SparkSession, sink: str, feed: Feed = EVENTS) -> DataFrame:
 
 
 def audit_stream(spark: SparkSession, events: DataFrame, slices: int = 4, files_per_slice: int | None = None,
-                 max_files_per_trigger: int | None = None, feed: Feed = EVENTS, compact: int = COMPACT) -> DataFrame:
+                 max_files_per_trigger: int | None = None, feed: Feed = EVENTS, buckets: int = BUCKETS) -> DataFrame:
     """Drive the stream over a staged copy of ``events`` to completion
     (``availableNow``) and return the log it wrote."""
     src, sink, ckpt = fresh_dir(spark, "audit-src"), fresh_dir(spark, "audit-sink"), fresh_dir(spark, "audit-ckpt")
     rows = events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(feed.schema)])
     per_slice = stage_events(rows, src, slices, feed.key, files_per_slice, feed.order[0])
-    run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger or per_slice, feed, compact=compact)
+    run_audit_stream(spark, src, sink, ckpt, max_files_per_trigger or per_slice, feed, buckets=buckets)
     return read_log(spark, sink, feed)

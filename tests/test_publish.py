@@ -57,3 +57,19 @@ def test_exact_median(spark, values):
 def test_buckets_follow_the_input(spark, wh):
     assert etl.default_buckets(spark, wh["clean"]) == max(1, spark.sparkContext.defaultParallelism)
     assert etl.input_bytes(wh["clean"]) > 0
+
+
+def test_buckets_of_an_input_of_unknown_size(spark, wh):
+    raw = spark.createDataFrame(wh["clean"].limit(50).collect(), wh["clean"].schema)
+    for df in (raw, spark.createDataFrame(raw.rdd, raw.schema)):
+        assert etl.input_bytes(df) is None
+        assert etl.default_buckets(spark, df) == max(1, spark.sparkContext.defaultParallelism)
+    built = etl.build_warehouse(spark, raw)
+    assert built["fato_notificacoes"].count() == 50
+    built.close(spark)
+    old = etl.BUCKET_BYTES
+    try:
+        etl.BUCKET_BYTES = 1  # an enormous input
+        assert etl.default_buckets(spark, wh["clean"]) <= 100_000
+    finally:
+        etl.BUCKET_BYTES = old

@@ -130,3 +130,89 @@ def test_id_keys_are_checked_bucket_by_bucket(spark, wh):
         Q.sized_broadcast = with_plan
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
+
+
+def _after(monkeypatch, name, change):
+    """The build's step ``J.<name>`` with its rows changed."""
+    from vigia.plans import etl
+    made = getattr(etl.J, name)
+    monkeypatch.setattr(etl.J, name, lambda *a, **k: change(made(*a, **k)))
+
+
+BROKEN = {
+    "null class": ("fact_notifications", lambda d: d.withColumn("classificacao_final", F.when(
+        F.col("id_notificacao") != 4, F.col("classificacao_final"))), ("not_null", "fato_notificacoes", "4", "classificacao_final")),
+    "double bridge key": ("bridge_symptoms", lambda d: d.unionByName(d.where("fk_notificacao = 2").limit(1)),
+                          ("unique", "fato_notificacao_sintoma", "2|", "rows=2")),
+    "unknown symptom": ("bridge_symptoms", lambda d: d.unionByName(d.where("fk_notificacao = 2").limit(1).withColumn(
+        "fk_sintoma", F.lit(999).cast("smallint"))), ("foreign_key", "fato_notificacao_sintoma", "2|999", "fk_sintoma->dim_sintomas.id_sintoma")),
+    "unknown notification": ("bridge_conditions", lambda d: d.unionByName(d.limit(1).withColumn(
+        "fk_notificacao", F.lit(-1).cast("long"))), ("foreign_key", "fato_notificacao_condicao", "-1|",
+                                                     "fk_notificacao->fato_notificacoes.id_notificacao")),
+    "unknown place": ("fact_notifications", lambda d: d.withColumn("fk_localidade_residencia", F.when(
+        F.col("id_notificacao") == 5, 77777).otherwise(F.col("fk_localidade_residencia"))),
+        ("foreign_key", "fato_notificacoes", "5", "fk_localidade_residencia->dim_localidades.id_localidade"))}
+
+
+@pytest.mark.parametrize("case", sorted(BROKEN))
+def test_every_rule_stops_a_load(spark, wh, monkeypatch, case):
+    from vigia.plans.etl import build_warehouse
+    step, change, (rule, table, key, detail) = BROKEN[case]
+    _after(monkeypatch, step, change)
+    with pytest.raises(Q.IntegrityError):
+        build_warehouse(spark, wh["clean"])
+    found = build_warehouse(spark, wh["clean"], gate="report")["_violations"].collect()
+    assert any(r.rule == rule and r.table_name == table and r.key.startswith(key) and r.detail == detail for r in found)
+    assert {r.table_name for r in found} - {"indicadores_municipais"} == {table}  # the indicators follow the facts
+
+
+def test_dimension_rules_stop_a_load_and_quarantine_moves_what_refers_to_them(spark, wh, monkeypatch):
+    from vigia.plans import etl
+    made = etl.D.dim_race
+    twice = lambda c: made(c).withColumn("descricao_raca_cor", F.when(F.col("id_raca_cor") == 2, F.lit("x" * 60))
+                                         .otherwise(F.col("descricao_raca_cor")))
+    monkeypatch.setattr(etl.D, "dim_race", twice)
+    with pytest.raises(Q.IntegrityError):
+        etl.build_warehouse(spark, wh["clean"])
+    got = etl.build_warehouse(spark, wh["clean"], gate="quarantine")
+    assert [r.id_raca_cor for r in got["_quarantine_dim_raca_cor"].collect()] == [2]
+    assert got["dim_raca_cor"].where("id_raca_cor = 2").count() == 0
+    assert got["_quarantine_fato_notificacoes"].select("fk_raca_cor").distinct().collect() in ([], [(2,)])
+    assert got["fato_notificacoes"].where("fk_raca_cor = 2").count() == 0
+    ids = got["_quarantine_fato_notificacoes"].select("id_notificacao")
+    for name in ("fato_notificacao_sintoma", "fato_testes_realizados"):
+        assert got[name].join(ids, F.col("fk_notificacao") == F.col("id_notificacao"), "left_semi").count() == 0
+        assert got[name].count() + got[f"_quarantine_{name}"].count() == wh[name].count()
+    assert Q.warehouse_violations({n: got[n] for n in etl.DIMENSIONS + etl.FACTS}).count() == 0
+
+
+def test_all_keys_of_a_table_are_counted_with_one_shuffle(spark):
+    from planutil import plan_text
+    df = spark.createDataFrame([(1, "a", 7), (1, "b", 7), (2, "b", None), (3, None, None), (None, None, 8), (None, "c", 8)],
+                               "id long, name string, n int")
+    keys = [["id"], ["name"], ["id", "n"], ["n"]]
+    many = Q.unique_violations_many(df, "t", keys)
+    apart = Q.union_all([Q.unique_violations(df, "t", k) for k in keys])
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, apart.collect())) and many.count() == 5
+    assert plan_text(many, "simple").count("Exchange") == 1
+
+
+def test_gate_counts_keys_without_a_shuffle_of_the_facts(spark, wh):
+    from planutil import plan_text
+    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    old = spark.conf.get(auto)
+    spark.conf.set(auto, "false")
+    try:
+        for name in ("fato_notificacoes", "fato_notificacao_sintoma", "fato_testes_realizados"):
+            assert "Exchange" not in plan_text(Q.unique_violations_many(wh[name], name, Q.UNIQUE[name]), "simple")
+    finally:
+        spark.conf.set(auto, old)
+
+
+def test_quarantine_of_typed_keys(spark):
+    df = spark.sql("select * from values (1, timestamp_ntz'2024-01-01 10:00:00.123456', 1.5d, date'2024-02-03', 'a'), "
+                   "(1, timestamp_ntz'2024-01-01 10:00:00.123457', 1.5d, date'2024-02-03', 'b'), "
+                   "(1, null, null, null, 'c'), (2, null, null, null, 'd') t(k, ts, x, d, name)")
+    v = Q.check_violations(df, "t", ["k", "ts", "x", "d"], {"c": ~F.col("name").isin("a", "c")})
+    good, bad = Q.quarantine(df, v, "t")
+    assert sorted(r.name for r in bad.collect()) == ["a", "c"] and sorted(r.name for r in good.collect()) == ["b", "d"]

@@ -5,7 +5,8 @@ rule becomes a *violations* frame ``(rule, table_name, key, detail)``:
 
 * NOT NULL and CHECK rules of one table are evaluated in one scan (an array of
   failing rule names per row, exploded),
-* UNIQUE is a ``groupBy(key)`` with a map-side partial count,
+* UNIQUE is a ``groupBy(key)`` with a map-side partial count, all keys of a
+  table in one pass (grouping sets),
 * FOREIGN KEY is a ``left_anti`` join of the child against the parent's key
   column: broadcast for small parents, bucket by bucket between the facts,
 * ON DELETE CASCADE is a ``left_anti`` of each child against deleted keys,
@@ -18,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.joins import sized_broadcast
 
@@ -26,6 +28,11 @@ from ..functions.joins import sized_broadcast
 VIOLATION_COLUMNS = ["rule", "table_name", "key", "detail"]
 
 
+# Keys are read back from JSON: instants keep their microseconds.
+KEY_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 class IntegrityError(RuntimeError):
     pass
 
@@ -37,7 +44,7 @@ def _key(cols: list[str]) -> Column:
 def _typed_key(cols: list[str]) -> Column:
     """The key columns as JSON: values are quoted by type and NULL is written
     out, so two keys have the same text only if they are the same key."""
-    return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*cols), KEY_JSON)
 
 
 def _ids(cols: list[str]) -> list[Column]:
@@ -76,6 +83,26 @@ def unique_violations(df: DataFrame, table: str, key: list[str]) -> DataFrame:
                     F.concat(F.lit("rows="), F.col("_n").cast("string")).alias("detail"), *_ids(key)))
 
 
+def unique_violations_many(df: DataFrame, table: str, keys: list[list[str]]) -> DataFrame:
+    """Q2 for all keys of a table: one scan, one shuffle.  The rows are
+    expanded to one grouping set a key and counted in a single aggregate."""
+    if len(keys) == 1:
+        return unique_violations(df, table, keys[0])
+    columns = list(dict.fromkeys(c for k in keys for c in k))
+    sets = df.select(*columns).groupingSets([[F.col(c) for c in k] for k in keys], *[F.col(c) for c in columns])
+    counted = sets.agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set")).filter(F.col("_n") > 1)
+    # grouping_id: a bit for each column, the first one highest, set where the column is not in the set
+    number = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in k) for k in keys]
+    frames = []
+    for k, n in zip(keys, number, strict=True):
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in k])
+        frames.append(F.when((F.col("_set") == n) & known, F.struct(_key(k).alias("key"), *_ids(k))))
+    return (counted.withColumn("_hit", F.coalesce(*frames)).filter(F.col("_hit").isNotNull())
+            .select(F.lit("unique").alias("rule"), F.lit(table).alias("table_name"), "_hit.key",
+                    F.concat(F.lit("rows="), F.col("_n").cast("string")).alias("detail"), "_hit.key_columns",
+                    "_hit.key_json"))
+
+
 def check_violations(df: DataFrame, table: str, key: list[str], checks: dict[str, Column]) -> DataFrame:
     """Q3: rows where a CHECK condition is FALSE (NULL passes, as in SQL)."""
     return _flagged(df, table, key, "check", {n: ~c for n, c in checks.items()})
@@ -112,6 +139,28 @@ def orphan_violations_many(checks: list[tuple]) -> DataFrame:
     return union_all(frames)
 
 
+def orphan_counts(checks: list[tuple], rows: dict[str, int]) -> dict[str, int]:
+    """Q4 as counts: child rows whose foreign key has no parent, by
+    ``child|fk``.  One narrow scan of each child with all its parents joined
+    (``rows``: known row counts of the tables, which decide what is broadcast;
+    children and parents bucketed by the same id meet bucket by bucket)."""
+    frames = []
+    for table in dict.fromkeys(c[1] for c in checks):
+        mine = [c for c in checks if c[1] == table]
+        out = mine[0][0].select(*dict.fromkeys(c[3] for c in mine))
+        sums = []
+        for i, (child, _, _, fk, parent, pk, parent_name) in enumerate(mine):
+            there = parent.select(F.col(pk).alias(f"_p{i}"), F.lit(True).alias(f"_is{i}"))
+            own, other = F.col(fk), F.col(f"_p{i}")
+            if dict(child.dtypes)[fk] != dict(parent.dtypes)[pk]:  # a cast would hide the buckets
+                own, other = own.cast("bigint"), other.cast("bigint")
+            out = out.join(sized_broadcast(there, known_rows=rows.get(parent_name)), own == other, "left")
+            miss = F.col(fk).isNotNull() & F.col(f"_is{i}").isNull()
+            sums.append(F.struct(F.lit(f"{table}|{fk}").alias("name"), F.sum(miss.cast("long")).alias("n")))
+        frames.append(out.agg(F.array(*sums).alias("s")).select(F.inline("s")))
+    return {r["name"]: int(r["n"] or 0) for r in union_all(frames).collect()} if frames else {}
+
+
 def type_fit_conditions(columns: list[str], spec: dict[str, tuple]) -> dict[str, Column]:
     """Named conditions that are TRUE when a value would not fit its declared
     type.  ``spec`` maps column -> ("varchar", n) | ("smallint",) | ("int",) |
@@ -138,16 +187,25 @@ def type_fit_violations(df: DataFrame, table: str, key: list[str], spec: dict[st
     return _flagged(df, table, key, "type_fit", type_fit_conditions(df.columns, spec))
 
 
-def rule_counters(table: str, columns: list[str]) -> dict[str, Column]:
-    """Aggregate expressions counting, per CHECK / type-fit rule of ``table``,
-    the rows that break it: meant for ``observe`` while the table is written,
-    so a clean load needs no extra scan to prove it clean."""
+def scan_rules(table: str, columns: list[str]) -> dict[str, Column]:
+    """Every NOT NULL, CHECK and type-fit rule of ``table`` as a condition that
+    is TRUE for rows that break it (NULL: not broken)."""
     conds: dict[str, Column] = {}
+    if table in NOT_NULL:
+        conds.update({f"not_null|{c}": F.col(c).isNull() for c in NOT_NULL[table][1] if c in columns})
     if table == "fato_notificacoes":
-        conds.update({n: ~c for n, c in fact_checks().items()})
+        conds.update({f"check|{n}": ~c for n, c in fact_checks().items()})
     if table in TYPE_FIT:
-        conds.update(type_fit_conditions(columns, TYPE_FIT[table][1]))
-    return {f"broken|{table}|{n}": F.sum(F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0)) for n, c in conds.items()}
+        conds.update({f"type_fit|{n}": c for n, c in type_fit_conditions(columns, TYPE_FIT[table][1]).items()})
+    return conds
+
+
+def rule_counters(table: str, columns: list[str]) -> dict[str, Column]:
+    """Aggregate expressions counting, per NOT NULL / CHECK / type-fit rule of
+    ``table``, the rows that break it: meant for ``observe`` while the table is
+    written, so a clean load needs no extra scan to prove it clean."""
+    return {f"broken|{table}|{n}": F.sum(F.when(F.coalesce(c, F.lit(False)), 1).otherwise(0))
+            for n, c in scan_rules(table, columns).items()}
 
 
 def cascade_delete(children: dict[str, tuple[DataFrame, str]], deleted: DataFrame, key: str) -> dict[str, DataFrame]:
@@ -166,25 +224,34 @@ def gate(violations: DataFrame, mode: str = "report") -> DataFrame:
     return violations
 
 
-def quarantine(df: DataFrame, violations: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """``quarantine`` mode: split ``df`` into (clean rows, rows that break a
-    rule of ``table``).  Each violation is matched on the columns it names, by
-    typed values and with NULL equal to NULL only: a duplicate ``code = 5``
-    takes the rows with that code, not the row whose id is 5.  One join per
-    set of key columns (as many as the table has rules at most); the keys are
-    broadcast only after a size check."""
+def mark_broken(df: DataFrame, violations: DataFrame, table: str, flag: str = "_broken") -> DataFrame:
+    """``df`` with ``flag``: whether the row breaks a rule of ``table``.  Each
+    violation is matched on the columns it names, by typed values and with NULL
+    equal to NULL only: a duplicate ``code = 5`` takes the rows with that code,
+    not the row whose id is 5.  The few violating keys are read back from JSON
+    as typed columns, the rows are compared as they are.  One join per set of
+    key columns (as many as the table has rules at most); the keys are broadcast
+    only after a size check."""
     mine = violations.filter(F.col("table_name") == table)
     out, flags = df, []
     for (named,) in sorted(tuple(r) for r in mine.select("key_columns").distinct().collect()):
-        flag = f"_broken_{len(flags)}"
-        bad = sized_broadcast(mine.filter(F.col("key_columns") == named).select(F.col("key_json").alias(flag)).distinct(),
-                              materialize=True)
-        out = out.join(bad, _typed_key(named.split(",")) == F.col(flag), "left")
-        flags.append(flag)
-    if not flags:
-        return df, df.limit(0)
-    broken = F.coalesce(*flags).isNotNull()
-    return out.filter(~broken).drop(*flags), out.filter(broken).drop(*flags)
+        columns, at = named.split(","), len(flags)
+        typed = StructType([StructField(c, df.schema[c].dataType) for c in columns])
+        bad = (mine.filter(F.col("key_columns") == named).select(F.from_json("key_json", typed, KEY_JSON).alias("k"))
+               .select(*[F.col(f"k.{c}").alias(f"_k{at}_{i}") for i, c in enumerate(columns)]).distinct()
+               .withColumn(f"_hit{at}", F.lit(True)))
+        same = [F.col(c).eqNullSafe(F.col(f"_k{at}_{i}")) for i, c in enumerate(columns)]
+        out = (out.join(sized_broadcast(bad, materialize=True), reduce(lambda a, b: a & b, same), "left")
+               .drop(*[f"_k{at}_{i}" for i in range(len(columns))]))
+        flags.append(f"_hit{at}")
+    return out.withColumn(flag, F.coalesce(*flags, F.lit(False))).drop(*flags)
+
+
+def quarantine(df: DataFrame, violations: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """``quarantine`` mode: split ``df`` into (clean rows, rows that break a
+    rule of ``table``), see :func:`mark_broken`."""
+    marked = mark_broken(df, violations, table)
+    return marked.filter(~F.col("_broken")).drop("_broken"), marked.filter("_broken").drop("_broken")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -265,30 +332,43 @@ def fact_checks() -> dict[str, Column]:
 
 
 def load_gate_violations(tables: dict[str, DataFrame], observed: dict[str, int] | None = None) -> DataFrame:
-    """The checks run before a warehouse is published: those the ETL does not
-    guarantee by construction (input ids unique, CHECK rules, type fit).
-    Dimension keys are unique and foreign keys resolve by construction (group
-    by + left join); the full rule set is ``warehouse_violations``.
-
-    ``observed``: per-rule counts collected while the facts were written
-    (``rule_counters``).  A fact whose counts are all zero is not scanned
-    again; one with a broken rule is scanned to list the offending rows."""
+    """All rules (Q1-Q4, Q6) before a warehouse is published, at the cost of
+    its key columns:
+
+    * NOT NULL, CHECK and type fit were counted while each table was written
+      (``observed``: ``rule_counters`` and the tables' row counts); a table is
+      scanned again only to list the rows of a rule that broke, or if nothing
+      was counted;
+    * UNIQUE: the facts bucket by bucket without a shuffle, the dimensions with
+      all keys in one pass;
+    * FOREIGN KEY: one narrow scan of each child that counts the misses of all
+      its keys; they are listed only where there are any."""
     observed = observed or {}
-    fact = tables["fato_notificacoes"]
-    frames = [unique_violations(fact, "fato_notificacoes", ["id_notificacao"])]
+    frames = [unique_violations_many(tables[t], t, keys) for t, keys in UNIQUE.items() if t in tables]
+    for t, df in tables.items():
+        counts = [v for k, v in observed.items() if k.startswith(f"broken|{t}|")]
+        if scan_rules(t, df.columns) and (not counts or any(counts)):
+            frames += scan_violations(df, t)
+    fks = foreign_checks(tables)
+    missing = orphan_counts(fks, observed)
+    broken = [c for c in fks if missing.get(f"{c[1]}|{c[3]}")]
+    return union_all(frames + ([orphan_violations_many(broken)] if broken else []))
 
-    def counted(table: str) -> bool:
-        return any(k.startswith(f"broken|{table}|") for k in observed)
 
-    def broken(table: str) -> bool:
-        return any(v > 0 for k, v in observed.items() if k.startswith(f"broken|{table}|"))
+def foreign_checks(tables: dict[str, DataFrame]) -> list[tuple]:
+    return [(tables[c], c, k, fk, tables[p], pk, p) for c, k, fk, p, pk in FOREIGN if c in tables and p in tables]
 
-    if not counted("fato_notificacoes") or broken("fato_notificacoes"):
-        frames.append(check_violations(fact, "fato_notificacoes", ["id_notificacao"], fact_checks()))
-    for t, (k, spec) in TYPE_FIT.items():
-        if t in tables and (not counted(t) or broken(t)):
-            frames.append(type_fit_violations(tables[t], t, k, spec))
-    return union_all(frames)
+
+def scan_violations(df: DataFrame, table: str) -> list[DataFrame]:
+    """The NOT NULL, CHECK and type-fit violations of one table."""
+    frames = []
+    if table in NOT_NULL:
+        frames.append(not_null_violations(df, table, *NOT_NULL[table]))
+    if table == "fato_notificacoes":
+        frames.append(check_violations(df, table, ["id_notificacao"], fact_checks()))
+    if table in TYPE_FIT:
+        frames.append(type_fit_violations(df, table, *TYPE_FIT[table]))
+    return frames
 
 
 def hidden_from_views(fact: DataFrame) -> DataFrame:
@@ -306,13 +386,13 @@ def warehouse_violations(tables: dict[str, DataFrame], include_not_null: bool =
     frames: list[DataFrame] = []
     if include_not_null:
         frames += [not_null_violations(tables[t], t, k, cols) for t, (k, cols) in NOT_NULL.items() if t in tables]
-    frames += [unique_violations(tables[t], t, k) for t, keys in UNIQUE.items() if t in tables for k in keys
-               if all(c in tables[t].columns for c in k)]
+    for t, keys in UNIQUE.items():
+        if t in tables and (present := [k for k in keys if all(c in tables[t].columns for c in k)]):
+            frames.append(unique_violations_many(tables[t], t, present))
     if "fato_notificacoes" in tables:
         frames.append(check_violations(tables["fato_notificacoes"], "fato_notificacoes", ["id_notificacao"],
                                        fact_checks()))
-    fks = [(tables[c], c, k, fk, tables[p], pk, p) for c, k, fk, p, pk in FOREIGN if c in tables and p in tables]
-    if fks:
+    if fks := foreign_checks(tables):
         frames.append(orphan_violations_many(fks))
     if include_types:
         frames += [type_fit_violations(tables[t], t, k, spec) for t, (k, spec) in TYPE_FIT.items() if t in tables]

@@ -388,7 +388,7 @@ def _dq_not_null(spark, sf):
 @query("dq_unique")
 def _dq_unique(spark, sf):
     t = _wh(spark, sf)
-    frames = [Q.unique_violations(t[n], n, k) for n, keys in Q.UNIQUE.items() if n in t for k in keys]
+    frames = [Q.unique_violations_many(t[n], n, keys) for n, keys in Q.UNIQUE.items() if n in t]
     frames.append(Q.unique_violations(fact_table(spark, sf, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"]))
     return Q.union_all(frames).select(*Q.VIOLATION_COLUMNS)
 

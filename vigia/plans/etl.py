@@ -43,6 +43,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import sized_broadcast
 from ..operators import clean as C
 from ..operators import dims as D
 from ..operators import facts as J
@@ -91,21 +92,34 @@ class Warehouse:
 BUCKET_BYTES = 256 << 20
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files a frame reads, as the planner knows them."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files a frame reads, as the planner knows them; None if it
+    doesn't (rows from memory or an RDD have the planner's default size)."""
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if any(s >= unknown for s in sizes) else sum(sizes)
+
+
+# Bytes that a value of no declared width counts where the planner knows no size.
+VALUE_BYTES = 20
 
 
 def default_buckets(spark: SparkSession, raw: DataFrame | None = None) -> int:
     """``vigia.warehouse.buckets`` when set, else one bucket for every
     ``BUCKET_BYTES`` of input, and at least one for each core.  The number is
     frozen into the tables, so it follows the data rather than the executors
-    that happen to be there."""
+    that happen to be there.  Where the planner doesn't know the input's size,
+    its rows are counted.  Never more than Spark writes
+    (``spark.sql.sources.bucketing.maxBuckets``)."""
     conf = spark.conf.get(BUCKETS_CONF, None)
     if conf:
         return int(conf)
-    return max(1, spark.sparkContext.defaultParallelism, -(-input_bytes(raw) // BUCKET_BYTES) if raw is not None else 1)
+    size = 0 if raw is None else input_bytes(raw)
+    if size is None:
+        size = raw.count() * VALUE_BYTES * len(raw.columns)
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(most, max(1, spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)))
 
 
 class _Steps:
@@ -118,9 +132,11 @@ class _Steps:
     def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None,
             extra: dict[str, F.Column] | None = None, register_as: str | None = None) -> DataFrame:
         t0 = time.perf_counter()
+        # rows breaking each NOT NULL / CHECK / type rule are counted during the write
+        extra = (extra or {}) | Q.rule_counters(name, df.columns)
         obs = Observation(f"rows_{name}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                        *[c.alias(k) for k, c in (extra or {}).items()])
+                        *[c.alias(k) for k, c in extra.items()])
         if bucket_by:
             tname = f"{self.prefix}_{register_as or name}"
             self.wh.catalog.append(tname)
@@ -134,7 +150,7 @@ class _Steps:
         self.wh.seconds[name] = time.perf_counter() - t0
         got = obs.get
         self.wh.rows[name] = int(got.get("rows", 0))
-        for k in extra or {}:
+        for k in extra:
             self.wh.rows[k] = int(got.get(k) or 0)
         return out
 
@@ -147,7 +163,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     ``gate``: ``True`` / ``"fail"`` raises on an integrity violation and leaves
     the published version as it was; ``"report"`` writes the violations as the
     ``_violations`` table and publishes; ``"quarantine"`` also moves the rows
-    that break a rule, and what hangs on them, to ``_quarantine_<table>``;
+    that break a rule, and what refers to them, to ``_quarantine_<table>``;
     ``False`` / ``"off"`` skips the gate.  An input whose rows all lack a date
     raises, whatever the gate."""
     mode = {True: "fail", False: "off"}.get(gate, gate)
@@ -217,24 +233,20 @@ def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode:
                                     dim_rows={"loc": r["dim_localidades"], "race": r["dim_raca_cor"],
                                               "outcome": r["dim_evolucao_caso"]})
         st.put("fato_notificacoes", fact, f"{root}/fato_notificacoes", bucket_by="id_notificacao",
-               # rows no view shows (residence unknown: the views join it as inner),
-               # and the rows breaking each CHECK / type rule, counted during the write
+               # rows no view shows (residence unknown: the views join it as inner)
                extra={"fact_without_residence": F.sum(F.when(F.col("fk_localidade_residencia").isNull(), 1)
-                                                      .otherwise(0)),
-                      **Q.rule_counters("fato_notificacoes", fact.columns)})
+                                                      .otherwise(0))})
         st.put("fato_notificacao_sintoma", J.bridge_symptoms(clean, t["dim_sintomas"], r["dim_sintomas"]),
                f"{root}/fato_notificacao_sintoma", bucket_by="fk_notificacao")
         st.put("fato_notificacao_condicao", J.bridge_conditions(clean, t["dim_condicoes"], r["dim_condicoes"]),
                f"{root}/fato_notificacao_condicao", bucket_by="fk_notificacao")
-        tests = test_fact(clean)
-        st.put("fato_testes_realizados", tests, f"{root}/fato_testes_realizados", bucket_by="fk_notificacao",
-               extra=Q.rule_counters("fato_testes_realizados", tests.columns))
+        st.put("fato_testes_realizados", test_fact(clean), f"{root}/fato_testes_realizados", bucket_by="fk_notificacao")
         from .views import indicator_table
 
         st.put("indicadores_municipais", indicator_table(t), f"{root}/indicadores_municipais")
         if mode != "off":
             t0 = time.perf_counter()
-            violations = Q.load_gate_violations(t, {k: v for k, v in wh.rows.items() if k.startswith("broken|")})
+            violations = Q.load_gate_violations({n: t[n] for n in DIMENSIONS + SEEDS + INDICATORS + FACTS}, wh.rows)
             if mode == "fail":
                 Q.gate(violations, mode="fail")
             else:
@@ -247,23 +259,32 @@ def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode:
 
 
 def _quarantine(st: _Steps, violations: DataFrame, root: str) -> None:
-    """Rewrite the facts without the rows that break a rule.  Rows of other
-    facts that belong to a moved notification move with it."""
+    """Rewrite the tables without the rows that break a rule: dimensions first,
+    then the facts without rows that refer to a moved dimension row, or that
+    belong to a moved notification."""
     t = st.wh.tables
     hit = {r[0] for r in violations.select("table_name").distinct().collect()}  # table names
-    if not hit & set(FACTS):
+    gone: dict[str, DataFrame] = {}  # moved rows of the parents
+    for name in DIMENSIONS + SEEDS:
+        if name in hit:
+            good, bad = Q.quarantine(t[name], violations, name)
+            gone[name] = st.put(f"_quarantine_{name}", bad, f"{root}/_quarantine_{name}")
+            st.put(name, good, f"{root}/kept/{name}")
+    if not hit:
         return
-    moved = None
     for name in FACTS:
         _, key = BUCKETED[name]
-        good, bad = Q.quarantine(t[name], violations, name)
-        if moved is not None:
-            bad = bad.unionByName(good.join(moved, F.col(key) == F.col("_moved"), "left_semi"))
-            good = good.join(moved, F.col(key) == F.col("_moved"), "left_anti")
-        kept = st.put(f"_quarantine_{name}", bad, f"{root}/_quarantine_{name}")
-        st.put(name, good, f"{root}/kept/{name}", bucket_by=key, register_as=f"{name}_kept")
+        rows = Q.mark_broken(t[name], violations, name)
+        for child, _, fk, parent, pk in Q.FOREIGN:
+            if child == name and parent in gone:
+                moved = sized_broadcast(gone[parent].select(F.col(pk).alias("_moved"), F.lit(True).alias("_with")).distinct())
+                rows = (rows.join(moved, F.col(fk) == F.col("_moved"), "left")
+                        .withColumn("_broken", F.col("_broken") | F.col("_with").isNotNull()).drop("_moved", "_with"))
+        kept = st.put(f"_quarantine_{name}", rows.filter("_broken").drop("_broken"), f"{root}/_quarantine_{name}")
+        st.put(name, rows.filter(~F.col("_broken")).drop("_broken"), f"{root}/kept/{name}", bucket_by=key,
+               register_as=f"{name}_kept")
         if name == FACTS[0]:
-            moved = kept.select(F.col("id_notificacao").alias("_moved")).distinct()
+            gone[name] = kept
     from .views import indicator_table
 
     st.put("indicadores_municipais", indicator_table(t), f"{root}/kept/indicadores_municipais")

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import attach
+from .rows import attach, lasting
 
 #: Bytes up to which a piece is merged directly.
 LEAF = 5
@@ -130,16 +129,21 @@ class TextEncoder:
     def __init__(self, pattern: str, piece_ids: Callable[[str], tuple[int, ...]]):
         encoder, self.pattern = self, regex.compile(pattern)
 
+        def pack(piece: str) -> bytes:
+            return np.array(piece_ids(piece), dtype="<i4").tobytes()
+
         class Pieces(dict):
             def __missing__(self, piece: str) -> bytes:
-                got = np.array(piece_ids(piece), dtype="<i4").tobytes()
+                got = pack(piece)
                 if len(piece) <= MEMO_CHARS:
                     self[piece] = got
                 return got
 
         class Words(dict):
             def __missing__(self, word: str) -> bytes:
-                got = encoder.by_pattern(" " + word)
+                found = encoder.pattern.findall(" " + word)
+                # a word that is one match is not held a second time as a piece
+                got = pack(found[0]) if len(found) == 1 else b"".join(map(encoder.pieces.__getitem__, found))
                 if len(word) <= MEMO_CHARS:
                     self[word] = got
                 return got
@@ -171,16 +175,16 @@ def concat_tree(parts: list[bytes]) -> bytes:
     return parts[0] if parts else b""
 
 
-@lru_cache(maxsize=2)
 def shared_encoder(rank_path: str, pattern: str, leaf: int) -> TextEncoder:
     """The encoder of a Python worker: its memos last from task to task."""
-    merger = Merger(load_ranks(rank_path), leaf)
-    return TextEncoder(pattern, lambda piece: merger.ids(piece.encode("utf-8")))
+    def make() -> TextEncoder:
+        merger = Merger(load_ranks(rank_path), leaf)
+        return TextEncoder(pattern, lambda piece: merger.ids(piece.encode("utf-8")))
+    return lasting((rank_path, pattern, str(leaf)), make)
 
 
-@lru_cache(maxsize=2)
 def shared_tokens(rank_path: str) -> dict[int, bytes]:
-    return {rank: piece for piece, rank in load_ranks(rank_path).items()}
+    return lasting((rank_path, "tokens"), lambda: {rank: piece for piece, rank in load_ranks(rank_path).items()})
 
 
 def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",

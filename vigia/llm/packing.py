@@ -20,7 +20,6 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import TextEncoder
-from .rows import stage, text_or_empty
+from .rows import lasting, stage, text_or_empty
 
 CAPACITY = 1024
 Bins = list[tuple[int, tuple[int, ...]]]
@@ -156,7 +155,6 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
 def vocabulary_encoder(path: str):
     """text -> ids as ``Tokenizer.from_file(path).encode(text,
     add_special_tokens=False)``.
@@ -210,7 +208,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CA
                         *([("ids", pa.list_(pa.int32()))] if keep_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary_encoder(vocabulary)
+        encode = lasting((vocabulary, "packing"), lambda: vocabulary_encoder(vocabulary))
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             out: list[tuple] = []

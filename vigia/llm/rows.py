@@ -47,7 +47,10 @@ def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
     schema = StructType([*(df.schema.fields[i] for i in passed), *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = _asked
         fn, kind = make(), to_arrow_type(added.fields[0].dataType)
+        if asked == _asked:
+            _LASTING.clear()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
@@ -59,6 +62,24 @@ def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
     return df.mapInArrow(run, schema)
 
 
+_LASTING: dict[tuple[str, ...], object] = {}
+_asked = 0
+
+
+def lasting(key: tuple[str, ...], make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the Python worker from task to task.  It goes
+    when a task asks for a key of another file (the key's first part) or works
+    without any (:func:`attach`): a worker that goes on to other operators
+    doesn't carry the tables and memos of those before."""
+    global _asked
+    _asked += 1
+    if any(k[0] != key[0] for k in _LASTING):
+        _LASTING.clear()
+    if key not in _LASTING:
+        _LASTING[key] = make()
+    return _LASTING[key]
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder of
     ``spark.checkpoint.dir`` and read it back: computed once, lineage cut,

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import TextEncoder
-from .rows import lasting, stage, text_or_empty
+from .rows import lasting, stage, text_or_empty, tidy
 
 CAPACITY = 1024
 Bins = list[tuple[int, tuple[int, ...]]]
@@ -225,7 +225,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CA
 
     ddl = ("doc_id long, piece int, start long, length long, ids_crc32 long, task int, number long"
            + (", ids array<int>" if keep_ids else ""))
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(tidy(run), ddl)
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY, id_col: str = "doc_id",

@@ -3,6 +3,7 @@ functions of a row in Arrow batches, staged tables."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,8 +50,9 @@ def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = _asked
         fn, kind = make(), to_arrow_type(added.fields[0].dataType)
-        if asked == _asked:
+        if asked == _asked and _LASTING:
             _LASTING.clear()
+            give_back()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
@@ -59,7 +61,29 @@ def attach(df: DataFrame, in_col: str, out_col: str, out_type: str,
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in passed), out],
                                                  names=[*(part.schema.names[i] for i in passed), out_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim  # of the GNU C library
+except (AttributeError, OSError):
+    _trim = None
+
+
+def give_back() -> None:
+    """Return what the task freed to the system: a Python worker lives on and
+    would hold it through the tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A task's function of batches that gives its memory back at the end."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+    return tidied
 
 
 _LASTING: dict[tuple[str, ...], object] = {}

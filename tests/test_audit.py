@@ -262,3 +262,34 @@ def test_the_first_join_of_a_diff_carries_digests_only(spark, tmp_path):
     plan = plan_text(A.snapshot_diff(old, new, "id", "t"), "simple")
     # the snapshots meet the few keys that differ where they are
     assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_a_repeated_append_adds_nothing(spark, monkeypatch):
+    import pytest
+    from vigia.session import fresh_dir
+    path = fresh_dir(spark, "log")
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "id long, x string")
+    new = spark.createDataFrame([(2, "c"), (3, "d")], "id long, x string")
+    first = A.snapshot_diff(old, new, "id", "t")
+    for _ in range(2):
+        assert A.write_log(first, path, batch="load 1/2").count() == 3
+    # the rows are there, but the job ends before the manifest names them
+    monkeypatch.setattr(A, "write_once", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        A.write_log(A.snapshot_diff(new, old, "id", "t"), path, batch="load 2/2")
+    assert A.read_stored_log(spark, path).count() == 3
+    monkeypatch.undo()
+    for _ in range(2):
+        log = A.write_log(A.snapshot_diff(new, old, "id", "t"), path, batch="load 2/2")
+        assert sorted(r.id_log for r in log.collect()) == [1, 2, 3, 4, 5, 6]
+    assert [(b.first, b.count, b.name) for b in A.log_batches(spark, path)] == [(1, 3, "load 1/2"), (4, 3, "load 2/2")]
+    assert A.read_stored_log(spark, fresh_dir(spark, "no-log")).count() == 0
+
+
+def test_the_stored_log_of_a_feed_keeps_its_sequence(spark):
+    from vigia.session import fresh_dir
+    ev = _events(spark, [(i, 1 + i % 2, "view", str(i)) for i in range(0, 40)])
+    log = A.change_log(ev, "user_id", ["ts", "event_id"], ["event_type", "props"], F.col("event_type") == "error", "events")
+    stored = A.write_log(log, fresh_dir(spark, "log"), sequence=["ts", "event_id"]).orderBy("id_log").collect()
+    assert [r.dados_novos for r in stored] == ['{"event_type":"view","props":"%d"}' % i for i in range(40)]
+    assert "ts" not in stored[0] and [r.id_log for r in stored] == list(range(1, 41))

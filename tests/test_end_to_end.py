@@ -1,6 +1,7 @@
 """CSV in, warehouse and views out: the file path gives the same answers as
 the derived-table path (ids from file position, dates parsed day-first)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL_SF
@@ -36,7 +37,13 @@ def test_cli_etl_then_report(spark, capsys):
     S.write_csv(raw.withColumn("_pos", F.col("id_notificacao")).drop("id_notificacao"), src, order_by="_pos",
                 drop_order_column=True)
     out = fresh_dir(spark, "cli-wh")
-    cli.main(["etl", "--csv", src, "--out", out])
+    types = fresh_dir(spark, "cli-seed")
+    spark.createDataFrame([(1, "RT-PCR"), (2, "Antigen")], "id_tipo_teste int, descricao_tipo_teste string").write.parquet(types)
+    for wrong in ("dim_tipos_testes", f"dim_raca_cor={types}"):
+        with pytest.raises(SystemExit):
+            cli.main(["etl", "--csv", src, "--out", out, "--seed", wrong])
+    cli.main(["etl", "--csv", src, "--out", out, "--seed", f"dim_tipos_testes={types}"])
+    assert load_warehouse(spark, out)["dim_tipos_testes"].count() == 2
     etl = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert etl["rows"]["raw"] == 1500
     cli.main(["report", "--warehouse", out, "--state", "AM"])

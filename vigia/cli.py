@@ -1,7 +1,7 @@
 """Command line: build a warehouse from notification CSV files, or report
 on a published one.
 
-    python -m vigia.cli etl --csv 'in/*.csv' --out /shared/warehouse [--active-only]
+    python -m vigia.cli etl --csv 'in/*.csv' --out /shared/warehouse [--active-only] [--seed dim_tipos_testes=types.parquet]
     python -m vigia.cli report --warehouse /shared/warehouse [--state PA] [--municipality Belém]
 
 ``etl`` prints the observed row counts; ``report`` prints the headline
@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--allow-bad-cells", action="store_true",
                    help="load even if cells of required columns can't be typed")
     e.add_argument("--gate", choices=["fail", "report", "quarantine", "off"], default="fail")
+    e.add_argument("--seed", action="append", default=[], metavar="TABLE=PARQUET",
+                   help="rows of dim_tipos_testes or dim_fabricantes (a Parquet path each)")
     r = sub.add_parser("report", help="indicators and top lists of a published warehouse")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--state", default=None)
@@ -42,12 +44,15 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
     if args.cmd == "etl":
-        from .plans.etl import build_warehouse
+        from .plans.etl import SEEDS, build_warehouse
         from .sources.csv import read_notifications
 
+        seeds = dict(s.split("=", 1) for s in args.seed if "=" in s)
+        if len(seeds) < len(args.seed) or not set(seeds) <= set(SEEDS):
+            ap.error(f"--seed names one of {', '.join(SEEDS)} and a path, as in {SEEDS[0]}=/shared/types.parquet")
         raw = read_notifications(spark, args.csv, multi_line=args.multi_line, active_only=args.active_only,
                                  date_formats=args.date_format, check=not args.allow_bad_cells)
-        wh = build_warehouse(spark, raw, root=args.out, gate=args.gate)
+        wh = build_warehouse(spark, raw, root=args.out, gate=args.gate, seeds=seeds)
         print(json.dumps({"warehouse": wh.root, "rows": wh.rows, "seconds": {k: round(v, 2) for k, v in wh.seconds.items()}}))
     else:
         from .plans import indicators as K

@@ -25,10 +25,16 @@ and windowed once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import uuid
+from dataclasses import asdict, dataclass, replace
+from urllib.parse import quote, unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import sized_broadcast
+from ..session import list_names, write_once
 
 JSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss",
                 "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
@@ -199,21 +205,77 @@ def with_log_defaults(log: DataFrame) -> DataFrame:
     return log.withColumns({"data_alteracao": F.current_timestamp(), "usuario_bd": F.current_user()})
 
 
-def write_log(changes: DataFrame, path: str) -> DataFrame:
+@dataclass(frozen=True)
+class LogBatch:
+    """An entry of a stored log's manifest, which is its file name."""
+
+    number: int
+    first: int
+    count: int
+    name: str
+
+    def file(self) -> str:
+        return f"{self.number:010d}.{self.first}.{self.count}.{quote(self.name, safe='')}.json"
+
+    @staticmethod
+    def of(file: str) -> LogBatch:
+        number, first, count, name = file.removesuffix(".json").split(".", 3)
+        return LogBatch(int(number), int(first), int(count), unquote(name))
+
+    def folder(self, path: str) -> str:
+        return f"{path}/rows-{quote(self.name, safe='')}"
+
+
+def log_batches(spark: SparkSession, path: str) -> list[LogBatch]:
+    """The batches of a stored log, in order of their ids."""
+    return [LogBatch.of(n) for n in list_names(spark, f"{path}/manifest") if n.endswith(".json")]
+
+
+LOG_SCHEMA = ("id_log long, tabela_afetada string, operacao string, registro_id long, dados_antigos string, "
+              "dados_novos string, data_alteracao timestamp, usuario_bd string")
+
+
+def read_stored_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches in the manifest; those of an append that failed
+    are not among them."""
+    folders = [b.folder(path) for b in log_batches(spark, path)]
+    if not folders:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.parquet(*folders)
+
+
+def write_log(changes: DataFrame, path: str, batch: str | None = None, sequence: list[str] | None = None) -> DataFrame:
     """A5: append changes to the stored audit log and return the whole log.
-    ``id_log`` goes on from the stored rows, in the order of table, record and
-    operation; change time and database user are filled here."""
-    from ..session import list_names
+
+    ``id_log`` goes on from the stored rows, in the order of ``sequence``
+    (columns of a change feed that ``change_log`` kept, say time and event),
+    then of table, record, operation and images; change time and database user are filled here.
+
+    ``batch`` names the append: one that is in the log already adds nothing, so
+    a job may be repeated.  An append writes its rows to a folder of its own
+    first, over what a failed attempt left there, and counts once its entry
+    (first id and number of rows) is in the manifest.  Two jobs that append at
+    once take the same entry: the second one raises and can be repeated."""
     from .ids import dense_index
 
-    spark = changes.sparkSession
-    seen = 0
-    if list_names(spark, path):
-        seen = spark.read.parquet(path).agg(F.max("id_log")).first()[0] or 0
-    numbered = dense_index(changes.select(*LOG_COLUMNS), ["tabela_afetada", "registro_id", "operacao"], "id_log")
+    spark, path = changes.sparkSession, path.rstrip("/")
+    known = log_batches(spark, path)
+    if batch is not None and any(b.name == batch for b in known):
+        return read_stored_log(spark, path)
+    seen = known[-1].first + known[-1].count - 1 if known else 0
+    columns = [*(sequence or []), *[c for c in LOG_COLUMNS if c not in (sequence or [])]]
+    numbered = dense_index(changes.select(*columns),
+                           [*(sequence or []), "tabela_afetada", "registro_id", "operacao", "dados_antigos", "dados_novos"],
+                           "id_log")
     rows = numbered.withColumn("id_log", F.col("id_log") + F.lit(seen)).select("id_log", *LOG_COLUMNS)
-    with_log_defaults(rows).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    added = LogBatch(len(known), seen + 1, 0, batch or uuid.uuid4().hex)
+    with_log_defaults(rows).write.mode("overwrite").parquet(added.folder(path))
+    added = replace(added, count=spark.read.parquet(added.folder(path)).count())
+    taken = [b for b in log_batches(spark, path) if b.number >= added.number]
+    if taken:
+        raise FileExistsError(f"another append to {path} came first: {taken[0].name}")
+    write_once(spark, f"{path}/manifest/{added.file()}", json.dumps(asdict(added)))
+    return read_stored_log(spark, path)
 
 
 def replay(old: DataFrame, log: DataFrame, key: str) -> DataFrame:

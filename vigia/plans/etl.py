@@ -157,7 +157,7 @@ class _Steps:
 
 def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None,
                     gate: bool | str = True, buckets: int | None = None,
-                    seeds: dict[str, DataFrame] | None = None) -> Warehouse:
+                    seeds: dict[str, DataFrame | str] | None = None) -> Warehouse:
     """Build and publish the warehouse from raw notification records.
 
     ``gate``: ``True`` / ``"fail"`` raises on an integrity violation and leaves
@@ -199,7 +199,7 @@ def remove_old_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     return gone
 
 
-def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode: str, seeds: dict[str, DataFrame]) -> None:
+def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode: str, seeds: dict[str, DataFrame | str]) -> None:
     st = _Steps(spark, wh)
     t = wh.tables
     # Derived tables must see the stage's bucket layout even where no operator

@@ -164,6 +164,21 @@ def dim_localities(clean: DataFrame) -> DataFrame:
         "municipio_nome", "codigo_ibge_municipio")
 
 
+def extend_localities(previous: DataFrame, clean: DataFrame) -> DataFrame:
+    """D1-D3 + D8, stable-key mode: known municipality codes keep their row;
+    new ones are numbered after the largest id, by first appearance in
+    ``clean`` (residence rows before notification rows)."""
+    from ..functions.joins import sized_broadcast
+
+    known = previous.select(F.col("codigo_ibge_municipio").alias("_known"))
+    top = previous.select(F.coalesce(F.max("id_localidade"), F.lit(0)).cast("bigint")).scalar()
+    fresh = dim_localities(clean).join(sized_broadcast(known), F.col("codigo_ibge_municipio") == F.col("_known"), "left_anti")
+    # the ids of the load alone are in the right order: renumbered densely after the known ones
+    numbered = dense_index(fresh.withColumnRenamed("id_localidade", "_first"), ["_first"], "_rank")
+    added = numbered.withColumn("id_localidade", narrow_id(top + F.col("_rank"), "int"))
+    return previous.unionByName(added.select(*previous.columns))
+
+
 TEST_TYPE_SCHEMA = StructType([StructField("id_tipo_teste", ShortType(), False),
                                StructField("descricao_tipo_teste", StringType(), False)])
 MAKER_SCHEMA = StructType([StructField("id_fabricante", ShortType(), False),

@@ -25,6 +25,11 @@ exact median is counted beforehand in a scan of the age column alone; the stage
 holds ages as read, and the imputation is a projection over the stage read (the
 median is kept in the publish pointer for later readers).
 
+Each bucketed table is written as one folder per group of buckets (``_parte``,
+hidden from readers), and a published version names the folders of its tables.
+A later version (``plans.versions``) that deletes or adds notifications names
+the folders it leaves alone again and writes only the others.
+
 Order of the source system: five dimensions, the main fact, the two bridges,
 then the tests fact.  A build writes into a run folder of its own and is
 published, after all steps and the integrity gate, by one small pointer file
@@ -42,6 +47,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.joins import sized_broadcast
 from ..operators import clean as C
@@ -60,6 +66,17 @@ INDICATORS = ["indicadores_municipais"]
 # Session setting naming the bucket count of the id-bucketed tables.
 BUCKETS_CONF = "vigia.warehouse.buckets"
 
+# Folders a load writes for an id-bucketed table at most: the unit a delete
+# rewrites is a bucket up to this many buckets, else a group of them.
+MAX_GROUPS = 4096
+PART = "_parte"
+
+
+def bucket_group(key: F.Column, buckets: int) -> F.Column:
+    """The group of buckets that rows with ``key`` are stored in (buckets are
+    dealt as Spark's bucketed writes do)."""
+    return F.pmod(F.pmod(F.hash(key), F.lit(buckets)), F.lit(min(buckets, MAX_GROUPS))).cast("int")
+
 
 @dataclass
 class Warehouse:
@@ -71,6 +88,11 @@ class Warehouse:
     median_age: float | None = None
     run: str = ""  # the run folder that holds the tables
     catalog: list[str] = field(default_factory=list)  # names registered for the bucketed tables
+    paths: dict[str, str] = field(default_factory=dict)  # folder of each plain table
+    parts: dict[str, list[str]] = field(default_factory=dict)  # folders of each bucketed table
+    schemas: dict[str, str] = field(default_factory=dict)  # stored columns of the bucketed tables (JSON)
+    version: str = ""  # published name; empty until published
+    loads: list[str] = field(default_factory=list)  # names of the loads added to it
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -122,6 +144,13 @@ def default_buckets(spark: SparkSession, raw: DataFrame | None = None) -> int:
     return min(most, max(1, spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)))
 
 
+def _sized_table(spark: SparkSession, tname: str) -> DataFrame:
+    """A table of parts without the part column; its files' bytes are told to
+    the planner, which takes partitioned tables of unknown size as endless."""
+    spark.sql(f"ANALYZE TABLE {tname} COMPUTE STATISTICS NOSCAN")
+    return spark.table(tname).drop(PART)
+
+
 class _Steps:
     """Write each table, read it back, and record the wall time per table."""
 
@@ -131,6 +160,8 @@ class _Steps:
 
     def put(self, name: str, df: DataFrame, path: str, bucket_by: str | None = None,
             extra: dict[str, F.Column] | None = None, register_as: str | None = None) -> DataFrame:
+        """Bucketed tables go to one folder per group of buckets; a task that
+        holds whole buckets writes them without a shuffle."""
         t0 = time.perf_counter()
         # rows breaking each NOT NULL / CHECK / type rule are counted during the write
         extra = (extra or {}) | Q.rule_counters(name, df.columns)
@@ -140,12 +171,16 @@ class _Steps:
         if bucket_by:
             tname = f"{self.prefix}_{register_as or name}"
             self.wh.catalog.append(tname)
-            (df.write.mode("overwrite").option("path", path)
+            (df.withColumn(PART, bucket_group(F.col(bucket_by), self.wh.buckets))
+             .write.mode("overwrite").option("path", path).partitionBy(PART)
              .bucketBy(self.wh.buckets, bucket_by).saveAsTable(tname))
-            out = self.spark.table(tname)
+            out = _sized_table(self.spark, tname)
+            self.wh.schemas[name] = out.schema.json()
+            self.wh.parts[name] = [f"{path}/{n}" for n in list_names(self.spark, path) if n.startswith(f"{PART}=")]
         else:
             df.write.mode("overwrite").parquet(path)
             out = self.spark.read.parquet(path)
+            self.wh.paths[name] = path
         self.wh.tables[name] = out
         self.wh.seconds[name] = time.perf_counter() - t0
         got = obs.get
@@ -178,12 +213,28 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
         wh.close(spark)
         delete_path(spark, root)
         raise
-    pointer = {"run": root, "buckets": wh.buckets, "median_age": wh.median_age}
-    # run names grow with time: the last pointer is the newest version
-    write_once(spark, f"{published}/published/{root.rsplit('/', 1)[1]}.json", json.dumps(pointer))
+    publish(spark, wh)
     return wh
 
 
+def publish(spark: SparkSession, wh: Warehouse) -> None:
+    """Make ``wh`` the version that readers of ``wh.root`` open: one pointer
+    file that names the folders of every table.  Run names grow with time: the
+    last pointer is the newest version."""
+    pointer = {"run": wh.run, "buckets": wh.buckets, "median_age": wh.median_age, "paths": wh.paths,
+               "parts": wh.parts, "schemas": wh.schemas, "loads": wh.loads}
+    wh.version = wh.run.rsplit("/", 1)[1]
+    write_once(spark, f"{wh.root}/published/{wh.version}.json", json.dumps(pointer))
+
+
+def read_pointer(spark: SparkSession, root: str, name: str) -> dict:
+    path = f"{root.rstrip('/')}/published/{name}.json"
+    pointer = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    if "parts" not in pointer:
+        raise ValueError(f"{path} is of an older layout: build the warehouse again")
+    return pointer
+
+
 def published_runs(spark: SparkSession, root: str) -> list[str]:
     """Names of the published runs, oldest first."""
     return [n[:-5] for n in list_names(spark, f"{root.rstrip('/')}/published") if n.endswith(".json")]
@@ -191,11 +242,21 @@ def published_runs(spark: SparkSession, root: str) -> list[str]:
 
 def remove_old_runs(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete all but the last ``keep`` published versions and return their
-    names.  Readers of a removed version fail; call it when none is left."""
-    gone = published_runs(spark, root)[:-keep] if keep else published_runs(spark, root)
+    names.  Folders that a version left over still names are kept.  Readers of
+    a removed version fail; call it when none is left."""
+    root, names = root.rstrip("/"), published_runs(spark, root)
+    gone = names[:-keep] if keep else names
+    folders = lambda p: {*p["paths"].values(), *(f for parts in p["parts"].values() for f in parts)}
+    used = {f for n in names[len(gone):] for f in folders(read_pointer(spark, root, n))}
+    # a removed version may name folders of runs removed before it
+    unused = {f for n in gone for f in folders(read_pointer(spark, root, n))} - used
     for name in gone:
-        delete_path(spark, f"{root.rstrip('/')}/published/{name}.json")
-        delete_path(spark, f"{root.rstrip('/')}/runs/{name}")
+        delete_path(spark, f"{root}/published/{name}.json")
+        if not any(f.startswith(f"{root}/runs/{name}/") for f in used):
+            delete_path(spark, f"{root}/runs/{name}")
+    for f in unused:
+        if f.startswith(f"{root}/runs/"):  # never another warehouse's folders
+            delete_path(spark, f)
     return gone
 
 
@@ -290,37 +351,53 @@ def _quarantine(st: _Steps, violations: DataFrame, root: str) -> None:
     st.put("indicadores_municipais", indicator_table(t), f"{root}/kept/indicadores_municipais")
 
 
+# Folder below the run and bucket key of the id-bucketed tables.
 BUCKETED = {"clean": ("stage/clean", "id_notificacao"), "fato_notificacoes": ("fato_notificacoes", "id_notificacao"),
             "fato_notificacao_sintoma": ("fato_notificacao_sintoma", "fk_notificacao"),
             "fato_notificacao_condicao": ("fato_notificacao_condicao", "fk_notificacao"),
             "fato_testes_realizados": ("fato_testes_realizados", "fk_notificacao")}
 
 
-def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """Open a published warehouse (in this or another application).  The
-    id-bucketed tables are registered again with their bucket spec, so the
-    co-located joins of the views keep working without a shuffle."""
-    names = published_runs(spark, root)
-    if not names:
-        raise FileNotFoundError(f"no published warehouse in {root}")
-    text = spark.read.text(f"{root.rstrip('/')}/published/{names[-1]}.json", wholetext=True).first()[0]
-    meta = json.loads(text)
-    wh = Warehouse(root, buckets=int(meta["buckets"]), median_age=meta["median_age"], run=meta["run"])
+def open_parts(spark: SparkSession, tname: str, schema: str, key: str, buckets: int, parts: list[str],
+               location: str) -> DataFrame:
+    """A bucketed table over ``parts``, folders of any number of loads: each is
+    a partition of a catalog table, so the files of one bucket are read by one
+    task wherever they are."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in StructType.fromJson(json.loads(schema)).fields)
+    spark.sql(f"CREATE TABLE {tname} ({cols}, `{PART}` INT) USING parquet PARTITIONED BY (`{PART}`) "
+              f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'")
+    for at in range(0, len(parts), 1000):
+        spark.sql(f"ALTER TABLE {tname} ADD " + " ".join(
+            f"PARTITION (`{PART}`={at + i}) LOCATION '{p}'" for i, p in enumerate(parts[at:at + 1000])))
+    return _sized_table(spark, tname)
+
+
+def open_tables(spark: SparkSession, wh: Warehouse) -> None:
+    """Fill ``wh.tables`` from the folders it names."""
     prefix = "vigia_" + uuid.uuid4().hex[:10]
-    extra = [n for n in list_names(spark, wh.run) if n.startswith("_")]
-    rewritten = set(list_names(spark, f"{wh.run}/kept"))
-    for name in DIMENSIONS + SEEDS + INDICATORS + extra:
-        wh.tables[name] = spark.read.parquet(f"{wh.run}/kept/{name}" if name in rewritten else f"{wh.run}/{name}")
-    for name, (sub, col) in BUCKETED.items():
-        path = f"{wh.run}/kept/{name}" if name in rewritten else f"{wh.run}/{sub}"
-        schema = spark.read.parquet(path).schema
+    for name, path in wh.paths.items():
+        wh.tables[name] = spark.read.parquet(path)
+    for name, parts in wh.parts.items():
         tname = f"{prefix}_{name}"
         wh.catalog.append(tname)
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE {tname} ({cols}) USING parquet CLUSTERED BY (`{col}`) INTO {wh.buckets} BUCKETS "
-                  f"LOCATION '{path}'")
-        wh.tables[name] = spark.table(tname)
+        wh.tables[name] = open_parts(spark, tname, wh.schemas[name], BUCKETED[name.removeprefix("_quarantine_")][1],
+                                     wh.buckets, parts, f"{wh.run}/{name}")
     wh.tables["clean"] = C.impute_age_with(wh.tables["clean"], wh.median_age)
+
+
+def load_warehouse(spark: SparkSession, root: str, version: str | None = None) -> Warehouse:
+    """Open the newest published warehouse (in this or another application), or
+    the ``version`` named.  The id-bucketed tables are registered again with
+    their bucket spec, so the co-located joins of the views keep working
+    without a shuffle."""
+    names = [version] if version else published_runs(spark, root)
+    if not names:
+        raise FileNotFoundError(f"no published warehouse in {root}")
+    meta = read_pointer(spark, root, names[-1])
+    wh = Warehouse(root.rstrip("/"), buckets=int(meta["buckets"]), median_age=meta["median_age"], run=meta["run"],
+                   paths=meta["paths"], parts=meta["parts"], schemas=meta["schemas"], version=names[-1],
+                   loads=meta["loads"])
+    open_tables(spark, wh)
     return wh
 
 

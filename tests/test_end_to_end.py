@@ -59,3 +59,37 @@ def test_cli_etl_then_report(spark, capsys):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("Bucketed: true") == 2
+
+
+def test_cli_append_and_delete(spark, capsys):
+    import json as _json
+
+    from vigia import cli
+    from vigia.plans.etl import load_warehouse
+
+    raw = raw_notifications(spark, SMALL_SF).withColumn("_pos", F.col("id_notificacao"))
+    parts = []
+    for half in ("_pos % 2 = 0", "_pos % 2 = 1"):
+        parts.append(fresh_dir(spark, "cli-csv"))
+        S.write_csv(raw.filter(half).drop("id_notificacao"), parts[-1], order_by="_pos", drop_order_column=True)
+    out, ids = fresh_dir(spark, "cli-wh"), fresh_dir(spark, "cli-ids")
+    cli.main(["etl", "--csv", parts[0], "--out", out])
+    first = load_warehouse(spark, out)
+    before, top = (first["fato_notificacoes"].agg(F.count("*"), F.max("id_notificacao")).first())
+    with pytest.raises(SystemExit):
+        cli.main(["etl", "--csv", parts[1], "--out", out, "--load", "odd"])
+    for _ in range(2):  # a repeated load adds nothing
+        cli.main(["etl", "--csv", parts[1], "--out", out, "--append", "--load", "odd"])
+    both = load_warehouse(spark, out)
+    total = both["fato_notificacoes"].count()
+    assert total == raw.filter("dataNotificacao is not null").count() > before
+    spark.range(top + 1, top + 4).withColumnRenamed("id", "id_notificacao").write.parquet(ids)
+    gone = both["fato_notificacoes"].filter(F.col("id_notificacao").between(top + 1, top + 3)).count()
+    capsys.readouterr()
+    cli.main(["delete", "--warehouse", out, "--ids", ids])
+    said = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    last = load_warehouse(spark, out)
+    assert last.version == said["version"] and said["folders"]["fato_notificacoes"]["kept"] > 0
+    assert gone > 0 and last["fato_notificacoes"].count() == total - gone
+    for w in (first, both, last):
+        w.close(spark)

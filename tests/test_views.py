@@ -97,6 +97,17 @@ def test_dashboard_views_are_released(wh):
     assert total == K.kpi_summary(wh.tables).first().total_notificacoes
 
 
+def test_indicators_read_the_kept_views(wh):
+    from vigia.plans.session_cache import dashboard_views
+    fns = (K.kpi_summary, K.confirmed_by_state, K.epidemic_curve, K.cases_by_sex, K.confirmed_by_age, K.vaccine_outcome,
+           K.top_symptoms, K.top_municipalities, K.top_laboratories)
+    want = [fn(wh.tables, state="AM").collect() for fn in fns]
+    with dashboard_views(wh.tables) as frames:
+        for fn, rows in zip(fns, want, strict=True):
+            df = fn(wh.tables | frames, state="AM")
+            assert "InMemoryTableScan" in plan_text(df, "simple") and df.collect() == rows, fn.__name__
+
+
 def test_dimensions_are_broadcast_in_views(wh):
     """Dimension joins of the views are broadcast hash joins (no shuffle of the fact for them)."""
     for fn in (V.cases_by_municipality, V.vaccination_by_result, V.epidemiological_profile):

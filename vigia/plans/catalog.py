@@ -28,8 +28,9 @@ from ..sources.tables import fact_table, table
 from ..sources.warehouse import append_table, read_table, view_scan
 from ..streaming.audit_stream import Feed, read_log, run_audit_stream, stage_events
 from . import indicators as K
+from . import versions
 from . import views as V
-from .etl import warehouse_for
+from .etl import build_warehouse, load_warehouse, warehouse_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -451,6 +452,41 @@ def _cascade_survivors(spark, sf):
     return Q.cascade_delete({"b": (bridge, "fk_notificacao")}, deleted, "id_notificacao")["b"]
 
 
+@query("cascade_stored")
+def _cascade_stored(spark, sf):
+    """ON DELETE CASCADE on the stored warehouse: a new version without the
+    notifications flagged as excluded, read back through its pointer."""
+    deleted = _raw(spark, sf).filter(F.col("excluido")).select("id_notificacao")
+    new = versions.delete_notifications(spark, warehouse_for(spark, sf), deleted, root=fresh_dir(spark, "cascade"))
+    t = load_warehouse(spark, new.root).tables if new.version else new.tables
+    row = lambda name, key, other: t[name].select(
+        F.lit(name).alias("table_name"), F.col(key).alias("id_notificacao"), F.col(other).cast("string").alias("value"))
+    return Q.union_all([row("fato_notificacoes", "id_notificacao", "classificacao_final"),
+                        row("fato_notificacao_sintoma", "fk_notificacao", "fk_sintoma"),
+                        row("fato_notificacao_condicao", "fk_notificacao", "fk_condicao"),
+                        row("fato_testes_realizados", "fk_notificacao", "test_number")])
+
+
+@query("incremental_load")
+def _incremental_load(spark, sf):
+    """Two loads in sequence: notifications up to the middle id are published,
+    the others are added with the dimension ids already there.  The fact with
+    its places by code, and the symptoms by id."""
+    raw = _staged(spark, sf, "raw", lambda path: _raw(spark, sf).write.parquet(path))
+    raw = spark.read.parquet(raw)
+    middle = raw.agg(F.max("id_notificacao")).first()[0] // 2
+    first = build_warehouse(spark, raw.filter(F.col("id_notificacao") <= middle), root=fresh_dir(spark, "loads"))
+    t = versions.append_notifications(spark, first, raw.filter(F.col("id_notificacao") > middle)).tables
+    place = t["dim_localidades"].select(F.col("id_localidade").alias("fk_localidade_residencia"), "codigo_ibge_municipio")
+    symptoms = t["fato_notificacao_sintoma"].groupBy("fk_notificacao").agg(
+        F.array_join(F.array_sort(F.collect_list("fk_sintoma")).cast("array<string>"), ",").alias("symptom_ids"))
+    fact = t["fato_notificacoes"]
+    return (fact.join(place, "fk_localidade_residencia", "left")
+            .join(symptoms, fact.id_notificacao == symptoms.fk_notificacao, "left")
+            .select("id_notificacao", "idade", "sexo", "data_notificacao", "data_inicio_sintomas", "classificacao_final",
+                    "fk_raca_cor", "fk_evolucao_caso", "codigo_ibge_municipio", "symptom_ids"))
+
+
 @query("indicator_table")
 def _indicator_table(spark, sf):
     return _wh(spark, sf)["indicadores_municipais"]

@@ -10,6 +10,8 @@ planner pushes them below it (and into the scan when possible).  Top-k uses
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,13 @@ from ..operators.project import optional_filter, with_constant
 from . import views as V
 
 
+def _view(t: dict[str, DataFrame], view: Callable[[dict[str, DataFrame]], DataFrame]) -> DataFrame:
+    """The view as ``t`` holds it (K15: kept for a dashboard run), else stated
+    over the tables."""
+    kept = [t[name] for name, fn in V.VIEWS.items() if fn is view and name in t]
+    return kept[0] if kept else view(t)
+
+
 def _filtered(df: DataFrame, state: str | None, municipality: str | None) -> DataFrame:
     return optional_filter(df, estado_uf=state, municipio_nome=municipality)
 
@@ -50,20 +59,20 @@ def _top_list(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
 def lab_frame(t, state=None, municipality=None) -> DataFrame:
     """K1: the laboratory view with the laboratory name (source id 1 assumed
     when the column is missing)."""
-    lab = with_constant(V.laboratory_analysis(t), "source_id", labels.LAB_SOURCE_ID)
+    lab = with_constant(_view(t, V.laboratory_analysis), "source_id", labels.LAB_SOURCE_ID)
     lab = lab.withColumn("nome_laboratorio", lookup(F.col("source_id"), labels.LAB_NAMES, labels.LAB_OTHER))
     return _filtered(lab, state, municipality)
 
 
 def filter_states(t) -> DataFrame:
     """K2: distinct non-NULL states (sentinel left to the UI)."""
-    return (V.epidemiological_profile(t).select("estado_uf").filter(F.col("estado_uf").isNotNull())
+    return (_view(t, V.epidemiological_profile).select("estado_uf").filter(F.col("estado_uf").isNotNull())
             .distinct().orderBy("estado_uf"))
 
 
 def filter_municipalities(t, state=None) -> DataFrame:
     """K3: distinct non-NULL municipalities, for a state when one is chosen."""
-    prof = optional_filter(V.epidemiological_profile(t), estado_uf=state)
+    prof = optional_filter(_view(t, V.epidemiological_profile), estado_uf=state)
     return (prof.select("municipio_nome").filter(F.col("municipio_nome").isNotNull())
             .distinct().orderBy("municipio_nome"))
 
@@ -71,7 +80,7 @@ def filter_municipalities(t, state=None) -> DataFrame:
 def kpi_summary(t, state=None, municipality=None, with_text: bool = False) -> DataFrame:
     """K4 (+K5): totals and lethality = all deaths / confirmed x 100 (0 when
     nothing is confirmed; may exceed 100 by construction)."""
-    prof = _filtered(V.epidemiological_profile(t), state, municipality)
+    prof = _filtered(_view(t, V.epidemiological_profile), state, municipality)
     agg = prof.agg(F.coalesce(F.sum("total_casos"), F.lit(0)).alias("total_notificacoes"),
                    F.coalesce(F.sum("casos_confirmados"), F.lit(0)).alias("confirmados"),
                    F.coalesce(F.sum("obitos"), F.lit(0)).alias("obitos"))
@@ -89,35 +98,35 @@ def kpi_summary(t, state=None, municipality=None, with_text: bool = False) -> Da
 
 def confirmed_by_state(t, state=None, municipality=None) -> DataFrame:
     """K6."""
-    return _chart(_filtered(V.epidemiological_profile(t), state, municipality), "estado_uf", "casos_confirmados")
+    return _chart(_filtered(_view(t, V.epidemiological_profile), state, municipality), "estado_uf", "casos_confirmados")
 
 
 def epidemic_curve(t, state=None, municipality=None) -> DataFrame:
     """K7: confirmed and deaths by notification day (no gap filling)."""
-    df = _filtered(V.cases_by_municipality(t), state, municipality).filter(F.col("data_notificacao").isNotNull())
+    df = _filtered(_view(t, V.cases_by_municipality), state, municipality).filter(F.col("data_notificacao").isNotNull())
     return df.groupBy("data_notificacao").agg(F.sum("casos_confirmados").alias("casos_confirmados"),
                                               F.sum("obitos").alias("obitos")).orderBy("data_notificacao")
 
 
 def cases_by_sex(t, state=None, municipality=None) -> DataFrame:
     """K8."""
-    return _chart(_filtered(V.epidemiological_profile(t), state, municipality), "sexo", "total_casos")
+    return _chart(_filtered(_view(t, V.epidemiological_profile), state, municipality), "sexo", "total_casos")
 
 
 def confirmed_by_age(t, state=None, municipality=None) -> DataFrame:
     """K9."""
-    return _chart(_filtered(V.epidemiological_profile(t), state, municipality), "faixa_etaria", "casos_confirmados")
+    return _chart(_filtered(_view(t, V.epidemiological_profile), state, municipality), "faixa_etaria", "casos_confirmados")
 
 
 def vaccine_outcome(t, state=None, municipality=None) -> DataFrame:
     """Cases by (vaccination status, class)."""
-    return _chart(_filtered(V.vaccination_by_result(t), state, municipality),
+    return _chart(_filtered(_view(t, V.vaccination_by_result), state, municipality),
                   ["status_vacinal", "classificacao_final"], "total_casos")
 
 
 def top_symptoms(t, n: int = 10, state=None, municipality=None) -> DataFrame:
     """The n most frequent symptoms."""
-    s = _sum_by(_filtered(V.frequent_symptoms(t), state, municipality), "nome_sintoma", "total_ocorrencias")
+    s = _sum_by(_filtered(_view(t, V.frequent_symptoms), state, municipality), "nome_sintoma", "total_ocorrencias")
     return _top_list(s, "nome_sintoma", "total_ocorrencias", n)
 
 

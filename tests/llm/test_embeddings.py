@@ -108,3 +108,16 @@ def test_what_the_audit_rejects_is_finished_by_blocks(spark):
     want = plain(range(len(x)), x)
     got = embeddings.near_duplicates(frame(spark, x), bucket=8, neighbours=2, meet=0.05, recall=1.01, block=64).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
+def test_very_large_and_very_small_vectors_link_by_direction(spark):
+    a, b = np.array([1.0, 2.0, -0.5]), np.array([-2.0, 1.0, 3.0])
+    sizes = [1e200, 1e-170, 1e308 / 4, 5e-320, 1e-308, 1.0, 1e100, 1e-100]
+    rows = [(i, (v * s).tolist()) for i, (v, s) in enumerate((v, s) for v in (a, b) for s in sizes)]
+    rows += [(100, [0.0, 0.0, 0.0]), (101, [float("inf"), 1.0, 0.0]), (102, [5e-324, 0.0, 0.0]), (103, [1e308, 0.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    for i in range(8):
+        assert got[i] == (7, 0, i == 0) and got[8 + i] == (7, 8, i == 0)
+    assert got[100] == (0, 100, True) and got[101] == (0, 101, True)
+    assert got[102] == (1, 102, True) and got[103] == (1, 102, False)

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -39,6 +39,23 @@ THRESHOLD, NEIGHBOURS, BUCKET, MEET, RECALL = 0.9, 12, 256, 0.998, 0.98
 AUDIT, ATTEMPTS, BLOCK = 128, 3, 512
 
 
+# Vectors whose largest component is outside this range are scaled: their squares
+# would overflow or vanish.
+SMALLEST, LARGEST = 1e-100, 1e100
+
+
+def scaled(vec: Column) -> Column:
+    """A finite vector of the same direction whose norm is a double: very large
+    and very small ones are multiplied by a power of two, the others as given.
+    In two steps, as the power itself may not be a double."""
+    top = F.array_max(F.transform(vec, lambda y: F.abs(y)))
+    power = -F.floor(F.log2(top))
+    half = F.floor(power / 2)
+    two = lambda n: F.pow(F.lit(2.0), n)
+    return (F.when(top.between(SMALLEST, LARGEST), vec)
+            .otherwise(F.transform(vec, lambda y: y * two(half) * two(power - half))))
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """All cosines of the rows of a and b, in double precision."""
     return (a @ b.T) / np.outer(np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1))
@@ -394,7 +411,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     name).
 
     Vectors that are null, empty, zero or hold null or non-finite components
-    link with nothing, nor do vectors of different lengths.  Rows with a null
+    link with nothing, nor do vectors of different lengths.  Components may be of
+    any size that a double holds.  Rows with a null
     id link with nothing, have a null component and are not kept.  Repeated
     rows count as vectors of their own.  An empty table gives no rows; other
     columns are not read."""
@@ -404,8 +422,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     finite = F.forall(x, lambda y: y.isNotNull() & ~F.isnan(y) & (F.abs(y) < F.lit(float("inf"))))
     usable = F.coalesce(F.col("vec_id").isNotNull() & (F.size(x) > 0) & finite
                         & F.exists(x, lambda y: y != 0), F.lit(False))
-    keyed = stage(rows.select("vec_id", F.when(usable, F.xxhash64("vec")).alias("v"),
-                              F.when(usable, x).alias("vec")), "vectors")
+    even = rows.select("vec_id", F.when(usable, scaled(x)).alias("vec"))
+    keyed = stage(even.select("vec_id", F.when(F.col("vec").isNotNull(), F.xxhash64("vec")).alias("v"), "vec"), "vectors")
     nodes = stage(keyed.where("v is not null").groupBy("v", "vec")
                   .agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("first_id")), "nodes")
     n = nodes.count()

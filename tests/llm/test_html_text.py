@@ -74,3 +74,55 @@ def test_end_tags_may_be_left_out():
         page = f"<article><div><{tag}>Go <b>there</b></div><p>The article.</p></article>"
         assert html_text.main_text(page) == "The article.", tag
     assert html_text.main_text("<article><svg><g><text>a</text></g><svg></svg>b</svg><p>It is.</p></article>") == "It is."
+
+
+def _article(page):
+    article = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
+    blocks = [" ".join(html.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", b))).split())
+              for b in re.split(r"</?(?:p|h1)>", article)]
+    return article, [b for b in blocks if b]
+
+
+def _neutral(page):
+    page = re.sub(r"(</?)(?:article|nav|footer|header|aside|main|form)\b", r"\1div", page)
+    return re.sub(r'\s(?:class|id|role)="[^"]*"', "", page)
+
+
+def _bare(page):
+    """Paragraphs, heading and menu are plain divisions too."""
+    article, _ = _article(page)
+    parts = [re.sub("</?b>", "", p) for p in re.split(r"</?(?:p|h1)>", article)]
+    parts = "".join(f"<div>{p}</div>" for p in parts if re.sub("<br>", "", p).strip())
+    page = page.replace(f"<article>{article}</article>", f"<div>{parts}</div>")
+    return re.sub(r"(</?)(?:ul|li)>", r"\1div>", _neutral(page))
+
+
+def test_pages_without_names_and_the_cut_beats_the_sign(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()]
+    for change in (_neutral, _bare):
+        cut = sign = 0
+        for page in pages:
+            want = _article(page)[1]
+            blocks = html_text.Blocks(change(page)).out
+            score = html_text.scores(blocks)
+            cut += [b[0] for b, k in zip(blocks, html_text.labels(blocks, score), strict=True) if k] == want
+            sign += [b[0] for b, s in zip(blocks, score, strict=True) if s > 0] == want
+        assert cut >= 0.9 * len(pages) and cut >= sign
+        assert change is _neutral or cut > sign
+
+
+def test_long_boilerplate_goes_and_short_lines_of_the_article_stay():
+    long = "This sentence is long and has a good many words in it, as a real paragraph has. " * 20
+    page = f"""<body><article><h1>Story</h1><p>{long}</p><p>Yes.</p><div class="notice"><p>{long}</p></div><p>{long}</p>
+    <ul>{'<li><a href=x>a source</a></li>' * 30}</ul><div style="display:none"><p>{long}</p></div><p>No.</p></article>
+    <div class="comments">{f'<p>{long}</p>' * 40}</div><aside><p>{long}</p></aside><footer><p>{long}</p></footer></body>"""
+    long = " ".join(long.split())
+    assert html_text.main_text(page).split("\n") == ["Story", long, "Yes.", long] + ["a source"] * 30 + ["No."]
+
+
+def test_a_short_line_without_a_positive_score_is_kept_by_the_cut():
+    blocks = html_text.Blocks("<div><p>Long paragraph number one has many words and it ends with a stop.</p><div>1</div><p>"
+                              "Another long paragraph with many words that ends properly too.</p></div>"
+                              "<ul><li><a href=a>Home</a></li></ul>").out
+    score = html_text.scores(blocks)
+    assert score[1] < 0 and html_text.labels(blocks, score) == [True, True, True, False]

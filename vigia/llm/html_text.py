@@ -2,12 +2,16 @@
 
 1. A page is cut into blocks of text at block-level tags; scripts, styles and
    form controls never make blocks.
-2. A linear classifier scores each block from its nearest telling ancestor
-   (element, class, id and role words), its length, links and punctuation.  A
-   positive score is the cost of calling the block boilerplate (capacity from
-   the source), a negative one that of calling it content (to the sink).
+2. A linear classifier scores each block from its length, links, stops and
+   element, the text its container holds beside the page's other containers, its
+   depth beside theirs, its neighbours' scores, and its nearest telling ancestor
+   (element; class, id and role words weigh less).  A positive score is the cost
+   of calling the block boilerplate (capacity from the source), a negative one
+   that of calling it content (to the sink).
 3. Neighbouring blocks, and the next block of the same container, are joined by
-   smoothness edges that weigh more the closer they are in the DOM.
+   smoothness edges that weigh more the closer they are in the DOM: within a
+   container as much as a whole sentence's score, so that a short line goes with
+   the paragraphs around it; across a telling element hardly anything.
 4. Max-flow: blocks on the source's side of the minimum cut are the content.
 
 Blocks in a row that share the container and the sign of their score are one
@@ -55,29 +59,33 @@ BAD_WORDS = frozenset(
     "copyright legal disclaimer skip hidden".split())
 #: Words of a class that make it a frame for everything, telling nothing.
 FRAME_WORDS = frozenset("wrap wrapper container layout page site app root with has no".split())
-NEAR, SAME = 1.0, 1.5
+#: What a telling element, and a telling word in its class, id or role, add to a score.
+GOOD_TAG, GOOD_WORD, BAD_TAG, BAD_WORD = 2.0, 1.0, -4.0, -3.0
+PARAGRAPHS = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6".split())
+#: Edges: neighbours of different containers, neighbours of one, the next of a container further on.
+NEAR, BESIDE, SAME = 1.0, 3.0, 1.5
 
 
-def _verdict(tag: str, attributes: str) -> int:
-    """1: an element for content, -1: for boilerplate, 0: not telling."""
-    found = 1 if tag in GOOD_TAGS else -1 if tag in BAD_TAGS else 0
+def _verdict(tag: str, attributes: str) -> float:
+    """Above 0: an element for content, below: for boilerplate, 0: not telling."""
+    found = GOOD_TAG if tag in GOOD_TAGS else BAD_TAG if tag in BAD_TAGS else 0.0
     if not attributes or tag in ("body", "html"):
         return found
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return -1
+            return BAD_TAG
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                return -1
+                return BAD_TAG
         elif name in ("class", "id", "role"):
             words = {w.lower() for w in _WORDS.findall(value)}
             if words & FRAME_WORDS:
                 continue
             if words & BAD_WORDS:
-                return -1
+                return min(found, BAD_WORD)
             if words & GOOD_WORDS and not found:
-                found = 1
+                found = GOOD_WORD
     return found
 
 
@@ -144,7 +152,7 @@ class Blocks:
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.text)).split())
         if text:
-            tag, container, verdict, inside = "body", 0, 0, False
+            tag, container, verdict, inside = "body", 0, 0.0, False
             for i in range(len(self.stack) - 1, -1, -1):
                 if self.stack[i][0] in BLOCK:
                     tag = self.stack[i][0]
@@ -155,7 +163,7 @@ class Blocks:
                 if s[2]:
                     container, verdict, inside = s[1], s[2], s[3]
                     if s[0] == "header" and inside and tag in ("h1", "h2"):
-                        verdict = 1  # an article's own heading
+                        verdict = GOOD_TAG  # an article's own heading
                     break
             links = min(1.0, self.linked / len(text))
             self.out.append((text, tag, container, verdict, len(self.stack), links))
@@ -188,31 +196,65 @@ class Blocks:
             del self.stack[i:]
         self.containers += 1
         inside = bool(self.stack) and self.stack[-1][3] or tag in GOOD_TAGS
-        verdict = _verdict(tag, attributes) if tag in BLOCK or attributes else 0
+        verdict = _verdict(tag, attributes) if tag in BLOCK or attributes else 0.0
         if tag not in BLOCK and verdict > 0:
-            verdict = 0
+            verdict = 0.0
         self.stack.append((tag, self.containers, verdict, inside))
         self.link += tag == "a"
 
 
-def score(text: str, tag: str, verdict: int, links: float) -> float:
-    """The classifier: above 0 content, below 0 boilerplate."""
+def own_score(text: str, tag: str, verdict: float, links: float) -> float:
+    """What a block says by itself: above 0 content, below 0 boilerplate."""
     n = text.count(" ") + 1
-    s = 6.0 * verdict if verdict > 0 else 9.0 * verdict
-    s += 0.02 * min(n, 100) - 2.5 * links
+    s = verdict + 0.02 * min(n, 60) - (1.0 if verdict > 0 else 2.5) * links
     if n >= 5 and text[-1] in ".!?:;\"')”»…":
         s += 0.8
-    if tag in ("p", "blockquote", "pre", "h1", "h2", "h3"):
+    if tag in PARAGRAPHS:
         s += 0.5
     elif tag in ("li", "td", "th", "option", "dt", "dd"):
         s -= 0.3
     if n < 4:
         s -= 0.6
-    if verdict <= 0 and n < 12 and ("©" in text or "(c)" in text.lower() or "all rights reserved" in text.lower()):
+    low = text.lower()
+    if verdict <= 0 and (n < 40 and low.startswith(("©", "(c)", "copyright"))
+                         or n < 12 and ("©" in text or "(c)" in low or "all rights reserved" in low)):
         s -= 2.0
     return s - 0.2
 
 
+def scores(blocks: list[tuple]) -> list[float]:
+    """The classifier: each block by itself, in its container and among its
+    neighbours.  Blocks of a boilerplate element gain nothing from the text
+    around them."""
+    own = [own_score(b[0], b[1], b[3], b[5]) for b in blocks]
+    held: dict[int, float] = {}
+    deep: dict[int, int] = {}
+    text = in_paragraphs = 0.0
+    for b in blocks:
+        plain = len(b[0]) * (1.0 - b[5])
+        text += plain
+        if b[1] in PARAGRAPHS:
+            in_paragraphs += plain
+        if b[3] >= 0:
+            held[b[2]] = held.get(b[2], 0.0) + plain
+            deep.setdefault(b[2], b[4])
+    main = max(held, key=held.get, default=None)  # ties: the first on the page
+    out = []
+    for i, b in enumerate(blocks):
+        s = own[i]
+        if b[3] >= 0:
+            s += 0.8 * (2.0 * held[b[2]] / max(held[main], 1.0) - 1.0)
+            if not b[3]:
+                s -= 0.5 * min(abs(b[4] - deep[main]), 3)
+                if b[1] not in PARAGRAPHS and 2.0 * in_paragraphs > text:
+                    s -= 1.2  # loose text on a page of paragraphs
+            for j in (i - 1, i + 1):
+                if 0 <= j < len(blocks) and blocks[j][2] == b[2]:
+                    s += 0.2 * max(-1.0, min(own[j], 1.0))
+        out.append(s)
+    return out
+
+
 def min_cut(terminal: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Max-flow by level graphs: terminal[i] > 0 is a capacity from the source
     to i, < 0 one from i to the sink; edges carry both ways.  True for nodes on
@@ -276,27 +318,33 @@ def min_cut(terminal: list[float], edges: list[tuple[int, int, float]]) -> list[
             a = to[e]
 
 
-def main_text(page: str | None) -> str:
-    """The main text of a whole page; null or no content: empty."""
-    blocks = Blocks(page or "").out
-    scores = [score(b[0], b[1], b[3], b[5]) for b in blocks]
-    node_of, nodes = [], []  # nodes: [score, container, depth]
-    for b, s in zip(blocks, scores, strict=True):
+def labels(blocks: list[tuple], score: list[float]) -> list[bool]:
+    """True for content: the source's side of the minimum cut."""
+    node_of, nodes = [], []  # nodes: [score, container, depth, verdict]
+    for b, s in zip(blocks, score, strict=True):
         if nodes and nodes[-1][1] == b[2] and (nodes[-1][0] > 0) == (s > 0):
             nodes[-1][0] += s
         else:
-            nodes.append([s, b[2], b[4]])
+            nodes.append([s, b[2], b[4], b[3]])
         node_of.append(len(nodes) - 1)
     edges, last = [], {}
-    for i, (_, container, depth) in enumerate(nodes):
-        if i:
-            far = abs(depth - nodes[i - 1][2]) + (container != nodes[i - 1][1])
+    for i, (_, container, depth, verdict) in enumerate(nodes):
+        if i and nodes[i - 1][1] == container:
+            edges.append((i - 1, i, BESIDE))
+        elif i:
+            far = 1 + abs(depth - nodes[i - 1][2]) if nodes[i - 1][3] == verdict else 3
             edges.append((i - 1, i, NEAR / (1 + far)))
-        if container in last:
+        if last.get(container, i - 1) < i - 1:
             edges.append((last[container], i, SAME / (i - last[container])))
         last[container] = i
-    content = min_cut([x[0] for x in nodes], edges) if nodes else []
-    return "\n".join(b[0] for b, k in zip(blocks, node_of, strict=True) if content[k])
+    side = min_cut([x[0] for x in nodes], edges) if nodes else []
+    return [side[k] for k in node_of]
+
+
+def main_text(page: str | None) -> str:
+    """The main text of a whole page; null or no content: empty."""
+    blocks = Blocks(page or "").out
+    return "\n".join(b[0] for b, keep in zip(blocks, labels(blocks, scores(blocks)), strict=True) if keep)
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:

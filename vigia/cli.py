@@ -1,9 +1,10 @@
 """Command line: build a warehouse from notification CSV files, add files to
-it, delete notifications from it, or report on it.
+it, delete notifications from it, export it in its declared types, or report on it.
 
     python -m vigia.cli etl --csv 'in/*.csv' --out /shared/warehouse [--active-only] [--seed dim_tipos_testes=types.parquet]
     python -m vigia.cli etl --append --load 2021-05 --csv 'may/*.csv' --out /shared/warehouse
     python -m vigia.cli delete --warehouse /shared/warehouse --ids excluded.parquet
+    python -m vigia.cli export --warehouse /shared/warehouse --out /shared/declared
     python -m vigia.cli report --warehouse /shared/warehouse [--state PA] [--municipality Belém]
 
 ``etl`` prints the observed row counts; ``report`` prints the headline
@@ -39,6 +40,9 @@ def main(argv: list[str] | None = None) -> None:
     d = sub.add_parser("delete", help="delete notifications and what refers to them (a new version)")
     d.add_argument("--warehouse", required=True)
     d.add_argument("--ids", required=True, help="Parquet with a column id_notificacao")
+    x = sub.add_parser("export", help="the tables of a published warehouse in their declared columns and types")
+    x.add_argument("--warehouse", required=True)
+    x.add_argument("--out", required=True, help="new folder, a Parquet table below it for each")
     r = sub.add_parser("report", help="indicators and top lists of a published warehouse")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--state", default=None)
@@ -79,6 +83,11 @@ def main(argv: list[str] | None = None) -> None:
         new = delete_notifications(spark, old, spark.read.parquet(args.ids))
         print(json.dumps({"version": new.version, "folders": {n: dict(zip(("kept", "written"), c))
                                                               for n, c in changed_folders(old, new).items()}}))
+    elif args.cmd == "export":
+        from .operators.declared import write_declared
+        from .plans.etl import load_warehouse
+
+        print(json.dumps({"rows": write_declared(load_warehouse(spark, args.warehouse).tables, args.out)}))
     else:
         from .plans import indicators as K
         from .plans.etl import load_warehouse

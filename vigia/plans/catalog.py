@@ -20,6 +20,7 @@ from ..operators import dims as D
 from ..operators import project as P
 from ..operators import quality as Q
 from ..operators import reshape as R
+from ..operators.declared import as_declared
 from ..session import fresh_dir, shared_dir
 from ..sources import csv as S
 from ..sources.fixture import raw_notifications
@@ -507,6 +508,38 @@ def _laboratory_analysis_seeded(spark, sf):
     return V.laboratory_analysis(t)
 
 
+def _several_laboratories(spark, sf):
+    """The warehouse with a laboratory view of several source ids: the maker's
+    number stands for the laboratory (0: unknown maker)."""
+    lab = _laboratory_analysis_seeded(spark, sf)
+    source = F.coalesce(F.regexp_extract("fabricante", r"^Supplier#0*([1-9][0-9]*)$", 1).try_cast("int"), F.lit(0))
+    return _wh(spark, sf) | {"vw_analise_laboratorial": lab.withColumn("source_id", source)}
+
+
+@query("top_laboratory_of_several")
+def _top_laboratory_of_several(spark, sf):
+    """K12 over several laboratories, unknown ids among them."""
+    return K.top_laboratory(_several_laboratories(spark, sf))
+
+
+@query("top_laboratories_of_several")
+def _top_laboratories_of_several(spark, sf):
+    """K14 over several laboratories."""
+    return K.top_laboratories(_several_laboratories(spark, sf))
+
+
+@query("fact_declared")
+def _fact_declared(spark, sf):
+    """The main fact in its declared columns and types."""
+    return as_declared(_wh(spark, sf)["fato_notificacoes"], "fato_notificacoes")
+
+
+@query("tests_declared")
+def _tests_declared(spark, sf):
+    """The tests fact in its declared columns and types, record ids made."""
+    return as_declared(_wh(spark, sf)["fato_testes_realizados"], "fato_testes_realizados")
+
+
 @query("cascade_delete")
 def _cascade_delete(spark, sf):
     """Notifications flagged as excluded in the raw input are deleted from the

@@ -21,7 +21,7 @@ from ..operators import project as P
 from ..operators import quality as Q
 from ..operators import reshape as R
 from ..operators.declared import as_declared
-from ..session import fresh_dir, shared_dir
+from ..session import compiled_methods, fresh_dir, shared_dir
 from ..sources import csv as S
 from ..sources.fixture import raw_notifications
 from ..sources.row_ids import with_file_row_id
@@ -41,6 +41,7 @@ def query(name: str):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             shared_dir(spark)  # checkpoint / scratch folder: read from the session, set only if unset
+            compiled_methods(spark)
             return fn(spark, sf_dir)
         run.__name__ = run.__qualname__ = name
         run.__doc__ = fn.__doc__

@@ -55,7 +55,7 @@ from ..operators import dims as D
 from ..operators import facts as J
 from ..operators import quality as Q
 from ..operators.reshape import test_fact
-from ..session import delete_path, fresh_dir, list_names, write_once
+from ..session import compiled_methods, delete_path, fresh_dir, list_names, write_once
 from ..sources.fixture import raw_notifications
 
 DIMENSIONS = ["dim_localidades", "dim_sintomas", "dim_condicoes", "dim_raca_cor", "dim_evolucao_caso"]
@@ -71,6 +71,12 @@ BUCKETS_CONF = "vigia.warehouse.buckets"
 MAX_GROUPS = 4096
 PART = "_parte"
 
+# Files a task of a build keeps open.  Up to them Spark doesn't sort a task's
+# rows by bucket before it writes them; a task that holds whole buckets in turn
+# needs one, and rows of more buckets are sorted after all.
+WRITERS_CONF = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_WRITERS = 2
+
 
 def bucket_group(key: F.Column, buckets: int) -> F.Column:
     """The group of buckets that rows with ``key`` are stored in (buckets are
@@ -204,6 +210,7 @@ def build_warehouse(spark: SparkSession, raw: DataFrame, root: str | None = None
     mode = {True: "fail", False: "off"}.get(gate, gate)
     if mode not in ("fail", "report", "quarantine", "off"):
         raise ValueError(f"gate must be fail, report, quarantine or off, not {gate!r}")
+    compiled_methods(spark)
     published = root = (root or fresh_dir(spark, "warehouse")).rstrip("/")
     wh = Warehouse(published, buckets=buckets or default_buckets(spark, raw))
     root = wh.run = f"{published}/runs/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
@@ -268,6 +275,8 @@ def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode:
     auto_key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
     auto_old = spark.conf.get(auto_key)
     spark.conf.set(auto_key, "false")
+    writers_old = spark.conf.get(WRITERS_CONF)
+    spark.conf.set(WRITERS_CONF, str(OPEN_WRITERS))
     try:
         t0 = time.perf_counter()
         wh.median_age = C.exact_median(raw, C.AGE)
@@ -317,6 +326,7 @@ def _build(spark: SparkSession, raw: DataFrame, root: str, wh: Warehouse, mode:
             wh.seconds["integrity_gate"] = time.perf_counter() - t0
     finally:
         spark.conf.set(auto_key, auto_old)
+        spark.conf.set(WRITERS_CONF, writers_old)
 
 
 def _quarantine(st: _Steps, violations: DataFrame, root: str) -> None:

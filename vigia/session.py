@@ -43,9 +43,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    compiled_methods(spark)
     return spark
 
 
+# Bytecode of a generated method up to which HotSpot compiles it.
+METHOD_LIMIT = "8000"
+
+
+def compiled_methods(spark: SparkSession) -> None:
+    """Let wide projections (the 50 columns of a notification) be generated as
+    several small methods: HotSpot never compiles one over ``METHOD_LIMIT`` bytes
+    of bytecode and would interpret it row by row.  A setting of the session's
+    own stays."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, METHOD_LIMIT)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder every executor can reach, below ``spark.checkpoint.dir``.
 

@@ -15,11 +15,21 @@ _DATE_TIME = (r"^\s*(\S+?)[ T]([01]?\d|2[0-3]):([0-5]?\d)(?::([0-5]?\d(?:\.\d{1,
               r"\s*(?:Z|[+-]\d{2}:?\d{2})?\s*$")
 
 
+# Shapes that most cells have; a cast reads them as the formats above would.
+# Years of four digits from 0001, and nothing around.
+_DAY_FIRST = r"^[0-9]{1,2}/[0-9]{1,2}/(?!0000)[0-9]{4}\z"
+_ISO = r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T](?:[01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9](?:[.][0-9]{1,6})?)?\z"
+
+
 def parse_day_first(c: Column, formats: list[str] | None = None) -> Column:
     """Text -> wall-clock timestamp (``TIMESTAMP_NTZ``), day first; anything
     unparseable (31/02, plain numbers) becomes NULL.  ISO dates and date-times
 are read too.
 
+    Cells of the usual shapes are cast (day-first ones with their parts turned
+    round); the others go through the formats, each of which is an exception
+    where it doesn't fit.
+
     Order independent: every row is parsed on its own, never with a format
     guessed from the first row.  Zone free: the date part goes through
     ``try_to_date``, and the time of cells that have one (a ``:``) is added to
@@ -35,7 +45,13 @@ are read too.
     zero = F.lit(0)
     time = F.when(timed, F.make_dt_interval(zero, part(2), part(3), part(4, "decimal(18,6)"))).otherwise(
         F.make_dt_interval(zero, zero, zero, zero.cast("decimal(18,6)")))
-    return day.cast("timestamp_ntz") + time
+    general = day.cast("timestamp_ntz") + time
+    if formats:
+        return general
+    turned = F.concat_ws("-", F.substring(c, -4, 4), F.substring_index(F.substring_index(c, "/", 2), "/", -1),
+                         F.substring_index(c, "/", 1))
+    return (F.when(c.rlike(_DAY_FIRST), turned.try_cast("date").cast("timestamp_ntz"))
+            .when(c.rlike(_ISO), c.try_cast("timestamp_ntz")).otherwise(general))
 
 
 def to_day_first_timestamp(c: Column, dtype: DataType, formats: list[str] | None = None) -> Column:

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 from vigia.functions import dates
 from vigia.plans.catalog import queries
 from vigia.session import compiled_methods
+from vigia.sources import csv as S
+
 
 SMALL = "/root/testdata/sf0.001"
 KEY = "spark.sql.codegen.hugeMethodLimit"
@@ -31,6 +33,17 @@ def test_usual_cells_are_cast_and_all_read_as_the_formats_do(spark):
     assert "RLIKE" in df.select(fast)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_plain_digits_are_typed_as_decimals_are(spark):
+    cells = ["5", "-7", "007", "5.0", "1e3", "1.5", "99999999999999999", "9223372036854775808", "+5", "5\n", "", None]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    exact = F.col("c").try_cast("decimal(38,10)")
+    for kind in ("bigint", "int"):
+        typed = df.select("c", S.typed_number(F.col("c"), kind).alias("a"))
+        rows = typed.select("a", F.when(exact % 1 == 0, exact.try_cast(kind)).alias("b")).collect()
+        assert [r.a for r in rows] == [r.b for r in rows]
+        assert "RLIKE" in typed._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_tables_of_whole_buckets_are_written_without_a_sort(spark, tmp_path):
     from vigia.plans import etl
     from vigia.sources.fixture import raw_notifications

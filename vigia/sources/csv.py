@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .. import labels
 from ..functions.dates import to_day_first_timestamp
 from ..functions.text import null_tokens as _null_tokens
+from ..session import compiled_methods
 
 # Declared logical types of the raw notification columns the warehouse uses
 # (everything else stays text).
@@ -72,11 +73,12 @@ def parse_dates(df: DataFrame, formats: list[str] | None = None) -> DataFrame:
 
 def typed_number(c, kind: str):
     """Text as a declared numeric type.  Whole-number types also take an
-    integral decimal ("1501402.0", "2.", "1e3"); "1.5" becomes NULL."""
+    integral decimal ("1501402.0", "2.", "1e3"); "1.5" becomes NULL.  Plain
+    digits, most of all cells, need no decimal."""
     if kind == "double":
         return c.try_cast(kind)
     exact = c.try_cast("decimal(38,10)")
-    return F.when(exact % 1 == 0, exact.try_cast(kind))
+    return F.when(c.rlike(r"^-?[0-9]{1,18}\z"), c.try_cast(kind)).when(exact % 1 == 0, exact.try_cast(kind))
 
 
 def type_columns(df: DataFrame, numeric: dict[str, str] = NUMERIC_COLUMNS) -> DataFrame:
@@ -149,6 +151,7 @@ def read_notifications(spark: SparkSession, paths: str | list[str], columns: lis
     here); its documentation says only active rows were processed."""
     from .row_ids import with_file_row_id
 
+    compiled_methods(spark)
     df = read_csv(spark, paths, columns, multi_line)
     df = null_tokens(df)
     if check:
